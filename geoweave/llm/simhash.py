@@ -69,7 +69,7 @@ def fingerprint(text: bytes | None, shingle_words: int = SHINGLE_WORDS) -> int:
     for at in range(0, n, _CHUNK):
         spans = zip(starts[at : min(at + _CHUNK, n)].tolist(), ends[at + k - 1 : min(at + _CHUNK, n) + k - 1].tolist(), strict=True)
         hashes = np.array([digest(joined[a:b], SEED) for a, b in spans], ">u8")
-        ones += np.unpackbits(hashes.view(np.uint8).reshape(-1, 8), axis=1).sum(axis=0)
+        ones += np.unpackbits(hashes.view(np.uint8).reshape(-1, 8), axis=1).sum(axis=0, dtype=np.int64)
     return int.from_bytes(np.packbits(2 * ones > n).tobytes(), "big")
 
 
