@@ -6,7 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from geoweave.llm import decontamination, packing, simhash
+from geoweave.llm import decontamination, packing, secrets, simhash
 from geoweave.llm.common import table
 
 
@@ -26,6 +26,10 @@ def op3_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame:
     return decontamination.contamination_report(found)
 
 
+def op4_secrets(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return secrets.secrets_report(secrets.scan_secrets(table(spark, sf_dir, "documents")))
+
+
 def op10_simhash(spark: SparkSession, sf_dir: str) -> DataFrame:
     return simhash.near_duplicate_report(simhash.near_duplicates(table(spark, sf_dir, "documents")))
 
@@ -34,6 +38,7 @@ def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
     return {
         "op1_packing": op1_packing,
         "op3_decontamination": op3_decontamination,
+        "op4_secrets": op4_secrets,
         "op10_simhash": op10_simhash,
     }
 
