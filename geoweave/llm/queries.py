@@ -6,7 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from geoweave.llm import decontamination, packing, secrets, simhash
+from geoweave.llm import decontamination, packing, secrets, simhash, toxicity, urlfilter, warc
 from geoweave.llm.common import table
 
 
@@ -30,6 +30,19 @@ def op4_secrets(spark: SparkSession, sf_dir: str) -> DataFrame:
     return secrets.secrets_report(secrets.scan_secrets(table(spark, sf_dir, "documents")))
 
 
+def op7_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
+    documents = table(spark, sf_dir, "documents")
+    return toxicity.toxicity_report(toxicity.score(documents, toxicity.fit(documents, table(spark, sf_dir, "labels"))))
+
+
+def op8_urlfilter(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return urlfilter.url_report(urlfilter.judge_urls(table(spark, sf_dir, "pages")))
+
+
+def op9_warc(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return warc.warc_report(warc.capture_histories(warc.archive_pages(table(spark, sf_dir, "pages"))))
+
+
 def op10_simhash(spark: SparkSession, sf_dir: str) -> DataFrame:
     return simhash.near_duplicate_report(simhash.near_duplicates(table(spark, sf_dir, "documents")))
 
@@ -39,6 +52,9 @@ def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
         "op1_packing": op1_packing,
         "op3_decontamination": op3_decontamination,
         "op4_secrets": op4_secrets,
+        "op7_toxicity": op7_toxicity,
+        "op8_urlfilter": op8_urlfilter,
+        "op9_warc": op9_warc,
         "op10_simhash": op10_simhash,
     }
 
@@ -46,4 +62,6 @@ def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
 def oracle_sql() -> dict[str, str]:
     return {
         "op3_decontamination": decontamination.REPORT_SQL,
+        "op8_urlfilter": urlfilter.REPORT_SQL,
+        "op9_warc": warc.REPORT_SQL,
     }
