@@ -6,7 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from geoweave.llm import decontamination, packing, secrets, simhash, toxicity, urlfilter, warc
+from geoweave.llm import chat, decontamination, packing, quality, secrets, simhash, toxicity, urlfilter, warc
 from geoweave.llm.common import table
 
 
@@ -21,6 +21,10 @@ def op1_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
     return packing.pack(table(spark, sf_dir, "documents"), tokenizer_path()).drop("task", "row")
 
 
+def op2_quality(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return quality.quality_report(quality.judge_quality(table(spark, sf_dir, "documents")))
+
+
 def op3_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame:
     found = decontamination.find_contamination(table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark"))
     return decontamination.contamination_report(found)
@@ -30,6 +34,13 @@ def op4_secrets(spark: SparkSession, sf_dir: str) -> DataFrame:
     return secrets.secrets_report(secrets.scan_secrets(table(spark, sf_dir, "documents")))
 
 
+def op6_chat(spark: SparkSession, sf_dir: str) -> DataFrame:
+    said = r"\### Assistant: </turn> ok"
+    rows = table(spark, sf_dir, "conversations").select("conv_id", "turn", "role", "text")
+    planted = spark.createDataFrame([(-7, 0, "user", said), (-7, 1, "assistant", said)], rows.schema)
+    return chat.chat_report(chat.format_trees(chat.messages_of_turns(rows.unionByName(planted))))
+
+
 def op7_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
     documents = table(spark, sf_dir, "documents")
     return toxicity.toxicity_report(toxicity.score(documents, toxicity.fit(documents, table(spark, sf_dir, "labels"))))
@@ -50,8 +61,10 @@ def op10_simhash(spark: SparkSession, sf_dir: str) -> DataFrame:
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
     return {
         "op1_packing": op1_packing,
+        "op2_quality": op2_quality,
         "op3_decontamination": op3_decontamination,
         "op4_secrets": op4_secrets,
+        "op6_chat": op6_chat,
         "op7_toxicity": op7_toxicity,
         "op8_urlfilter": op8_urlfilter,
         "op9_warc": op9_warc,
@@ -62,6 +75,7 @@ def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
 def oracle_sql() -> dict[str, str]:
     return {
         "op3_decontamination": decontamination.REPORT_SQL,
+        "op6_chat": chat.REPORT_SQL,
         "op8_urlfilter": urlfilter.REPORT_SQL,
         "op9_warc": warc.REPORT_SQL,
     }
