@@ -6,7 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from geoweave.llm import chat, decontamination, packing, quality, secrets, simhash, toxicity, urlfilter, warc
+from geoweave.llm import chat, decontamination, lm_scoring, packing, quality, secrets, simhash, toxicity, urlfilter, warc
 from geoweave.llm.common import table
 
 
@@ -34,6 +34,10 @@ def op4_secrets(spark: SparkSession, sf_dir: str) -> DataFrame:
     return secrets.secrets_report(secrets.scan_secrets(table(spark, sf_dir, "documents")))
 
 
+def op5_lm_scoring(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return lm_scoring.score_report(lm_scoring.score_texts(table(spark, sf_dir, "documents")))
+
+
 def op6_chat(spark: SparkSession, sf_dir: str) -> DataFrame:
     said = r"\### Assistant: </turn> ok"
     rows = table(spark, sf_dir, "conversations").select("conv_id", "turn", "role", "text")
@@ -64,6 +68,7 @@ def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
         "op2_quality": op2_quality,
         "op3_decontamination": op3_decontamination,
         "op4_secrets": op4_secrets,
+        "op5_lm_scoring": op5_lm_scoring,
         "op6_chat": op6_chat,
         "op7_toxicity": op7_toxicity,
         "op8_urlfilter": op8_urlfilter,
