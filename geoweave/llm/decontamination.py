@@ -19,6 +19,7 @@ from __future__ import annotations
 
 from collections.abc import Iterator
 
+import pandas as pd
 import pyarrow as pa
 from pyspark import Broadcast
 from pyspark.sql import DataFrame
@@ -194,3 +195,20 @@ SELECT d.doc_id, CAST(len(w) AS BIGINT) AS n_words, CAST(coalesce(n_hit, 0) AS B
   CAST(coalesce(n_items, 0) AS BIGINT) AS n_items, sha256(coalesce(names, '')) AS items_sha256, coalesce(n_hit, 0) > 0 AS contaminated
 FROM lowered d LEFT JOIN hit ON hit.doc_id = d.doc_id LEFT JOIN named ON named.doc_id = d.doc_id
 """
+
+
+def _hit(patterns: Broadcast):
+    @F.pandas_udf("boolean")
+    def hit(texts: pd.Series) -> pd.Series:
+        return texts.map(lambda t: t is not None and bool(patterns.value.hits(words_of(t.encode()))[0])).astype(bool)
+
+    return hit
+
+
+def drop_contaminated(documents: DataFrame, benchmark: DataFrame, *, text_col: str = "text", item_col: str = "item_id", item_text_col: str = "text", window: int = WINDOW, max_block_words: int = MAX_BLOCK_WORDS) -> DataFrame:
+    """The documents without any hit, with all their columns."""
+    spark, out = documents.sparkSession, None
+    for block in pattern_blocks(benchmark, item_col, item_text_col, window, max_block_words):
+        hit = _hit(spark.sparkContext.broadcast(block))
+        out = (documents if out is None else saved(out, "decontamination")).where(~hit(F.col(text_col)))
+    return documents if out is None else out

@@ -32,7 +32,7 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from geoweave.llm.common import id_and_text, sha256_text
+from geoweave.llm.common import fresh_name, id_and_text, sha256_text
 
 KINDS = ("assign", "access", "hex", "opaque")
 MAX_LAYER = 64 << 20
@@ -277,14 +277,18 @@ def redacted_text(text: str) -> str:
     return "".join(out) + text[at:]
 
 
-def redact(documents: DataFrame, *, text_col: str = "text") -> DataFrame:
-    """All columns, the text without its secrets. A null text stays null."""
+def redact(documents: DataFrame, *, text_col: str = "text", length_col: str | None = None) -> DataFrame:
+    """All columns, the text without its secrets. A null text stays null. length_col gets the length of changed texts."""
 
     @F.pandas_udf("string")
     def clean(texts: pd.Series) -> pd.Series:
         return texts.map(lambda t: redacted_text(t) if t is not None else None)
 
-    return documents.withColumn(text_col, clean(F.col(text_col)))
+    if not length_col:
+        return documents.withColumn(text_col, clean(F.col(text_col)))
+    new = fresh_name(documents, "redacted")
+    length = F.when(F.col(new) != F.col(text_col), F.length(new)).otherwise(F.col(length_col)).cast(dict(documents.dtypes)[length_col])
+    return documents.withColumn(new, clean(F.col(text_col))).withColumns({length_col: length, text_col: F.col(new)}).drop(new)
 
 
 def _joined(spans: Column) -> Column:

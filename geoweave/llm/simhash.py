@@ -28,12 +28,14 @@ from collections.abc import Iterator
 from itertools import combinations
 
 import numpy as np
+import pandas as pd
 import pyarrow as pa
 import xxhash
 from pyspark.sql import Column, DataFrame
+from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 
-from geoweave.llm.common import id_and_text, saved
+from geoweave.llm.common import fresh_name, id_and_text, saved
 
 SHINGLE_WORDS = 4
 MAX_BITS = 4
@@ -201,3 +203,27 @@ def grouped(marked: DataFrame, max_posting: int = MAX_POSTING) -> DataFrame:
 
 def near_duplicate_report(found: DataFrame, id_name: str = "doc_id") -> DataFrame:
     return found.select(F.col("id").alias(id_name), F.lower(F.lpad(F.hex("fp"), 16, "0")).alias("fingerprint"), F.col("component").alias("component_id"))
+
+
+def keep_one_of_each(documents: DataFrame, *, id_col: str = "doc_id", text_col: str = "text", shingle_words: int = SHINGLE_WORDS, max_posting: int = MAX_POSTING) -> DataFrame:
+    """One row of each group, with all its columns: that with the smallest id (null: last), then fingerprint, then text."""
+    own, mark = fresh_name(documents, "fp"), fresh_name(documents, "times")
+    marked = saved(fingerprints(documents, id_col=id_col, text_col=text_col, shingle_words=shingle_words), "fingerprints")
+    first = F.struct(F.col("id").isNull().alias("last"), "id", "fp")
+    unique = saved(marked.groupBy("fp", "id").agg(F.count("*").alias("times")), "unique")
+    least = unique.groupBy("fp").agg(F.min(F.struct(first.alias("first"), "times")).alias("least"))
+    roots = saved(components(fingerprint_links(unique.select("fp").distinct(), max_posting)), "roots")
+    chosen = least.join(roots, least["fp"] == roots["node"], "left").groupBy(F.coalesce("root", "fp").alias("root")).agg(F.min("least").alias("least"))
+    chosen = saved(chosen.select(F.col("least.first.id").alias("kept_id"), F.col("least.first.fp").alias("kept_fp"), F.col("least.times").alias(mark)), "kept")
+
+    @F.pandas_udf("long")
+    def fp_of(texts: pd.Series) -> pd.Series:
+        return pd.Series(np.array([fingerprint(t.encode() if t is not None else None, shingle_words) for t in texts], np.uint64).view(np.int64))
+
+    # Dealt by id and fingerprint: the copies of one text spread, as their ids differ.
+    kept = documents.withColumn(own, fp_of(F.col(text_col).cast("string"))).join(chosen, F.col(id_col).eqNullSafe(F.col("kept_id")) & (F.col(own) == F.col("kept_fp")))
+    if chosen.where(F.col(mark) > 1).isEmpty():
+        return kept.select(*documents.columns)
+    one = fresh_name(documents, "one")
+    repeated = kept.where(F.col(mark) > 1).withColumn(one, F.row_number().over(W.partitionBy(id_col, own).orderBy(text_col))).where(F.col(one) == 1)
+    return kept.where(F.col(mark) == 1).select(*documents.columns).unionByName(repeated.select(*documents.columns))
