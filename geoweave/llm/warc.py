@@ -3,8 +3,7 @@
 Writing: payloads are digested (SHA-1, base32). Of the captures with equal payloads of at least
 MIN_REVISIT_BYTES bytes the one with the largest id becomes the response, the others revisits
 that refer to it. Records are gzip members in archives of about ARCHIVE_BYTES; an archive is a
-row (archive, content) of a table, whose contents are valid .warc.gz files. Tasks write
-their captures in the order of URL key, timestamp and id, so each archive's index is a run.
+row (archive, content) of a table, whose contents are valid .warc.gz files.
 
 Reading: archives are parsed record by record, and the index entries (one capture each) are
 written as runs, each sorted by URL key, timestamp and id.
@@ -118,25 +117,31 @@ def captures(pages: DataFrame, *, id_col: str = "page_id", url_col: str = "url",
     return rows.withColumn("sha1", F.sha1("payload"))
 
 
+def decisions(rows: DataFrame, min_bytes: int = MIN_REVISIT_BYTES) -> DataFrame:
+    """rows of captures(). For ids whose payload others have too: other_id, other_sha1, other_size, refers_to, times (rows with the id and payload).
+
+    Only ids, digests and sizes are grouped and joined; payloads stay where they are.
+    """
+    light = rows.select("id", "sha1", F.octet_length("payload").cast("long").alias("size")).where(F.col("size") >= min_bytes)
+    shared = light.groupBy("sha1", "size").agg(F.max("id").alias("refers_to"), F.count("*").alias("copies")).where("copies > 1").drop("copies")
+    found = light.join(shared, ["sha1", "size"]).groupBy("id", "sha1", "size", "refers_to").agg(F.count("*").alias("times"))
+    return saved(found.select(F.col("id").alias("other_id"), F.col("sha1").alias("other_sha1"), F.col("size").alias("other_size"), "refers_to", "times"), "decisions")
+
+
 def decided(rows: DataFrame, min_bytes: int = MIN_REVISIT_BYTES) -> DataFrame:
-    """captures() with response (boolean) and refers_to. Only ids and digests are grouped."""
-    size = F.octet_length("payload").cast("long")
-    largest = rows.select("sha1", size.alias("size"), "id").where(F.col("size") >= min_bytes).groupBy("sha1", "size").agg(F.max("id").alias("refers_to"), F.count("*").alias("copies"), F.count("id").alias("with_id"))
-    # Rows that are alone with their payload need no partner.
-    shared = largest.where("copies > 1").drop("with_id")
-    light = rows.select("id", "sha1", size.alias("size")).join(shared, ["sha1", "size"])
-    repeated = light.groupBy("sha1", "size", "id").agg(F.count("*").alias("times"), F.first("refers_to").alias("refers_to"))
-    marked = rows.withColumn("size", size).join(repeated.withColumnsRenamed({"id": "other_id", "sha1": "other_sha1", "size": "other_size"}), (F.col("id").eqNullSafe(F.col("other_id"))) & (F.col("sha1") == F.col("other_sha1")) & (F.col("size") == F.col("other_size")), "left")
-    own = F.col("times").isNull() | F.col("id").eqNullSafe(F.col("refers_to"))
-    return marked.select("id", "url", "time", "payload", "sha1", "size", own.alias("largest"), (F.coalesce("times", F.lit(1)) > 1).alias("repeated"), "refers_to")
-
-
-def with_one_response(marked: DataFrame) -> DataFrame:
-    """Of repeated rows that hold the largest id, the first by URL and time is the response."""
-    tie = F.col("largest") & F.col("repeated")
+    """captures() with size, response (boolean) and refers_to."""
+    known = decisions(rows, min_bytes)
+    # `known` is a table whose size Spark knows: it is broadcast if small, else the payloads are dealt by their digest once.
+    same = F.col("id").eqNullSafe(F.col("other_id")) & (F.col("sha1") == F.col("other_sha1")) & (F.col("size") == F.col("other_size"))
+    marked = rows.withColumn("size", F.octet_length("payload").cast("long")).join(known, same, "left")
+    largest = F.col("times").isNull() | F.col("id").eqNullSafe(F.col("refers_to"))
+    out = ["id", "url", "time", "payload", "sha1", "size", "response", "refers_to"]
+    tie = F.coalesce(F.col("times") > 1, F.lit(False)) & largest
+    if known.where(F.col("other_id").eqNullSafe(F.col("refers_to")) & (F.col("times") > 1)).isEmpty():
+        return marked.withColumn("response", largest).select(*out)
+    # Of repeated rows that hold the largest id, the first by URL and time is the response.
     first = F.row_number().over(W.partitionBy("sha1", "size", "id").orderBy("url", "time")) == 1
-    tied = marked.where(tie).withColumn("response", first)
-    return marked.where(~tie).withColumn("response", F.col("largest")).unionByName(tied).drop("largest", "repeated")
+    return marked.where(~tie).withColumn("response", largest).select(*out).unionByName(marked.where(tie).withColumn("response", first).select(*out))
 
 
 def warc_record(kind: str, headers: list[tuple[str, str]], block: bytes) -> bytes:
@@ -172,7 +177,7 @@ def capture_record(row: dict[str, Any]) -> bytes:
 
 
 def write_archives(rows: DataFrame, archive_bytes: int = ARCHIVE_BYTES) -> DataFrame:
-    """rows of with_one_response(). Archives (archive, content): gzip members, one record each."""
+    """rows of decided(). Archives (archive, content): gzip members, one record each."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         task, number, parts, size = TaskContext.get().partitionId(), 0, [], 0
@@ -270,7 +275,7 @@ def merge_runs(runs: DataFrame) -> DataFrame:
 
 def archive_pages(pages: DataFrame, *, id_col: str = "page_id", url_col: str = "url", payload_col: str = "html", time_col: str | None = None, min_revisit_bytes: int = MIN_REVISIT_BYTES) -> DataFrame:
     """Write the archives of a table of pages; the table (archive, content) of what was written."""
-    rows = with_one_response(decided(captures(pages, id_col=id_col, url_col=url_col, payload_col=payload_col, time_col=time_col), min_revisit_bytes))
+    rows = decided(captures(pages, id_col=id_col, url_col=url_col, payload_col=payload_col, time_col=time_col), min_revisit_bytes)
     return saved(write_archives(rows), "archives")
 
 
