@@ -74,14 +74,16 @@ def mention_spans(spark: SparkSession, names: Iterable[str]) -> Callable[[Column
     return spans
 
 
+def _word_runs(words: Column, k: int) -> Column:
+    return F.transform(F.sequence(F.lit(1), F.size(words) - k + 1), lambda i: F.array_join(F.slice(words, i, F.lit(k)), " "))
+
+
 def ngram_mentions(texts: DataFrame, names: DataFrame, *, key: str, text_col: str, sizes: Iterable[int]) -> DataFrame:
     """key, name, position (in words): n-grams of the given sizes joined with the names. Spark broadcasts the names if they are small."""
-    grams = None
+    words, grams = F.split(text_col, " "), None
     for k in sorted(set(sizes)):
-        words = F.split(text_col, " ")
-        runs = words if k == 1 else F.transform(F.sequence(F.lit(1), F.greatest(F.size(words) - k + 1, F.lit(0))), lambda i, w=words, k=k: F.array_join(F.slice(w, i, F.lit(k)), " "))
         rows = texts if k == 1 else texts.where(F.size(words) >= k)
-        part = rows.select(key, F.posexplode(runs).alias("position", "name"))
+        part = rows.select(key, F.posexplode(words if k == 1 else _word_runs(words, k)).alias("position", "name"))
         grams = part if grams is None else grams.unionByName(part)
     return grams.join(names.select("name").where("name <> ''").distinct(), "name").select(key, "name", "position")
 
