@@ -12,6 +12,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from geoweave.functions.text import lossless_segments
+from geoweave.operators.gazetteer import document_key
 
 LABELS = ("yes", "no")
 REASONING_END = "</think>"
@@ -59,7 +60,7 @@ def prompted(sentence: Column, template: str) -> Column:
     return F.concat(F.lit(head), sentence, F.lit(tail))
 
 
-def labelled(frame: DataFrame, classifier: Classifier, *, batch: int = 8, known: DataFrame | None = None, key: Sequence[str] = ("polygon_id", "row_index")) -> DataFrame:
+def labelled(frame: DataFrame, classifier: Classifier, *, batch: int = 8, known: DataFrame | None = None, key: Sequence[str] | None = None) -> DataFrame:
     """Adds `labels`, one for each of sentences_with_topic_term. Rows whose key is in `known` (key, labels) take theirs from there."""
     if batch <= 0:
         raise ValueError("batch must be positive")
@@ -83,10 +84,11 @@ def labelled(frame: DataFrame, classifier: Classifier, *, batch: int = 8, known:
                 at += len(row)
             yield pd.Series(out, index=rows.index, dtype=object)
 
+    key = list(key or ["polygon_id", *document_key(frame)])
     if known is None:
         return frame.withColumn("labels", classify(F.col("sentences_with_topic_term")))
-    new = frame.join(known.select(*key), list(key), "left_anti")
-    old = frame.join(known.select(*key, "labels"), list(key))
+    new = frame.join(known.select(*key), key, "left_anti")
+    old = frame.join(known.select(*key, "labels"), key)
     return old.select(*frame.columns, "labels").unionByName(new.withColumn("labels", classify(F.col("sentences_with_topic_term"))))
 
 

@@ -96,3 +96,8 @@ def keep_first(evidence: DataFrame, order: list[str]) -> DataFrame:
 
 def normal_name(name: str) -> str:
     return exact_text(name)
+
+
+def document_key(frame: DataFrame) -> list[str]:
+    """What tells documents apart: the row within its shard, and the shard where there are several."""
+    return [c for c in ("shard", "row_index") if c in frame.columns]

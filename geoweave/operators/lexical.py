@@ -7,7 +7,7 @@ from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 
 from geoweave.functions.text import exact_text, has_marker, normalized
-from geoweave.operators.gazetteer import candidate_names, centroid_json, tags_json
+from geoweave.operators.gazetteer import candidate_names, centroid_json, document_key, tags_json
 from geoweave.operators.matching import collected_names, offset_mentions
 
 BASE = ["polygon_id", "polygon_name", "matched_alias", "area_tags", "centroid", "url", "sentence", "context"]
@@ -21,17 +21,18 @@ def _areas(areas: DataFrame) -> DataFrame:
 
 
 def _found(documents: DataFrame, names: DataFrame, gate: bool) -> DataFrame:
-    """row_index, url, normalized_name and the mention's columns; documents without a mention end here."""
+    """The document's key, url, normalized_name and the mention's columns; documents without a mention end here."""
+    key = document_key(documents)
     search = offset_mentions(documents.sparkSession, collected_names(names, "normalized_name"), gate=gate)
-    rows = documents.select("row_index", F.coalesce("url", F.lit("")).alias("url"), F.explode(search(F.coalesce("text", F.lit("")))).alias("m"))
-    return rows.select("row_index", "url", F.col("m.name").alias("normalized_name"), "m.start", "m.end", "m.sentence_index", "m.sentence", "m.context")
+    rows = documents.select(*key, F.coalesce("url", F.lit("")).alias("url"), F.explode(search(F.coalesce("text", F.lit("")))).alias("m"))
+    return rows.select(*key, "url", F.col("m.name").alias("normalized_name"), "m.start", "m.end", "m.sentence_index", "m.sentence", "m.context")
 
 
 def mentions(documents: DataFrame, areas: DataFrame) -> DataFrame:
     """Version 1: all names, also countries and single letters."""
     candidates = candidate_names(areas)
     rows = _found(documents, candidates, True).join(candidates, "normalized_name").join(_areas(areas), ["polygon_id", "source_key"])
-    return rows.withColumnRenamed("alias", "matched_alias").select("source_key", "row_index", "start", "end", *BASE)
+    return rows.withColumnRenamed("alias", "matched_alias").select("source_key", *document_key(rows), "start", "end", *BASE)
 
 
 def classed_mentions(documents: DataFrame, areas: DataFrame, inventory: DataFrame) -> DataFrame:
@@ -40,12 +41,12 @@ def classed_mentions(documents: DataFrame, areas: DataFrame, inventory: DataFram
     names = names.select("normalized_name", F.col("c.alias").alias("matched_alias"), "c.polygon_id", "c.source_key", "decision", "polygon_count", "document_frequency")
     rows = _found(documents, names, False).join(names, "normalized_name").join(_areas(areas), ["polygon_id", "source_key"])
     kind = F.when(F.col("decision") == "generic", "generic_name").otherwise("distinctive_name")
-    return rows.select("source_key", "row_index", "start", "end", "normalized_name", "sentence_index", *BASE, kind.alias("name_match_class"), "polygon_count", "document_frequency")
+    return rows.select("source_key", *document_key(rows), "start", "end", "normalized_name", "sentence_index", *BASE, kind.alias("name_match_class"), "polygon_count", "document_frequency")
 
 
 def _others(value: str, *keys: str) -> Column:
     """Whether a mention with the same keys, at most one sentence away, has another value."""
-    near = W.partitionBy("row_index", *keys).orderBy("sentence_index").rangeBetween(-1, 1)
+    near = W.partitionBy(*keys).orderBy("sentence_index").rangeBetween(-1, 1)
     return (F.min(value).over(near) != F.col(value)) | (F.max(value).over(near) != F.col(value))
 
 
@@ -56,6 +57,7 @@ def scored_mentions(documents: DataFrame, areas: DataFrame, inventory: DataFrame
     range of sentence numbers: window sums over a document's mentions, no join of pairs.
     """
     rows = classed_mentions(documents, areas, inventory)
+    key = document_key(rows)
     named = rows.sparkSession.createDataFrame([(k, exact_text(v)) for k, v in countries.items()], "source_key string, _country string")
     rows = rows.join(F.broadcast(named), "source_key")  # one row a source
     marked = lambda c, decode=True: normalized(F.col(c), decode_url=decode)
@@ -67,15 +69,15 @@ def scored_mentions(documents: DataFrame, areas: DataFrame, inventory: DataFrame
             "name_in_url": has_marker(F.col("_url"), F.col("normalized_name")),
             "country_in_sentence": in_sentence,
             "country_in_context": ~in_sentence & has_marker(F.col("_context"), F.col("_country")),
-            "same_polygon_alias_nearby": _others("normalized_name", "polygon_id"),
-            "other_polygon_name_nearby": _others("polygon_id", "source_key"),
+            "same_polygon_alias_nearby": _others("normalized_name", *key, "polygon_id"),
+            "other_polygon_name_nearby": _others("polygon_id", *key, "source_key"),
         }
     )
     score = sum((F.when(F.col(name), F.lit(points)).otherwise(F.lit(0)) for name, points in POINTS), F.lit(0)).cast("long")
     reasons = F.concat_ws("|", *(F.when(F.col(name), F.lit(name)) for name, _ in POINTS))
     tier = F.when(F.col("evidence_score") >= 4, "high_confidence").when(F.col("evidence_score") >= 2, "possible").otherwise("rejected")
     rows = rows.withColumns({"evidence_score": score, "evidence_reasons": reasons}).withColumn("decision_tier", tier)
-    return rows.select("source_key", "row_index", "start", "end", *BASE, "name_match_class", "polygon_count", "document_frequency", "decision_tier", "evidence_score", "evidence_reasons", "name_in_url", "country_in_sentence", "country_in_context", "same_polygon_alias_nearby", "other_polygon_name_nearby")
+    return rows.select("source_key", *key, "start", "end", *BASE, "name_match_class", "polygon_count", "document_frequency", "decision_tier", "evidence_score", "evidence_reasons", "name_in_url", "country_in_sentence", "country_in_context", "same_polygon_alias_nearby", "other_polygon_name_nearby")
 
 
 def source_summary(found: DataFrame, areas: DataFrame) -> DataFrame:

@@ -1,6 +1,6 @@
 """Retrieval rules: which documents are evidence for which areas.
 
-documents: row_index, document_id, text, url. All rules match whole words of normalised fields;
+documents: row_index, document_id, text, url, and shard where there are several. All rules match whole words of normalised fields;
 text is never percent-decoded, the URL always. A rule looks at where the area's name and the
 context (a country or city name) occur:
 
@@ -27,7 +27,7 @@ from pyspark.sql.types import StringType, StructType
 
 from geoweave.functions.spans import nearest_pair
 from geoweave.functions.text import SENTENCE_BREAK, exact_text, excerpt, has_marker, normalized
-from geoweave.operators.gazetteer import keep_first
+from geoweave.operators.gazetteer import document_key, keep_first
 from geoweave.operators.matching import collected_names, mention_spans
 
 RULES = ("any_field", "url_or_context", "url_and_text", "text", "nearby")
@@ -67,7 +67,8 @@ def evidence(documents: DataFrame, profiles: DataFrame, *, rule: str, context: s
     if not marker:
         raise ValueError("context must not be empty")
     spark = documents.sparkSession
-    docs = documents.select("row_index", F.col("document_id").cast("string").alias("document_id"), F.coalesce("text", F.lit("")).alias("text"), F.coalesce("url", F.lit("")).alias("url"))
+    key = document_key(documents)
+    docs = documents.select(*key, F.col("document_id").cast("string").alias("document_id"), F.coalesce("text", F.lit("")).alias("text"), F.coalesce("url", F.lit("")).alias("url"))
     docs = docs.withColumns({"normal_text": normalized(F.col("text"), mode=mode), "normal_url": normalized(F.col("url"), decode_url=True)})
     docs = docs.withColumns({"context_in_text": has_marker(F.col("normal_text"), F.lit(marker)), "context_in_url": has_marker(F.col("normal_url"), F.lit(marker))})
     if rule in ("url_and_text", "text", "nearby"):
@@ -91,7 +92,7 @@ def evidence(documents: DataFrame, profiles: DataFrame, *, rule: str, context: s
     in_text = F.array_contains("text_names", F.col("normalized_name"))
     in_url = F.array_contains("url_names", F.col("normalized_name"))
     rows = rows.withColumns({"matched_fields": _fields(in_text, in_url), "context_fields": _fields(F.col("context_in_text"), F.col("context_in_url")), "context_phrase": phrase})
-    common = ["polygon_id", F.col("name").alias("polygon_name"), "row_index", "document_id", "url", "matched_fields", "context_fields", F.col("name").alias("matched_name"), "context_phrase", "text"]
+    common = ["polygon_id", F.col("name").alias("polygon_name"), *key, "document_id", "url", "matched_fields", "context_fields", F.col("name").alias("matched_name"), "context_phrase", "text"]
     if rule == "nearby":
         where_context = mention_spans(spark, [marker])
         span = lambda m: F.struct(m["start"].alias("start"), m["end"].alias("end"))
@@ -109,4 +110,4 @@ def evidence(documents: DataFrame, profiles: DataFrame, *, rule: str, context: s
 
 
 def deduplicated(found: DataFrame) -> DataFrame:
-    return keep_first(found, ORDER)
+    return keep_first(found, [*(c for c in document_key(found) if c not in ORDER), *ORDER])

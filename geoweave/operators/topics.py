@@ -10,6 +10,7 @@ from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 
 from geoweave.functions.text import exact_text, has_marker, normalized
+from geoweave.operators.gazetteer import document_key
 from geoweave.operators.matching import mention_spans
 
 #: The one matching contract that vocabularies may state.
@@ -88,16 +89,16 @@ def _distinct_of(rows: Column, field: str) -> Column:
     return F.array_distinct(F.flatten(F.transform(rows, lambda r: r[field])))
 
 
-def near_topics(frame: DataFrame, vocabulary: Vocabulary, *, window: int = WINDOW_SENTENCES, key: Sequence[str] = ("polygon_id", "row_index"), strict: bool = True) -> DataFrame:
+def near_topics(frame: DataFrame, vocabulary: Vocabulary, *, window: int = WINDOW_SENTENCES, key: Sequence[str] | None = None, strict: bool = True) -> DataFrame:
     """Rows with `sentences` to rows with the sentences that have a term and are at most `window` sentences from the area's name.
 
     An error if the area's name or the context is in no sentence of a row (a name may reach over
     the end of a sentence); not strict: such rows go. The sentences of a row
-    are dealt by its key, which is unique: windows over their order find the nearest anchors.
+    are dealt by its key (the area and the document), which is unique: windows over their order find the nearest anchors.
     """
     if window < 0:
         raise ValueError("window must not be negative")
-    rows = frame.withColumn("_row", F.struct(*key))
+    rows = frame.withColumn("_row", F.struct(*(key or ["polygon_id", *document_key(frame)])))
     parts = rows.select("_row", "polygon_name", "context_phrase", F.posexplode("sentences").alias("_at", "sentence"))
     parts = parts.withColumns({"_normal": normalized(F.col("sentence")), "_name": normalized(F.col("polygon_name")), "_context": normalized(F.col("context_phrase"))})
     parts = parts.withColumns({"_has_name": has_marker(F.col("_normal"), F.col("_name")), "_has_context": has_marker(F.col("_normal"), F.col("_context"))})

@@ -71,7 +71,7 @@ def comparison(v2: DataFrame, v3: DataFrame, keys: tuple[str, ...] = ("source_ke
 
 def top_names(found: DataFrame, k: int = 10) -> DataFrame:
     """The k names with the most mentions; ties by the first document and place they occur at."""
-    first = F.min(F.struct("row_index", "start")).alias("first_seen")
+    first = F.min(F.struct(*gazetteer.document_key(found), "start")).alias("first_seen")
     return found.groupBy("matched_alias").agg(F.count("*").alias("mentions"), first).orderBy(F.desc("mentions"), "first_seen", "matched_alias").limit(k).select("matched_alias", "mentions")
 
 

@@ -20,11 +20,11 @@ def require_columns(frame: DataFrame, columns: Sequence[str]) -> None:
 
 
 def read_documents(spark: SparkSession, path: str) -> DataFrame:
-    """row_index (per file), document_id, text, url of Parquet shards; only these columns are read. The column id is optional."""
+    """shard (the file), row_index in it, document_id, text, url of Parquet shards; only these columns are read. The column id is optional."""
     rows = spark.read.parquet(path)
     require_columns(rows, REQUIRED)
     document_id = F.col("id").cast("string") if "id" in rows.columns else F.lit(None).cast("string")
-    return rows.select(F.col("_metadata.row_index").alias("row_index"), document_id.alias("document_id"), F.coalesce("text", F.lit("")).alias("text"), F.coalesce("url", F.lit("")).alias("url"))
+    return rows.select(F.col("_metadata.file_name").alias("shard"), F.col("_metadata.row_index").alias("row_index"), document_id.alias("document_id"), F.coalesce("text", F.lit("")).alias("text"), F.coalesce("url", F.lit("")).alias("url"))
 
 
 def row_ranges(spark: SparkSession, path: str, rows_per_chunk: int) -> DataFrame:

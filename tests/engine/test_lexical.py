@@ -77,3 +77,14 @@ def test_empty(spark, world):
     empty = lexical.source_summary(runs.find_candidates(d.limit(0), a, "v3", countries=COUNTRIES), a).collect()
     assert [r.mentions for r in empty] == [0, 0]
     assert "no rows" in report.comparison_report(*(runs.find_candidates(d.limit(0), a, v, countries=COUNTRIES) for v in ("v2", "v3")))
+
+
+def test_rows_of_two_shards_are_two_documents(spark, world):
+    from pyspark.sql import functions as F
+
+    d, a = world
+    twice = d.withColumn("shard", F.lit("a")).union(d.withColumn("shard", F.lit("b")))
+    one, two = (runs.find_candidates(x, a, "v2", countries=COUNTRIES) for x in (d, twice))
+    assert two.count() == 2 * one.count()
+    tiers = runs.find_candidates(twice, a, "v3", countries=COUNTRIES).groupBy("decision_tier").count()
+    assert {r.decision_tier: r["count"] for r in tiers.collect()}.keys() <= {"high_confidence", "possible", "rejected"}

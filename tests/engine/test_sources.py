@@ -44,7 +44,7 @@ def test_areas(spark, tmp_path):
 def test_documents(spark, tmp_path):
     path = str(tmp_path / "d")
     spark.createDataFrame([(7, "t", None), (8, None, "u")], "id long, text string, url string").coalesce(1).write.parquet(path)
-    assert [tuple(r) for r in tables.read_documents(spark, path).orderBy("row_index").collect()] == [(0, "7", "t", ""), (1, "8", "", "u")]
+    assert [tuple(r) for r in tables.read_documents(spark, path).drop("shard").orderBy("row_index").collect()] == [(0, "7", "t", ""), (1, "8", "", "u")]
     spark.createDataFrame([("t",)], "text string").write.parquet(f"{path}2")
     with pytest.raises(ValueError, match="url"):
         tables.read_documents(spark, f"{path}2")
