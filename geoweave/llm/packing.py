@@ -48,6 +48,8 @@ END_ID = 0
 #: Words that the cache of a worker holds at most; it starts anew when full.
 CACHE_WORDS = 300_000
 ITERATIONS = 400
+#: Cut pieces that are broadcast at most (about 100 bytes each); more are joined by a shuffle.
+MAX_BROADCAST_PIECES = 50_000
 
 _PLAIN = re.compile("[^\t\n\r -~À-ÖØ-öø-ÿ]")
 _SPLIT = re.compile(r"'(?:[sdmt]|ll|ve|re)| ?[^\W\d_]+| ?\d+| ?(?:[^\s\w]|_)+|\s+(?!\S)|\s+")
@@ -283,7 +285,8 @@ def place_pieces(pieces: DataFrame, window: int = WINDOW, depth: int = DEPTH) ->
     histogram = np.zeros(window + 1, np.int64)
     for r in counts.groupBy("length").agg(F.sum("n").alias("n")).collect():  # at most one row a length
         histogram[r.length] = r.n
-    plan = spark.sparkContext.broadcast(make_plan(histogram, window, depth))
+    made = make_plan(histogram, window, depth)
+    plan = spark.sparkContext.broadcast(made)
     before = F.coalesce(F.sum("n").over(W.partitionBy("length").orderBy("task").rowsBetween(W.unboundedPreceding, -1)), F.lit(0))
     offsets = counts.select("task", "length", before.alias("before"))
     light = pieces.drop("ids").join(offsets, ["task", "length"])
@@ -309,6 +312,8 @@ def place_pieces(pieces: DataFrame, window: int = WINDOW, depth: int = DEPTH) ->
     placed = light.mapInArrow(run, f"task long, row long, doc_id {kind}, start long, length long, doc_tokens long, crc long, sequence_id long, offset long, part long, skip long")
     result = ["doc_id", (F.col("start") + F.col("skip")).alias("start"), F.col("part").alias("length"), "ids_crc32", "doc_tokens", "sequence_id", "offset", "task", "row"]
     whole = placed.where("part = length").withColumn("ids_crc32", F.col("crc")).select(*result)
-    cut = placed.where("part < length").join(pieces.select("task", "row", "ids"), ["task", "row"])
+    cut = placed.where("part < length")
+    # The plan knows how many pieces it cuts at most; few enough go to the tables of ids, not these to them.
+    cut = (F.broadcast(cut) if int(made.left.sum()) <= MAX_BROADCAST_PIECES else cut).join(pieces.select("task", "row", "ids"), ["task", "row"])
     cut = cut.withColumn("ids_crc32", F.crc32(F.expr("substring(ids, cast(4 * skip + 1 as int), cast(4 * part as int))"))).select(*result)
     return whole.unionByName(cut)

@@ -1,15 +1,16 @@
 """Toxicity by a weighted finite-state pattern grammar over clauses.
 
-A lexical transducer maps words to classes: insult, threat, target, negation, reported speech,
+A lexical transducer maps words to classes: insult, threat, hint, target, negation, reported speech,
 clause end, other. Three scope transducers follow it: negation opens a scope of a few words,
 reported speech holds to the end of the clause, and a target stays near for a few words. Each
 rewrites the insults and threats in its scope. They are composed into one deterministic
 transducer over the classes (`Grammar`), whose outputs are the kinds of matched clauses. A
 text's score is a logistic function of how many matches of each kind it has.
 
-Words: a stated list, to which the fit adds words of the training rows that are as telling. The
-weights of the kinds are the most likely ones under a prior (so that few or one-sided labels
-still give a sane score). The fit reads at most FIT_ROWS labelled rows, in the order of a hash
+Words: a stated list, to which the fit adds words and stems (beginnings of words) of the training
+rows: insults where they are as telling and as frequent, else hints, of which several together
+count. The weights of the kinds are the most likely ones under a prior (so that few or one-sided
+labels still give a sane score). The fit reads at most FIT_ROWS labelled rows, in the order of a hash
 of their id; everything else covers all rows. Scoring is narrow: the grammar and the weights
 (bounded by MAX_LEARNED words) go to the tasks, documents never shuffle.
 
@@ -34,13 +35,18 @@ from pyspark.sql import functions as F
 from geoweave.llm.common import id_and_text
 
 THRESHOLD = 0.7
-#: Labelled rows that the fit reads at most (in expectation), words that it adds at most.
+#: Labelled rows that the fit reads at most (in expectation), words and stems that it adds at most.
 FIT_ROWS = 12_000
-MAX_LEARNED = 200
-#: A learned word: in so many different toxic texts at least, and this share of them; nearly only in them.
-MIN_TEXTS = 12
-MIN_SHARE = 0.04
-MIN_PRECISION = 0.97
+MAX_LEARNED = 400
+#: What is learned occurs in so many different toxic texts at least, in this share of them, and mostly in them.
+MIN_TEXTS = 6
+MIN_SHARE = 0.03
+MIN_PRECISION = 0.6
+MIN_LOG_ODDS = 2.5
+#: Learned insults: whole words in a larger share of the toxic texts, nearly only in them.
+INSULT_SHARE = 0.1
+INSULT_PRECISION = 0.97
+STEM_CHARS = (3, 10)
 
 # The words of the grammar.
 INSULTS = """idiot idiots stupid moron morons trash garbage pathetic worthless disgusting clown clowns scum loser losers
@@ -55,10 +61,10 @@ NEGATIONS = "not no never nobody none isn't aren't wasn't weren't don't doesn't
 REPORTS = "said says say called calls wrote writes quoted quote claimed claims reported reportedly allegedly accused insulted heard tweeted replied sagte dit dijo".split()
 LETTERS_FOR_SIGNS = {"0": "o", "1": "i", "3": "e", "4": "a", "5": "s", "7": "t", "@": "a", "$": "s"}
 
-OTHER, INSULT, THREAT, TARGET, NEGATION, REPORT, END = range(7)
-#: Kinds of matches, and the prior mean of their weights; the bias comes first.
-KINDS = ("insult", "target_insult", "negated_insult", "reported_insult", "target_threat", "negated_threat", "reported_threat")
-PRIOR = (-4.0, 5.5, 6.5, 0.5, 1.0, 3.0, 0.0, 0.3)
+OTHER, INSULT, THREAT, TARGET, NEGATION, REPORT, END, HINT = range(8)
+#: Kinds of matches, and the prior mean of their weights. The bias comes first; hints have two weights, for the first and for more.
+KINDS = ("insult", "target_insult", "negated_insult", "reported_insult", "target_threat", "negated_threat", "reported_threat", "hint")
+PRIOR = (-4.0, 5.5, 6.5, 0.5, 1.0, 3.0, 0.0, 0.3, 1.5, 5.0)
 PRIOR_SD = 1.5
 NEGATION_WORDS = 3
 TARGET_WORDS = 4
@@ -80,13 +86,19 @@ class State:
 class Grammar:
     """The composition of the lexical and the scope transducers. Arcs: (state, class) -> (state, kind or -1)."""
 
-    def __init__(self, learned: tuple[str, ...] = ()):
-        self.classes = {w: c for c, words in ((REPORT, REPORTS), (NEGATION, NEGATIONS), (TARGET, TARGETS), (THREAT, THREATS), (INSULT, INSULTS), (INSULT, learned)) for w in words}
+    def __init__(self, learned: tuple[str, ...] = (), hints: tuple[str, ...] = ()):
+        """learned: insults. hints: words, and stems that end with *."""
+        words = [h for h in hints if not h.endswith("*")]
+        self.classes = {w: c for c, own in ((HINT, words), (REPORT, REPORTS), (NEGATION, NEGATIONS), (TARGET, TARGETS), (THREAT, THREATS), (INSULT, INSULTS), (INSULT, learned)) for w in own}
+        self.stems = {h[:-1] for h in hints if h.endswith("*")}
+        self.stem_sizes = sorted({len(h) for h in self.stems})
+        #: three characters that any stem begins with: most words end here
+        self.starts = {h[: STEM_CHARS[0]] for h in self.stems}
         states = [State(n, r, t) for n in range(NEGATION_WORDS + 1) for r in (False, True) for t in range(TARGET_WORDS + 1)]
         number = {s: i for i, s in enumerate(states)}
         self.start = number[State()]
-        self.arcs = [[self._arc(s, c, number) for c in range(7)] for s in states]
-        self.telling = {w for w, c in self.classes.items() if c in (INSULT, THREAT)}
+        self.arcs = [[self._arc(s, c, number) for c in range(8)] for s in states]
+        self.telling = {w for w, c in self.classes.items() if c in (INSULT, THREAT, HINT)}
 
     @staticmethod
     def _arc(s: State, c: int, number: dict[State, int]) -> tuple[int, int]:
@@ -97,6 +109,8 @@ class Grammar:
             scope = "reported" if s.report else "negated" if s.negation else "target" if s.target else ""
             name = f"{scope}_{'insult' if c == INSULT else 'threat'}".lstrip("_")
             kind = KINDS.index(name) if name in KINDS else -1
+        if c == HINT:
+            kind = KINDS.index("hint")
         after = State(
             NEGATION_WORDS if c == NEGATION else max(0, s.negation - 1),
             s.report or c == REPORT,
@@ -109,13 +123,18 @@ class Grammar:
         if c is None and not word.isalpha() and any(x in LETTERS_FOR_SIGNS for x in word):
             c = self.classes.get("".join(LETTERS_FOR_SIGNS.get(x, x) for x in word))
             c = c if c in (INSULT, THREAT) else None
+        if c is None and self.has_stem(word):
+            c = HINT
         return OTHER if c is None else c
 
+    def has_stem(self, word: str) -> bool:
+        return word[: STEM_CHARS[0]] in self.starts and any(word[:n] in self.stems for n in self.stem_sizes if n < len(word))
+
     def matches(self, text: str) -> Iterator[tuple[int, int, int]]:
         """(kind, start, end) of each matched clause part: from the clause's beginning to the word that completes it."""
         lowered = text.lower()
         words = _WORD.findall(lowered)
-        if self.telling.isdisjoint(words) and not any(self.word_class(w) in (INSULT, THREAT) for w in _MASKED.findall(lowered)):
+        if self.telling.isdisjoint(words) and not (self.starts and any(map(self.has_stem, words))) and not any(self.word_class(w) in (INSULT, THREAT) for w in _MASKED.findall(lowered)):
             return
         state, began = self.start, 0
         for m in re.finditer(r"[^\W_](?:[\w@$]|['’](?=[^\W_]))*|[.!?;\n]|\$[\w@$]+", lowered):
@@ -136,15 +155,20 @@ def counts_of(grammar: Grammar, text: str | None) -> list[int]:
 
 
 def features(counts: np.ndarray) -> np.ndarray:
-    """A match counts fully once, and more of its kind add a little."""
+    """A match counts fully once, and more of its kind add a little; of hints, the second and third count most."""
     counts = np.asarray(counts, float).reshape(-1, len(KINDS))
-    return np.column_stack([np.ones(len(counts)), np.minimum(counts, 1) + 0.1 * np.minimum(np.maximum(counts - 1, 0), MANY)])
+    own, hints = counts[:, :-1], counts[:, -1:]
+    return np.column_stack([np.ones(len(counts)), np.minimum(own, 1) + 0.1 * np.minimum(np.maximum(own - 1, 0), MANY), np.minimum(hints, 1), np.minimum(np.maximum(hints - 1, 0), 2) / 2])
 
 
 @dataclass(frozen=True)
 class Model:
     learned: tuple[str, ...] = ()
     weights: tuple[float, ...] = PRIOR
+    hints: tuple[str, ...] = ()
+
+    def grammar(self) -> Grammar:
+        return Grammar(self.learned, self.hints)
 
     def scores(self, counts: np.ndarray) -> np.ndarray:
         return 1 / (1 + np.exp(-features(counts) @ np.array(self.weights)))
@@ -183,19 +207,35 @@ def training_rows(documents: DataFrame, labels: DataFrame, *, id_col: str, text_
 def fit(documents: DataFrame, labels: DataFrame, *, id_col: str = "doc_id", text_col: str = "text", label_col: str = "toxic", fit_rows: int = FIT_ROWS) -> Model:
     rows = training_rows(documents, labels, id_col=id_col, text_col=text_col, label_col=label_col, fit_rows=fit_rows).persist()
     try:
-        n_toxic = rows.where("toxic = 1").count()
-        words = rows.select("toxic", F.explode(F.array_distinct(F.split("text", r"[^\p{L}]+"))).alias("word"))
-        seen = words.groupBy("word").agg(F.sum(F.when(F.col("toxic") == 1, 1).otherwise(0)).alias("bad"), F.count("*").alias("n"))
-        least = max(MIN_TEXTS, int(MIN_SHARE * n_toxic))
-        telling = seen.where((F.length("word") > 2) & (F.col("bad") >= least) & (F.col("bad") >= MIN_PRECISION * F.col("n")))
-        learned = tuple(sorted(r.word for r in telling.orderBy(F.desc("bad"), "word").limit(MAX_LEARNED).collect()))
-        counted = _counted(rows.select("toxic", "text"), Grammar(learned), "toxic")
+        n_bad, n_good = (rows.where(f"toxic = {k}").count() for k in (1, 0))
+        low, high = STEM_CHARS
+        words = F.filter(F.array_distinct(F.split("text", r"[^\p{L}]+")), lambda w: F.length(w) >= low)
+        stems = F.flatten(F.transform(F.filter(words, lambda w: F.length(w) > low), lambda w: F.transform(F.sequence(F.lit(low), F.least(F.lit(high), F.length(w) - 1)), lambda n: F.concat(F.substring(w, F.lit(1), n), F.lit("*")))))
+        each = rows.select("toxic", F.explode(F.array_union(words, stems)).alias("pattern"))
+        seen = each.groupBy("pattern").agg(F.sum(F.when(F.col("toxic") == 1, 1).otherwise(0)).alias("bad"), F.count("*").alias("n"))
+        odds = F.log((F.col("bad") + 0.5) / max(1, n_bad)) - F.log((F.col("n") - F.col("bad") + 0.5) / max(1, n_good))
+        telling = seen.where((F.col("bad") >= max(MIN_TEXTS, MIN_SHARE * n_bad)) & (F.col("bad") >= MIN_PRECISION * F.col("n")) & (odds > MIN_LOG_ODDS))
+        found = {r.pattern: (r.bad, r.n) for r in telling.orderBy(F.desc("bad"), "n", "pattern").limit(10 * MAX_LEARNED).collect()}
+        learned = tuple(p for p, (bad, n) in found.items() if not p.endswith("*") and bad >= max(2 * MIN_TEXTS, INSULT_SHARE * n_bad) and bad >= INSULT_PRECISION * n)
+        hints = _without_shorter({p: c for p, c in found.items() if p not in learned}, found)[:MAX_LEARNED]
+        counted = _counted(rows.select("toxic", "text"), Grammar(learned, hints), "toxic")
         table = counted.groupBy("toxic", *KINDS).agg(F.count("*").alias("n")).collect()  # at most fit_rows rows
     finally:
         rows.unpersist()
     if not table:
-        return Model(learned)
-    return Model(learned, fit_weights(np.array([[r[k] for k in KINDS] for r in table]), np.array([r.toxic for r in table]), np.array([r.n for r in table])))
+        return Model(learned, PRIOR, hints)
+    return Model(learned, fit_weights(np.array([[r[k] for k in KINDS] for r in table]), np.array([r.toxic for r in table]), np.array([r.n for r in table])), hints)
+
+
+def _without_shorter(patterns: dict[str, tuple[int, int]], every: dict[str, tuple[int, int]]) -> tuple[str, ...]:
+    """Patterns but for stems of which a longer pattern has most toxic texts and fewer others, or the same and no more."""
+
+    def better(stem: str, q: str) -> bool:
+        (bad, n), (other_bad, other_n) = every[f"{stem}*"], every[q]
+        rest, other_rest = n - bad, other_n - other_bad
+        return other_bad >= 0.7 * bad and (other_rest < rest or other_rest == rest and len(q) > len(stem) + 1)
+
+    return tuple(p for p in patterns if not p.endswith("*") or not any(q.startswith(p[:-1]) and q != p and better(p[:-1], q) for q in every))
 
 
 def _counted(rows: DataFrame, grammar: Grammar, keep: str) -> DataFrame:
@@ -212,7 +252,7 @@ def _counted(rows: DataFrame, grammar: Grammar, keep: str) -> DataFrame:
 def score(documents: DataFrame, model: Model, *, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
     """Per row: id, score, clauses (kind, start, end of every match, in code points of the lower-cased text)."""
     docs = id_and_text(documents, id_col, text_col)
-    grammar = Grammar(model.learned)
+    grammar = model.grammar()
     clause = pa.list_(pa.struct([("kind", pa.string()), ("start", pa.int64()), ("end", pa.int64())]))
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -233,7 +273,7 @@ def score(documents: DataFrame, model: Model, *, id_col: str = "doc_id", text_co
 
 def reject(documents: DataFrame, model: Model, *, text_col: str = "text", threshold: float = THRESHOLD) -> DataFrame:
     """The rows below the threshold, with all their columns."""
-    grammar = Grammar(model.learned)
+    grammar = model.grammar()
 
     @F.pandas_udf("double")
     def scored(texts: pd.Series) -> pd.Series:

@@ -21,7 +21,7 @@ def test_each_stage(spark, sf_dir):
         rows = {r.doc_id: r.text for r in before.collect()} if name != "packing" else {}
         if name == "toxicity":
             model = toxicity.fit(before, labels)
-            bad = {d for d, t in rows.items() if float(model.scores([toxicity.counts_of(toxicity.Grammar(model.learned), t)])[0]) >= 0.7}
+            bad = {d for d, t in rows.items() if float(model.scores([toxicity.counts_of(model.grammar(), t)])[0]) >= 0.7}
             assert bad and {r.doc_id for r in docs.collect()} == set(rows) - bad
         if name == "simhash":
             ids = list(rows)

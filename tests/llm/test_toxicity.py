@@ -31,6 +31,19 @@ def test_negated_and_reported_score_lower():
     assert one("you idiot") > one("what an idiot") > 0.7 > 0.3 > one("they said idiot") and one("not an idiot") < 0.3 and one("") < 0.1
 
 
+def test_hints_count_together():
+    grammar = toxicity.Grammar((), ("abcd*", "xyz"))
+    assert toxicity.counts_of(grammar, "abcde abcd XYZ. abc")[-1] == 2
+    model = toxicity.Model((), toxicity.PRIOR, ("abcd*",))
+    scores = [float(model.scores([toxicity.counts_of(model.grammar(), "abcdx " * n)])[0]) for n in range(4)]
+    assert scores == sorted(scores) and scores[1] < 0.3 and scores[3] > 0.7
+
+
+def test_stems_with_better_longer_ones_go():
+    every = {"lose*": (113, 133), "loser": (113, 113), "achl*": (44, 71), "achlx": (16, 16), "tras*": (94, 94), "trash": (94, 94)}
+    assert toxicity._without_shorter(every, every) == ("loser", "achl*", "achlx", "tras*", "trash")
+
+
 def test_held_out_accuracy(spark):
     folder = "/root/testdata/sf0.01"
     docs, labels = spark.read.parquet(f"{folder}/documents.parquet"), spark.read.parquet(f"{folder}/labels.parquet")
@@ -41,6 +54,7 @@ def test_held_out_accuracy(spark):
     test = [(r.toxic, got[r.doc_id].predicted) for r in labels.collect() if got[r.doc_id].held_out]
     assert sum(t == p for t, p in test) >= 0.93 * len(test)
     assert sum(t < p for t, p in test) <= 0.02 * len(test)
+    assert sum(t and p for t, p in test) >= 0.7 * sum(t for t, _ in test)
     kept = toxicity.reject(docs, model)
     assert kept.columns == docs.columns and kept.count() == sum(not r.predicted for r in got.values())
 
