@@ -1,0 +1,154 @@
+"""One document of each near-duplicate group: exact Jaccard of word shingles, found by MinHash bands.
+
+Documents link when the sets of their shingles of WORDS words (ASCII case folded) have a Jaccard
+similarity of at least LEAST; groups are what links connect.
+
+Texts of equal words collapse to one key (64 bits of XXH3). Each key has BANDS bands of ROWS
+minima of its shingles' hashes; keys with an equal band are candidates. Two sets with
+similarity s share no band with probability (1 - s^ROWS)^BANDS: 3e-6 at 0.8, less above. Every
+candidate is verified on the words themselves, so that no pair below LEAST links.
+
+Scale: first every key of a band is verified with the band's least key, which settles a tight
+group in as many pairs as it has keys; only then are pairs of a band verified that the links
+found so far do not connect. Texts are shuffled for candidates only.
+
+Defined results: a null text or one without words has no shingle, and equals any other such; a
+text of fewer words than a shingle has one shingle. Ids as in `simhash.keep_one_of_each`.
+"""
+
+from __future__ import annotations
+
+from collections.abc import Iterator
+
+import numpy as np
+import pandas as pd
+import pyarrow as pa
+import xxhash
+from pyspark.sql import DataFrame
+from pyspark.sql import Window as W
+from pyspark.sql import functions as F
+
+from geoweave.llm.common import fresh_name, id_and_text, saved
+from geoweave.llm.simhash import _LOWER, components
+
+WORDS = 5
+LEAST = 0.8
+ROWS = 4
+BANDS = 24
+_CHUNK = 1 << 12
+_RANDOM = np.random.default_rng(5)
+_FACTORS = _RANDOM.integers(0, 1 << 63, BANDS * ROWS, np.uint64) * np.uint64(2) + np.uint64(1)
+_SHIFTS = _RANDOM.integers(0, 1 << 63, BANDS * ROWS, np.uint64)
+
+
+def words_of(text: bytes | None) -> list[bytes]:
+    return text.translate(_LOWER).split() if text else []
+
+
+def key_of(words: list[bytes]) -> int:
+    """Signed 64 bits."""
+    found = xxhash.xxh3_64_intdigest(b" ".join(words))
+    return found - (1 << 64) if found >> 63 else found
+
+
+def shingles(words: list[bytes], size: int = WORDS) -> set[bytes]:
+    size = min(size, len(words))
+    return {b" ".join(words[i : i + size]) for i in range(len(words) - size + 1)} if words else set()
+
+
+def similarity(a: set[bytes], b: set[bytes]) -> float:
+    both = len(a & b)
+    return both / (len(a) + len(b) - both) if a or b else 1.0
+
+
+def bands(words: list[bytes], size: int = WORDS) -> np.ndarray:
+    """A signed long for each band; none without words."""
+    if not words:
+        return np.empty(0, np.int64)
+    digest = xxhash.xxh3_64_intdigest
+    each = np.array([digest(w) for w in words], np.uint64)
+    size = min(size, len(words))
+    mixed = np.zeros(len(words) - size + 1, np.uint64)
+    for i in range(size):
+        mixed = (mixed ^ each[i : i + len(mixed)]) * np.uint64(0x9E3779B97F4A7C15)
+        mixed ^= mixed >> np.uint64(29)
+    least = np.full(BANDS * ROWS, np.iinfo(np.uint64).max)
+    for at in range(0, len(mixed), _CHUNK):
+        hashes = mixed[at : at + _CHUNK, None] * _FACTORS + _SHIFTS
+        least = np.minimum(least, (hashes ^ hashes >> np.uint64(32)).min(axis=0))
+    rows = least.reshape(BANDS, ROWS)
+    return np.array([xxhash.xxh3_64_intdigest(r.tobytes(), n) for n, r in enumerate(rows)], np.uint64).view(np.int64)
+
+
+def marked(documents: DataFrame, *, id_col: str, text_col: str, words: int) -> DataFrame:
+    """Per row: id, key, bands."""
+    docs = id_and_text(documents, id_col, text_col)
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for b in batches:
+            texts = [words_of(x.as_py()) for x in b.column("text")]
+            found = pa.array([bands(t, words) for t in texts], pa.list_(pa.int64()))
+            yield pa.RecordBatch.from_arrays([b.column("id"), pa.array([key_of(t) for t in texts], pa.int64()), found], names=["id", "key", "bands"])
+
+    return docs.mapInArrow(run, f"id {dict(docs.dtypes)['id']}, key long, bands array<long>")
+
+
+def _verified(pairs: DataFrame, texts: DataFrame, words: int, least: float) -> DataFrame:
+    """The pairs (a, b) of keys whose texts are similar enough."""
+    with_texts = pairs.join(texts.select(F.col("key").alias("b"), F.col("text").alias("text_b")), "b").join(texts.select(F.col("key").alias("a"), F.col("text").alias("text_a")), "a")
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        last, held = None, set()
+        for batch in batches:
+            fits = []
+            for a, text_a, text_b in zip(batch.column("a").to_pylist(), batch.column("text_a").to_pylist(), batch.column("text_b").to_pylist(), strict=True):
+                if a != last:
+                    last, held = a, shingles(words_of(text_a), words)
+                fits.append(similarity(held, shingles(words_of(text_b), words)) >= least)
+            yield pa.RecordBatch.from_arrays([batch.column("a"), batch.column("b")], names=["a", "b"]).filter(pa.array(fits, pa.bool_()))
+
+    return with_texts.select("a", "b", "text_a", "text_b").mapInArrow(run, "a long, b long")
+
+
+def keep_one_of_each(documents: DataFrame, *, id_col: str = "doc_id", text_col: str = "text", words: int = WORDS, least: float = LEAST) -> DataFrame:
+    """One row of each group, with all its columns: that with the smallest id (null: last), then key, then text."""
+    own, mark = fresh_name(documents, "key"), fresh_name(documents, "times")
+    rows = saved(marked(documents, id_col=id_col, text_col=text_col, words=words), "bands")
+    first = F.struct(F.col("id").isNull().alias("last"), "id", "key")
+    counted = rows.groupBy("key", "id").agg(F.count("*").alias("times"), F.first("bands").alias("bands"))
+    unique = saved(counted.groupBy("key").agg(F.min(F.struct(first.alias("first"), "times")).alias("least"), F.first("bands").alias("bands")), "unique")
+
+    postings = unique.select("key", F.explode("bands").alias("band"))
+    leaders = postings.groupBy("band").agg(F.min("key").alias("a"), F.count("*").alias("n")).where("n > 1").select("band", "a")
+    shared = saved(postings.join(leaders, "band").select("band", "a", F.col("key").alias("b")), "shared")
+    stars = saved(shared.where("a <> b").select("a", "b").distinct(), "stars")
+
+    @F.pandas_udf("long")
+    def keys(texts: pd.Series) -> pd.Series:
+        return pd.Series([key_of(words_of(t.encode() if t is not None else None)) for t in texts], dtype="int64")
+
+    keyed = documents.withColumn(own, keys(F.col(text_col).cast("string")))
+    # Dealt by id and key: the copies of one text spread, as their ids differ.
+    named = lambda df: keyed.join(df, F.col(id_col).eqNullSafe(F.col("kept_id")) & (F.col(own) == F.col("kept_key")))
+    candidates = unique.join(shared.select(F.col("b").alias("key")).distinct(), "key").select(F.col("least.first.id").alias("kept_id"), F.col("key").alias("kept_key"))
+    texts = named(candidates).groupBy(F.col(own).alias("key")).agg(F.first(F.col(text_col).cast("string").cast("binary")).alias("text"))
+    texts = saved(texts, "candidates")
+    links = saved(_verified(stars, texts, words, least), "links")
+    roots = saved(components(links), "roots")
+    placed = shared.join(roots, shared["b"] == roots["node"], "left").select("band", "a", "b", F.coalesce("root", "b").alias("root"))
+    apart = placed.groupBy("band").agg(F.min("root").alias("low"), F.max("root").alias("high")).where("low < high").select("band")
+    apart = saved(placed.join(apart, "band").where("a <> b").select("band", "b", "root"), "apart")
+    rest = apart.alias("x").join(apart.alias("y"), "band").where("x.b < y.b AND x.root <> y.root").select(F.col("x.b").alias("a"), F.col("y.b").alias("b")).distinct()
+    rest = saved(rest.join(stars, ["a", "b"], "left_anti"), "rest")
+    more = saved(_verified(rest, texts, words, least), "links")
+    if not more.isEmpty():
+        roots = saved(components(links.union(more)), "roots")
+
+    chosen = unique.join(roots, unique["key"] == roots["node"], "left").groupBy(F.coalesce("root", "key").alias("root")).agg(F.min("least").alias("least"))
+    chosen = saved(chosen.select(F.col("least.first.id").alias("kept_id"), F.col("least.first.key").alias("kept_key"), F.col("least.times").alias(mark)), "kept")
+    kept = named(chosen)
+    if chosen.where(F.col(mark) > 1).isEmpty():
+        return kept.select(*documents.columns)
+    one = fresh_name(documents, "one")
+    repeated = kept.where(F.col(mark) > 1).withColumn(one, F.row_number().over(W.partitionBy(id_col, own).orderBy(text_col))).where(F.col(one) == 1)
+    return kept.where(F.col(mark) == 1).select(*documents.columns).unionByName(repeated.select(*documents.columns))
