@@ -8,7 +8,8 @@ counted per pair. Personalised PageRank spreads trust from the hosts of allowed
 links, and distrust from the hosts of blocked pages against them (who links to blocked hosts is
 suspect). Both start as distributions over their seeds; what reaches a host without links is
 lost, as it would only return to the seeds. A page without a rule is blocked if its host has
-more than MARGIN times as much distrust as trust and more than LEAST distrust.
+more than MARGIN times as much distrust as trust and more than LEAST of what one blocked page
+starts with, so that the bound does not move with the number of blocked pages.
 
 All steps are joins and grouped sums over hosts and host pairs, pre-aggregated before each
 shuffle; a hot host is one row of the ranks. Every few rounds the ranks become a table in the
@@ -96,7 +97,8 @@ def judge_urls(pages: DataFrame, *, id_col: str = "page_id", url_col: str = "url
     side = lambda kind: F.coalesce(F.sum(F.when(F.col("kind") == kind, F.col("rank"))), F.lit(0.0)).alias(kind)
     hosts = ranks.groupBy("host").agg(side("trust"), side("distrust"))
     found = ruled.join(hosts, "host", "left").withColumns({k: F.coalesce(k, F.lit(0.0)) for k in ("trust", "distrust")})
-    suspect = (F.col("distrust") > margin * F.col("trust")) & (F.col("distrust") > least)
+    blocked = ruled.where("ruled = 'block' AND host <> ''").count()
+    suspect = (F.col("distrust") > margin * F.col("trust")) & (F.col("distrust") * blocked > least)
     return found.select("id", "host", "path", "rule", F.coalesce("ruled", F.when(suspect, "block").otherwise("allow")).alias("verdict"), "trust", "distrust")
 
 

@@ -69,3 +69,13 @@ def test_edges(spark):
     assert judged(spark, []) == {}
     df = spark.createDataFrame([(1, None, None), (1, None, None), (None, "http://a.net/", "")], "page_id long, url string, html string")
     assert sorted(r.verdict for r in urlfilter.url_report(urlfilter.judge_urls(df)).collect()) == ["allow", "allow", "block"]
+
+
+def test_verdicts_do_not_depend_on_unrelated_blocked_pages(spark):
+    link = "<a href='http://%s/'>"
+    rows = [(1, "http://bad.net/", None), (2, "http://near.com/", link % "bad.net"), (3, "http://far.com/", link % "near.com"), (4, "http://clean.com/", None)]
+    pages = spark.createDataFrame(rows, "page_id long, url string, html string")
+    unrelated = spark.range(1_000_000).selectExpr("id + 10 AS page_id", "concat('http://', id % 1000, '.other.net/') AS url", "CAST(NULL AS string) AS html")
+    for given in (pages, pages.union(unrelated)):
+        got = {r.id: r.verdict for r in urlfilter.judge_urls(given).where("id < 10").collect()}
+        assert got == {1: "block", 2: "block", 3: "block", 4: "allow"}
