@@ -2,8 +2,8 @@
 
 Three kinds of spans are searched in a text: assignments of long values to telling names,
 access key ids, and long runs of hexadecimal digits. The text is the first layer of a worklist.
-From each layer, encoded fragments are unwrapped into new layers: tokens with URL escapes,
-tokens with Unicode escapes, base64 runs, and compressed bytes (gzip, zlib, bzip2, xz) found
+From each layer, encoded fragments are unwrapped into new layers: lines and tokens with URL
+escapes or Unicode escapes, base64 runs, and compressed bytes (gzip, zlib, bzip2, xz) found
 under base64. Every character of a layer knows the span of the original text it came from, so
 that findings in a layer map to spans of the text. The worklist runs to its fixpoint; a layer
 whose content has been seen over the same span is not entered again, which ends cycles.
@@ -43,7 +43,8 @@ _NAMES = ("password", "passwd", "secret", "token", "apikey", "api_key")
 _ASSIGN = re.compile(r"""(password|passwd|secret|token|api_?key)["']?\x20*[:=]\x20*["']?([A-Za-z0-9+/_.=-]+)""", re.IGNORECASE | re.ASCII)
 _ACCESS = re.compile(r"AKIA[A-Z0-9]+")
 _HEX = re.compile(r"[0-9a-f]{16,}")
-_TOKEN = re.compile(r"\S+")
+#: A finding may reach over spaces, but not over line ends.
+_PARTS = (re.compile(r"[^\n]+"), re.compile(r"\S+"))
 _URL_RUN = re.compile(r"(?:%[0-9A-Fa-f]{2})+")
 _ESCAPE_RUN = re.compile(r"(?:\\(?:u[0-9A-Fa-f]{4}|U[0-9A-Fa-f]{8}|x[0-9A-Fa-f]{2}))+")
 _ESCAPE = re.compile(r"\\(?:u([0-9A-Fa-f]{4})|U([0-9A-Fa-f]{8})|x([0-9A-Fa-f]{2}))")
@@ -184,7 +185,7 @@ def _children(layer: Layer, found: set[Span]) -> Iterator[Layer]:
     text, lo, hi = layer.content, layer.lo, layer.hi
     for sign, runs, decode in (("%", _URL_RUN, _url_run), ("\\", _ESCAPE_RUN, _escape_run)):
         if sign in text and runs.search(text):
-            for m in _TOKEN.finditer(text):
+            for m in (m for part in _PARTS for m in part.finditer(text)):
                 if sign in m.group() and runs.search(m.group()):
                     yield _unescaped(m.group(), lo[m.start() : m.end()], hi[m.start() : m.end()], runs, decode)
     for m in _BASE64.finditer(text):

@@ -91,3 +91,11 @@ def test_edges(spark):
     clean = {r.text for r in secrets.redact(df).collect()}
     assert clean == {None, "", "[redacted assign]"}
     assert secrets.scan_secrets(df.limit(0)).collect() == []
+
+
+@pytest.mark.parametrize("text", [r'{"password": "\u005ak39dkfLLw02mmQ"}', "password = %5Ak39dkfLLw02mmQ", "a\ntoken: ab%2Bcdefghijklmn b", "secret = abcdefghijkl%2Bmnopqr", r"secret = %61bcdefghijk\x2bmnopqr"])
+def test_plain_names_of_escaped_values(text):
+    start = min(text.index(n) for n in ("password", "token", "secret") if n in text)
+    end = start + len(text[start:].rstrip('b"} ').rstrip())
+    assert (start, 0, end) in secrets.all_spans(text)[1]
+    assert secrets.redacted_text(text) == text[:start] + "[redacted assign]" + text[end:]
