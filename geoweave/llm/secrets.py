@@ -4,7 +4,8 @@ Three kinds of spans are searched in a text: assignments of long values to telli
 access key ids, and long runs of hexadecimal digits. The text is the first layer of a worklist.
 From each layer, encoded fragments are unwrapped into new layers: lines and tokens with URL
 escapes or Unicode escapes, base64 runs, and compressed bytes (gzip, zlib, bzip2, xz) found
-under base64. Every character of a layer knows the span of the original text it came from, so
+under base64 (of all four phases, and over line ends; bytes that are no UTF-8 count as Latin-1).
+Every character of a layer knows the span of the original text it came from, so
 that findings in a layer map to spans of the text. The worklist runs to its fixpoint; a layer
 whose content has been seen over the same span is not entered again, which ends cycles.
 
@@ -49,6 +50,11 @@ _URL_RUN = re.compile(r"(?:%[0-9A-Fa-f]{2})+")
 _ESCAPE_RUN = re.compile(r"(?:\\(?:u[0-9A-Fa-f]{4}|U[0-9A-Fa-f]{8}|x[0-9A-Fa-f]{2}))+")
 _ESCAPE = re.compile(r"\\(?:u([0-9A-Fa-f]{4})|U([0-9A-Fa-f]{8})|x([0-9A-Fa-f]{2}))")
 _BASE64 = re.compile(r"[A-Za-z0-9+/_-]{%d,}={0,2}" % MIN_BASE64)
+#: Runs of which all lines but the last could be runs themselves.
+_WRAPPED = re.compile(r"(?<![A-Za-z0-9+/_-])(?:[A-Za-z0-9+/_-]{%d,}+\r?\n[\x20\t]*)+[A-Za-z0-9+/_-]+={0,2}" % MIN_BASE64)
+#: Bytes without any such run hold no finding and nothing to unwrap.
+_TELLING = re.compile(rb"[A-Za-z0-9+/_.=-]{12,}|%[0-9A-Fa-f]{2}|\\[uUx][0-9A-Fa-f]{2}")
+_MAGIC = re.compile(rb"\x1f\x8b|\x78|BZh|\xfd7zXZ\x00")
 
 Span = tuple[int, int, int]  # start, number of the kind, end
 
@@ -137,36 +143,33 @@ def _escape_run(run: str, lo: list[int], hi: list[int]) -> Layer:
     return Layer("".join(chars), los, his)
 
 
-def _base64_bytes(body: str) -> bytes | None:
-    """What a run without its padding holds, if that is text or compressed."""
-    if len(body) % 4 == 1:
-        return None
-    try:
-        raw = base64.b64decode(body.replace("-", "+").replace("_", "/") + "=" * (-len(body) % 4))
-    except ValueError:
-        return None
-    return raw if _maybe_text(raw) or _packed(raw) else None
+def _base64_bytes(body: str) -> bytes:
+    """What a run without its padding holds; a last character that is no whole byte goes."""
+    body = body[: len(body) - (len(body) % 4 == 1)]
+    return base64.b64decode(body.replace("-", "+").replace("_", "/") + "=" * (-len(body) % 4))
 
 
 def _unpacked(raw: bytes) -> bytes | None:
-    """What compressed bytes hold; None if they are not compressed. OverflowError: more than MAX_LAYER."""
-    if raw[:2] == b"\x1f\x8b":
-        unpack = zlib.decompressobj(31)
-    elif raw[:1] == b"\x78" and len(raw) > 2 and (raw[0] << 8 | raw[1]) % 31 == 0:
-        unpack = zlib.decompressobj()
-    elif raw[:3] == b"BZh":
-        unpack = bz2.BZ2Decompressor()
-    elif raw[:6] == b"\xfd7zXZ\x00":
-        unpack = lzma.LZMADecompressor()
-    else:
-        return None
-    try:
-        out = unpack.decompress(raw, MAX_LAYER + 1)
-    except (zlib.error, OSError, EOFError, ValueError, lzma.LZMAError):
-        return None
-    if len(out) > MAX_LAYER:
-        raise OverflowError
-    return out
+    """What compressed bytes hold, stream after stream, and the bytes after the last; None if they are not compressed.
+
+    OverflowError: more than MAX_LAYER.
+    """
+    out, rest = b"", raw
+    while _packed(rest):
+        if rest[:2] == b"\x1f\x8b":
+            unpack = zlib.decompressobj(31)
+        elif rest[:1] == b"\x78":
+            unpack = zlib.decompressobj()
+        else:
+            unpack = bz2.BZ2Decompressor() if rest[:3] == b"BZh" else lzma.LZMADecompressor()
+        try:
+            out += unpack.decompress(rest, MAX_LAYER + 1 - len(out))
+        except (zlib.error, OSError, EOFError, ValueError, lzma.LZMAError):
+            break
+        if len(out) > MAX_LAYER:
+            raise OverflowError
+        rest = unpack.unused_data.lstrip(b"\0") if unpack.eof else b""
+    return None if rest is raw else out + rest
 
 
 def _children(layer: Layer, found: set[Span]) -> Iterator[Layer]:
@@ -181,6 +184,8 @@ def _children(layer: Layer, found: set[Span]) -> Iterator[Layer]:
             yield Layer(inner, [whole[0]] * len(inner), [whole[1]] * len(inner))
         elif inner is None and (text := _as_text(layer.content, layer.lo, layer.hi, True)):
             yield text
+        elif inner is None and _TELLING.search(layer.content):
+            yield Layer(layer.content.decode("latin-1"), layer.lo, layer.hi)
         return
     text, lo, hi = layer.content, layer.lo, layer.hi
     for sign, runs, decode in (("%", _URL_RUN, _url_run), ("\\", _ESCAPE_RUN, _escape_run)):
@@ -188,16 +193,28 @@ def _children(layer: Layer, found: set[Span]) -> Iterator[Layer]:
             for m in (m for part in _PARTS for m in part.finditer(text)):
                 if sign in m.group() and runs.search(m.group()):
                     yield _unescaped(m.group(), lo[m.start() : m.end()], hi[m.start() : m.end()], runs, decode)
-    for m in _BASE64.finditer(text):
-        body = m.group().rstrip("=")
-        raw = _base64_bytes(body)
-        if raw is not None:
-            start, last = m.start(), len(body) - 1
-            yield Layer(raw, [lo[start + i * 4 // 3] for i in range(len(raw))], [hi[start + min(last, (i * 8 + 7) // 6)] for i in range(len(raw))])
+    for runs in (_BASE64, _WRAPPED):
+        for m in runs.finditer(text):
+            at = [i for i in range(m.start(), m.end()) if text[i] not in "\r\n\t ="]
+            body = "".join(text[i] for i in at)
+            for phase in range(4):  # what comes before the encoded bytes may be of any length
+                raw, first = _base64_bytes(body[phase:]), phase
+                starts = [0] if _maybe_text(raw) or _TELLING.search(raw) else []
+                for start in sorted({*starts, *(x.start() for x in _MAGIC.finditer(raw) if _opens(raw[x.start() :]))}):
+                    span = range(start, len(raw))
+                    yield Layer(raw[start:], [lo[at[first + i * 4 // 3]] for i in span], [hi[at[min(len(at) - 1, first + (i * 8 + 7) // 6)]] for i in span])
 
 
 def _packed(raw: bytes) -> bool:
-    return raw[:2] == b"\x1f\x8b" or raw[:1] == b"\x78" or raw[:3] == b"BZh" or raw[:6] == b"\xfd7zXZ\x00"
+    return raw[:2] == b"\x1f\x8b" or raw[:1] == b"\x78" and len(raw) > 2 and (raw[0] << 8 | raw[1]) % 31 == 0 or raw[:3] == b"BZh" or raw[:6] == b"\xfd7zXZ\x00"
+
+
+def _opens(raw: bytes) -> bool:
+    """Whether a compressed stream begins here."""
+    try:
+        return bool(_unpacked(raw))
+    except OverflowError:
+        return True
 
 
 def _maybe_text(raw: bytes) -> bool:

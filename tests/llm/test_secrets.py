@@ -1,8 +1,10 @@
 """Secret scans: base spans against the stated patterns, layers against planted encodings."""
 
 import base64
+import bz2
 import gzip
 import hashlib
+import lzma
 import re
 import zlib
 from urllib.parse import quote
@@ -99,3 +101,34 @@ def test_plain_names_of_escaped_values(text):
     end = start + len(text[start:].rstrip('b"} ').rstrip())
     assert (start, 0, end) in secrets.all_spans(text)[1]
     assert secrets.redacted_text(text) == text[:start] + "[redacted assign]" + text[end:]
+
+
+NOISE = " ".join(hashlib.sha256(bytes([i])).hexdigest()[:15] for i in range(40))
+
+
+def wrapped(blob, width):
+    return "\n".join(blob[i : i + width] for i in range(0, len(blob), width))
+
+
+@pytest.mark.parametrize(
+    "fragment",
+    [
+        *(f"https://h.example/{'cbde'[:n]}/{packed(SECRET.encode())}" for n in range(1, 5)),
+        *(f"https://h.example/{'cbde'[:n]}_{packed(gzip.compress(SECRET.encode()))}" for n in range(1, 5)),
+        packed(SECRET.encode()).rstrip("=") + "/",
+        wrapped(packed(gzip.compress(f"{NOISE} {SECRET} {NOISE}".encode())), 76),
+        wrapped(packed(b"x" * 40 + b" " + SECRET.encode() + b" yy"), 64),
+        *(packed(pack(b"first") + pack(b"second") + pack(SECRET.encode())) for pack in (gzip.compress, bz2.compress, lzma.compress)),
+        packed(b"\xe9t\xe9 " + SECRET.encode()),
+        packed(b"\x00\x01\x02\x03\x04\x05 " + SECRET.encode()),
+    ],
+)
+def test_whole_base64(fragment):
+    text = f"lead {fragment} tail"
+    found = [s for s in secrets.all_spans(text)[1] if s[1] == 0]
+    assert found and all(5 <= s < e <= 5 + len(fragment) for s, _, e in found)
+
+
+def test_late_bombs_are_opaque(monkeypatch):
+    monkeypatch.setattr(secrets, "MAX_LAYER", 1000)
+    assert 3 in {k for _, k, _ in secrets.all_spans(packed(gzip.compress(b"small") + gzip.compress(b"0" * 100_000)))[1]}
