@@ -10,6 +10,7 @@ import re
 import unicodedata
 from urllib.parse import unquote
 
+import numpy as np
 import pandas as pd
 from pyspark.sql import Column
 from pyspark.sql import functions as F
@@ -96,23 +97,33 @@ def lossless_segments(text: Column) -> Column:
     return F.when(F.contains(text, F.lit("\u001e")), F.array(text)).otherwise(cut)
 
 
-def offset_text(value: str) -> tuple[str, list[int]]:
-    """Character-wise normalised text, and for each of its characters the index in the value. A separator stands for the last of its run."""
-    chars: list[str] = []
-    offsets: list[int] = []
-    gap = -1
-    for i, c in enumerate(value):
-        for folded in unicodedata.normalize("NFKC", c).casefold():
-            if not folded.isalnum():
-                gap = i
-            else:
-                if chars and gap >= 0:
-                    chars.append(" ")
-                    offsets.append(gap)
-                chars.append(folded)
-                offsets.append(i)
-                gap = -1
-    return "".join(chars), offsets
+class _Folds(dict):
+    """Code point -> what it counts as, character by character: its folded letters and digits, a space for any other."""
+
+    def __missing__(self, code: int) -> str:
+        folded = unicodedata.normalize("NFKC", chr(code)).casefold()
+        self[code] = out = "".join(c if c.isalnum() else " " for c in folded)
+        return out
+
+
+_FOLDS = _Folds()
+_WORD = re.compile("[^ ]+")
+
+
+def placed_words(text: str) -> tuple[list[str], list[int], list[int]]:
+    """The words of a text whose characters are folded one by one, and where each begins and ends in the text itself.
+
+    Texts in which no character becomes several are translated as a whole, and positions stay; for
+    others the sizes of the folded characters lead back to the text.
+    """
+    folded = text.translate(_FOLDS)
+    found = list(_WORD.finditer(folded))
+    words, first, last = [m[0] for m in found], [m.start() for m in found], [m.end() for m in found]
+    if len(folded) != len(text):
+        ends = np.cumsum([len(_FOLDS[ord(c)]) for c in text])
+        first = np.searchsorted(ends, first, "right").tolist()
+        last = (np.searchsorted(ends, np.array(last, np.int64) - 1, "right") + 1).tolist()
+    return words, first, last
 
 
 _TERMINAL = re.compile(r"[.!?]+(?=\s|$)")

@@ -86,12 +86,16 @@ def centroid_json(point: Column) -> Column:
     return F.when(point.isNull(), F.lit("")).otherwise(F.to_json(F.struct(point["lat"].alias("lat"), point["lon"].alias("lon"))))
 
 
-def keep_first(evidence: DataFrame, order: list[str]) -> DataFrame:
-    """The first row, in the given order, for each area and document; documents are told apart by id, or without one by URL and text."""
+def document_identity() -> Column:
+    """What documents are told apart by: the id, or without one the URL and the text."""
     by_id = F.coalesce("document_id", F.lit("")) != ""
-    identity = F.when(by_id, F.struct(F.lit("id").alias("kind"), F.col("document_id").alias("a"), F.lit("").alias("b"))).otherwise(F.struct(F.lit("url-text").alias("kind"), F.coalesce("url", F.lit("")).alias("a"), F.sha2(F.coalesce("text", F.lit("")), 256).alias("b")))
-    rank = F.row_number().over(W.partitionBy("polygon_id", "_identity").orderBy(*order))
-    return evidence.withColumn("_identity", identity).withColumn("_rank", rank).where("_rank = 1").drop("_identity", "_rank")
+    by_content = F.struct(F.lit("url-text").alias("kind"), F.coalesce("url", F.lit("")).alias("a"), F.sha2(F.coalesce("text", F.lit("")), 256).alias("b"))
+    return F.when(by_id, F.struct(F.lit("id").alias("kind"), F.col("document_id").alias("a"), F.lit("").alias("b"))).otherwise(by_content)
+
+
+def first_of(rows: DataFrame, group: list[str], order: list[str]) -> DataFrame:
+    """The first row of each group in the given order."""
+    return rows.withColumn("_rank", F.row_number().over(W.partitionBy(*group).orderBy(*order))).where("_rank = 1").drop("_rank")
 
 
 def normal_name(name: str) -> str:

@@ -2,13 +2,14 @@
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame
-from pyspark.sql import Window as W
+from collections.abc import Mapping
+
+from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from geoweave.functions.text import exact_text, has_marker, normalized
 from geoweave.operators.gazetteer import candidate_names, centroid_json, document_key, tags_json
-from geoweave.operators.matching import collected_names, offset_mentions
+from geoweave.operators.matching import sentence_mentions
 
 BASE = ["polygon_id", "polygon_name", "matched_alias", "area_tags", "centroid", "url", "sentence", "context"]
 #: Points of each sign of evidence, in the order of the reasons.
@@ -20,64 +21,66 @@ def _areas(areas: DataFrame) -> DataFrame:
     return areas.select("polygon_id", "source_key", F.coalesce("name", F.lit("")).alias("polygon_name"), tags_json(F.col("tags")).alias("area_tags"), centroid_json(point).alias("centroid"))
 
 
-def _found(documents: DataFrame, names: DataFrame, gate: bool) -> DataFrame:
-    """The document's key, url, normalized_name and the mention's columns; documents without a mention end here."""
+def _found(documents: DataFrame, candidates: DataFrame, *, gate: bool = False, countries: Mapping[str, str] | None = None) -> DataFrame:
+    """A row for each mention: the document's key, url, normal_url, normalized_name, start, end, and what is known of its sentence."""
     key = document_key(documents)
-    search = offset_mentions(documents.sparkSession, collected_names(names, "normalized_name"), gate=gate)
-    rows = documents.select(*key, F.coalesce("url", F.lit("")).alias("url"), F.explode(search(F.coalesce("text", F.lit("")))).alias("m"))
-    return rows.select(*key, "url", F.col("m.name").alias("normalized_name"), "m.start", "m.end", "m.sentence_index", "m.sentence", "m.context")
+    docs = documents.select(*key, F.coalesce("url", F.lit("")).alias("url"), F.coalesce("text", F.lit("")).alias("text"))
+    docs = docs.withColumn("normal", normalized(F.col("text"))) if gate else docs.withColumn("normal_url", normalized(F.col("url"), decode_url=True))
+    keep = ["url"] if gate else ["url", "normal_url"]
+    rows = sentence_mentions(docs, candidates, key=key, keep=keep, markers=sorted({exact_text(c) for c in countries.values()} - {""}) if countries else (), gate=gate)
+    rows = rows.withColumn("m", F.explode(F.arrays_zip("names", "starts", "ends")))
+    return rows.select(*key, *keep, F.col("m.names").alias("normalized_name"), F.col("m.starts").alias("start"), F.col("m.ends").alias("end"), "sentence_index", "sentence", "context", "inside", "around", "near", "reach")
 
 
 def mentions(documents: DataFrame, areas: DataFrame) -> DataFrame:
     """Version 1: all names, also countries and single letters."""
     candidates = candidate_names(areas)
-    rows = _found(documents, candidates, True).join(candidates, "normalized_name").join(_areas(areas), ["polygon_id", "source_key"])
+    rows = _found(documents, candidates, gate=True).join(candidates, "normalized_name").join(_areas(areas), ["polygon_id", "source_key"])
     return rows.withColumnRenamed("alias", "matched_alias").select("source_key", *document_key(rows), "start", "end", *BASE)
 
 
-def classed_mentions(documents: DataFrame, areas: DataFrame, inventory: DataFrame) -> DataFrame:
-    """Version 2: names that are not discarded, with their class, number of areas and document frequency."""
+def _classed(documents: DataFrame, areas: DataFrame, inventory: DataFrame, countries: Mapping[str, str] | None) -> DataFrame:
+    """Mentions of the names that are not discarded, one row an area and spelling. own_names: all such names of the area."""
     names = inventory.where("decision <> 'discard'").select("normalized_name", F.explode("candidates").alias("c"), "decision", "polygon_count", "document_frequency")
     names = names.select("normalized_name", F.col("c.alias").alias("matched_alias"), "c.polygon_id", "c.source_key", "decision", "polygon_count", "document_frequency")
-    rows = _found(documents, names, False).join(names, "normalized_name").join(_areas(areas), ["polygon_id", "source_key"])
-    kind = F.when(F.col("decision") == "generic", "generic_name").otherwise("distinctive_name")
-    return rows.select("source_key", *document_key(rows), "start", "end", "normalized_name", "sentence_index", *BASE, kind.alias("name_match_class"), "polygon_count", "document_frequency")
+    own = names.groupBy("polygon_id").agg(F.collect_set("normalized_name").alias("own_names"))
+    named = names.join(own, "polygon_id").join(_areas(areas), ["polygon_id", "source_key"])
+    kind = F.when(F.col("decision") == "generic", "generic_name").otherwise("distinctive_name").alias("name_match_class")
+    return _found(documents, names, countries=countries).join(named.withColumn("name_match_class", kind), "normalized_name")
 
 
-def _others(value: str, *keys: str) -> Column:
-    """Whether a mention with the same keys, at most one sentence away, has another value."""
-    near = W.partitionBy(*keys).orderBy("sentence_index").rangeBetween(-1, 1)
-    return (F.min(value).over(near) != F.col(value)) | (F.max(value).over(near) != F.col(value))
+def classed_mentions(documents: DataFrame, areas: DataFrame, inventory: DataFrame) -> DataFrame:
+    """Version 2: names that are not discarded, with their class, number of areas and document frequency."""
+    rows = _classed(documents, areas, inventory, None)
+    return rows.select("source_key", *document_key(rows), "start", "end", "normalized_name", "sentence_index", *BASE, "name_match_class", "polygon_count", "document_frequency")
 
 
-def scored_mentions(documents: DataFrame, areas: DataFrame, inventory: DataFrame, countries: dict[str, str]) -> DataFrame:
+def scored_mentions(documents: DataFrame, areas: DataFrame, inventory: DataFrame, countries: Mapping[str, str]) -> DataFrame:
     """Version 3: every mention of version 2 with signs of evidence, their score, and a tier.
 
-    The context of a mention is its sentence and one on each side, so that what is nearby is a
-    range of sentence numbers: window sums over a document's mentions, no join of pairs.
+    Nearby is what the sentence of a mention and one on each side hold. That is worked out once a
+    sentence, as the names and, for each source, the least and largest area; a mention compares itself
+    with these, so that neither pairs of mentions nor a shuffle of sentences arise.
     """
-    rows = classed_mentions(documents, areas, inventory)
-    key = document_key(rows)
-    named = rows.sparkSession.createDataFrame([(k, exact_text(v)) for k, v in countries.items()], "source_key string, _country string")
-    rows = rows.join(F.broadcast(named), "source_key")  # one row a source
-    marked = lambda c, decode=True: normalized(F.col(c), decode_url=decode)
-    rows = rows.withColumns({"_url": marked("url"), "_sentence": marked("sentence"), "_context": marked("context")})
-    in_sentence = has_marker(F.col("_sentence"), F.col("_country"))
+    country = F.create_map(*(F.lit(x) for k, v in countries.items() for x in (k, exact_text(v))))
+    rows = _classed(documents, areas, inventory, countries).where(F.col("source_key").isin(*countries)).withColumn("_country", country[F.col("source_key")])
+    reached = F.filter("reach", lambda r: r["source_key"] == F.col("source_key"))[0]
+    others = F.array_remove(F.array_intersect("near", "own_names"), F.col("normalized_name"))
     rows = rows.withColumns(
         {
             "distinctive_name": F.col("name_match_class") == "distinctive_name",
-            "name_in_url": has_marker(F.col("_url"), F.col("normalized_name")),
-            "country_in_sentence": in_sentence,
-            "country_in_context": ~in_sentence & has_marker(F.col("_context"), F.col("_country")),
-            "same_polygon_alias_nearby": _others("normalized_name", *key, "polygon_id"),
-            "other_polygon_name_nearby": _others("polygon_id", *key, "source_key"),
+            "name_in_url": has_marker(F.col("normal_url"), F.col("normalized_name")),
+            "country_in_sentence": F.array_contains("inside", F.col("_country")),
+            "country_in_context": ~F.array_contains("inside", F.col("_country")) & F.array_contains("around", F.col("_country")),
+            "same_polygon_alias_nearby": (F.size("own_names") > 1) & (F.size(others) > 0),
+            "other_polygon_name_nearby": (reached["low"] != F.col("polygon_id")) | (reached["high"] != F.col("polygon_id")),
         }
     )
     score = sum((F.when(F.col(name), F.lit(points)).otherwise(F.lit(0)) for name, points in POINTS), F.lit(0)).cast("long")
     reasons = F.concat_ws("|", *(F.when(F.col(name), F.lit(name)) for name, _ in POINTS))
     tier = F.when(F.col("evidence_score") >= 4, "high_confidence").when(F.col("evidence_score") >= 2, "possible").otherwise("rejected")
     rows = rows.withColumns({"evidence_score": score, "evidence_reasons": reasons}).withColumn("decision_tier", tier)
-    return rows.select("source_key", *key, "start", "end", *BASE, "name_match_class", "polygon_count", "document_frequency", "decision_tier", "evidence_score", "evidence_reasons", "name_in_url", "country_in_sentence", "country_in_context", "same_polygon_alias_nearby", "other_polygon_name_nearby")
+    return rows.select("source_key", *document_key(rows), "start", "end", *BASE, "name_match_class", "polygon_count", "document_frequency", "decision_tier", "evidence_score", "evidence_reasons", "name_in_url", "country_in_sentence", "country_in_context", "same_polygon_alias_nearby", "other_polygon_name_nearby")
 
 
 def source_summary(found: DataFrame, areas: DataFrame) -> DataFrame:

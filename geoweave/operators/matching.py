@@ -1,117 +1,247 @@
 """Name matching: which normalised names occur in which texts, and where.
 
 A normalised name occurs in a normalised text where its words are consecutive words of the text.
-Two strategies with equal results:
+Names are searched in one of two ways, with equal results:
 
-- `mention_spans`: a narrow pass; each text looks up its words and word runs in a table by first
-  word that is broadcast. The broadcast is checked: more than MAX_NAMES names are an error that
-  asks for `ngram_mentions`.
-- `ngram_mentions`: an equi-join of word n-grams with the names, for gazetteers of any size.
+- up to MAX_NAMES names are broadcast as a table by first word, and texts look their words up in a
+  narrow pass;
+- more names meet the texts in an equi-join of word n-grams (`ngram_mentions`); what each text has
+  comes back to it as an array, from which the same passes go on.
 
-`offset_mentions` finds names in the original text, with offsets in it and the sentence of each.
+`name_spans` and `with_names` work on normalised texts. `sentence_mentions` finds names in the
+original text, with offsets in it, by sentence.
 """
 
 from __future__ import annotations
 
+from bisect import bisect_right
 from collections import defaultdict
-from collections.abc import Callable, Iterable, Iterator
+from collections.abc import Callable, Iterable, Iterator, Sequence
 
 import pandas as pd
+import pyarrow as pa
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql.types import StringType
 
-from geoweave.functions.text import exact_text, offset_text, sentence_bounds
+from geoweave.functions.text import exact_text, placed_words, sentence_bounds
 
 #: About 200 bytes each in a broadcast and in each Python worker.
 MAX_NAMES = 1_000_000
+#: Sentences that a task holds before it gives them on, but for those of one text.
+ROWS_OUT = 4096
 
 SPANS = "array<struct<name:string,start:int,end:int>>"
-MENTIONS = "array<struct<name:string,start:int,end:int,sentence_index:int,sentence:string,context:string>>"
 
-Index = dict[str, list[tuple[int, str]]]
+#: First word -> (words of a name, name) of the names that begin with it, shorter ones first.
+Index = dict[str, list[tuple[list[str], str]]]
 
 
 def name_index(names: Iterable[str]) -> Index:
-    """First word -> (number of words, name) of the names that begin with it."""
     out: Index = defaultdict(list)
-    for name in names:
-        if name:
-            words = name.split(" ")
-            out[words[0]].append((len(words), name))
+    for words, name in sorted((n.split(" "), n) for n in set(names) if n):
+        out[words[0]].append((words, name))
     return dict(out)
 
 
-def occurrences(text: str, index: Index) -> Iterator[tuple[int, int, str]]:
-    """(start, end, name) of all names in a normalised text."""
-    words = text.split(" ")
-    if index.keys().isdisjoint(words):
-        return
-    at = 0
+def occurrences(words: Sequence[str], index: Index) -> Iterator[tuple[int, int, str]]:
+    """(first word, number of words, name) of all names, from left to right."""
     for i, word in enumerate(words):
-        for k, name in index.get(word, ()):
-            if k == 1 or " ".join(words[i : i + k]) == name:
-                yield at, at + len(name), name
-        at += len(word) + 1
+        for own, name in index.get(word, ()):
+            if words[i : i + len(own)] == own:
+                yield i, len(own), name
+
+
+def names_of(text: str | None, index: Index) -> list[str]:
+    """The different names in a normalised text, in the order of their first occurrence."""
+    return list(dict.fromkeys(name for _, _, name in occurrences(text.split(" "), index))) if text else []
+
+
+def spans_of(text: str, index: Index) -> list[tuple[int, int, str]]:
+    """(start, end, name) of all names in a normalised text, in its characters."""
+    words, out, word, at = text.split(" "), [], 0, 0
+    for i, _, name in occurrences(words, index):
+        at += sum(len(w) + 1 for w in words[word:i])
+        word = i
+        out.append((at, at + len(name), name))
+    return out
 
 
-def collected_names(names: DataFrame, column: str = "name") -> list[str]:
-    """Different names, behind the check that they may be broadcast."""
-    found = names.select(F.col(column).alias("name")).where("name <> ''").distinct()
-    rows = found.limit(MAX_NAMES + 1).collect()
-    if len(rows) > MAX_NAMES:
-        raise ValueError(f"more than {MAX_NAMES} names: use ngram_mentions")
-    return [r.name for r in rows]
+def broadcast_names(names: DataFrame, column: str = "name") -> list[str] | None:
+    """Different names, or None if they are too many for a broadcast."""
+    found = names.select(F.col(column).alias("name")).where("name <> ''").distinct().limit(MAX_NAMES + 1).collect()
+    return [r.name for r in found] if len(found) <= MAX_NAMES else None
 
 
-def mention_spans(spark: SparkSession, names: Iterable[str]) -> Callable[[Column], Column]:
+def name_spans(spark: SparkSession, names: Iterable[str]) -> Callable[[Column], Column]:
     """A function of a normalised text column: array of (name, start, end)."""
     shared = spark.sparkContext.broadcast(name_index(names))
 
     @F.pandas_udf(SPANS)
     def spans(texts: pd.Series) -> pd.Series:
-        return texts.map(lambda t: [{"name": n, "start": s, "end": e} for s, e, n in occurrences(t or "", shared.value)])
+        return texts.map(lambda t: [{"name": n, "start": s, "end": e} for s, e, n in spans_of(t or "", shared.value)])
 
     return spans
 
 
+def names_in(spark: SparkSession, names: Iterable[str]) -> Callable[[Column], Column]:
+    """A function of a normalised text column: the different names in it, by first occurrence."""
+    shared = spark.sparkContext.broadcast(name_index(names))
+
+    @F.pandas_udf("array<string>")
+    def found(texts: pd.Series) -> pd.Series:
+        return texts.map(lambda t: names_of(t, shared.value))
+
+    return found
+
+
 def _word_runs(words: Column, k: int) -> Column:
     return F.transform(F.sequence(F.lit(1), F.size(words) - k + 1), lambda i: F.array_join(F.slice(words, i, F.lit(k)), " "))
 
 
-def ngram_mentions(texts: DataFrame, names: DataFrame, *, key: str, text_col: str, sizes: Iterable[int]) -> DataFrame:
-    """key, name, position (in words): n-grams of the given sizes joined with the names. Spark broadcasts the names if they are small."""
+def ngram_mentions(texts: DataFrame, names: DataFrame, *, key: str | Sequence[str], text_col: str, sizes: Iterable[int] | None = None, column: str = "name") -> DataFrame:
+    """key, name, position (in words): word n-grams joined with the names, of any number. sizes: of the names in words, read from them if not given."""
+    keys = [key] if isinstance(key, str) else list(key)
+    wanted = names.select(F.col(column).alias("name")).where("name <> ''").distinct()
+    if sizes is None:
+        sizes = [r.k for r in wanted.select(F.size(F.split("name", " ")).alias("k")).distinct().collect()]  # a few numbers
     words, grams = F.split(text_col, " "), None
     for k in sorted(set(sizes)):
         rows = texts if k == 1 else texts.where(F.size(words) >= k)
-        part = rows.select(key, F.posexplode(words if k == 1 else _word_runs(words, k)).alias("position", "name"))
+        part = rows.select(*keys, F.posexplode(words if k == 1 else _word_runs(words, k)).alias("position", "name"))
         grams = part if grams is None else grams.unionByName(part)
-    return grams.join(names.select("name").where("name <> ''").distinct(), "name").select(key, "name", "position")
+    if grams is None:
+        grams = texts.select(*keys, F.lit(0).alias("position"), F.lit("").alias("name"))
+    return grams.join(wanted, "name").select(*keys, "name", "position")
+
+
+def name_pairs(texts: DataFrame, names: DataFrame, *, key: Sequence[str], text_col: str, column: str) -> DataFrame:
+    """key and name, once for each text and name in it."""
+    few = broadcast_names(names, column)
+    if few is not None:
+        return texts.select(*key, F.explode(names_in(texts.sparkSession, few)(F.col(text_col))).alias("name"))
+    return ngram_mentions(texts, names, key=key, text_col=text_col, column=column).select(*key, "name").distinct()
+
+
+def with_names(texts: DataFrame, names: DataFrame, *, key: Sequence[str], text_cols: dict[str, str], column: str) -> DataFrame:
+    """Adds, for each new column -> text column, the different names in it as an array<string>."""
+    few = broadcast_names(names, column)
+    if few is not None:
+        search = names_in(texts.sparkSession, few)
+        return texts.withColumns({new: search(F.col(c)) for new, c in text_cols.items()})
+    out = texts
+    for new, c in text_cols.items():
+        found = ngram_mentions(texts, names, key=key, text_col=c, column=column)
+        first = found.groupBy(*key, "name").agg(F.min("position").alias("at"))
+        listed = first.groupBy(*key).agg(F.transform(F.array_sort(F.collect_list(F.struct("at", "name"))), lambda x: x["name"]).alias(new))
+        out = out.join(listed, list(key), "left").withColumn(new, F.coalesce(new, F.array().cast("array<string>")))
+    return out
 
 
-def offset_occurrences(text: str, index: Index, gate: bool) -> list[dict]:
-    """Names with offsets in the original text. gate: only texts whose plain normalisation holds a name at all."""
-    if gate and next(occurrences(exact_text(text), index), None) is None:
-        return []
-    normal, offsets = offset_text(text)
-    found = [(offsets[s], offsets[e - 1] + 1, n) for s, e, n in occurrences(normal, index)]
-    if not found:
-        return []
-    bounds = sentence_bounds(text)
-    out, i = [], 0
-    for start, end, name in sorted(found):
-        while bounds[i][1] <= start:
-            i += 1
-        first, last = bounds[max(0, i - 1)][0], bounds[min(len(bounds) - 1, i + 1)][1]
-        out.append({"name": name, "start": start, "end": end, "sentence_index": i, "sentence": text[slice(*bounds[i])].strip(), "context": text[first:last].strip()})
-    return out
+# ---------------------------------------------------------------- in original texts
 
+_MENTIONS = [("sentence_index", "int"), ("sentence", "string"), ("context", "string"), ("inside", "array<string>"), ("around", "array<string>"), ("near", "array<string>"), ("reach", "array<struct<source_key:string,low:string,high:string>>"), ("names", "array<string>"), ("starts", "array<int>"), ("ends", "array<int>")]
+_REACH = pa.list_(pa.struct([("source_key", pa.string()), ("low", pa.string()), ("high", pa.string())]))
+_ARROW = [pa.int32(), pa.string(), pa.string(), *[pa.list_(pa.string())] * 3, _REACH, pa.list_(pa.string()), *[pa.list_(pa.int32())] * 2]
 
-def offset_mentions(spark: SparkSession, names: Iterable[str], *, gate: bool = False) -> Callable[[Column], Column]:
-    """A function of an original text column: array of mentions with their sentence, and it with one neighbour on each side."""
-    shared = spark.sparkContext.broadcast(name_index(names))
+Reach = dict[str, list[tuple[str, str, str]]]
+
+
+def _united(reach: Reach, names: Iterable[str]) -> list[dict[str, str]]:
+    """Over some names, the least and largest area of each source."""
+    found: dict[str, tuple[str, str]] = {}
+    for name in names:
+        for source, low, high in reach[name]:
+            a, b = found.get(source, (low, high))
+            found[source] = min(a, low), max(b, high)
+    return [{"source_key": s, "low": a, "high": b} for s, (a, b) in found.items()]
+
+
+def mentions_by_sentence(text: str, index: Index, reach: Reach | None = None, markers: Sequence[str] = ()) -> list[tuple]:
+    """Rows of _MENTIONS, one for each sentence with a mention.
+
+    inside, around: the markers in the sentence, and in it with one neighbour on each side.
+    near, reach: the names in these sentences, and over them the least and largest area of each source.
+    """
+    words, first, last = placed_words(text)
+    bounds = sentence_bounds(text)
+    starts = [a for a, _ in bounds]
+    by_sentence: dict[int, list[tuple[int, int, str]]] = defaultdict(list)
+    for i, k, name in occurrences(words, index):
+        by_sentence[bisect_right(starts, first[i]) - 1].append((first[i], last[i + k - 1], name))
+    told = {i: {name for _, _, name in found} for i, found in by_sentence.items()}
+    out = []
+    for i, found in sorted(by_sentence.items()):
+        around = text[starts[max(0, i - 1)] : bounds[min(len(bounds) - 1, i + 1)][1]].strip()
+        sentence = text[slice(*bounds[i])].strip()
+        near = sorted(set().union(*(told.get(j, ()) for j in (i - 1, i, i + 1))))
+        marks = [[m for m in markers if f" {m} " in f" {normal} "] for normal in ((exact_text(x, True) for x in (sentence, around)) if markers else ("", ""))]
+        out.append((i, sentence, around, *marks, near, _united(reach, near) if reach is not None else [], [n for _, _, n in found], [s for s, _, _ in found], [e for _, e, _ in found]))
+    return out
 
-    @F.pandas_udf(MENTIONS)
-    def mentions(texts: pd.Series) -> pd.Series:
-        return texts.map(lambda t: offset_occurrences(t or "", shared.value, gate))
 
-    return mentions
+def _areas_reached(candidates: DataFrame) -> DataFrame:
+    """normalized_name, reach: the least and largest area of each source that has the name."""
+    each = candidates.groupBy("normalized_name", "source_key").agg(F.min("polygon_id").alias("low"), F.max("polygon_id").alias("high"))
+    return each.groupBy("normalized_name").agg(F.collect_list(F.struct("source_key", "low", "high")).alias("reach"))
+
+
+@F.pandas_udf(StringType())
+def _folded_one_by_one(texts: pd.Series) -> pd.Series:
+    return texts.map(lambda t: " ".join(placed_words(t)[0]))
+
+
+def sentence_mentions(documents: DataFrame, candidates: DataFrame, *, key: Sequence[str], keep: Sequence[str] = (), markers: Sequence[str] = (), gate: bool = False) -> DataFrame:
+    """documents: key, keep and text. candidates: normalized_name, polygon_id, source_key.
+
+    One row for each sentence with a mention: key, keep and the columns of _MENTIONS. Narrow, unless the names are too many to broadcast.
+    gate: only texts whose plain normalisation (column normal) holds a name at all.
+    """
+    docs = documents.select(*key, *keep, "text", *(["normal"] if gate else []))
+    table = _areas_reached(candidates.where("normalized_name <> ''"))
+    rows = table.limit(MAX_NAMES + 1).collect()
+    few = len(rows) <= MAX_NAMES
+    own: list[str] = []
+    shared = None
+    if few:
+        reach = {r.normalized_name: [tuple(x) for x in r.reach] for r in rows}
+        shared = docs.sparkSession.sparkContext.broadcast((name_index(reach), reach))
+    else:
+        if gate:
+            held = ngram_mentions(docs, table, key=key, text_col="normal", column="normalized_name").select(*key).distinct()
+            docs = docs.join(held, list(key), "left_semi").drop("normal")
+        folded = docs.select(*key, _folded_one_by_one("text").alias("folded"))
+        pairs = ngram_mentions(folded, table, key=key, text_col="folded", column="normalized_name").select(*key, F.col("name").alias("normalized_name")).distinct()
+        listed = pairs.join(table, "normalized_name").groupBy(*key).agg(F.collect_list(F.struct("normalized_name", "reach")).alias("_names"))
+        docs, own = docs.join(listed, list(key)), ["_names"]
+    stays = [*key, *keep]
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        def rows_of(b: pa.RecordBatch, index: list[int], found: list[tuple]) -> pa.RecordBatch:
+            columns = list(zip(*found, strict=True)) or [()] * len(_MENTIONS)
+            kept = b.select(stays).take(pa.array(index, pa.int64()))
+            return pa.RecordBatch.from_arrays([*kept.columns, *(pa.array(c, t) for c, t in zip(columns, _ARROW, strict=True))], names=[*stays, *(n for n, _ in _MENTIONS)])
+
+        for b in batches:
+            index, found = [], []
+            normal = b.column("normal") if gate and few else None
+            listed = b.column("_names") if own else None
+            for i, text in enumerate(b.column("text")):
+                if listed is not None:
+                    reach = {x["normalized_name"]: [(y["source_key"], y["low"], y["high"]) for y in x["reach"]] for x in listed[i].as_py()}
+                    names = name_index(reach)
+                else:
+                    names, reach = shared.value
+                if normal is not None and next(occurrences(normal[i].as_py().split(" "), names), None) is None:
+                    continue
+                each = mentions_by_sentence(text.as_py(), names, reach, markers)
+                index += [i] * len(each)
+                found += each
+                if len(found) >= ROWS_OUT:
+                    yield rows_of(b, index, found)
+                    index, found = [], []
+            if found:
+                yield rows_of(b, index, found)
+
+    kinds = dict(docs.dtypes)
+    return docs.mapInArrow(run, ", ".join(f"`{n}` {t}" for n, t in [*((c, kinds[c]) for c in stays), *_MENTIONS]))

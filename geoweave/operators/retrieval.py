@@ -19,16 +19,17 @@ rule needs the context in the text, that test comes first and names are searched
 from __future__ import annotations
 
 import re
+from bisect import bisect_right
+from collections.abc import Callable, Sequence
 
 import pandas as pd
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
-from pyspark.sql.types import StringType, StructType
 
-from geoweave.functions.spans import nearest_pair
+from geoweave.functions.spans import nearest
 from geoweave.functions.text import SENTENCE_BREAK, exact_text, excerpt, has_marker, normalized
-from geoweave.operators.gazetteer import document_key, keep_first
-from geoweave.operators.matching import collected_names, mention_spans
+from geoweave.operators.gazetteer import document_identity, document_key, first_of
+from geoweave.operators.matching import name_index, spans_of, with_names
 
 RULES = ("any_field", "url_or_context", "url_and_text", "text", "nearby")
 ORDER = ["row_index", "normalized_name", "polygon_id"]
@@ -39,22 +40,37 @@ def _fields(in_text: Column, in_url: Column) -> Column:
     return F.filter(F.array(F.when(in_text, F.lit("text")), F.when(in_url, F.lit("url"))), lambda x: x.isNotNull())
 
 
-@F.pandas_udf(StructType().add("name_sentence", StringType()).add("context_sentence", StringType()))
-def _sentences_of(texts: pd.Series, name_starts: pd.Series, context_starts: pd.Series) -> pd.DataFrame:
-    """The sentences whose normalised range holds the starts; empty where none does."""
-    rows = []
-    for text, a, b in zip(texts, name_starts, context_starts, strict=True):
-        found, at = ["", ""], 0
-        for part in _BREAK.split(text):
-            n = len(exact_text(part))
-            if not n:
-                continue
-            for i, start in enumerate((a, b)):
-                if at <= start < at + n:
-                    found[i] = part.strip()
+def _sentence_at(text: str) -> Callable[[int], str]:
+    """A function of a position in the normalised text: the sentence there, empty where none is."""
+    starts, ends, parts, at = [], [], [], 0
+    for part in _BREAK.split(text):
+        n = len(exact_text(part))
+        if n:
+            starts.append(at)
+            ends.append(at + n)
+            parts.append(part.strip())
             at += n + 1
-        rows.append(found)
-    return pd.DataFrame(rows, columns=["name_sentence", "context_sentence"])
+
+    def told(position: int) -> str:
+        i = bisect_right(starts, position) - 1
+        return parts[i] if i >= 0 and position < ends[i] else ""
+
+    return told
+
+
+def nearest_context(text: str, normal: str, names: Sequence[str], marker: str, max_gap: int) -> list[dict]:
+    """For each name whose closest span is near enough to the marker: gap, and the sentences in which the two spans begin."""
+    context = [s for s, _, _ in spans_of(normal, name_index([marker]))]
+    own: dict[str, list[int]] = {n: [] for n in names}
+    for start, _, name in spans_of(normal, name_index(names)):
+        own[name].append(start)
+    told, out = None, []
+    for name in names:
+        pair = nearest(own[name], len(name), context, len(marker))
+        if pair is not None and pair[0] <= max_gap:
+            told = told or _sentence_at(text)
+            out.append({"name": name, "gap": pair[0], "name_sentence": told(pair[1]), "context_sentence": told(pair[2])})
+    return out
 
 
 def evidence(documents: DataFrame, profiles: DataFrame, *, rule: str, context: str, max_gap: int = 500, mode: str = "auto") -> DataFrame:
@@ -66,7 +82,6 @@ def evidence(documents: DataFrame, profiles: DataFrame, *, rule: str, context: s
     marker = exact_text(context)
     if not marker:
         raise ValueError("context must not be empty")
-    spark = documents.sparkSession
     key = document_key(documents)
     docs = documents.select(*key, F.col("document_id").cast("string").alias("document_id"), F.coalesce("text", F.lit("")).alias("text"), F.coalesce("url", F.lit("")).alias("url"))
     docs = docs.withColumns({"normal_text": normalized(F.col("text"), mode=mode), "normal_url": normalized(F.col("url"), decode_url=True)})
@@ -76,10 +91,7 @@ def evidence(documents: DataFrame, profiles: DataFrame, *, rule: str, context: s
     elif rule == "any_field":
         docs = docs.where("context_in_text OR context_in_url")
     named = profiles.where("normalized_name <> ''").select("polygon_id", "name", "normalized_name")
-    search = mention_spans(spark, collected_names(named, "normalized_name"))
-    names = lambda spans: F.array_distinct(F.transform(spans, lambda m: m["name"]))
-    docs = docs.withColumns({"text_spans": search(F.col("normal_text")), "url_spans": search(F.col("normal_url"))})
-    docs = docs.withColumns({"text_names": names(F.col("text_spans")), "url_names": names(F.col("url_spans"))})
+    docs = with_names(docs, named, key=key, text_cols={"text_names": "normal_text", "url_names": "normal_url"}, column="normalized_name")
     accepted = {
         "any_field": F.array_union("text_names", "url_names"),
         "url_or_context": F.array_union("url_names", F.when(F.col("context_in_text"), F.col("text_names")).otherwise(F.array().cast("array<string>"))),
@@ -87,27 +99,32 @@ def evidence(documents: DataFrame, profiles: DataFrame, *, rule: str, context: s
         "text": F.col("text_names"),
         "nearby": F.col("text_names"),
     }[rule]
-    rows = docs.withColumn("normalized_name", F.explode(accepted))
+    common = ["polygon_id", F.col("name").alias("polygon_name"), *key, "document_id", "url", "matched_fields", "context_fields", F.col("name").alias("matched_name"), "context_phrase", "text"]
+    if rule == "nearby":
+
+        @F.pandas_udf("array<struct<name:string,gap:int,name_sentence:string,context_sentence:string>>")
+        def near(texts: pd.Series, normals: pd.Series, names: pd.Series) -> pd.Series:
+            return pd.Series([nearest_context(*row, marker, max_gap) for row in zip(texts, normals, (list(n) for n in names), strict=True)], index=texts.index, dtype=object)
+
+        rows = docs.where(F.size("text_names") > 0).withColumn("pair", F.explode(near("text", "normal_text", "text_names"))).withColumn("normalized_name", F.col("pair.name"))
+        shown = [F.col("pair.name_sentence").alias("polygon_name_sentence"), F.col("pair.context_sentence").alias("country_name_sentence"), F.col("pair.gap").alias("name_country_distance")]
+    else:
+        rows = docs.withColumn("normalized_name", F.explode(accepted))
+        told = lambda field: F.array_contains("matched_fields", field) | F.array_contains("context_fields", field)
+        shown = [F.when(told(f), excerpt(F.col(f))).otherwise(F.lit("")).alias(f"{f}_excerpt") for f in ("text", "url")]
     phrase = F.when(F.col("context_in_text") | F.col("context_in_url"), F.lit(marker)).otherwise(F.lit(""))
     in_text = F.array_contains("text_names", F.col("normalized_name"))
     in_url = F.array_contains("url_names", F.col("normalized_name"))
     rows = rows.withColumns({"matched_fields": _fields(in_text, in_url), "context_fields": _fields(F.col("context_in_text"), F.col("context_in_url")), "context_phrase": phrase})
-    common = ["polygon_id", F.col("name").alias("polygon_name"), *key, "document_id", "url", "matched_fields", "context_fields", F.col("name").alias("matched_name"), "context_phrase", "text"]
-    if rule == "nearby":
-        where_context = mention_spans(spark, [marker])
-        span = lambda m: F.struct(m["start"].alias("start"), m["end"].alias("end"))
-        rows = rows.withColumn("context_spans", F.transform(where_context(F.col("normal_text")), span))
-        own = F.transform(F.filter("text_spans", lambda m: m["name"] == F.col("normalized_name")), span)
-        # A one-row generator: the pair is worked out once, whatever reads it.
-        near = F.filter(F.array(nearest_pair(own, F.col("context_spans"))), lambda p: p["gap"] <= max_gap)
-        rows = rows.withColumn("pair", F.explode(near))
-        rows = rows.withColumn("told", _sentences_of("text", F.col("pair.l.start"), F.col("pair.r.start")))
-        out = rows.join(named, "normalized_name").select(*common, F.col("told.name_sentence").alias("polygon_name_sentence"), F.col("told.context_sentence").alias("country_name_sentence"), F.col("pair.gap").alias("name_country_distance"), "normalized_name")
-        return out
-    shown = lambda field: F.array_contains("matched_fields", field) | F.array_contains("context_fields", field)
-    rows = rows.withColumns({f"{f}_excerpt": F.when(shown(f), excerpt(F.col(f))).otherwise(F.lit("")) for f in ("text", "url")})
-    return rows.join(named, "normalized_name").select(*common, "text_excerpt", "url_excerpt", "normalized_name")
-
-
-def deduplicated(found: DataFrame) -> DataFrame:
-    return keep_first(found, [*(c for c in document_key(found) if c not in ORDER), *ORDER])
+    return rows.join(named, "normalized_name").select(*common, *shown, "normalized_name")
+
+
+def deduplicated(found: DataFrame, documents: DataFrame | None = None) -> DataFrame:
+    """One row for each area and document. documents: those that were searched; then rows are ranked without their texts, which the kept ones get back."""
+    key = document_key(found)
+    order = [*(c for c in key if c not in ORDER), *ORDER]
+    marked = found.withColumn("_identity", document_identity())
+    if documents is None:
+        return first_of(marked, ["polygon_id", "_identity"], order).drop("_identity")
+    kept = first_of(marked.drop("text"), ["polygon_id", "_identity"], order).drop("_identity")
+    return kept.join(documents.select(*key, F.coalesce("text", F.lit("")).alias("text")), key).select(*found.columns)

@@ -6,17 +6,16 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from geoweave.functions.text import exact_text, normalized
-from geoweave.operators.gazetteer import candidate_names
-from geoweave.operators.matching import collected_names, mention_spans
+from geoweave.operators.gazetteer import candidate_names, document_key
+from geoweave.operators.matching import name_pairs
 
 FREQUENCY_RATIO = 0.001
 MIN_LETTERS = 3
 
 
 def document_frequency(texts: DataFrame, names: DataFrame, *, text_col: str = "normal", column: str = "normalized_name") -> DataFrame:
-    """normalized_name, document_frequency: in how many rows each name occurs; names that occur nowhere have zero."""
-    found = mention_spans(texts.sparkSession, collected_names(names, column))
-    each = texts.select(F.explode(F.array_distinct(F.transform(found(F.col(text_col)), lambda m: m["name"]))).alias(column))
+    """texts: rows of documents, with their key. normalized_name, document_frequency: in how many rows each name occurs; names that occur nowhere have zero."""
+    each = name_pairs(texts, names, key=document_key(texts), text_col=text_col, column=column).withColumnRenamed("name", column)
     counts = each.groupBy(column).agg(F.count("*").alias("document_frequency"))
     return names.select(column).distinct().join(counts, column, "left").select(column, F.coalesce("document_frequency", F.lit(0)).cast("long").alias("document_frequency"))
 

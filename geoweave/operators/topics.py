@@ -11,7 +11,7 @@ from pyspark.sql import functions as F
 
 from geoweave.functions.text import exact_text, has_marker, normalized
 from geoweave.operators.gazetteer import document_key
-from geoweave.operators.matching import mention_spans
+from geoweave.operators.matching import names_in
 
 #: The one matching contract that vocabularies may state.
 CONTRACT = {"field": "text", "case_sensitive": False, "unicode_normalization": "NFKC", "word_boundaries": True, "match_url": False}
@@ -56,11 +56,9 @@ class Vocabulary:
 def topic_terms(frame: DataFrame, vocabulary: Vocabulary, text_col: str = "text", out: str = "topics") -> DataFrame:
     """Adds array<struct<term, category>>: the terms of the text in the order of their first occurrence."""
     rows = vocabulary.rows()
-    search = mention_spans(frame.sparkSession, [r[0] for r in rows])
     known = F.create_map(*(F.lit(x) for n, t, c in rows for x in (n, f"{t}\u001f{c}")))
-    # equal starts: the longer term, then by spelling, as the spans come
-    order = F.array_sort(F.transform(search(normalized(F.col(text_col))), lambda m: F.struct(m["start"], m["end"], m["name"])))
-    names = F.array_distinct(F.transform(order, lambda m: m["name"]))
+    # of terms that begin at the same word the shorter one comes first
+    names = names_in(frame.sparkSession, [r[0] for r in rows])(normalized(F.col(text_col)))
     split = lambda n, i: F.split(F.element_at(known, n), "\u001f")[i]
     return frame.withColumn(out, F.transform(names, lambda n: F.struct(split(n, 0).alias("term"), split(n, 1).alias("category"))))
 

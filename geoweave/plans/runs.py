@@ -34,7 +34,7 @@ def retrieve(documents: DataFrame, areas: DataFrame, version: str, *, country: s
     """Evidence of a version: documents x areas, kept once an area and document where the version says so."""
     plan = retrieval_version(version)
     found = retrieval.evidence(documents, run_profiles(areas, documents, plan, country=country, ratio=ratio), rule=plan.rule, context=country, max_gap=plan.max_gap or 0)
-    return retrieval.deduplicated(found) if plan.deduplicated else found
+    return retrieval.deduplicated(found, documents) if plan.deduplicated else found
 
 
 def refine(found: DataFrame, vocabulary: Vocabulary, *, segmenter: Segmenter | None = None, classifier: Classifier | None = None, window: int = 2, strict: bool = True) -> dict[str, DataFrame]:

@@ -1,41 +1,43 @@
 """Mentions with offsets, windows, scores and summaries."""
 
 import pytest
+from pyspark.sql import functions as F
 
-from geoweave.operators import lexical, specificity
-from geoweave.operators.matching import name_index, offset_occurrences
+from geoweave.operators import lexical, matching, specificity
+from geoweave.operators.matching import mentions_by_sentence, name_index
 from geoweave.plans import report, runs
 
 from .test_retrieval import areas, docs
 
-COUNTRIES = {"m": "Monaco", "l": "Liechtenstein"}
+COUNTRIES = {"n": "Norland", "s": "Sudmark"}
 
 
-def starts(text, *names, gate=False):
-    return [(m["start"], m["end"]) for m in offset_occurrences(text, name_index(names), gate)]
+def found(text, *names):
+    return [m for row in mentions_by_sentence(text, name_index(names)) for m in zip(row[8], row[9], strict=True)]
 
 
 def test_bounds():
-    text = "A PALais is visible. The Palace is nearby. Palaisage is not a match."
-    assert starts(text, "palais", "the palace") == [(2, 8), (21, 31)]
-    assert starts("ß", "ss") == [(0, 1)] and starts(".Palais", "palais") == [(1, 7)]
-    assert starts("xPalais Palaisx", "palais") == [] and starts("Prefix: Palais", "palais") == [(8, 14)] and starts("A%20B", "a b") == []
+    assert found("An old MILL stood. The Mill Inn is shut; millers left.", "mill", "the mill inn") == [(7, 11), (19, 31), (23, 27)]
+    assert found("ß", "ss") == [(0, 1)] and found("ﬀ½", "ff1", "2") == [(0, 2), (1, 2)]
+    assert found("xMill Millx", "mill") == [] and found(".Mill:", "mill") == [(1, 5)] and found("Old%20Mill", "old mill") == []
 
 
-def test_combining_marks_need_the_plain_text_only_with_the_gate():
-    decomposed = "é"
-    assert starts(decomposed, "é", gate=True) == [] and starts(decomposed, "e", gate=True) == [] and starts(decomposed, "e") == [(0, 1)]
+def test_combining_marks_need_the_plain_text_only_with_the_gate(spark):
+    a = areas(spark, ("n", "é", []), ("n", "e", []))
+    d = docs(spark, ("é", ""), ("e", ""), ("é", ""))
+    rows = lexical.mentions(d, a).collect()
+    assert sorted((r.row_index, r.matched_alias, r.start, r.end) for r in rows) == [(0, "e", 0, 1), (1, "e", 0, 1), (2, "é", 0, 1)]
 
 
 def test_window():
-    m = offset_occurrences("Before. Palais is visible. After. Last.", name_index(["palais"]), False)[0]
-    assert (m["sentence"], m["context"], m["sentence_index"]) == ("Palais is visible.", "Before. Palais is visible. After.", 1)
+    row = mentions_by_sentence("Rain. The mill turns. Wind! Snow.", name_index(["mill"]))[0]
+    assert row[:3] == (1, "The mill turns.", "Rain. The mill turns. Wind!")
 
 
 @pytest.fixture
 def world(spark):
-    a = areas(spark, ("m", "Palais du Prince", ["Prince's Palace"]), ("m", "Central", []), ("l", "Alps View", []), ("l", "Central", []))
-    d = docs(spark, ("Central appears on a page.", "http://x/central"), ("Central in Monaco is a place.", ""), ("Palais du Prince is visible.", "http://x/palais-du-prince"), ("Alps View in Liechtenstein is visible.", ""), ("Central has no country context.", ""))
+    a = areas(spark, ("n", "Quillbury Mill", ["Old Mill"]), ("n", "Green", []), ("s", "Dale End", []), ("s", "Green", []))
+    d = docs(spark, ("Green is all they sell.", "http://x/green"), ("Green, a part of Norland.", ""), ("They show Quillbury Mill.", "http://x/quillbury-mill"), ("Sudmark has Dale End.", ""), ("No land is as Green.", ""))
     return d, a
 
 
@@ -45,28 +47,39 @@ def test_tiers(spark, world):
     assert len(rows) == 8
     tiers = [r.decision_tier for r in rows]
     assert (tiers.count("high_confidence"), tiers.count("possible"), tiers.count("rejected")) == (2, 3, 3)
-    best = next(r for r in rows if r.matched_alias == "Palais du Prince")
-    assert (best.evidence_score, best.evidence_reasons) == (5, "distinctive_name|name_in_url")
+    best = next(r for r in rows if r.matched_alias == "Quillbury Mill")
+    assert (best.evidence_score, best.evidence_reasons, best.start, best.end) == (5, "distinctive_name|name_in_url", 10, 24)
     summary = {r.source_key: r for r in lexical.source_summary(scored, world[1]).collect()}
-    assert (summary["m"].mentions, summary["m"].polygons_read, summary["m"].names_indexed, summary["l"].polygons_matched) == (4, 2, 3, 2)
+    assert (summary["n"].mentions, summary["n"].polygons_read, summary["n"].names_indexed, summary["s"].polygons_matched) == (4, 2, 3, 2)
     v2 = runs.find_candidates(*world, "v2", countries=COUNTRIES)
     assert "equal as multisets: yes" in report.comparison_report(v2, scored)
-    assert "| m |" in report.run_card("Run", {"version": "v3"}, lexical.source_summary(scored, world[1]))
+    assert "| n |" in report.run_card("Run", {"version": "v3"}, lexical.source_summary(scored, world[1]))
 
 
 def test_nearby(spark):
-    a = areas(spark, ("m", "Alpha Hall", ["Alpha House"]), ("m", "Beta Hall", []))
-    d = docs(spark, ("Alpha Hall stands. Also Alpha House. Far. Beta Hall.", ""))
+    a = areas(spark, ("n", "North Gate", ["Frost Gate"]), ("n", "South Gate", []))
+    d = docs(spark, ("North Gate is old. Some say Frost Gate. Far off. South Gate too.", ""), ("South Gate. Norland! Frost Gate.", ""), ("South Gate, then Frost Gate.", ""))
     inventory = specificity.name_inventory(a, None, COUNTRIES, documents=1)
-    rows = {r.matched_alias: r for r in lexical.scored_mentions(d, a, inventory, COUNTRIES).collect()}
-    assert rows["Alpha Hall"].same_polygon_alias_nearby and not rows["Alpha Hall"].other_polygon_name_nearby
-    assert rows["Alpha House"].same_polygon_alias_nearby and not rows["Beta Hall"].other_polygon_name_nearby
+    rows = {(r.row_index, r.matched_alias): r for r in lexical.scored_mentions(d, a, inventory, COUNTRIES).collect()}
+    signs = lambda i, name: (rows[i, name].same_polygon_alias_nearby, rows[i, name].other_polygon_name_nearby, rows[i, name].country_in_context)
+    assert signs(0, "North Gate") == signs(0, "Frost Gate") == (True, False, False) and signs(0, "South Gate") == (False, False, False)
+    assert signs(1, "South Gate") == signs(1, "Frost Gate") == (False, False, True)
+    assert signs(2, "South Gate") == signs(2, "Frost Gate") == (False, True, False)
+
+
+@pytest.mark.parametrize("version", ["v1", "v2", "v3"])
+def test_names_beyond_the_broadcast(spark, world, monkeypatch, version):
+    few = runs.find_candidates(*world, version, countries=COUNTRIES)
+    want = sorted(few.drop("centroid").collect(), key=str)
+    monkeypatch.setattr(matching, "MAX_NAMES", 1)
+    many = runs.find_candidates(*world, version, countries=COUNTRIES)
+    assert want and sorted(many.drop("centroid").collect(), key=str) == want
 
 
 def test_first_version_keeps_all_names(spark):
-    a = areas(spark, ("m", "Palais du Prince", ["Prince's Palace"]), ("l", "Vaduz", ["Prince's Palace"]))
-    d = docs(spark, ("Prince's Palace.", ""), ("Vaduz", ""), ("none", None))
-    assert sorted(r.source_key for r in runs.find_candidates(d, a, "v1", countries=COUNTRIES).collect()) == ["l", "l", "m"]
+    a = areas(spark, ("n", "Quillbury Mill", ["Old Mill"]), ("s", "Dorn", ["Old Mill"]))
+    d = docs(spark, ("Old Mill.", ""), ("Dorn", ""), ("none", None), (None, None))
+    assert sorted(r.source_key for r in runs.find_candidates(d, a, "v1", countries=COUNTRIES).collect()) == ["n", "s", "s"]
     with pytest.raises(ValueError):
         runs.find_candidates(d, a, "v4", countries=COUNTRIES)
 
@@ -80,8 +93,6 @@ def test_empty(spark, world):
 
 
 def test_rows_of_two_shards_are_two_documents(spark, world):
-    from pyspark.sql import functions as F
-
     d, a = world
     twice = d.withColumn("shard", F.lit("a")).union(d.withColumn("shard", F.lit("b")))
     one, two = (runs.find_candidates(x, a, "v2", countries=COUNTRIES) for x in (d, twice))

@@ -1,8 +1,11 @@
 """Rules, names, deduplication, specificity."""
 
 import pytest
+from hypothesis import given
+from hypothesis import strategies as st
 from pyspark.sql import functions as F
 
+from geoweave.functions import spans
 from geoweave.operators import gazetteer, matching, retrieval, specificity
 from geoweave.plans import runs, versions
 
@@ -20,41 +23,41 @@ def profiles(spark, *names):
 
 
 def found(spark, rule, rows, *names, **options):
-    return retrieval.evidence(docs(spark, *rows), profiles(spark, *names), rule=rule, context="Monaco", **options).orderBy(*retrieval.ORDER).collect()
+    return retrieval.evidence(docs(spark, *rows), profiles(spark, *names), rule=rule, context="Norland", **options).orderBy(*retrieval.ORDER).collect()
 
 
 def test_fields_of_each_rule(spark):
-    rows = [("Fontvieille here", "http://x/monaco"), ("Fontvieille is in Monaco.", "http://x/other"), ("In Monaco", "http://x/font%76ieille"), ("Fontvieille, Monaco", "http://x/fontvieille-monaco"), (None, None)]
-    at = lambda rule: [(r.row_index, "".join(x[0] for x in r.matched_fields), "".join(x[0] for x in r.context_fields)) for r in found(spark, rule, rows, "Fontvieille")]
+    rows = [("Quillbury today", "http://x/norland"), ("Quillbury, a part of Norland.", "http://x/other"), ("In Norland", "http://x/quill%62ury"), ("Quillbury, Norland", "http://x/quillbury-norland"), (None, None)]
+    at = lambda rule: [(r.row_index, "".join(x[0] for x in r.matched_fields), "".join(x[0] for x in r.context_fields)) for r in found(spark, rule, rows, "Quillbury")]
     assert at("any_field") == [(0, "t", "u"), (1, "t", "t"), (2, "u", "t"), (3, "tu", "tu")]
     assert at("url_or_context") == [(1, "t", "t"), (2, "u", "t"), (3, "tu", "tu")]
     assert at("url_and_text") == [(3, "tu", "tu")]
     assert at("text") == [(1, "t", "t"), (3, "tu", "tu")]
-    url_only = found(spark, "url_or_context", [("nothing", "http://x/fontvieille")], "Fontvieille")[0]
+    url_only = found(spark, "url_or_context", [("nothing", "http://x/quillbury")], "Quillbury")[0]
     assert (url_only.context_phrase, url_only.context_fields, url_only.text_excerpt) == ("", [], "")
 
 
 @pytest.mark.parametrize("gap, kept", [(498, 1), (499, 0)])
 def test_gap_is_inclusive(spark, gap, kept):
-    rows = found(spark, "nearby", [(f"Fontvieille {'x' * gap} Monaco", "")], "Fontvieille")
+    rows = found(spark, "nearby", [(f"Quillbury {'x' * gap} Norland", "")], "Quillbury")
     assert len(rows) == kept and all(r.name_country_distance == 500 for r in rows)
 
 
 def test_gap_of_names_that_hold_the_context(spark):
-    rows = found(spark, "nearby", [("FONT-VIEILLE is in MONACO.", ""), ("Monaco Telecom", ""), ("Fontvieille is a district. Monaco is the country context.", "")], "Font Vieille", "Monaco Telecom", "Fontvieille")
-    assert [r.name_country_distance for r in rows] == [7, 0, 15]
-    assert (rows[2].polygon_name_sentence, rows[2].country_name_sentence) == ("Fontvieille is a district.", "Monaco is the country context.")
+    rows = found(spark, "nearby", [("QUILL-BURY lies by NORLAND.", ""), ("Norland Telecom", ""), ("Quillbury has a mill. Norland lies around it.", "")], "Quill Bury", "Norland Telecom", "Quillbury")
+    assert [r.name_country_distance for r in rows] == [9, 0, 12]
+    assert (rows[2].polygon_name_sentence, rows[2].country_name_sentence) == ("Quillbury has a mill.", "Norland lies around it.")
 
 
 def test_all_areas_with_one_name_and_word_bounds(spark):
-    rows = found(spark, "text", [("Port of Monaco, Portal", "")], "Port", "port", "Porta", "!!")
+    rows = found(spark, "text", [("Port of Norland, Portal", "")], "Port", "port", "Porta", "!!")
     assert [r.polygon_id for r in rows] == ["way/0", "way/1"]
 
 
 def test_errors(spark):
     for options in ({"rule": "no"}, {"max_gap": -1}, {"context": "!"}):
         with pytest.raises(ValueError):
-            retrieval.evidence(docs(spark, ("a", "b")), profiles(spark, "x"), **({"rule": "text", "context": "Monaco"} | options))
+            retrieval.evidence(docs(spark, ("a", "b")), profiles(spark, "x"), **({"rule": "text", "context": "Norland"} | options))
     with pytest.raises(ValueError):
         versions.retrieval_version("v7")
 
@@ -63,6 +66,8 @@ def test_keep_first(spark):
     rows = [(0, "p", "a", "x", "u", "t"), (1, "p", "a", "x", "u2", "t2"), (2, "p", "a", "", "u", "t"), (3, "p", "a", None, "u", "t"), (4, "q", "a", "x", "u", "t")]
     df = spark.createDataFrame(rows, "row_index long, polygon_id string, normalized_name string, document_id string, url string, text string")
     assert sorted(r.row_index for r in retrieval.deduplicated(df).collect()) == [0, 2, 4]
+    narrow = retrieval.deduplicated(df, df.select("row_index", "text"))
+    assert narrow.columns == df.columns and sorted(map(tuple, narrow.collect())) == sorted(map(tuple, retrieval.deduplicated(df).collect()))
 
 
 def test_meaningful_and_one_per_name(spark):
@@ -77,19 +82,19 @@ def areas(spark, *rows):
 
 
 def test_specific_names(spark):
-    a = areas(spark, ("m", "Rare Place", []), ("m", "Monaco", []), ("m", "Twice", []), ("m", "twice", []), ("m", "Common", []))
-    d = docs(spark, *[("Common thing in Monaco", "")] * 3, ("Rare Place in Monaco", ""))
-    kept = runs.run_profiles(a, d, versions.retrieval_version("v5"), country="Monaco", ratio=0.3)
-    assert [r.normalized_name for r in kept.collect()] == ["rare place"]
-    assert runs.retrieve(d, a, "v6", country="Monaco", ratio=0.3).count() == 1
-    assert runs.retrieve(d, a, "v5", country="Monaco").count() == 0  # the cutoff of four documents is zero
+    a = areas(spark, ("m", "Odd Corner", []), ("m", "Norland", []), ("m", "Twice", []), ("m", "twice", []), ("m", "Common", []))
+    d = docs(spark, *[("Common thing in Norland", "")] * 3, ("Odd Corner in Norland", ""))
+    kept = runs.run_profiles(a, d, versions.retrieval_version("v5"), country="Norland", ratio=0.3)
+    assert [r.normalized_name for r in kept.collect()] == ["odd corner"]
+    assert runs.retrieve(d, a, "v6", country="Norland", ratio=0.3).count() == 1
+    assert runs.retrieve(d, a, "v5", country="Norland").count() == 0  # the cutoff of four documents is zero
     assert (specificity.retrieval_cutoff(999), specificity.lexical_cutoff(999), specificity.lexical_cutoff(0)) == (0, 1, 0)
 
 
 def test_inventory_decisions(spark):
-    a = areas(spark, ("m", "A", []), ("m", "2", []), ("m", "Cat", ["Cat", "CAT"]), ("m", "Monaco", []), ("l", "Monaco", []), ("m", "Central", []), ("l", "Central", []), ("m", "Foo%20Bar", []))
-    rows = {r.normalized_name: r for r in specificity.name_inventory(a, None, {"m": "Monaco", "l": "Liechtenstein"}, documents=1000).collect()}
-    assert {n: r.reason for n, r in rows.items()} == {"a": "too_few_letters", "2": "no_letters", "cat": "specific", "monaco": "country_name", "central": "osm_reuse", "foo 20bar": "specific"}
+    a = areas(spark, ("m", "A", []), ("m", "2", []), ("m", "Cat", ["Cat", "CAT"]), ("m", "Norland", []), ("l", "Norland", []), ("m", "Central", []), ("l", "Central", []), ("m", "Foo%20Bar", []))
+    rows = {r.normalized_name: r for r in specificity.name_inventory(a, None, {"m": "Norland", "l": "Liechtenstein"}, documents=1000).collect()}
+    assert {n: r.reason for n, r in rows.items()} == {"a": "too_few_letters", "2": "no_letters", "cat": "specific", "norland": "country_name", "central": "osm_reuse", "foo 20bar": "specific"}
     assert [c.alias for c in rows["cat"].candidates] == ["CAT", "Cat"]
 
 
@@ -97,13 +102,31 @@ def test_both_matching_strategies_agree(spark, sf_dir):
     texts = specificity.normal_texts(spark.read.parquet(f"{sf_dir}/documents.parquet"))
     names = ["the", "and the", "thing", "the the", "of the and"]
     frame = spark.createDataFrame([(n,) for n in names], "name string")
-    search = matching.mention_spans(spark, names)
+    search = matching.name_spans(spark, names)
     spans = texts.select("doc_id", F.explode(search(F.col("normal"))).alias("m")).groupBy("doc_id", "m.name").count()
-    grams = matching.ngram_mentions(texts, frame, key="doc_id", text_col="normal", sizes=[1, 2, 3]).groupBy("doc_id", "name").count()
+    grams = matching.ngram_mentions(texts, frame, key="doc_id", text_col="normal").groupBy("doc_id", "name").count()
     assert spans.count() > 0 and spans.exceptAll(grams).isEmpty() and grams.exceptAll(spans).isEmpty()
 
 
-def test_too_many_names(spark, monkeypatch):
-    monkeypatch.setattr(matching, "MAX_NAMES", 2)
-    with pytest.raises(ValueError, match="ngram_mentions"):
-        matching.collected_names(spark.createDataFrame([("a",), ("b",), ("c",)], "name string"))
+@pytest.mark.parametrize("version", ["v1", "v4", "v5", "v6"])
+def test_names_beyond_the_broadcast(spark, monkeypatch, version):
+    a = areas(spark, ("m", "Quillbury", []), ("m", "Quill Bury", []), ("m", "Norland Gate", []), ("m", "Absent", []))
+    d = docs(spark, ("Quillbury and Quill Bury in Norland. Norland Gate.", "http://x/quillbury"), ("Norland", "http://x/quill-bury"), (None, None), ("Quill", ""))
+    want = sorted(runs.retrieve(d, a, version, country="Norland", ratio=0.5).collect())
+    monkeypatch.setattr(matching, "MAX_NAMES", 1)
+    assert want and sorted(runs.retrieve(d, a, version, country="Norland", ratio=0.5).collect()) == want
+
+
+def brute_nearest(left, right):
+    return min(((max(0, c - b, a - d), a, c) for a, b in left for c, d in right), default=None)
+
+
+@given(st.lists(st.integers(0, 40), max_size=8, unique=True), st.integers(1, 5), st.lists(st.integers(0, 40), max_size=8, unique=True), st.integers(1, 5))
+def test_nearest(left, n, right, k):
+    left, right = sorted(left), sorted(right)
+    assert spans.nearest(left, n, right, k) == brute_nearest([(x, x + n) for x in left], [(x, x + k) for x in right])
+
+
+def test_long_text_of_names_and_contexts(spark):
+    rows = found(spark, "nearby", [("norland casino " * 20_000, "")], "Casino")
+    assert [(r.name_country_distance, r.polygon_name_sentence != "") for r in rows] == [(1, True)]

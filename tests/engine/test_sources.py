@@ -17,8 +17,8 @@ def osm_file(tmp_path):
     node = lambda i, x, y: f'<node id="{i}" lat="{y}" lon="{x}"/>'
     way = lambda i, refs, **tags: f'<way id="{i}">' + "".join(f'<nd ref="{r}"/>' for r in refs) + "".join(f'<tag k="{k.replace("__", ":")}" v="{v}"/>' for k, v in tags.items()) + "</way>"
     nodes = [node(1, 0, 0), node(2, 4, 0), node(3, 4, 4), node(4, 0, 4), node(5, 1, 1), node(6, 2, 1), node(7, 2, 2), node(8, 1, 2), node(9, 20, 20), node(10, 21, 20), node(11, 21, 21)]
-    ways = [way(10, [5, 6, 7, 8, 5], name="Palais", name__fr="Le Palais", name__en="Palais"), way(11, [1, 2, 3, 1]), way(12, [1, 2, 3], name="Open"), way(13, [1, 2, 3]), way(14, [3, 4, 1]), way(15, [9, 10, 11, 9], name="Nice Place"), way(16, [1, 2, 99, 1], name="Broken")]
-    boundary = {"type": "boundary", "name": "Monaco", "boundary": "administrative", "admin_level": "8", "place": "city"}
+    ways = [way(10, [5, 6, 7, 8, 5], name="Tower", name__fr="La Tour", name__en="Tower"), way(11, [1, 2, 3, 1]), way(12, [1, 2, 3], name="Open"), way(13, [1, 2, 3]), way(14, [3, 4, 1]), way(15, [9, 10, 11, 9], name="Elm Row"), way(16, [1, 2, 99, 1], name="Broken")]
+    boundary = {"type": "boundary", "name": "Norland", "boundary": "administrative", "admin_level": "8", "place": "city"}
     relation = '<relation id="20"><member type="way" ref="13" role="outer"/><member type="way" ref="14" role="outer"/><member type="way" ref="10" role="inner"/>' + "".join(f'<tag k="{k}" v="{v}"/>' for k, v in boundary.items()) + "</relation>"
     path = tmp_path / "m.osm"
     path.write_text("<?xml version='1.0'?>\n<osm>\n" + "\n".join([*nodes, *ways, relation]) + "\n</osm>\n")
@@ -28,15 +28,15 @@ def osm_file(tmp_path):
 def test_areas(spark, tmp_path):
     path = osm_file(tmp_path)
     named = {r.polygon_id: r.name for r in osm.named_areas(spark, path).collect()}
-    assert named == {"way/10": "Palais", "way/11": None, "way/15": "Nice Place", "way/16": "Broken", "relation/20": "Monaco"}
+    assert named == {"way/10": "Tower", "way/11": None, "way/15": "Elm Row", "way/16": "Broken", "relation/20": "Norland"}
     found = osm.areas(spark, path, "m")
     rows = {r.polygon_id: r for r in found.collect()}
-    assert rows["m/way/10"].aliases == ["Palais", "Le Palais"] and rows["m/way/10"].centroid == (1.5, 1.5)
+    assert rows["m/way/10"].aliases == ["Tower", "La Tour"] and rows["m/way/10"].centroid == (1.5, 1.5)
     assert len(rows["m/relation/20"].geometry) == 1 and len(rows["m/relation/20"].geometry[0]) == 2
     assert rows["m/way/16"].geometry is None
     assert tuple(osm.area_counts(found).first()) == (4, 1, 1)
-    inside = gazetteer.within_boundary(found, "monaco")
-    assert sorted(r.polygon_id for r in inside.collect()) == ["m/relation/20"]  # the palace fills the hole
+    inside = gazetteer.within_boundary(found, "norland")
+    assert sorted(r.polygon_id for r in inside.collect()) == ["m/relation/20"]  # the tower fills the hole
     with pytest.raises(ValueError):
         gazetteer.within_boundary(found, "elsewhere")
 
@@ -90,9 +90,9 @@ def test_manifest(spark, tmp_path):
 
 def test_stream_takes_each_file_once(spark, tmp_path):
     source, target = str(tmp_path / "in"), str(tmp_path / "out")
-    p = profiles(spark, "Fontvieille")
-    find = lambda batch: retrieval.evidence(batch, p, rule="text", context="Monaco").drop("normalized_name")
-    whole = docs(spark, ("Fontvieille in Monaco", ""), ("no", ""))
+    p = profiles(spark, "Quillbury")
+    find = lambda batch: retrieval.evidence(batch, p, rule="text", context="Norland").drop("normalized_name")
+    whole = docs(spark, ("Quillbury by Norland", ""), ("no", ""))
     for n in (1, 2, 2):
         if n != 2 or spark.read.parquet(source).count() < 4:
             whole.write.mode("append").parquet(source)
@@ -103,8 +103,8 @@ def test_catalog_and_command_line(spark, tmp_path, capsys):
     assert versions.catalog(spark).count() == 22 and versions.catalog_record()["lines"][1]["latest"] == "v3" and "| v10 |" in versions.catalog_page()
     assert cli.main([]) == 0 and cli.main(["catalog"]) == 0
     path = str(tmp_path / "d")
-    spark.createDataFrame([("Palais in Monaco", "u")], "text string, url string").write.parquet(path)
-    args = ["scan", "--documents", path, "--areas", osm_file(tmp_path), "--output", str(tmp_path / "o"), "--country", "Monaco", "--version"]
+    spark.createDataFrame([("Tower by Norland", "u")], "text string, url string").write.parquet(path)
+    args = ["scan", "--documents", path, "--areas", osm_file(tmp_path), "--output", str(tmp_path / "o"), "--country", "Norland", "--version"]
     for reused in (False, True):
         capsys.readouterr()
         assert cli.main([*args, "v4"], spark) == 0

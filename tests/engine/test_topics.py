@@ -6,12 +6,12 @@ from pyspark.sql import functions as F
 
 from geoweave.operators import classify, topics
 
-VOCAB = topics.Vocabulary({"land_use": ["park"], "soil_surface": ["coastal"], "vegetation_ecosystem": ["forest"], "human_activity": ["festival"]})
+VOCAB = topics.Vocabulary({"water": ["pond"], "ground": ["clay"], "trees": ["elm", "elm grove"], "events": ["fair"]})
 ROW = "polygon_id string, row_index long, polygon_name string, context_phrase string, text string, sentences array<string>, matched_name string"
 
 
 def rows(spark, *sentence_lists):
-    return spark.createDataFrame([(f"way/{i}", i, "Fontvieille", "monaco", "".join(s), list(s), "x") for i, s in enumerate(sentence_lists)], ROW)
+    return spark.createDataFrame([(f"way/{i}", i, "Quillbury", "norland", "".join(s), list(s), "x") for i, s in enumerate(sentence_lists)], ROW)
 
 
 def test_vocabulary_contract():
@@ -23,31 +23,32 @@ def test_vocabulary_contract():
 
 
 def test_terms_in_order_of_occurrence(spark):
-    v = topics.Vocabulary({"a": ["forest", "land-use"], "b": ["soil"]})
-    df = spark.createDataFrame([("ＦＯＲＥＳＴ soil and LAND USE, forest",), ("Forestry and soiled land-useful areas",), (None,)], "text string")
-    got = [[t.term for t in r.topics] for r in topics.topic_terms(df, v).collect()]
-    assert got == [["forest", "soil", "land-use"], [], []]
-    assert topics.with_topic(df, v).count() == 1
-    assert {r.category: r.documents for r in topics.category_counts(df, v).collect()} == {"a": 1, "b": 1}
+    df = spark.createDataFrame([("ＥＬＭ-grove by a Pond; clay, elm",), ("Elms, ponds and a clayey affair",), (None,)], "text string")
+    got = [[t.term for t in r.topics] for r in topics.topic_terms(df, VOCAB).collect()]
+    assert got == [["elm", "elm grove", "pond", "clay"], [], []]
+    assert topics.with_topic(df, VOCAB).count() == 1
+    assert {r.category: r.documents for r in topics.category_counts(df, VOCAB).collect()} == {"trees": 1, "water": 1, "ground": 1}
 
 
 def test_proximity(spark):
-    df = rows(spark, ["Fontvieille lies here. ", "A coastal park in Monaco. ", "Parking."], ["Fontvieille and Monaco. ", "x. ", "y. ", "z. ", "A forest."])
-    out = topics.near_topics(df, VOCAB).collect()
+    df = rows(spark, ["Quillbury sleeps. ", "Clay and a pond make Norland. ", "Ponderous."], ["Norland holds Quillbury. ", "a. ", "b. ", "c. ", "One elm."])
+    near = topics.near_topics(df, VOCAB)
+    out = near.collect()
     assert len(out) == 1 and "context_phrase" not in out[0] and "matched_name" not in out[0]
     meta = out[0].relevant_sentence_metadata
-    assert [(m.sentence_index, m.polygon_sentence_distance, m.country_sentence_distance, m.place_sentence_distance, m.topic_terms) for m in meta] == [(1, 1, 0, 0, ["coastal", "park"])]
-    assert out[0].topic_categories == ["soil_surface", "land_use"] and out[0].sentences_with_topic_term == ["A coastal park in Monaco. "]
+    assert [(m.sentence_index, m.polygon_sentence_distance, m.country_sentence_distance, m.place_sentence_distance, m.topic_terms) for m in meta] == [(1, 1, 0, 0, ["clay", "pond"])]
+    assert out[0].topic_categories == ["ground", "water"] and out[0].sentences_with_topic_term == ["Clay and a pond make Norland. "]
+    assert {r.category: r.sentences for r in topics.category_sentences(near).collect()} == {"ground": 1, "water": 1}
     with pytest.raises(SparkRuntimeException, match="polygon_name"):
-        topics.near_topics(rows(spark, ["no anchor. ", "Monaco park"]), VOCAB).collect()
-    assert topics.near_topics(rows(spark, ["no anchor. ", "Monaco park"]), VOCAB, strict=False).collect() == []
+        topics.near_topics(rows(spark, ["nothing here. ", "Norland pond"]), VOCAB).collect()
+    assert topics.near_topics(rows(spark, ["nothing here. ", "Norland pond"]), VOCAB, strict=False).collect() == []
 
 
 def test_classifier_keeps_yes(spark):
-    df = topics.near_topics(rows(spark, ["Fontvieille park. ", "Monaco coastal. ", "Monaco forest."], ["Fontvieille park in Monaco."]), VOCAB)
-    seen = classify.labelled(df, lambda s: ["yes" if "coastal" in x else "no" for x in s], batch=2)
+    df = topics.near_topics(rows(spark, ["Quillbury pond. ", "Norland clay. ", "Norland elm."], ["A pond at Quillbury, Norland."]), VOCAB)
+    seen = classify.labelled(df, lambda s: ["yes" if "clay" in x else "no" for x in s], batch=2)
     out = classify.keep_yes(seen).collect()
-    assert len(out) == 1 and out[0].topic_terms == ["coastal"] and out[0].topic_sentence_count == 1 and "sentences" not in out[0] and "text" not in out[0]
+    assert len(out) == 1 and out[0].topic_terms == ["clay"] and out[0].topic_sentence_count == 1 and "sentences" not in out[0] and "text" not in out[0]
     assert tuple(classify.label_counts(seen).first()) == (2, 1, 1, 3)
     again = classify.labelled(df, lambda s: 1 / 0, known=seen)
     assert again.select("labels").exceptAll(seen.select("labels")).isEmpty()
