@@ -23,9 +23,23 @@ EXCERPT_CHARS = 240
 SENTENCE_BREAK = "(?<=[.!?])\\s+|\\n+"
 
 
+#: Of Latin-1, all but what NFKC changes: lower case letters and digits stay themselves, other bytes are spaces. Sharp s is spelled out before.
+_LATIN = bytes(ord(chr(b).lower()) if b in range(0x30, 0x3A) or chr(b).isalpha() and b not in (0xAA, 0xB5, 0xBA) else 0x20 for b in range(256))
+_CHANGED = re.compile(b"[\xa8\xaa\xaf\xb2-\xb5\xb8-\xba\xbc-\xbe]")
+#: Common signs beyond Latin-1 that are separators: dashes and quotation marks.
+_SIGNS = re.compile("[\u2010\u2012-\u2015\u2018-\u201f]")
+
+
 def exact_text(value: str | None, decode_url: bool = False) -> str:
-    if value is None:
+    if not value:
         return ""
+    if not decode_url or "%" not in value:
+        try:
+            raw = (value if value.isascii() else _SIGNS.sub(" ", value)).encode("latin-1")
+        except UnicodeEncodeError:
+            raw = None
+        if raw is not None and not _CHANGED.search(raw):
+            return b" ".join(raw.replace(b"\xdf", b"ss").translate(_LATIN).split()).decode("latin-1")
     value = unicodedata.normalize("NFKC", value)
     return _SEPARATORS.sub(" ", (unquote(value) if decode_url else value).casefold()).strip()
 

@@ -25,7 +25,7 @@ def _found(documents: DataFrame, candidates: DataFrame, *, gate: bool = False, c
     """A row for each mention: the document's key, url, normal_url, normalized_name, start, end, and what is known of its sentence."""
     key = document_key(documents)
     docs = documents.select(*key, F.coalesce("url", F.lit("")).alias("url"), F.coalesce("text", F.lit("")).alias("text"))
-    docs = docs.withColumn("normal", normalized(F.col("text"))) if gate else docs.withColumn("normal_url", normalized(F.col("url"), decode_url=True))
+    docs = docs if gate else docs.withColumn("normal_url", normalized(F.col("url"), decode_url=True))
     keep = ["url"] if gate else ["url", "normal_url"]
     rows = sentence_mentions(docs, candidates, key=key, keep=keep, markers=sorted({exact_text(c) for c in countries.values()} - {""}) if countries else (), gate=gate)
     rows = rows.withColumn("m", F.explode(F.arrays_zip("names", "starts", "ends")))

@@ -8,7 +8,7 @@ Names are searched in one of two ways, with equal results:
 - more names meet the texts in an equi-join of word n-grams (`ngram_mentions`); what each text has
   comes back to it as an array, from which the same passes go on.
 
-`name_spans` and `with_names` work on normalised texts. `sentence_mentions` finds names in the
+`name_spans` works on normalised texts, `names_in` on any. `sentence_mentions` finds names in the
 original text, with offsets in it, by sentence.
 """
 
@@ -24,7 +24,7 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.types import StringType
 
-from geoweave.functions.text import exact_text, placed_words, sentence_bounds
+from geoweave.functions.text import exact_text, normalized, placed_words, sentence_bounds
 
 #: About 200 bytes each in a broadcast and in each Python worker.
 MAX_NAMES = 1_000_000
@@ -85,12 +85,12 @@ def name_spans(spark: SparkSession, names: Iterable[str]) -> Callable[[Column],
 
 
 def names_in(spark: SparkSession, names: Iterable[str]) -> Callable[[Column], Column]:
-    """A function of a normalised text column: the different names in it, by first occurrence."""
+    """A function of a text column: the different names in it, by first occurrence. Texts are normalised on the way."""
     shared = spark.sparkContext.broadcast(name_index(names))
 
     @F.pandas_udf("array<string>")
     def found(texts: pd.Series) -> pd.Series:
-        return texts.map(lambda t: names_of(t, shared.value))
+        return texts.map(lambda t: names_of(exact_text(t), shared.value))
 
     return found
 
@@ -115,20 +115,17 @@ def ngram_mentions(texts: DataFrame, names: DataFrame, *, key: str | Sequence[st
     return grams.join(wanted, "name").select(*keys, "name", "position")
 
 
-def name_pairs(texts: DataFrame, names: DataFrame, *, key: Sequence[str], text_col: str, column: str) -> DataFrame:
+def name_pairs(documents: DataFrame, names: DataFrame, *, key: Sequence[str], column: str, text_col: str = "text") -> DataFrame:
     """key and name, once for each text and name in it."""
     few = broadcast_names(names, column)
     if few is not None:
-        return texts.select(*key, F.explode(names_in(texts.sparkSession, few)(F.col(text_col))).alias("name"))
-    return ngram_mentions(texts, names, key=key, text_col=text_col, column=column).select(*key, "name").distinct()
+        return documents.select(*key, F.explode(names_in(documents.sparkSession, few)(F.col(text_col))).alias("name"))
+    texts = documents.select(*key, normalized(F.col(text_col)).alias("normal"))
+    return ngram_mentions(texts, names, key=key, text_col="normal", column=column).select(*key, "name").distinct()
 
 
-def with_names(texts: DataFrame, names: DataFrame, *, key: Sequence[str], text_cols: dict[str, str], column: str) -> DataFrame:
-    """Adds, for each new column -> text column, the different names in it as an array<string>."""
-    few = broadcast_names(names, column)
-    if few is not None:
-        search = names_in(texts.sparkSession, few)
-        return texts.withColumns({new: search(F.col(c)) for new, c in text_cols.items()})
+def with_joined_names(texts: DataFrame, names: DataFrame, *, key: Sequence[str], text_cols: dict[str, str], column: str) -> DataFrame:
+    """Adds, for each new column -> normalised text column, the different names in it as an array<string>. For names of any number."""
     out = texts
     for new, c in text_cols.items():
         found = ngram_mentions(texts, names, key=key, text_col=c, column=column)
@@ -195,9 +192,9 @@ def sentence_mentions(documents: DataFrame, candidates: DataFrame, *, key: Seque
     """documents: key, keep and text. candidates: normalized_name, polygon_id, source_key.
 
     One row for each sentence with a mention: key, keep and the columns of _MENTIONS. Narrow, unless the names are too many to broadcast.
-    gate: only texts whose plain normalisation (column normal) holds a name at all.
+    gate: only texts whose plain normalisation holds a name at all.
     """
-    docs = documents.select(*key, *keep, "text", *(["normal"] if gate else []))
+    docs = documents.select(*key, *keep, "text")
     table = _areas_reached(candidates.where("normalized_name <> ''"))
     rows = table.limit(MAX_NAMES + 1).collect()
     few = len(rows) <= MAX_NAMES
@@ -208,8 +205,8 @@ def sentence_mentions(documents: DataFrame, candidates: DataFrame, *, key: Seque
         shared = docs.sparkSession.sparkContext.broadcast((name_index(reach), reach))
     else:
         if gate:
-            held = ngram_mentions(docs, table, key=key, text_col="normal", column="normalized_name").select(*key).distinct()
-            docs = docs.join(held, list(key), "left_semi").drop("normal")
+            texts = docs.select(*key, normalized(F.col("text")).alias("normal"))
+            docs = docs.join(ngram_mentions(texts, table, key=key, text_col="normal", column="normalized_name").select(*key).distinct(), list(key), "left_semi")
         folded = docs.select(*key, _folded_one_by_one("text").alias("folded"))
         pairs = ngram_mentions(folded, table, key=key, text_col="folded", column="normalized_name").select(*key, F.col("name").alias("normalized_name")).distinct()
         listed = pairs.join(table, "normalized_name").groupBy(*key).agg(F.collect_list(F.struct("normalized_name", "reach")).alias("_names"))
@@ -224,7 +221,6 @@ def sentence_mentions(documents: DataFrame, candidates: DataFrame, *, key: Seque
 
         for b in batches:
             index, found = [], []
-            normal = b.column("normal") if gate and few else None
             listed = b.column("_names") if own else None
             for i, text in enumerate(b.column("text")):
                 if listed is not None:
@@ -232,9 +228,10 @@ def sentence_mentions(documents: DataFrame, candidates: DataFrame, *, key: Seque
                     names = name_index(reach)
                 else:
                     names, reach = shared.value
-                if normal is not None and next(occurrences(normal[i].as_py().split(" "), names), None) is None:
+                value = text.as_py()
+                if gate and few and next(occurrences(exact_text(value).split(" "), names), None) is None:
                     continue
-                each = mentions_by_sentence(text.as_py(), names, reach, markers)
+                each = mentions_by_sentence(value, names, reach, markers)
                 index += [i] * len(each)
                 found += each
                 if len(found) >= ROWS_OUT:

@@ -12,26 +12,30 @@ context (a country or city name) occur:
 | text | name and context in the text |
 | nearby | like text, with at most `max_gap` normalised characters between the closest spans |
 
-Narrow up to the join with the profiles, which Spark broadcasts while they are small. Where a
-rule needs the context in the text, that test comes first and names are searched only then.
+Narrow up to the join with the profiles, which Spark broadcasts while they are small: a text goes
+to Python once, and only documents with a name come back. Where a rule needs the context in the
+text, that test comes first and names are searched only then. Names beyond the broadcast's bound
+come to their texts by a join of word n-grams.
 """
 
 from __future__ import annotations
 
 import re
 from bisect import bisect_right
-from collections.abc import Callable, Sequence
+from collections.abc import Callable, Iterator, Sequence
 
 import pandas as pd
+import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from geoweave.functions.spans import nearest
 from geoweave.functions.text import SENTENCE_BREAK, exact_text, excerpt, has_marker, normalized
 from geoweave.operators.gazetteer import document_identity, document_key, first_of
-from geoweave.operators.matching import name_index, spans_of, with_names
+from geoweave.operators.matching import broadcast_names, name_index, names_of, spans_of, with_joined_names
 
-RULES = ("any_field", "url_or_context", "url_and_text", "text", "nearby")
+#: The rules, and where they need the context whatever the name: in the text, in either field, or not at all.
+GATES = {"any_field": "either", "url_or_context": "none", "url_and_text": "text", "text": "text", "nearby": "text"}
 ORDER = ["row_index", "normalized_name", "polygon_id"]
 _BREAK = re.compile(SENTENCE_BREAK)
 
@@ -58,8 +62,9 @@ def _sentence_at(text: str) -> Callable[[int], str]:
     return told
 
 
-def nearest_context(text: str, normal: str, names: Sequence[str], marker: str, max_gap: int) -> list[dict]:
+def nearest_context(text: str, names: Sequence[str], marker: str, max_gap: int) -> list[dict]:
     """For each name whose closest span is near enough to the marker: gap, and the sentences in which the two spans begin."""
+    normal = exact_text(text)
     context = [s for s, _, _ in spans_of(normal, name_index([marker]))]
     own: dict[str, list[int]] = {n: [] for n in names}
     for start, _, name in spans_of(normal, name_index(names)):
@@ -73,10 +78,33 @@ def nearest_context(text: str, normal: str, names: Sequence[str], marker: str, m
     return out
 
 
+def _searched(docs: DataFrame, names: Sequence[str], marker: str, gate: str) -> DataFrame:
+    """Adds context_in_text, context_in_url, text_names and url_names; only documents that pass the gate and have a name."""
+    shared = docs.sparkSession.sparkContext.broadcast(name_index(names))
+    kinds = [("context_in_text", "boolean", pa.bool_()), ("context_in_url", "boolean", pa.bool_()), *((c, "array<string>", pa.list_(pa.string())) for c in ("text_names", "url_names"))]
+    columns = docs.columns
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for b in batches:
+            index, found = [], []
+            for i, (text, url) in enumerate(zip(b.column("text"), b.column("url"), strict=True)):
+                normal, normal_url = exact_text(text.as_py()), exact_text(url.as_py(), True)
+                in_text, in_url = (f" {marker} " in f" {x} " for x in (normal, normal_url))
+                if in_text or gate == "none" or in_url and gate == "either":
+                    row = in_text, in_url, names_of(normal, shared.value), names_of(normal_url, shared.value)
+                    if row[2] or row[3]:
+                        index.append(i)
+                        found.append(row)
+            made = list(zip(*found, strict=True)) or [()] * len(kinds)
+            yield pa.RecordBatch.from_arrays([*b.take(pa.array(index, pa.int64())).columns, *(pa.array(c, t) for c, (_, _, t) in zip(made, kinds, strict=True))], names=[*columns, *(k for k, _, _ in kinds)])
+
+    return docs.mapInArrow(run, ", ".join(f"`{n}` {t}" for n, t in [*docs.dtypes, *((n, t) for n, t, _ in kinds)]))
+
+
 def evidence(documents: DataFrame, profiles: DataFrame, *, rule: str, context: str, max_gap: int = 500, mode: str = "auto") -> DataFrame:
     """One row for each accepted document and area, with the columns of the rule's evidence."""
-    if rule not in RULES:
-        raise ValueError(f"rule must be one of {', '.join(RULES)}")
+    if rule not in GATES:
+        raise ValueError(f"rule must be one of {', '.join(GATES)}")
     if max_gap < 0:
         raise ValueError("max_gap must not be negative")
     marker = exact_text(context)
@@ -84,14 +112,16 @@ def evidence(documents: DataFrame, profiles: DataFrame, *, rule: str, context: s
         raise ValueError("context must not be empty")
     key = document_key(documents)
     docs = documents.select(*key, F.col("document_id").cast("string").alias("document_id"), F.coalesce("text", F.lit("")).alias("text"), F.coalesce("url", F.lit("")).alias("url"))
-    docs = docs.withColumns({"normal_text": normalized(F.col("text"), mode=mode), "normal_url": normalized(F.col("url"), decode_url=True)})
-    docs = docs.withColumns({"context_in_text": has_marker(F.col("normal_text"), F.lit(marker)), "context_in_url": has_marker(F.col("normal_url"), F.lit(marker))})
-    if rule in ("url_and_text", "text", "nearby"):
-        docs = docs.where("context_in_text")
-    elif rule == "any_field":
-        docs = docs.where("context_in_text OR context_in_url")
     named = profiles.where("normalized_name <> ''").select("polygon_id", "name", "normalized_name")
-    docs = with_names(docs, named, key=key, text_cols={"text_names": "normal_text", "url_names": "normal_url"}, column="normalized_name")
+    few = broadcast_names(named, "normalized_name")
+    gate = GATES[rule]
+    if few is not None:
+        docs = _searched(docs, few, marker, gate)
+    else:
+        docs = docs.withColumns({"normal_text": normalized(F.col("text"), mode=mode), "normal_url": normalized(F.col("url"), decode_url=True)})
+        docs = docs.withColumns({"context_in_text": has_marker(F.col("normal_text"), F.lit(marker)), "context_in_url": has_marker(F.col("normal_url"), F.lit(marker))})
+        docs = docs.where({"text": "context_in_text", "either": "context_in_text OR context_in_url", "none": "true"}[gate])
+        docs = with_joined_names(docs, named, key=key, text_cols={"text_names": "normal_text", "url_names": "normal_url"}, column="normalized_name")
     accepted = {
         "any_field": F.array_union("text_names", "url_names"),
         "url_or_context": F.array_union("url_names", F.when(F.col("context_in_text"), F.col("text_names")).otherwise(F.array().cast("array<string>"))),
@@ -103,10 +133,10 @@ def evidence(documents: DataFrame, profiles: DataFrame, *, rule: str, context: s
     if rule == "nearby":
 
         @F.pandas_udf("array<struct<name:string,gap:int,name_sentence:string,context_sentence:string>>")
-        def near(texts: pd.Series, normals: pd.Series, names: pd.Series) -> pd.Series:
-            return pd.Series([nearest_context(*row, marker, max_gap) for row in zip(texts, normals, (list(n) for n in names), strict=True)], index=texts.index, dtype=object)
+        def near(texts: pd.Series, names: pd.Series) -> pd.Series:
+            return pd.Series([nearest_context(t, list(n), marker, max_gap) for t, n in zip(texts, names, strict=True)], index=texts.index, dtype=object)
 
-        rows = docs.where(F.size("text_names") > 0).withColumn("pair", F.explode(near("text", "normal_text", "text_names"))).withColumn("normalized_name", F.col("pair.name"))
+        rows = docs.where(F.size("text_names") > 0).withColumn("pair", F.explode(near("text", "text_names"))).withColumn("normalized_name", F.col("pair.name"))
         shown = [F.col("pair.name_sentence").alias("polygon_name_sentence"), F.col("pair.context_sentence").alias("country_name_sentence"), F.col("pair.gap").alias("name_country_distance")]
     else:
         rows = docs.withColumn("normalized_name", F.explode(accepted))

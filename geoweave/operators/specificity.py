@@ -13,9 +13,9 @@ FREQUENCY_RATIO = 0.001
 MIN_LETTERS = 3
 
 
-def document_frequency(texts: DataFrame, names: DataFrame, *, text_col: str = "normal", column: str = "normalized_name") -> DataFrame:
-    """texts: rows of documents, with their key. normalized_name, document_frequency: in how many rows each name occurs; names that occur nowhere have zero."""
-    each = name_pairs(texts, names, key=document_key(texts), text_col=text_col, column=column).withColumnRenamed("name", column)
+def document_frequency(documents: DataFrame, names: DataFrame, *, column: str = "normalized_name") -> DataFrame:
+    """normalized_name, document_frequency: in how many documents each name occurs; names that occur nowhere have zero."""
+    each = name_pairs(documents, names, key=document_key(documents), column=column).withColumnRenamed("name", column)
     counts = each.groupBy(column).agg(F.count("*").alias("document_frequency"))
     return names.select(column).distinct().join(counts, column, "left").select(column, F.coalesce("document_frequency", F.lit(0)).cast("long").alias("document_frequency"))
 
@@ -42,11 +42,11 @@ def letters(normal: Column) -> Column:
     return F.length(F.regexp_replace(normal, "[^\\p{L}]", ""))
 
 
-def name_inventory(areas: DataFrame, texts: DataFrame | None, countries: dict[str, str], *, documents: int = 0, ratio: float = FREQUENCY_RATIO, frequencies: DataFrame | None = None) -> DataFrame:
+def name_inventory(areas: DataFrame, documents: DataFrame | None, countries: dict[str, str], *, total: int = 0, ratio: float = FREQUENCY_RATIO, frequencies: DataFrame | None = None) -> DataFrame:
     """One row a normalised name: its candidates and the decision about it.
 
     countries: source_key -> country. A name that equals the country of any of its own sources is
-    discarded. texts (column normal) give the frequencies unless these are given; with neither, they are zero.
+    discarded. documents give the frequencies unless these are given; with neither, they are zero. total: how many documents there are.
     """
     spark: SparkSession = areas.sparkSession
     candidates = candidate_names(areas)
@@ -58,14 +58,14 @@ def name_inventory(areas: DataFrame, texts: DataFrame | None, countries: dict[st
         F.countDistinct("polygon_id").cast("long").alias("polygon_count"),
         own,
     )
-    if frequencies is None and texts is not None:
-        frequencies = document_frequency(texts, grouped.where(letters(F.col("normalized_name")) >= MIN_LETTERS))
+    if frequencies is None and documents is not None:
+        frequencies = document_frequency(documents, grouped.where(letters(F.col("normalized_name")) >= MIN_LETTERS))
     if frequencies is not None:
         grouped = grouped.join(frequencies.select("normalized_name", "document_frequency"), "normalized_name", "left")
     else:
         grouped = grouped.withColumn("document_frequency", F.lit(0))
     grouped = grouped.withColumns({"document_frequency": F.coalesce("document_frequency", F.lit(0)).cast("long"), "letter_count": letters(F.col("normalized_name")).cast("long")})
-    cutoff = lexical_cutoff(documents, ratio)
+    cutoff = lexical_cutoff(total, ratio)
     reason = (
         F.when(F.col("letter_count") == 0, "no_letters")
         .when(F.col("letter_count") < MIN_LETTERS, "too_few_letters")
@@ -85,7 +85,3 @@ def searchable(inventory: DataFrame) -> DataFrame:
 
 def decision_counts(inventory: DataFrame) -> DataFrame:
     return inventory.groupBy("decision", "reason").agg(F.count("*").alias("names"))
-
-
-def normal_texts(documents: DataFrame, mode: str = "auto") -> DataFrame:
-    return documents.withColumn("normal", normalized(F.col("text"), mode=mode))

@@ -58,7 +58,7 @@ def topic_terms(frame: DataFrame, vocabulary: Vocabulary, text_col: str = "text"
     rows = vocabulary.rows()
     known = F.create_map(*(F.lit(x) for n, t, c in rows for x in (n, f"{t}\u001f{c}")))
     # of terms that begin at the same word the shorter one comes first
-    names = names_in(frame.sparkSession, [r[0] for r in rows])(normalized(F.col(text_col)))
+    names = names_in(frame.sparkSession, [r[0] for r in rows])(F.col(text_col))
     split = lambda n, i: F.split(F.element_at(known, n), "\u001f")[i]
     return frame.withColumn(out, F.transform(names, lambda n: F.struct(split(n, 0).alias("term"), split(n, 1).alias("category"))))
 

@@ -25,7 +25,7 @@ def run_profiles(areas: DataFrame, documents: DataFrame, version: RetrievalVersi
         return gazetteer.one_per_name(found)
     occurrences = gazetteer.name_occurrences(found)  # before names are merged
     once = gazetteer.one_per_name(found)
-    frequencies = specificity.document_frequency(specificity.normal_texts(documents), once)
+    frequencies = specificity.document_frequency(documents, once)
     cutoff = specificity.retrieval_cutoff(documents.count(), ratio)
     return specificity.specific_profiles(once, occurrences, frequencies, country=country, cutoff=cutoff)
 
@@ -53,7 +53,7 @@ def find_candidates(documents: DataFrame, areas: DataFrame, version: str, *, cou
         return lexical.mentions(documents, areas)
     if version not in ("v2", "v3"):
         raise ValueError("lexical version must be v1, v2 or v3")
-    inventory = specificity.name_inventory(areas, specificity.normal_texts(documents), dict(countries), documents=documents.count(), ratio=ratio)
+    inventory = specificity.name_inventory(areas, documents, dict(countries), total=documents.count(), ratio=ratio)
     if version == "v2":
         return lexical.classed_mentions(documents, areas, inventory)
     return lexical.scored_mentions(documents, areas, inventory, dict(countries))

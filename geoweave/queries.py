@@ -67,7 +67,7 @@ def gazetteer_dedup(spark: SparkSession, d: str) -> DataFrame:
 
 
 def doc_frequency(spark: SparkSession, d: str) -> DataFrame:
-    return specificity.document_frequency(specificity.normal_texts(shard(spark, d)), gazetteer.one_per_name(gazetteer.meaningful_profiles(areas(spark, d))))
+    return specificity.document_frequency(shard(spark, d), gazetteer.one_per_name(gazetteer.meaningful_profiles(areas(spark, d))))
 
 
 def specific_names(spark: SparkSession, d: str) -> DataFrame:
@@ -117,7 +117,7 @@ def classified_topics(spark: SparkSession, d: str) -> DataFrame:
 
 def name_inventory(spark: SparkSession, d: str) -> DataFrame:
     docs = shard(spark, d)
-    found = specificity.name_inventory(areas(spark, d), specificity.normal_texts(docs), COUNTRIES, documents=docs.count())
+    found = specificity.name_inventory(areas(spark, d), docs, COUNTRIES, total=docs.count())
     return found.select("normalized_name", "polygon_count", "document_frequency", "letter_count", "country_name", "reason", "decision", F.size("candidates").cast("long").alias("candidates"))
 
 

@@ -1,6 +1,7 @@
 """Normalisation, sentences, spans and geometry."""
 
 import unicodedata
+from urllib.parse import unquote
 
 import pytest
 from hypothesis import given, settings
@@ -37,6 +38,14 @@ def test_exact_is_idempotent(value):
     assert text.exact_text(once) == once or any(ord(c) > 0x17F for c in once)
 
 
+@settings(deadline=None, max_examples=500)
+@given(st.text(st.one_of(st.characters(max_codepoint=0x24F), st.sampled_from("‘’“”–—‐%4é́ﬁ")), max_size=40), st.booleans())
+def test_bytes_equal_the_definition(value, decode):
+    folded = unicodedata.normalize("NFKC", value)
+    folded = (unquote(folded) if decode else folded).casefold()
+    assert text.exact_text(value, decode) == " ".join("".join(c if c.isalnum() else " " for c in folded).split())
+
+
 def test_fast_equals_exact_on_plain_texts(spark, sf_dir):
     docs = spark.read.parquet(f"{sf_dir}/documents.parquet")
     both = docs.select(text.normalized(F.col("text"), mode="fast").alias("a"), text.normalized(F.col("text"), mode="exact").alias("b"))

@@ -59,7 +59,7 @@ def test_tiers(spark, world):
 def test_nearby(spark):
     a = areas(spark, ("n", "North Gate", ["Frost Gate"]), ("n", "South Gate", []))
     d = docs(spark, ("North Gate is old. Some say Frost Gate. Far off. South Gate too.", ""), ("South Gate. Norland! Frost Gate.", ""), ("South Gate, then Frost Gate.", ""))
-    inventory = specificity.name_inventory(a, None, COUNTRIES, documents=1)
+    inventory = specificity.name_inventory(a, None, COUNTRIES, total=1)
     rows = {(r.row_index, r.matched_alias): r for r in lexical.scored_mentions(d, a, inventory, COUNTRIES).collect()}
     signs = lambda i, name: (rows[i, name].same_polygon_alias_nearby, rows[i, name].other_polygon_name_nearby, rows[i, name].country_in_context)
     assert signs(0, "North Gate") == signs(0, "Frost Gate") == (True, False, False) and signs(0, "South Gate") == (False, False, False)

@@ -6,6 +6,7 @@ from hypothesis import strategies as st
 from pyspark.sql import functions as F
 
 from geoweave.functions import spans
+from geoweave.functions.text import normalized
 from geoweave.operators import gazetteer, matching, retrieval, specificity
 from geoweave.plans import runs, versions
 
@@ -93,13 +94,13 @@ def test_specific_names(spark):
 
 def test_inventory_decisions(spark):
     a = areas(spark, ("m", "A", []), ("m", "2", []), ("m", "Cat", ["Cat", "CAT"]), ("m", "Norland", []), ("l", "Norland", []), ("m", "Central", []), ("l", "Central", []), ("m", "Foo%20Bar", []))
-    rows = {r.normalized_name: r for r in specificity.name_inventory(a, None, {"m": "Norland", "l": "Liechtenstein"}, documents=1000).collect()}
+    rows = {r.normalized_name: r for r in specificity.name_inventory(a, None, {"m": "Norland", "l": "Liechtenstein"}, total=1000).collect()}
     assert {n: r.reason for n, r in rows.items()} == {"a": "too_few_letters", "2": "no_letters", "cat": "specific", "norland": "country_name", "central": "osm_reuse", "foo 20bar": "specific"}
     assert [c.alias for c in rows["cat"].candidates] == ["CAT", "Cat"]
 
 
 def test_both_matching_strategies_agree(spark, sf_dir):
-    texts = specificity.normal_texts(spark.read.parquet(f"{sf_dir}/documents.parquet"))
+    texts = spark.read.parquet(f"{sf_dir}/documents.parquet").withColumn("normal", normalized(F.col("text")))
     names = ["the", "and the", "thing", "the the", "of the and"]
     frame = spark.createDataFrame([(n,) for n in names], "name string")
     search = matching.name_spans(spark, names)
