@@ -30,15 +30,21 @@ _CHANGED = re.compile(b"[\xa8\xaa\xaf\xb2-\xb5\xb8-\xba\xbc-\xbe]")
 _SIGNS = re.compile("[\u2010\u2012-\u2015\u2018-\u201f]")
 
 
+def _latin_bytes(value: str) -> bytes | None:
+    """One byte a character if normalising changes no more than case, sharp s and separators; else None."""
+    try:
+        raw = (value if value.isascii() else _SIGNS.sub(" ", value)).encode("latin-1")
+    except UnicodeEncodeError:
+        return None
+    return None if _CHANGED.search(raw) else raw
+
+
 def exact_text(value: str | None, decode_url: bool = False) -> str:
     if not value:
         return ""
     if not decode_url or "%" not in value:
-        try:
-            raw = (value if value.isascii() else _SIGNS.sub(" ", value)).encode("latin-1")
-        except UnicodeEncodeError:
-            raw = None
-        if raw is not None and not _CHANGED.search(raw):
+        raw = _latin_bytes(value)
+        if raw is not None:
             return b" ".join(raw.replace(b"\xdf", b"ss").translate(_LATIN).split()).decode("latin-1")
     value = unicodedata.normalize("NFKC", value)
     return _SEPARATORS.sub(" ", (unquote(value) if decode_url else value).casefold()).strip()
@@ -121,23 +127,33 @@ class _Folds(dict):
 
 
 _FOLDS = _Folds()
-_WORD = re.compile("[^ ]+")
 
 
-def placed_words(text: str) -> tuple[list[str], list[int], list[int]]:
-    """The words of a text whose characters are folded one by one, and where each begins and ends in the text itself.
+class PlacedWords:
+    """The words of a text whose characters are folded one by one, and where they are in the text itself.
 
-    Texts in which no character becomes several are translated as a whole, and positions stay; for
-    others the sizes of the folded characters lead back to the text.
+    Words come from one translation of the text. Positions are only worked out when they are asked
+    for: from the word bounds in the folded text, and the sizes of the characters that fold to several.
     """
-    folded = text.translate(_FOLDS)
-    found = list(_WORD.finditer(folded))
-    words, first, last = [m[0] for m in found], [m.start() for m in found], [m.end() for m in found]
-    if len(folded) != len(text):
-        ends = np.cumsum([len(_FOLDS[ord(c)]) for c in text])
-        first = np.searchsorted(ends, first, "right").tolist()
-        last = (np.searchsorted(ends, np.array(last, np.int64) - 1, "right") + 1).tolist()
-    return words, first, last
+
+    def __init__(self, text: str):
+        self.text = text
+        raw = _latin_bytes(text)
+        self.wide = np.frombuffer(raw, np.uint8) == 0xDF if raw is not None and b"\xdf" in raw else None
+        self.folded = raw.replace(b"\xdf", b"ss").translate(_LATIN).decode("latin-1") if raw is not None else text.translate(_FOLDS)
+        self.latin = raw is not None
+        self.words = self.folded.split()
+
+    def bounds(self) -> tuple[np.ndarray, np.ndarray]:
+        """For each word the index of its first character in the text, and that after its last."""
+        letters = np.frombuffer(self.folded.encode("utf-32-le"), np.uint32) != 0x20
+        edges = np.flatnonzero(np.diff(letters, prepend=False, append=False))
+        first, last = edges[::2], edges[1::2]
+        if len(self.folded) == len(self.text):
+            return first, last
+        sizes = 1 + self.wide if self.latin else np.array([len(_FOLDS[ord(c)]) for c in self.text])
+        ends = np.cumsum(sizes)
+        return np.searchsorted(ends, first, "right"), np.searchsorted(ends, last - 1, "right") + 1
 
 
 _TERMINAL = re.compile(r"[.!?]+(?=\s|$)")

@@ -24,7 +24,7 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.types import StringType
 
-from geoweave.functions.text import exact_text, normalized, placed_words, sentence_bounds
+from geoweave.functions.text import PlacedWords, exact_text, normalized, sentence_bounds
 
 #: About 200 bytes each in a broadcast and in each Python worker.
 MAX_NAMES = 1_000_000
@@ -44,12 +44,10 @@ def name_index(names: Iterable[str]) -> Index:
     return dict(out)
 
 
-def occurrences(words: Sequence[str], index: Index) -> Iterator[tuple[int, int, str]]:
+def occurrences(words: Sequence[str], index: Index) -> list[tuple[int, int, str]]:
     """(first word, number of words, name) of all names, from left to right."""
-    for i, word in enumerate(words):
-        for own, name in index.get(word, ()):
-            if words[i : i + len(own)] == own:
-                yield i, len(own), name
+    begins = [i for i, word in enumerate(words) if word in index]
+    return [(i, len(own), name) for i in begins for own, name in index[words[i]] if len(own) == 1 or words[i : i + len(own)] == own]
 
 
 def names_of(text: str | None, index: Index) -> list[str]:
@@ -160,12 +158,17 @@ def mentions_by_sentence(text: str, index: Index, reach: Reach | None = None, ma
     inside, around: the markers in the sentence, and in it with one neighbour on each side.
     near, reach: the names in these sentences, and over them the least and largest area of each source.
     """
-    words, first, last = placed_words(text)
+    placed = PlacedWords(text)
+    places = occurrences(placed.words, index)
+    if not places:
+        return []
+    first, last = placed.bounds()
     bounds = sentence_bounds(text)
     starts = [a for a, _ in bounds]
     by_sentence: dict[int, list[tuple[int, int, str]]] = defaultdict(list)
-    for i, k, name in occurrences(words, index):
-        by_sentence[bisect_right(starts, first[i]) - 1].append((first[i], last[i + k - 1], name))
+    for i, k, name in places:
+        start = int(first[i])
+        by_sentence[bisect_right(starts, start) - 1].append((start, int(last[i + k - 1]), name))
     told = {i: {name for _, _, name in found} for i, found in by_sentence.items()}
     out = []
     for i, found in sorted(by_sentence.items()):
@@ -185,7 +188,7 @@ def _areas_reached(candidates: DataFrame) -> DataFrame:
 
 @F.pandas_udf(StringType())
 def _folded_one_by_one(texts: pd.Series) -> pd.Series:
-    return texts.map(lambda t: " ".join(placed_words(t)[0]))
+    return texts.map(lambda t: " ".join(PlacedWords(t).words))
 
 
 def sentence_mentions(documents: DataFrame, candidates: DataFrame, *, key: Sequence[str], keep: Sequence[str] = (), markers: Sequence[str] = (), gate: bool = False) -> DataFrame:
@@ -229,7 +232,7 @@ def sentence_mentions(documents: DataFrame, candidates: DataFrame, *, key: Seque
                 else:
                     names, reach = shared.value
                 value = text.as_py()
-                if gate and few and next(occurrences(exact_text(value).split(" "), names), None) is None:
+                if gate and few and not occurrences(exact_text(value).split(" "), names):
                     continue
                 each = mentions_by_sentence(value, names, reach, markers)
                 index += [i] * len(each)

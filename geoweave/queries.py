@@ -16,6 +16,7 @@ from geoweave.functions import geometry
 from geoweave.functions.text import normalized, sentences, terminal_sentences
 from geoweave.operators import classify, gazetteer, lexical, retrieval, specificity, topics
 from geoweave.plans import runs, versions
+from geoweave.sources.tables import spread
 
 COUNTRIES = {"alpha": "thtion", "beta": "nicht"}
 CONTEXT = COUNTRIES["alpha"]
@@ -25,7 +26,7 @@ VOCABULARY = topics.Vocabulary({"land_use": ["ertion", "thing"], "soil_surface":
 
 
 def _table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
-    return spark.read.parquet(f"{sf_dir}/{name}.parquet")
+    return spread(spark.read.parquet(f"{sf_dir}/{name}.parquet"))
 
 
 def shard(spark: SparkSession, sf_dir: str) -> DataFrame:

@@ -19,6 +19,12 @@ def require_columns(frame: DataFrame, columns: Sequence[str]) -> None:
         raise ValueError(f"missing columns: {', '.join(missing)}")
 
 
+def spread(rows: DataFrame) -> DataFrame:
+    """Rows of a few large partitions dealt anew, so that all cores have some. Inputs with a partition for each core stay as they are."""
+    cores = rows.sparkSession.sparkContext.defaultParallelism
+    return rows.repartition(cores) if rows.rdd.getNumPartitions() < cores else rows
+
+
 def read_documents(spark: SparkSession, path: str) -> DataFrame:
     """shard (the file), row_index in it, document_id, text, url of Parquet shards; only these columns are read. The column id is optional."""
     rows = spark.read.parquet(path)
