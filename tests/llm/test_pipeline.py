@@ -5,8 +5,8 @@ from pyspark.sql import functions as F
 import corpus_pipeline
 from geoweave.llm import decontamination, packing, secrets, simhash, toxicity
 from geoweave.llm.common import saved
+from tests.llm.test_near_copies import brute_kept
 from tests.llm.test_packing import PATH, check_packing
-from tests.llm.test_simhash import brute_components, brute_fingerprint
 
 
 def test_each_stage(spark, sf_dir):
@@ -24,8 +24,7 @@ def test_each_stage(spark, sf_dir):
             bad = {d for d, t in rows.items() if float(model.scores([toxicity.counts_of(model.grammar(), t)])[0]) >= 0.7}
             assert bad and {r.doc_id for r in docs.collect()} == set(rows) - bad
         if name == "simhash":
-            ids = list(rows)
-            assert sorted(r.doc_id for r in docs.collect()) == sorted(set(brute_components(ids, [brute_fingerprint(rows[i]) for i in ids])))
+            assert sorted(r.doc_id for r in docs.collect()) == brute_kept(list(rows.items()))
         if name == "decontamination":
             report = decontamination.contamination_report(decontamination.find_contamination(before, benchmark))
             assert sorted(r.doc_id for r in docs.collect()) == sorted(r.doc_id for r in report.where("not contaminated").collect())
