@@ -2,15 +2,24 @@
 
 Three kinds of spans are searched in a text: assignments of long values to telling names,
 access key ids, and long runs of hexadecimal digits. The text is the first layer of a worklist.
-From each layer, encoded fragments are unwrapped into new layers: lines and tokens with URL
-escapes or Unicode escapes, base64 runs, and compressed bytes (gzip, zlib, bzip2, xz) found
-under base64 (of all four phases, and over line ends; bytes that are no UTF-8 count as Latin-1).
-Every character of a layer knows the span of the original text it came from, so
-that findings in a layer map to spans of the text. The worklist runs to its fixpoint; a layer
-whose content has been seen over the same span is not entered again, which ends cycles.
+From each layer, new layers are unwrapped:
 
-A layer that would unpack to more than MAX_LAYER bytes is not unpacked: its whole fragment is a
-finding of the kind `opaque`, so that nothing is passed over silently.
+- the whole layer with its URL and Unicode escapes replaced; an escape whose result opens another
+  escape is followed on the spot, so that repeated escaping costs its length, not its square;
+- base64 runs, also over line ends and of all four phases;
+- compressed streams (gzip, zlib, bzip2, xz) that begin anywhere in decoded bytes, also several
+  of them and cut ones, in pieces of about PIECE bytes that overlap by OVERLAP;
+- text of two bytes a character, without the zero bytes between.
+
+All patterns are ASCII, so that bytes are read as Latin-1, one character a byte; nothing has to
+be valid. Each layer knows for its characters the span of the original text that they came
+from, as a function that asks the layer above, so that findings map to spans of the text and layers hold
+no tables but for escapes. All that comes from one compressed stream has the span of the stream.
+The worklist runs to its fixpoint; a layer whose content has been seen over the same span is not
+entered again, which ends cycles.
+
+A text whose streams unpack to more than MAX_UNPACKED bytes together (a bomb) is not unpacked further:
+the stream at hand is a finding of the kind `opaque`, so that nothing is passed over silently.
 
 Narrow: one pass over the documents, no shuffle. Spans are code points, end exclusive.
 
@@ -26,7 +35,9 @@ import hashlib
 import lzma
 import re
 import zlib
-from collections.abc import Iterator
+from array import array
+from collections.abc import Callable, Iterator, Sequence
+from dataclasses import dataclass
 
 import pandas as pd
 import pyarrow as pa
@@ -36,7 +47,10 @@ from pyspark.sql import functions as F
 from geoweave.llm.common import fresh_name, id_and_text, sha256_text
 
 KINDS = ("assign", "access", "hex", "opaque")
-MAX_LAYER = 64 << 20
+#: Bytes that the streams of one text unpack to at most, and that one layer of them holds.
+MAX_UNPACKED = 1 << 30
+PIECE = 8 << 20
+OVERLAP = 1 << 16
 #: Shorter base64 runs cannot hold any finding.
 MIN_BASE64 = 16
 
@@ -44,19 +58,20 @@ _NAMES = ("password", "passwd", "secret", "token", "apikey", "api_key")
 _ASSIGN = re.compile(r"""(password|passwd|secret|token|api_?key)["']?\x20*[:=]\x20*["']?([A-Za-z0-9+/_.=-]+)""", re.IGNORECASE | re.ASCII)
 _ACCESS = re.compile(r"AKIA[A-Z0-9]+")
 _HEX = re.compile(r"[0-9a-f]{16,}")
-#: A finding may reach over spaces, but not over line ends.
-_PARTS = (re.compile(r"[^\n]+"), re.compile(r"\S+"))
-_URL_RUN = re.compile(r"(?:%[0-9A-Fa-f]{2})+")
-_ESCAPE_RUN = re.compile(r"(?:\\(?:u[0-9A-Fa-f]{4}|U[0-9A-Fa-f]{8}|x[0-9A-Fa-f]{2}))+")
-_ESCAPE = re.compile(r"\\(?:u([0-9A-Fa-f]{4})|U([0-9A-Fa-f]{8})|x([0-9A-Fa-f]{2}))")
+_AFTER = {"%": r"([0-9A-Fa-f]{2})", "\\": r"(?:u([0-9A-Fa-f]{4})|U([0-9A-Fa-f]{8})|x([0-9A-Fa-f]{2}))"}
+_ESCAPE = re.compile("|".join(re.escape(sign) + rest for sign, rest in _AFTER.items()))
+#: What must follow a decoded sign for it to open another escape.
+_OPENED = {ord(sign): re.compile(rest) for sign, rest in _AFTER.items()}
+_LOW_SURROGATE = re.compile(r"\\u([Dd][C-Fc-f][0-9A-Fa-f]{2})")
 _BASE64 = re.compile(r"[A-Za-z0-9+/_-]{%d,}={0,2}" % MIN_BASE64)
 #: Runs of which all lines but the last could be runs themselves.
 _WRAPPED = re.compile(r"(?<![A-Za-z0-9+/_-])(?:[A-Za-z0-9+/_-]{%d,}+\r?\n[\x20\t]*)+[A-Za-z0-9+/_-]+={0,2}" % MIN_BASE64)
+_MAGIC = re.compile(r"\x1f\x8b\x08|\x78[\x01\x5e\x9c\xda]|BZh[1-9]1AY|\xfd7zXZ\x00")
 #: Bytes without any such run hold no finding and nothing to unwrap.
-_TELLING = re.compile(rb"[A-Za-z0-9+/_.=-]{12,}|%[0-9A-Fa-f]{2}|\\[uUx][0-9A-Fa-f]{2}")
-_MAGIC = re.compile(rb"\x1f\x8b|\x78|BZh|\xfd7zXZ\x00")
+_TELLING = re.compile(rb"[A-Za-z0-9+/_.=-]{12,}|%[0-9A-Fa-f]{2}|\\[uUx][0-9A-Fa-f]{2}|\x1f\x8b\x08|\x78[\x01\x5e\x9c\xda]|BZh[1-9]1AY|\xfd7zXZ\x00|(?:[\x20-\x7e]\x00){12}")
 
 Span = tuple[int, int, int]  # start, number of the kind, end
+Place = Callable[[int], int]
 
 
 def plain_spans(text: str) -> list[Span]:
@@ -71,170 +86,141 @@ def plain_spans(text: str) -> list[Span]:
     return out
 
 
+@dataclass(frozen=True)
 class Layer:
-    """Text or bytes, and for each character or byte the span of the original text."""
-
-    __slots__ = ("content", "lo", "hi")
-
-    def __init__(self, content: str | bytes, lo: list[int], hi: list[int]):
-        self.content, self.lo, self.hi = content, lo, hi
-
-    def key(self) -> tuple[bool, bytes, int, int]:
-        is_text = isinstance(self.content, str)
-        raw = self.content.encode("utf-8", "surrogatepass") if is_text else self.content
-        return is_text, hashlib.sha256(raw).digest(), self.lo[0], self.hi[-1]
-
-
-def _as_text(raw: bytes, lo: list[int], hi: list[int], strict: bool) -> Layer | None:
-    """Bytes as UTF-8. Not strict: bytes that are no UTF-8 become replacement characters."""
-    if strict:
-        try:
-            text = raw.decode()
-        except UnicodeDecodeError:
-            return None
-        if sum(c < " " and c not in "\t\n\r" for c in text) * 10 > len(text):
-            return None
-        if len(text) == len(raw):
-            return Layer(text, lo, hi)
-    chars, los, his, at = [], [], [], 0
-    while at < len(raw):
-        size = 1 if raw[at] < 0xC0 else 2 if raw[at] < 0xE0 else 3 if raw[at] < 0xF0 else 4
-        try:
-            c = raw[at : at + size].decode()
-        except UnicodeDecodeError:
-            c, size = "�", 1
-        chars.append(c)
-        los.append(lo[at])
-        his.append(hi[at + size - 1])
-        at += size
-    return Layer("".join(chars), los, his)
-
-
-def _unescaped(text: str, lo: list[int], hi: list[int], runs: re.Pattern, decode) -> Layer:
-    """The token with its runs of escapes replaced by what they stand for."""
-    chars, los, his, at = [], [], [], 0
-    for m in runs.finditer(text):
-        chars += text[at : m.start()]
-        los += lo[at : m.start()]
-        his += hi[at : m.start()]
-        inner = decode(m.group(), lo[m.start() : m.end()], hi[m.start() : m.end()])
-        chars += inner.content
-        los += inner.lo
-        his += inner.hi
-        at = m.end()
-    return Layer("".join(chars) + text[at:], los + lo[at:], his + hi[at:])
-
-
-def _url_run(run: str, lo: list[int], hi: list[int]) -> Layer:
-    return _as_text(bytes.fromhex(run.replace("%", "")), lo[::3], hi[2::3], False)
-
-
-def _escape_run(run: str, lo: list[int], hi: list[int]) -> Layer:
-    units = [(int(m.group(1) or m.group(2) or m.group(3), 16), lo[m.start()], hi[m.end() - 1]) for m in _ESCAPE.finditer(run)]
-    chars, los, his, i = [], [], [], 0
-    while i < len(units):
-        code, a, b = units[i]
-        if 0xD800 <= code < 0xDC00 and i + 1 < len(units) and 0xDC00 <= units[i + 1][0] < 0xE000:
-            code, b, i = 0x10000 + (code - 0xD800 << 10) + units[i + 1][0] - 0xDC00, units[i + 1][2], i + 1
-        chars.append("�" if code > 0x10FFFF or 0xD800 <= code < 0xE000 else chr(code))
-        los.append(a)
-        his.append(b)
-        i += 1
-    return Layer("".join(chars), los, his)
-
-
-def _base64_bytes(body: str) -> bytes:
-    """What a run without its padding holds; a last character that is no whole byte goes."""
-    body = body[: len(body) - (len(body) % 4 == 1)]
-    return base64.b64decode(body.replace("-", "+").replace("_", "/") + "=" * (-len(body) % 4))
-
-
-def _unpacked(raw: bytes) -> bytes | None:
-    """What compressed bytes hold, stream after stream, and the bytes after the last; None if they are not compressed.
-
-    OverflowError: more than MAX_LAYER.
-    """
-    out, rest = b"", raw
-    while _packed(rest):
-        if rest[:2] == b"\x1f\x8b":
-            unpack = zlib.decompressobj(31)
-        elif rest[:1] == b"\x78":
-            unpack = zlib.decompressobj()
-        else:
-            unpack = bz2.BZ2Decompressor() if rest[:3] == b"BZh" else lzma.LZMADecompressor()
-        try:
-            out += unpack.decompress(rest, MAX_LAYER + 1 - len(out))
-        except (zlib.error, OSError, EOFError, ValueError, lzma.LZMAError):
-            break
-        if len(out) > MAX_LAYER:
-            raise OverflowError
-        rest = unpack.unused_data.lstrip(b"\0") if unpack.eof else b""
-    return None if rest is raw else out + rest
-
-
-def _children(layer: Layer, found: set[Span]) -> Iterator[Layer]:
-    if isinstance(layer.content, bytes):
-        whole = layer.lo[0], layer.hi[-1]
-        try:
-            inner = _unpacked(layer.content)
-        except OverflowError:
-            found.add((whole[0], 3, whole[1]))
-            return
-        if inner:
-            yield Layer(inner, [whole[0]] * len(inner), [whole[1]] * len(inner))
-        elif inner is None and (text := _as_text(layer.content, layer.lo, layer.hi, True)):
-            yield text
-        elif inner is None and _TELLING.search(layer.content):
-            yield Layer(layer.content.decode("latin-1"), layer.lo, layer.hi)
+    """A text; lo, hi: where in the original text a character of it begins and ends."""
+
+    text: str
+    lo: Place
+    hi: Place
+
+    def key(self) -> tuple[bytes, int, int]:
+        return hashlib.sha256(self.text.encode("utf-8", "surrogatepass")).digest(), self.lo(0), self.hi(len(self.text) - 1)
+
+
+def _value(m: re.Match) -> int:
+    return int(next(g for g in m.groups() if g), 16)
+
+
+def _unescaped(layer: Layer) -> Layer | None:
+    """The whole layer with its escapes replaced; None without any."""
+    text, m = layer.text, _ESCAPE.search(layer.text)
+    if m is None:
+        return None
+    parts, first, last, at = [], array("q"), array("q"), 0
+    while m is not None:
+        parts.append(text[at : m.start()])
+        first.extend(range(at, m.start()))
+        last.extend(range(at, m.start()))
+        code, end = _value(m), m.end()
+        while (rest := _OPENED.get(code)) and (more := rest.match(text, end)):
+            code, end = _value(more), more.end()
+        if 0xD800 <= code < 0xDC00 and (low := _LOW_SURROGATE.match(text, end)):
+            code, end = 0x10000 + (code - 0xD800 << 10) + int(low[1], 16) - 0xDC00, low.end()
+        parts.append(chr(0xFFFD if code > 0x10FFFF or 0xD800 <= code < 0xE000 else code))
+        first.append(m.start())
+        last.append(end - 1)
+        at, m = end, _ESCAPE.search(text, end)
+    rest = range(at, len(text))
+    first.extend(rest)
+    last.extend(rest)
+    return Layer("".join(parts) + text[at:], lambda i: layer.lo(first[i]), lambda i: layer.hi(last[i]))
+
+
+def _decoded(layer: Layer, at: Sequence[int], body: str, phase: int) -> Layer | None:
+    """What a base64 run holds from its phase on; at: where its characters are in the layer. A last character that is no whole byte goes."""
+    body = body[phase : len(body) - ((len(body) - phase) % 4 == 1)]
+    raw = base64.b64decode(body + "=" * (-len(body) % 4), altchars=b"-_")
+    if not _TELLING.search(raw):
+        return None
+    end = len(at) - 1
+    return Layer(raw.decode("latin-1"), lambda i: layer.lo(at[phase + i * 4 // 3]), lambda i: layer.hi(at[min(end, phase + (i * 8 + 7) // 6)]))
+
+
+def _base64_layers(layer: Layer) -> Iterator[Layer]:
+    text = layer.text
+    for m in _BASE64.finditer(text):
+        body = m.group().rstrip("=")
+        body = body.replace("+", "-").replace("/", "_")
+        for phase in range(4):  # what comes before the encoded bytes may be of any length
+            if (found := _decoded(layer, range(m.start(), m.start() + len(body)), body, phase)) is not None:
+                yield found
+    for m in _WRAPPED.finditer(text) if "\n" in text else ():
+        at = array("q", (i for i in range(m.start(), m.end()) if text[i] not in "\r\n\t ="))
+        body = "".join(m.group().split()).rstrip("=").replace("+", "-").replace("/", "_")
+        for phase in range(4):
+            if (found := _decoded(layer, at, body, phase)) is not None:
+                yield found
+
+
+class Stream:
+    """A compressed stream: its pieces as they are unpacked, and how many bytes it took."""
+
+    def __init__(self, raw: memoryview):
+        self.raw, self.used = raw, 0
+
+    def __iter__(self) -> Iterator[bytes]:
+        raw, head = self.raw, bytes(self.raw[:2])
+        unpack = zlib.decompressobj(31) if head == b"\x1f\x8b" else zlib.decompressobj() if head[:1] == b"\x78" else bz2.BZ2Decompressor() if head == b"BZ" else lzma.LZMADecompressor()
+        rest: bytes | memoryview = b""
+        while not unpack.eof:
+            if not len(rest) and getattr(unpack, "needs_input", True):
+                rest = raw[self.used : self.used + OVERLAP]
+                if not len(rest):
+                    return
+                self.used += len(rest)
+            try:
+                out = unpack.decompress(rest, PIECE)
+            except (zlib.error, OSError, EOFError, ValueError, lzma.LZMAError):
+                return
+            rest = getattr(unpack, "unconsumed_tail", b"")
+            if out:
+                yield out
+        self.used -= len(unpack.unused_data)
+
+
+def _unpacked_layers(layer: Layer, found: set[Span], budget: list[int]) -> Iterator[Layer]:
+    if not (m := _MAGIC.search(layer.text)):
         return
-    text, lo, hi = layer.content, layer.lo, layer.hi
-    for sign, runs, decode in (("%", _URL_RUN, _url_run), ("\\", _ESCAPE_RUN, _escape_run)):
-        if sign in text and runs.search(text):
-            for m in (m for part in _PARTS for m in part.finditer(text)):
-                if sign in m.group() and runs.search(m.group()):
-                    yield _unescaped(m.group(), lo[m.start() : m.end()], hi[m.start() : m.end()], runs, decode)
-    for runs in (_BASE64, _WRAPPED):
-        for m in runs.finditer(text):
-            at = [i for i in range(m.start(), m.end()) if text[i] not in "\r\n\t ="]
-            body = "".join(text[i] for i in at)
-            for phase in range(4):  # what comes before the encoded bytes may be of any length
-                raw, first = _base64_bytes(body[phase:]), phase
-                starts = [0] if _maybe_text(raw) or _TELLING.search(raw) else []
-                for start in sorted({*starts, *(x.start() for x in _MAGIC.finditer(raw) if _opens(raw[x.start() :]))}):
-                    span = range(start, len(raw))
-                    yield Layer(raw[start:], [lo[at[first + i * 4 // 3]] for i in span], [hi[at[min(len(at) - 1, first + (i * 8 + 7) // 6)]] for i in span])
-
-
-def _packed(raw: bytes) -> bool:
-    return raw[:2] == b"\x1f\x8b" or raw[:1] == b"\x78" and len(raw) > 2 and (raw[0] << 8 | raw[1]) % 31 == 0 or raw[:3] == b"BZh" or raw[:6] == b"\xfd7zXZ\x00"
-
-
-def _opens(raw: bytes) -> bool:
-    """Whether a compressed stream begins here."""
-    try:
-        return bool(_unpacked(raw))
-    except OverflowError:
-        return True
-
-
-def _maybe_text(raw: bytes) -> bool:
-    try:
-        raw.decode()
-    except UnicodeDecodeError:
-        return False
-    return True
-
-
-class _Identity:
-    """The positions of the first layer: a range that slices into lists."""
-
-    def __init__(self, n: int, add: int):
-        self.n, self.add = n, add
-
-    def __getitem__(self, i):
-        if isinstance(i, slice):
-            return [p + self.add for p in range(*i.indices(self.n))]
-        return (i if i >= 0 else self.n + i) + self.add
+    raw = memoryview(layer.text.encode("latin-1", "replace"))
+    while m:
+        stream = Stream(raw[m.start() :])
+        lo, tail, size = layer.lo(m.start()), b"", 0
+        parts: list[bytes] = []
+        end = lambda: layer.hi(m.start() + max(1, stream.used) - 1)  # noqa: B023, E731
+
+        def piece(text: bytes, until: int, lo: int = lo) -> Layer:
+            return Layer(text.decode("latin-1"), lambda i: lo, lambda i: until)
+
+        for part in stream:
+            budget[0] -= len(part)
+            if budget[0] < 0:
+                found.add((lo, 3, layer.hi(len(layer.text) - 1)))
+                return
+            parts.append(part)
+            size += len(part)
+            if size >= PIECE:
+                whole = tail + b"".join(parts)
+                # More is to come, and how far the stream reaches is known at its end only.
+                yield piece(whole, layer.hi(len(layer.text) - 1))
+                tail, parts, size = whole[-OVERLAP:], [], 0
+        if size:
+            yield piece(tail + b"".join(parts), end())
+        m = _MAGIC.search(layer.text, m.start() + (stream.used if stream.used and size else 1))
+
+
+def _children(layer: Layer, found: set[Span], budget: list[int], first: bool) -> Iterator[Layer]:
+    if (inner := _unescaped(layer)) is not None:
+        yield inner
+    yield from _base64_layers(layer)
+    if first:
+        return
+    yield from _unpacked_layers(layer, found, budget)
+    text = layer.text
+    if text.count("\0") * 3 > len(text):
+        kept = array("q", (i for i, c in enumerate(text) if c != "\0"))
+        if kept:
+            yield Layer(text.replace("\0", ""), lambda i: layer.lo(kept[i]), lambda i: layer.hi(kept[i]))
 
 
 def all_spans(text: str) -> tuple[list[Span], list[Span]]:
@@ -242,16 +228,18 @@ def all_spans(text: str) -> tuple[list[Span], list[Span]]:
     base = sorted(plain_spans(text))
     found = set(base)
     if text:
-        seen: set[tuple[bool, bytes, int, int]] = set()
-        work = [Layer(text, _Identity(len(text), 0), _Identity(len(text), 1))]
+        seen: set[tuple[bytes, int, int]] = set()
+        budget = [MAX_UNPACKED]
+        # The worklist: layers that may still give others. Only one piece of a stream is held at a time.
+        work = [_children(Layer(text, lambda i: i, lambda i: i + 1), found, budget, True)]
         while work:
-            for child in _children(work.pop(), found):
-                if not child.content or (key := child.key()) in seen:
-                    continue
+            child = next(work[-1], None)
+            if child is None:
+                work.pop()
+            elif child.text and (key := child.key()) not in seen:
                 seen.add(key)
-                work.append(child)
-                if isinstance(child.content, str):
-                    found.update((child.lo[s], kind, child.hi[e - 1]) for s, kind, e in plain_spans(child.content))
+                found.update((child.lo(s), kind, child.hi(e - 1)) for s, kind, e in plain_spans(child.text))
+                work.append(_children(child, found, budget, False))
     return base, sorted(found)
 
 

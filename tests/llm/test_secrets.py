@@ -6,6 +6,8 @@ import gzip
 import hashlib
 import lzma
 import re
+import time
+import tracemalloc
 import zlib
 from urllib.parse import quote
 
@@ -80,12 +82,54 @@ def test_base64_span_is_narrow():
 
 
 def test_bombs_are_opaque_and_cycles_end(monkeypatch):
-    monkeypatch.setattr(secrets, "MAX_LAYER", 1000)
-    bomb = packed(gzip.compress(b"0" * 100_000))
-    assert (0, 3, len(bomb.rstrip("="))) in secrets.all_spans(bomb)[1]
+    monkeypatch.setattr(secrets, "MAX_UNPACKED", 1000)
+    for bomb in (packed(gzip.compress(b"0" * 100_000)), packed(gzip.compress(b"small") + gzip.compress(b"0" * 100_000))):
+        assert any(kind == 3 and end == len(bomb.rstrip("=")) for _, kind, end in secrets.all_spans(bomb)[1])
     assert secrets.all_spans("%25" * 500 + " %41%" * 50)[0] == []
 
 
+def test_large_layers_are_scanned_in_pieces():
+    noise = b"lorem ipsum " * (4 << 20 >> 2)
+    for at in (0, 1, 2):
+        parts = [noise, noise, noise]
+        parts[at] = parts[at] + b" " + SECRET.encode() + b" "
+        text = "see " + packed(gzip.compress(b"".join(parts)))
+        tracemalloc.start()
+        spans = secrets.all_spans(text)[1]
+        peak = tracemalloc.get_traced_memory()[1]
+        tracemalloc.stop()
+        assert {s for s, k, _ in spans if k == 0} == {4} and peak < 300 << 20
+
+
+def test_deep_escapes_cost_their_length():
+    began = time.perf_counter()
+    for escape in ("%" + "25" * 500_000 + "41", "\\" + "u005c" * 200_000 + "u0041", "%5C" + "u00255C" * 150_000 + "u0041"):
+        text = f"password = abcdefghijkl{escape}mnop"
+        assert (0, 0, len(text)) in secrets.all_spans(text)[1]
+    assert time.perf_counter() - began < 20
+
+
+@pytest.mark.parametrize(
+    "fragment",
+    [
+        "password = " + "".join(f"%{ord(c):02x}" for c in SECRET[11:]),
+        'password = "' + "".join(f"\\u{ord(c):04x}" for c in SECRET[11:]) + '"',
+        "".join(f"%{ord(c):02x}" for c in "password") + " = " + SECRET[11:],
+        quote(gzip.compress(SECRET.encode()), safe=""),
+        "".join(f"\\x{c:02x}" for c in bz2.compress(SECRET.encode())),
+        packed(SECRET.encode("utf-16-le")),
+        packed(b"not packed \x00\xff" + gzip.compress(SECRET.encode()) + b" tail"),
+        packed(gzip.compress(f"{'ab ' * 500}{SECRET}".encode()) [:-8]),
+        "%25" * 3 + "70assword = Zk39dkfLLw02mmQ",
+    ],
+)
+def test_whole_layers(fragment):
+    text = f"lead {fragment} tail"
+    found = [s for s in secrets.all_spans(text)[1] if s[1] == 0]
+    assert found and all(5 <= s < e <= 5 + len(fragment) for s, _, e in found)
+    assert SECRET[11:] not in secrets.redacted_text(text)
+
+
 def test_edges(spark):
     df = spark.createDataFrame([(1, None), (None, "token=abcdefghijkl"), (1, ""), (1, "")], "doc_id long, text string").selectExpr("*", "1 AS spans", "2 AS id")
     got = secrets.secrets_report(secrets.scan_secrets(df)).collect()
@@ -127,8 +171,3 @@ def test_whole_base64(fragment):
     text = f"lead {fragment} tail"
     found = [s for s in secrets.all_spans(text)[1] if s[1] == 0]
     assert found and all(5 <= s < e <= 5 + len(fragment) for s, _, e in found)
-
-
-def test_late_bombs_are_opaque(monkeypatch):
-    monkeypatch.setattr(secrets, "MAX_LAYER", 1000)
-    assert 3 in {k for _, k, _ in secrets.all_spans(packed(gzip.compress(b"small") + gzip.compress(b"0" * 100_000)))[1]}
