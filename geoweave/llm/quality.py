@@ -3,8 +3,8 @@
 Counts of a text come from DataFrame expressions only. Each rule turns them into a vote: good,
 bad, or none. The votes of all documents are grouped into patterns, of which there are at most
 3^rules whatever the corpus. Expectation-maximisation over the patterns estimates the share of
-good documents and, for each rule, how often it gives each vote to good and to bad ones. The
-posterior probability of a document is then a sum of weights of its votes, again an expression.
+good documents and of the kinds of bad ones, and how often each rule gives each vote to them. The
+posterior probability of a document follows from sums of weights of its votes, again an expression.
 A document is kept if it passes the base rules and its posterior is at least KEEP.
 
 Narrow but for the grouping of the patterns, which are pre-aggregated; the counts become a table
@@ -19,21 +19,24 @@ from __future__ import annotations
 import math
 from dataclasses import dataclass
 
+import numpy as np
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from geoweave.llm.common import saved
 
 KEEP = 0.5
-ROUNDS = 60
-#: Start of the estimation, and its prior: the share of good documents; how many bad votes are
-#: for bad documents; how much a good vote adds to the share, as a part of what is missing to one.
-PRIOR_GOOD = 0.85
-PRIOR_BAD_VOTE = 0.98
-PRIOR_GOOD_VOTE = 0.2
-#: Rows that the prior counts for, per row of data. Kinds of junk seldom meet in one document, so
-#: that the data alone would take the rarer kinds for a habit of good documents.
-PRIOR_ROWS = 3.0
+ROUNDS = 200
+#: Start of the estimation: the share of good documents; how often a good document gets a bad vote,
+#: as a part of how often any does; how often a bad one gets it from the rule for its kind; how often a
+#: bad one gets a good vote, as a part of how often any does.
+START_GOOD = 0.85
+START_FALSE = 0.05
+START_OWN = 0.9
+START_PRAISED = 0.2
+#: Documents that the start counts for, whatever the corpus.
+PRIOR_ROWS = 5.0
+_LEAST = 1e-4
 
 MIN_WORDS = 50
 _SPACE = " \t\n\x0b\x0c\r"
@@ -100,53 +103,72 @@ RULES = (
 
 @dataclass(frozen=True)
 class VoteModel:
-    """weights[r][v]: what vote v of rule r adds to the log odds of a good document."""
+    """Chances of votes. A document is good, or bad of one of as many kinds as there are rules.
 
-    good: float
-    weights: tuple[tuple[float, float, float], ...]
+    share[c]: of good documents (c = 0) and of each kind. bad[c][r]: that rule r votes bad. good[0], good[1]:
+    that a rule votes good where it does not vote bad, for good and for bad documents of any kind.
+    """
 
-    def log_odds(self, votes: tuple[int, ...]) -> float:
-        return math.log(self.good / (1 - self.good)) + sum(w[v] for w, v in zip(self.weights, votes, strict=True))
+    share: tuple[float, ...]
+    bad: tuple[tuple[float, ...], ...]
+    good: tuple[tuple[float, ...], tuple[float, ...]]
+
+    def evidence(self, c: int) -> tuple[float, list[tuple[float, float, float]]]:
+        """What a class has without votes in logarithms, and what each rule's vote (none, good, bad) adds."""
+        own = self.good[min(c, 1)]
+        return math.log(self.share[c]), [(math.log1p(-b) + math.log1p(-g), math.log1p(-b) + math.log(g), math.log(b)) for b, g in zip(self.bad[c], own, strict=True)]
+
+    def posterior(self, votes: tuple[int, ...]) -> float:
+        """The chance that a document with these votes is good."""
+        each = [start + sum(w[v] for w, v in zip(weights, votes, strict=True)) for start, weights in map(self.evidence, range(len(self.share)))]
+        return 1 / sum(math.exp(min(700.0, x - each[0])) for x in each)
 
 
 def estimate(patterns: list[tuple[tuple[int, ...], int]], rounds: int = ROUNDS, prior_rows: float = PRIOR_ROWS) -> VoteModel:
-    """patterns: votes (0 none, 1 good, 2 bad) and how many documents have them."""
-    total = sum(n for _, n in patterns)
-    rules = len(RULES) if not patterns else len(patterns[0][0])
-    share = [[sum(n for v, n in patterns if v[r] == k) / total if total else 1 / 3 for k in range(3)] for r in range(rules)]
-    start = {True: [], False: []}
-    right = PRIOR_GOOD + (1 - PRIOR_GOOD) * PRIOR_GOOD_VOTE
-    for _, good_votes, bad_votes in share:  # Bayes' rule, from the share of the votes
-        for c, says_good, says_bad, prior in ((True, right, 1 - PRIOR_BAD_VOTE, PRIOR_GOOD), (False, 1 - right, PRIOR_BAD_VOTE, 1 - PRIOR_GOOD)):
-            g, b = good_votes * says_good / prior, bad_votes * says_bad / prior
-            scale = max(1.0, (g + b) / 0.99)
-            start[c].append([1 - (g + b) / scale, g / scale, b / scale])
-    good, chance = PRIOR_GOOD, {c: [list(x) for x in start[c]] for c in start}
-
-    def model() -> VoteModel:
-        safe = lambda x: max(x, 1e-9)
-        return VoteModel(good, tuple(tuple(math.log(safe(chance[True][r][k]) / safe(chance[False][r][k])) for k in range(3)) for r in range(rules)))
-
-    for _ in range(rounds if total else 0):
-        m = model()
-        mass = {True: prior_rows * total * PRIOR_GOOD, False: prior_rows * total * (1 - PRIOR_GOOD)}
-        sums = {c: [[mass[c] * x for x in start[c][r]] for r in range(rules)] for c in start}
-        for votes, n in patterns:
-            p = 1 / (1 + math.exp(-max(-50.0, min(50.0, m.log_odds(votes)))))
-            for c, part in ((True, n * p), (False, n * (1 - p))):
-                mass[c] += part
-                for r, v in enumerate(votes):
-                    sums[c][r][v] += part
-        chance = {c: [[x / sum(row) for x in row] for row in sums[c]] for c in sums}
-        good = min(1 - 1e-6, max(1e-6, mass[True] / (mass[True] + mass[False])))
-    return model()
+    """patterns: votes (0 none, 1 good, 2 bad) and how many documents have them.
+
+    Kinds of junk seldom meet in one document, so that one class of bad documents would not do: it
+    would take the rarer kinds for a habit of good documents. Each rule has a kind of its own, which is
+    its suspicion; whether other rules share it, and whether documents of the kind lack good votes, decides
+    if the kind stays.
+    """
+    rules = len(patterns[0][0]) if patterns else len(RULES)
+    votes = np.array([v for v, _ in patterns], int).reshape(-1, rules)
+    n = np.array([k for _, k in patterns], float)
+    is_bad, is_good = (votes == 2).astype(float), (votes == 1).astype(float)
+    other = 1 - is_bad
+    seen_bad = n @ is_bad / max(1.0, n.sum())
+    seen_good = n @ is_good / np.maximum(1.0, n @ other)
+    safe = lambda x: np.clip(x, _LEAST, 1 - _LEAST)
+    bad_start = np.vstack([START_FALSE * seen_bad, np.tile(seen_bad, (rules, 1))])
+    bad_start[np.arange(1, rules + 1), np.arange(rules)] = START_OWN
+    bad_start, good_start = safe(bad_start), safe(np.vstack([seen_good, START_PRAISED * seen_good]))
+    share_start = np.r_[START_GOOD, np.full(rules, (1 - START_GOOD) / rules)]
+    bad, good, share = bad_start, good_start, share_start
+    for _ in range(rounds if len(n) else 0):
+        praised = good[np.minimum(np.arange(rules + 1), 1)]
+        logs = np.log(share) + is_bad @ np.log(bad).T + other @ np.log1p(-bad).T + is_good @ np.log(praised).T + (other - is_good) @ np.log1p(-praised).T
+        p = np.exp(logs - logs.max(axis=1, keepdims=True))
+        p *= (n / p.sum(axis=1))[:, None]
+        mass, two = p.sum(axis=0), np.vstack([p[:, 0], p[:, 1:].sum(axis=1)])
+        bad = safe((p.T @ is_bad + prior_rows * bad_start) / (mass[:, None] + prior_rows))
+        good = safe((two @ is_good + prior_rows * good_start) / (two @ other + prior_rows))
+        share = (mass + prior_rows * share_start) / (mass.sum() + prior_rows)
+    return VoteModel(tuple(share.tolist()), tuple(map(tuple, bad.tolist())), tuple(map(tuple, good.tolist())))
 
 
 def posterior(model: VoteModel) -> Column:
-    odds = F.lit(math.log(model.good / (1 - model.good)))
-    for rule, w in zip(RULES, model.weights, strict=True):
-        odds = odds + F.when(F.col(rule.name) == 2, F.lit(w[2])).when(F.col(rule.name) == 1, F.lit(w[1])).otherwise(F.lit(w[0]))
-    return 1 / (1 + F.exp(-odds))
+    """The chance of being good, from the votes of a row."""
+
+    def log_share(c: int) -> Column:
+        start, weights = model.evidence(c)
+        out = F.lit(start)
+        for rule, (none, good, bad) in zip(RULES, weights, strict=True):
+            out = out + F.when(F.col(rule.name) == 2, F.lit(bad)).when(F.col(rule.name) == 1, F.lit(good)).otherwise(F.lit(none))
+        return out
+
+    own = log_share(0)
+    return 1 / sum((F.exp(F.least(F.lit(700.0), log_share(c) - own)) for c in range(1, len(model.share))), F.lit(1.0))
 
 
 def judge_quality(documents: DataFrame, *, id_col: str = "doc_id", text_col: str = "text", keep: float = KEEP) -> DataFrame:
