@@ -1,15 +1,16 @@
 """Toxicity by a weighted finite-state pattern grammar over clauses.
 
 A lexical transducer maps words to classes: insult, threat, hint, target, negation, reported speech,
-clause end, other. Three scope transducers follow it: negation opens a scope of a few words,
-reported speech holds to the end of the clause, and a target stays near for a few words. Each
-rewrites the insults and threats in its scope. They are composed into one deterministic
-transducer over the classes (`Grammar`), whose outputs are the kinds of matched clauses. A
-text's score is a logistic function of how many matches of each kind it has.
+clause end, other. Scope transducers follow it: negation opens a scope of a few words, reported
+speech holds to the end of the clause, a target stays near for a few words, an insult, threat or
+hint without a scope waits as many words for a target, and a text remembers that it had a hint.
+Each rewrites the insults, threats and hints in its scope. They are composed into one
+deterministic transducer over the classes (`Grammar`), whose outputs are the kinds of matched
+clauses. A text's score is a logistic function of how many matches of each kind it has.
 
 Words: a stated list, to which the fit adds words and stems (beginnings of words) of the training
-rows: insults where they are as telling and as frequent, else hints, of which several together
-count. The weights of the kinds are the most likely ones under a prior (so that few or one-sided
+rows: insults where they are as telling and as frequent, else hints, which take the same arcs with
+weights of their own: those of the first hint, of a further one, and of one with a target, negated or reported. The weights of the kinds are the most likely ones under a prior (so that few or one-sided
 labels still give a sane score). The fit reads at most FIT_ROWS labelled rows, in the order of a hash
 of their id; everything else covers all rows. Scoring is narrow: the grammar and the weights
 (bounded by MAX_LEARNED words) go to the tasks, documents never shuffle.
@@ -55,16 +56,20 @@ subhuman retard retarded whore slut bitch asshole dipshit fuckwit shithead
 dummkopf trottel vollidiot abschaum idioten arschloch schwachkopf
 crétin abruti imbécile connard salaud ordure
 idiota estúpido estúpida imbécil basura escoria asqueroso""".split()
-THREATS = "kill murder strangle hang shoot stab burn destroy hurt beat punish slaughter".split()
+THREATS = """kill kills killed killing murder murders murdered murdering strangle strangles strangled strangling hang hanged hanging shoot shoots shot
+shooting stab stabs stabbed stabbing burn burns burned burning destroy destroys destroyed destroying hurt hurts hurting beat beats beaten beating
+punish punishes punished punishing slaughter slaughters slaughtered slaughtering töten umbringen erschießen tuer frapper matar golpear""".split()
 TARGETS = "you your yours u he she they him her them his their it this these those such all tu vous du ihr sie usted ustedes".split()
 NEGATIONS = "not no never nobody none isn't aren't wasn't weren't don't doesn't didn't won't cannot can't without kein keine nicht niemals pas jamais nunca ni".split()
 REPORTS = "said says say called calls wrote writes quoted quote claimed claims reported reportedly allegedly accused insulted heard tweeted replied sagte dit dijo".split()
 LETTERS_FOR_SIGNS = {"0": "o", "1": "i", "3": "e", "4": "a", "5": "s", "7": "t", "@": "a", "$": "s"}
 
 OTHER, INSULT, THREAT, TARGET, NEGATION, REPORT, END, HINT = range(8)
+NAMES = {INSULT: "insult", THREAT: "threat", HINT: "hint"}
 #: Kinds of matches, and the prior mean of their weights. The bias comes first; hints have two weights, for the first and for more.
-KINDS = ("insult", "target_insult", "negated_insult", "reported_insult", "target_threat", "negated_threat", "reported_threat", "hint")
-PRIOR = (-4.0, 5.5, 6.5, 0.5, 1.0, 3.0, 0.0, 0.3, 1.5, 5.0)
+KINDS = ("insult", "target_insult", "negated_insult", "reported_insult", "threat", "target_threat", "negated_threat", "reported_threat", "hint", "further_hint", "target_hint", "negated_hint", "reported_hint")
+HINTS_FROM = 8
+PRIOR = (-4.0, 5.5, 6.5, 0.5, 1.0, 0.5, 3.0, 0.0, 0.3, 1.5, 2.0, 2.0, 0.2, 0.2, 4.0, 4.0, 3.0, 0.5, 0.5)
 PRIOR_SD = 1.5
 NEGATION_WORDS = 3
 TARGET_WORDS = 4
@@ -76,11 +81,14 @@ _MASKED = re.compile(r"[^\W_]*[0-9@$][\w@$]*")
 
 @dataclass(frozen=True)
 class State:
-    """Of the composed transducer: words left of a negation, reported speech, words left near a target."""
+    """Of the composed transducer: words left of a negation, reported speech, words left near a target, what waits for a target and how long, and whether the text had a hint."""
 
     negation: int = 0
     report: bool = False
     target: int = 0
+    waiting: int = OTHER
+    words: int = 0
+    hinted: bool = False
 
 
 class Grammar:
@@ -94,29 +102,43 @@ class Grammar:
         self.stem_sizes = sorted({len(h) for h in self.stems})
         #: three characters that any stem begins with: most words end here
         self.starts = {h[: STEM_CHARS[0]] for h in self.stems}
-        states = [State(n, r, t) for n in range(NEGATION_WORDS + 1) for r in (False, True) for t in range(TARGET_WORDS + 1)]
-        number = {s: i for i, s in enumerate(states)}
-        self.start = number[State()]
-        self.arcs = [[self._arc(s, c, number) for c in range(8)] for s in states]
+        self.arcs: list[list[tuple[int, int]]] = []
+        number = {State(): 0}
+        todo = [State()]
+        for s in todo:  # the states that words lead to
+            row = []
+            for c in range(8):
+                after, kind = self._arc(s, c)
+                if after not in number:
+                    number[after] = len(number)
+                    todo.append(after)
+                row.append((number[after], kind))
+            self.arcs.append(row)
+        self.start = 0
         self.telling = {w for w, c in self.classes.items() if c in (INSULT, THREAT, HINT)}
 
     @staticmethod
-    def _arc(s: State, c: int, number: dict[State, int]) -> tuple[int, int]:
+    def _arc(s: State, c: int) -> tuple[State, int]:
         if c == END:
-            return number[State()], -1
-        kind = -1
-        if c in (INSULT, THREAT):
+            return State(hinted=s.hinted), -1
+        name, waiting, words = "", s.waiting, max(0, s.words - 1)
+        if c in NAMES:
             scope = "reported" if s.report else "negated" if s.negation else "target" if s.target else ""
-            name = f"{scope}_{'insult' if c == INSULT else 'threat'}".lstrip("_")
-            kind = KINDS.index(name) if name in KINDS else -1
-        if c == HINT:
-            kind = KINDS.index("hint")
+            if not scope:
+                waiting, words = c, TARGET_WORDS
+                scope = "further" if c == HINT and s.hinted else ""
+            name = f"{scope}_{NAMES[c]}".lstrip("_")
+        elif c == TARGET and s.words:
+            name, waiting, words = f"target_{NAMES[waiting]}", OTHER, 0
         after = State(
             NEGATION_WORDS if c == NEGATION else max(0, s.negation - 1),
             s.report or c == REPORT,
             TARGET_WORDS if c == TARGET else max(0, s.target - 1),
+            waiting if words else OTHER,
+            words,
+            s.hinted or c == HINT,
         )
-        return number[after], kind
+        return after, KINDS.index(name) if name else -1
 
     def word_class(self, word: str) -> int:
         c = self.classes.get(word)
@@ -157,7 +179,7 @@ def counts_of(grammar: Grammar, text: str | None) -> list[int]:
 def features(counts: np.ndarray) -> np.ndarray:
     """A match counts fully once, and more of its kind add a little; of hints, the second and third count most."""
     counts = np.asarray(counts, float).reshape(-1, len(KINDS))
-    own, hints = counts[:, :-1], counts[:, -1:]
+    own, hints = counts[:, :HINTS_FROM], counts[:, HINTS_FROM:]
     return np.column_stack([np.ones(len(counts)), np.minimum(own, 1) + 0.1 * np.minimum(np.maximum(own - 1, 0), MANY), np.minimum(hints, 1), np.minimum(np.maximum(hints - 1, 0), 2) / 2])
 
 

@@ -1,5 +1,6 @@
 """Toxicity: the grammar's scopes, held-out accuracy, and edge cases."""
 
+import random
 import zlib
 
 import pytest
@@ -14,8 +15,12 @@ from geoweave.llm import toxicity
         ("You are an IDIOT!!", ["target_insult"]),
         ("He is not an idiot.", ["negated_insult"]),
         ("She said he was a moron. You moron", ["reported_insult", "target_insult"]),
-        ("kill the process", []),
-        ("I will kill you. they kill", ["target_threat"]),
+        ("kill the process", ["threat"]),
+        ("I will kill you. they kill", ["threat", "target_threat", "target_threat"]),
+        ("hurt them all, burning their house", ["threat", "target_threat", "target_threat"]),
+        ("I won't kill you", ["negated_threat"]),
+        ("idiots, all of you", ["insult", "target_insult"]),
+        ("idiots. all of you", ["insult"]),
         ("an 1d10t and $tupid###", ["insult", "insult"]),
         ("not that one or two more idiot", ["insult"]),
         ("idiotic trashcan", []),
@@ -33,12 +38,53 @@ def test_negated_and_reported_score_lower():
 
 def test_hints_count_together():
     grammar = toxicity.Grammar((), ("abcd*", "xyz"))
-    assert toxicity.counts_of(grammar, "abcde abcd XYZ. abc")[-1] == 2
+    kinds = lambda t: [toxicity.KINDS[k] for k, _, _ in grammar.matches(t)]
+    assert kinds("abcde is abcd. Such a XYZ! abc, not xyz. said xyz") == ["hint", "target_hint", "negated_hint", "reported_hint"]
+    assert kinds("abcdx. xyz of all of you") == ["hint", "further_hint", "target_hint"]
     model = toxicity.Model((), toxicity.PRIOR, ("abcd*",))
     scores = [float(model.scores([toxicity.counts_of(model.grammar(), "abcdx " * n)])[0]) for n in range(4)]
     assert scores == sorted(scores) and scores[1] < 0.3 and scores[3] > 0.7
 
 
+def brute_kinds(classes):
+    """The scopes word by word, each from the words before it in its clause."""
+    T, out, clause, hinted, waits = toxicity, [], [], False, None
+    for c in classes:
+        if c == T.END:
+            clause, waits = [], None
+            continue
+        i = len(clause)
+        near = lambda kind, n: kind in clause[max(0, i - n) : i]  # noqa: B023, E731
+        if c in T.NAMES:
+            if T.REPORT in clause:
+                scope = "reported_"
+            elif near(T.NEGATION, 3):
+                scope = "negated_"
+            elif near(T.TARGET, 4):
+                scope = "target_"
+            else:
+                scope, waits = "further_" if c == T.HINT and hinted else "", (i, c)
+            out.append(scope + T.NAMES[c])
+            hinted = hinted or c == T.HINT
+        elif c == T.TARGET and waits and i - waits[0] <= 4:
+            out.append(f"target_{T.NAMES[waits[1]]}")
+            waits = None
+        clause.append(c)
+    return out
+
+
+def test_arcs_equal_a_plain_walk():
+    word = {toxicity.OTHER: "lorem", toxicity.INSULT: "idiot", toxicity.THREAT: "kill", toxicity.TARGET: "you", toxicity.NEGATION: "not", toxicity.REPORT: "said", toxicity.END: ".", toxicity.HINT: "xyz"}
+    grammar, rng = toxicity.Grammar((), ("xyz",)), random.Random(3)
+    for _ in range(2000):
+        classes = rng.choices(list(word), weights=[6, 2, 2, 2, 1, 1, 1, 2], k=rng.randint(1, 25))
+        assert [toxicity.KINDS[k] for k, _, _ in grammar.matches(" ".join(word[c] for c in classes))] == brute_kinds(classes), classes
+
+
+def test_long_text():
+    assert sum(toxicity.counts_of(toxicity.Grammar(), "lorem you idiot " * 200_000)) == 200_000
+
+
 def test_stems_with_better_longer_ones_go():
     every = {"lose*": (113, 133), "loser": (113, 113), "achl*": (44, 71), "achlx": (16, 16), "tras*": (94, 94), "trash": (94, 94)}
     assert toxicity._without_shorter(every, every) == ("loser", "achl*", "achlx", "tras*", "trash")
