@@ -9,10 +9,13 @@ Reading: archives are parsed record by record, and the index entries (one captur
 written as runs, each sorted by URL key, timestamp and id.
 
 Merge: the runs are cut into ranges of that key by sampled bounds (a hot URL key is split by
-timestamp and id), and each range merges its slices of the runs with a loser tree. The result
-holds the capture histories in global order, over its partitions.
+timestamp and id). The number of ranges follows the number of captures, so that a range has about
+RANGE_ENTRIES of them however large the crawl. Each range merges its slices of the runs with a loser
+tree, in passes of at most FAN_IN slices: a pass makes one longer run of each FAN_IN, until one is
+left. The result holds the capture histories in global order, over its partitions.
 
-Memory: a task holds the archive it writes or reads, and the index slices of one range.
+Memory: a task holds the archive it writes or reads, record by record, or the index entries of
+one range (payloads are in neither index nor merge).
 
 Defined results: a null payload is empty, a null URL has an empty key and comes first, a null id
 is smaller than all others and is never referred to unless all equal payloads have it. Of
@@ -28,7 +31,9 @@ import hashlib
 import io
 import re
 import uuid
+import zlib
 from collections.abc import Callable, Iterator
+from itertools import pairwise
 from typing import Any
 from urllib.parse import urlsplit
 
@@ -43,6 +48,10 @@ from geoweave.llm.common import saved
 ARCHIVE_BYTES = 8 << 20
 MIN_REVISIT_BYTES = 0
 EPOCH = "1970-01-01T00:00:00Z"
+#: Captures of one range of the merge, and runs that one loser tree merges.
+RANGE_ENTRIES = 100_000
+FAN_IN = 64
+_CHUNK = 1 << 16
 
 _HOST = re.compile(r"^[^:/?#]+://(?:[^/?#@]*@)?([^/?#:]*)(:\d+)?", re.S)
 
@@ -200,14 +209,16 @@ def write_archives(rows: DataFrame, archive_bytes: int = ARCHIVE_BYTES) -> DataF
 
 
 def read_records(content: bytes) -> Iterator[tuple[int, int, dict[str, str], bytes]]:
-    """(offset, length, headers in lower case, block) of each gzip member of an archive."""
-    import zlib
-
-    at = 0
-    while at < len(content):
-        unpack = zlib.decompressobj(31)
-        record = io.BytesIO(unpack.decompress(memoryview(content)[at:]))
-        used = len(content) - at - len(unpack.unused_data)
+    """(offset, length, headers in lower case, block) of each gzip member of an archive. The archive is read once, in chunks."""
+    view, at = memoryview(content), 0
+    while at < len(view):
+        unpack, parts, end = zlib.decompressobj(31), [], at
+        while not unpack.eof and end < len(view):
+            chunk = view[end : end + _CHUNK]
+            parts.append(unpack.decompress(chunk))
+            end += len(chunk)
+        used = end - at - len(unpack.unused_data)
+        record = io.BytesIO(b"".join(parts))
         if not record.readline().startswith(b"WARC/"):
             raise ValueError(f"no WARC record at {at}")
         headers = {}
@@ -245,30 +256,41 @@ _ENTRY = pa.schema([(n, pa.int64() if t == "long" else pa.string()) for n, t in
 
 
 def entry_key(e: dict[str, Any]) -> tuple:
-    return e["urlkey"].encode(), e["time"].encode(), e["id"] is not None, e["id"] or 0, e["archive"], e["offset"]
+    return _key(e["urlkey"], e["time"], e["id"], e["archive"], e["offset"])
+
+
+def _key(urlkey: str, time: str, number: int | None, archive: str, offset: int) -> tuple:
+    return urlkey.encode(), time.encode(), number is not None, number or 0, archive, offset
+
+
+def merged(slices: list[list[tuple]]) -> Iterator[tuple]:
+    """Sorted slices as one sorted sequence, in passes of loser trees of at most FAN_IN slices."""
+    while len(slices) > FAN_IN:
+        slices = [list(LoserTree([iter(x) for x in slices[i : i + FAN_IN]], lambda e: e)) for i in range(0, len(slices), FAN_IN)]
+    return iter(LoserTree([iter(x) for x in slices], lambda e: e))
 
 
 def merge_runs(runs: DataFrame) -> DataFrame:
-    """runs: a table of index_entries(). The captures in global order, each with its number in the history of its range's URL key."""
+    """runs: a table of index_entries(). The captures in global order."""
     sort = ["urlkey", "time", F.col("id").asc_nulls_first(), "archive", "offset"]
+    ranges = -(-runs.count() // RANGE_ENTRIES)
     # Ranges are dealt by the key; the rows of a run stay in order, so that a range holds a sorted slice of each run.
-    dealt = runs.repartitionByRange(*sort)
+    dealt = runs.repartitionByRange(max(1, ranges), *sort)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        slices: dict[str, list[dict[str, Any]]] = {}
-        for b in batches:
-            for e in b.to_pylist():
-                slices.setdefault(e["archive"], []).append(e)
+        held = [b for b in batches if b.num_rows]
+        if not held:
+            return
+        table = pa.Table.from_batches(held)
+        slices: dict[str, list[tuple]] = {}
+        columns = (table.column(c).to_pylist() for c in ("urlkey", "time", "id", "archive", "offset"))
+        for i, (urlkey, time, number, archive, offset) in enumerate(zip(*columns, strict=True)):
+            slices.setdefault(archive, []).append((_key(urlkey, time, number, archive, offset), i))
         for s in slices.values():
-            s.sort(key=entry_key)  # in order already, unless the slice came in parts
-        out = []
-        for e in LoserTree([iter(slices[a]) for a in sorted(slices)], entry_key):
-            out.append(e)
-            if len(out) == 4096:
-                yield pa.RecordBatch.from_pylist(out, schema=_ENTRY)
-                out = []
-        if out:
-            yield pa.RecordBatch.from_pylist(out, schema=_ENTRY)
+            if any(a > b for a, b in pairwise(s)):  # only if the slice came in several parts
+                s.sort()
+        order = pa.array([i for _, i in merged([slices[a] for a in sorted(slices)])], pa.int64())
+        yield from table.take(order).to_batches(4096)
 
     return dealt.mapInArrow(run, ENTRY)
 

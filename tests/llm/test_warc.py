@@ -1,8 +1,10 @@
 """WARC archives: loser tree, round trip, revisits and global order."""
 
 import base64
+import gzip
 import hashlib
 import random
+import time
 
 from geoweave.llm import warc
 
@@ -38,6 +40,27 @@ def test_round_trip_and_order(spark):
     assert warc.url_key("http://www.b.com/x?y#z") == "com,b)/x?y"
 
 
+def test_many_ranges_and_passes(spark, monkeypatch):
+    rows = [(i, f"http://h{i % 5}.org/{'hot' if i % 3 else i}", f"p{i}", None) for i in range(400)]
+    whole = histories(spark, rows)
+    monkeypatch.setattr(warc, "RANGE_ENTRIES", 60)
+    assert histories(spark, rows) == whole
+    rng = random.Random(8)
+    monkeypatch.setattr(warc, "FAN_IN", 2)
+    slices = [sorted(((rng.randint(0, 50), i), i) for i in range(rng.randint(0, 20))) for _ in range(11)]
+    assert list(warc.merged(slices)) == sorted(x for s in slices for x in s) and list(warc.merged([])) == []
+
+
+def test_archives_are_read_once():
+    record = warc.capture_record({"id": 1, "url": "http://a.org/", "time": warc.EPOCH, "sha1": "00" * 20, "size": 1, "response": True, "payload": b"x" * 3000, "refers_to": None})
+    member = gzip.compress(record, 1, mtime=0)
+    began = time.perf_counter()
+    found = list(warc.read_records(member * 20_000))
+    assert [x[0] for x in found] == [i * len(member) for i in range(20_000)] and time.perf_counter() - began < 20
+    big = gzip.compress(warc.warc_record("x", [], random.Random(1).randbytes(300_000)), 1, mtime=0)
+    assert [x[1] for x in warc.read_records(big + member + big)] == [len(big), len(member), len(big)]
+
+
 def test_small_payloads_stay_responses(spark):
     got = histories(spark, [(1, "u", "ab", None), (2, "u", "ab", None), (3, "u", "abcd", None), (4, "u", "abcd", None)], min_revisit_bytes=3)
     assert sorted((r.id, r.record_type) for r in got) == [(1, "response"), (2, "response"), (3, "revisit"), (4, "response")]
