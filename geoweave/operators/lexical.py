@@ -91,3 +91,12 @@ def source_summary(found: DataFrame, areas: DataFrame) -> DataFrame:
     names = candidate_names(areas).groupBy("source_key").agg(F.countDistinct("normalized_name").alias("names_indexed"))
     out = read.join(names, "source_key", "left").join(counts, "source_key", "left")
     return out.select("source_key", *(F.coalesce(c, F.lit(0)).cast("long").alias(c) for c in ("polygons_read", "names_indexed", "mentions", "polygons_matched", *tiers)))
+
+
+def overall_summary(found: DataFrame, areas: DataFrame, inventory: DataFrame) -> DataFrame:
+    """One row over all sources: areas, names by decision, mentions, mentions of each tier, areas with a mention. Names of several sources count once."""
+    count = lambda c, name: F.count(F.when(c, 1)).alias(name)
+    names = inventory.agg(F.count("*").alias("names_considered"), count(F.col("decision") != "discard", "names_indexed"), count(F.col("decision") == "discard", "names_discarded"), count(F.col("decision") == "generic", "generic_names"))
+    rows = found.agg(F.count("*").alias("mentions"), *(count(F.col("decision_tier") == t, t) for t in ("high_confidence", "possible", "rejected")), F.countDistinct("polygon_id").alias("polygons_matched"))
+    one = [f.withColumn("_k", F.lit(1)) for f in (areas.agg(F.count("*").alias("polygons_read")), names, rows)]
+    return one[0].join(one[1], "_k").join(one[2], "_k").drop("_k")

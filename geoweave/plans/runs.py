@@ -77,3 +77,17 @@ def top_names(found: DataFrame, k: int = 10) -> DataFrame:
 
 def top_samples(scored: DataFrame, k: int = 5) -> DataFrame:
     return scored.orderBy(F.desc("evidence_score"), "matched_alias", "url", "sentence").limit(k)
+
+
+def result_counts(found: DataFrame, keys: tuple[str, ...] = ("source_key", "polygon_id", "matched_alias", "url", "sentence")) -> DataFrame:
+    """Per source: rows, rows that repeat another in the keys, different areas, rows of each class."""
+    each = found.groupBy(*keys, "name_match_class").agg(F.count("*").alias("n"))
+    once = each.groupBy(*keys).agg(F.sum("n").alias("n"), *(F.sum(F.when(F.col("name_match_class") == c, F.col("n")).otherwise(0)).alias(c) for c in ("distinctive_name", "generic_name")))
+    return once.groupBy("source_key").agg(F.sum("n").alias("rows"), F.sum(F.col("n") - 1).alias("duplicate_rows"), F.countDistinct("polygon_id").alias("polygons"), F.sum("distinctive_name").alias("distinctive_name"), F.sum("generic_name").alias("generic_name"))
+
+
+def run_counters(documents: DataFrame, found: DataFrame) -> DataFrame:
+    """One row: documents scanned, rows found, documents with a row."""
+    scanned = documents.agg(F.count("*").alias("rows_scanned")).withColumn("_k", F.lit(1))
+    written = found.agg(F.count("*").alias("matches_written"), F.countDistinct(F.struct(*gazetteer.document_key(found))).alias("documents_matched")).withColumn("_k", F.lit(1))
+    return scanned.join(written, "_k").drop("_k")

@@ -2,7 +2,8 @@
 
 Binding: documents are the shard (URL: that of the page with the same id); two gazetteers come from
 the benchmark (first two words as name, the fifth as alias) and the pages' hosts (label as name);
-two frequent words play the countries.
+two frequent words play the countries. Each area is a square that its number places on a grid, every other
+one with a hole; the first country is a larger square, the boundary of version 2.
 """
 
 from __future__ import annotations
@@ -35,14 +36,26 @@ def shard(spark: SparkSession, sf_dir: str) -> DataFrame:
     return rows.select(F.col("doc_id").alias("row_index"), F.col("doc_id").cast("string").alias("document_id"), F.coalesce("text", F.lit("")).alias("text"), F.coalesce("url", F.lit("")).alias("url"))
 
 
+def _ring(low: float, high: float) -> str:
+    at = lambda dx, dy: f"named_struct('lon', CAST(x + {dx} AS DOUBLE), 'lat', CAST(y + {dy} AS DOUBLE))"
+    return "array(" + ", ".join(at(*p) for p in ((low, low), (high, low), (high, high), (low, high), (low, low))) + ")"
+
+
 def areas(spark: SparkSession, sf_dir: str) -> DataFrame:
     source = lambda i: F.when(F.col(i) % 2 == 0, "alpha").otherwise("beta").alias("source_key")
+    empty = F.array().cast("array<string>").alias("aliases")
     b = _table(spark, sf_dir, "benchmark").withColumn("w", F.split(normalized(F.col("text")), " ")).where("size(w) >= 5")
-    a = b.select(F.concat(F.lit("bench/"), "item_id").alias("polygon_id"), source("item_id"), F.concat_ws(" ", F.col("w")[0], F.col("w")[1]).alias("name"), F.array(F.col("w")[4]).alias("aliases"))
+    a = b.select(F.concat(F.lit("bench/"), "item_id").alias("polygon_id"), source("item_id"), F.concat_ws(" ", F.col("w")[0], F.col("w")[1]).alias("name"), F.array(F.col("w")[4]).alias("aliases"), F.col("item_id").alias("i"))
     label = F.regexp_extract("url", "://(?:(?:m|www|blog)\\.)?([^./]+)", 1)
-    h = _table(spark, sf_dir, "pages").select(F.concat(F.lit("host/"), "page_id").alias("polygon_id"), source("page_id"), label.alias("name"), F.array().cast("array<string>").alias("aliases"))
-    own = spark.createDataFrame([(f"place/{k}", k, v, []) for k, v in COUNTRIES.items()] + [("place/digits", "alpha", "123", [])], "polygon_id string, source_key string, name string, aliases array<string>")
-    return a.unionByName(h).unionByName(own).withColumns({"tags": F.create_map(F.lit("name"), F.col("name")), "geometry": F.lit(None).cast(geometry.GEOMETRY)})
+    h = _table(spark, sf_dir, "pages").select(F.concat(F.lit("host/"), "page_id").alias("polygon_id"), source("page_id"), label.alias("name"), empty, F.col("page_id").alias("i"))
+    placed = a.unionByName(h).selectExpr("*", "i % 37 AS x", "i % 41 AS y")
+    shape = F.expr(f"CASE WHEN i % 2 = 0 THEN array(array({_ring(0, 1)}, {_ring(0.25, 0.5)})) ELSE array(array({_ring(0, 1)})) END").cast(geometry.GEOMETRY)
+    placed = placed.withColumns({"tags": F.create_map(F.lit("name"), F.col("name"), F.lit("name:xx"), F.upper("name")), "geometry": shape}).drop("i", "x", "y")
+    boundary = {"boundary": "administrative", "admin_level": "8", "place": "city"}
+    own = [(f"place/{k}", k, v, [], {"name": v} | (boundary if k == "alpha" else {})) for k, v in COUNTRIES.items()] + [("place/digits", "alpha", "123", [], {"name": "123"})]
+    places = spark.createDataFrame(own, "polygon_id string, source_key string, name string, aliases array<string>, tags map<string,string>")
+    square = F.expr(f"array(array({_ring(0, 20).replace('x + ', '').replace('y + ', '')}))").cast(geometry.GEOMETRY)
+    return placed.unionByName(places.withColumn("geometry", F.when(F.col("polygon_id") == "place/alpha", square)))
 
 
 def _listed(c: str) -> Column:
@@ -77,11 +90,7 @@ def specific_names(spark: SparkSession, d: str) -> DataFrame:
 
 def _match(version: str) -> Callable[[SparkSession, str], DataFrame]:
     def run(spark: SparkSession, d: str) -> DataFrame:
-        plan = versions.retrieval_version(version)
-        if plan.areas == "in_boundary":  # these areas have no geometry: all meaningful ones
-            found = retrieval.evidence(shard(spark, d), gazetteer.one_per_name(gazetteer.meaningful_profiles(areas(spark, d))), rule=plan.rule, context=CONTEXT)
-        else:
-            found = runs.retrieve(shard(spark, d), areas(spark, d), version, country=CONTEXT, ratio=RATIO)
+        found = runs.retrieve(shard(spark, d), areas(spark, d), version, country=CONTEXT, ratio=RATIO)
         shown = ["text_excerpt", "url_excerpt"] if version != "v6" else ["name_country_distance", "polygon_name_sentence", "country_name_sentence"]
         return found.select("polygon_id", "polygon_name", "row_index", "document_id", _listed("matched_fields"), _listed("context_fields"), "context_phrase", *shown)
 
@@ -108,7 +117,7 @@ def topic_categories(spark: SparkSession, d: str) -> DataFrame:
 
 def topic_proximity(spark: SparkSession, d: str) -> DataFrame:
     rows = _refined(spark, d)["v9"]
-    return rows.select("polygon_id", "row_index", F.col("topic_sentence_count").cast("long").alias("topic_sentence_count"), F.array_join(F.array_sort("topic_terms"), "|").alias("topic_terms"), F.aggregate("relevant_sentence_metadata", F.lit(0), lambda a, m: a + m["place_sentence_distance"]).cast("long").alias("distance"))
+    return rows.select("polygon_id", "row_index", F.col("topic_sentence_count").cast("long").alias("topic_sentence_count"), F.array_join("topic_terms", "|").alias("topic_terms"), F.aggregate("relevant_sentence_metadata", F.lit(0), lambda a, m: a + m["place_sentence_distance"]).cast("long").alias("distance"))
 
 
 def classified_topics(spark: SparkSession, d: str) -> DataFrame:
@@ -126,7 +135,7 @@ def _lexical(version: str) -> DataFrame:
     def run(spark: SparkSession, d: str) -> DataFrame:
         found = runs.find_candidates(shard(spark, d), areas(spark, d), version, countries=COUNTRIES)
         more = {"v1": [], "v2": ["name_match_class", "polygon_count", "document_frequency"], "v3": ["name_match_class", "decision_tier", "evidence_score", "evidence_reasons"]}[version]
-        return found.select("source_key", "row_index", "polygon_id", "matched_alias", "sentence", F.sha2("context", 256).alias("context_sha256"), *more)
+        return found.select("source_key", "row_index", "start", "end", "polygon_id", "matched_alias", "sentence", F.sha2("context", 256).alias("context_sha256"), *more)
 
     return run
 
@@ -145,25 +154,17 @@ def top_names(spark: SparkSession, d: str) -> DataFrame:
     return runs.top_names(runs.find_candidates(shard(spark, d), areas(spark, d), "v2", countries=COUNTRIES))
 
 
-def _ring(low: int, high: int) -> str:
-    corners = ((low, low), (high, low), (high, high), (low, high), (low, low))
-    return "array(" + ", ".join(f"named_struct('lon', {x}D, 'lat', {y}D)" for x, y in corners) + ")"
-
-
-_SQUARE, _HOLE = _ring(0, 4), _ring(1, 2)
-
-
 def points_in_polygon(spark: SparkSession, d: str) -> DataFrame:
-    """Customers as points on a grid against a square with a hole."""
-    shape = F.expr(f"array(array({_SQUARE}, {_HOLE}))")
-    point = F.struct((F.col("c_custkey") % 11 / 2.0).alias("lon"), (F.col("c_custkey") % 13 / 3.0).alias("lat"))
-    return _table(spark, d, "customer").select("c_custkey", geometry.contains_point(shape, point).alias("inside"))
+    """Customers as points on a grid against the areas whose number they share."""
+    place = areas(spark, d).where("polygon_id LIKE 'host/%'").select(F.substring("polygon_id", 6, 20).cast("long").alias("n"), "geometry")
+    point = F.struct((F.col("n") % 37 + F.col("c_custkey") % 11 / 10.0 - 0.13).alias("lon"), (F.col("n") % 41 + F.col("c_custkey") % 13 / 12.0 - 0.11).alias("lat"))
+    people = _table(spark, d, "customer").join(place.select("n", "geometry"), F.col("c_custkey") % 200 == F.col("n"))
+    return people.select("c_custkey", geometry.contains_point(F.col("geometry"), point).alias("inside"))
 
 
 def centroids(spark: SparkSession, d: str) -> DataFrame:
-    shape = F.expr(f"array(array({_SQUARE}, {_HOLE}))")
-    c = geometry.centroid(shape)
-    return spark.range(1).select(F.round(c["lon"], 9).alias("lon"), F.round(c["lat"], 9).alias("lat"))
+    rows = areas(spark, d).select("polygon_id", geometry.centroid(F.col("geometry")).alias("c"), geometry.representative_point(F.col("geometry")).alias("p"))
+    return rows.select("polygon_id", *(F.round(F.col(c), 6).alias(n) for n, c in (("lon", "c.lon"), ("lat", "c.lat"), ("point_lon", "p.lon"), ("point_lat", "p.lat"))))
 
 
 def catalog_files(spark: SparkSession, d: str) -> DataFrame:
@@ -217,13 +218,14 @@ _STRIP = "regexp_replace(regexp_replace({0}, '^\\s+', ''), '\\s+$', '')"
 _BASE = f"""
 shard AS MATERIALIZED (SELECT d.doc_id AS row_index, CAST(d.doc_id AS VARCHAR) AS document_id, coalesce(d.text, '') AS text, coalesce(p.url, '') AS url, {_n('d.text')} AS nt, {_n('p.url')} AS nu FROM documents d LEFT JOIN pages p ON p.page_id = d.doc_id),
 areas AS MATERIALIZED (
-  SELECT 'bench/' || item_id AS polygon_id, CASE WHEN item_id % 2 = 0 THEN 'alpha' ELSE 'beta' END AS source_key, w[1] || ' ' || w[2] AS name, w[5] AS alias FROM (SELECT item_id, string_split({_n('text')}, ' ') AS w FROM benchmark) WHERE len(w) >= 5
-  UNION ALL SELECT 'host/' || page_id, CASE WHEN page_id % 2 = 0 THEN 'alpha' ELSE 'beta' END, regexp_extract(url, '://(?:(?:m|www|blog)\\.)?([^./]+)', 1), NULL FROM pages
-  UNION ALL SELECT * FROM (VALUES ('place/alpha', 'alpha', '{COUNTRIES['alpha']}', NULL), ('place/beta', 'beta', '{COUNTRIES['beta']}', NULL), ('place/digits', 'alpha', '123', NULL))
+  SELECT 'bench/' || item_id AS polygon_id, CASE WHEN item_id % 2 = 0 THEN 'alpha' ELSE 'beta' END AS source_key, w[1] || ' ' || w[2] AS name, w[5] AS alias, item_id AS i FROM (SELECT item_id, string_split({_n('text')}, ' ') AS w FROM benchmark) WHERE len(w) >= 5
+  UNION ALL SELECT 'host/' || page_id, CASE WHEN page_id % 2 = 0 THEN 'alpha' ELSE 'beta' END, regexp_extract(url, '://(?:(?:m|www|blog)\\.)?([^./]+)', 1), NULL, page_id FROM pages
+  UNION ALL SELECT * FROM (VALUES ('place/alpha', 'alpha', '{COUNTRIES['alpha']}', NULL, NULL), ('place/beta', 'beta', '{COUNTRIES['beta']}', NULL, NULL), ('place/digits', 'alpha', '123', NULL, NULL))
 ),
-named AS (SELECT polygon_id, name, {_n('name')} AS n FROM areas WHERE coalesce(name, '') <> ''),
+named AS (SELECT polygon_id, name, {_n('name')} AS n, i FROM areas WHERE coalesce(name, '') <> ''),
 meaningful AS (SELECT * FROM named WHERE length(n) >= 3 AND regexp_matches(n, '\\p{{L}}')),
-once AS MATERIALIZED (SELECT n, arg_min(name, polygon_id) AS name, min(polygon_id) AS polygon_id, count(*) AS occurrences FROM meaningful GROUP BY n)
+once AS MATERIALIZED (SELECT n, arg_min(name, polygon_id) AS name, min(polygon_id) AS polygon_id, count(*) AS occurrences FROM meaningful GROUP BY n),
+inside AS MATERIALIZED (SELECT n, arg_min(name, polygon_id) AS name, min(polygon_id) AS polygon_id FROM meaningful WHERE polygon_id = 'place/alpha' OR (i % 37 < 20 AND i % 41 < 20) GROUP BY n)
 """
 
 
@@ -247,7 +249,7 @@ def _excerpt(field: str) -> str:
 
 def _match_sql(version: str) -> str:
     plan = versions.retrieval_version(version)
-    names = {"named": "named", "in_boundary": "once", "meaningful": "once", "specific": "specific"}[plan.areas]
+    names = {"named": "named", "in_boundary": "inside", "meaningful": "once", "specific": "specific"}[plan.areas]
     extra = f"{_FREQUENCY}, {_SPECIFIC}," if plan.areas == "specific" else ""
     accepted = {"any_field": "(it OR iu) AND (ct OR cu)", "url_or_context": "iu OR (it AND ct)", "url_and_text": "iu AND it AND ct", "text": "it AND ct", "nearby": "it AND ct"}[plan.rule]
     ctx = f"'{CONTEXT}'"
@@ -287,7 +289,7 @@ WITH v4 AS MATERIALIZED ({v4}), {_VOCAB},
 sents AS MATERIALIZED (SELECT polygon_id, row_index, n, i, sentence, {_n('sentence')} AS ns FROM (SELECT polygon_id, row_index, n, unnest({cut}) AS sentence, generate_subscripts({cut}, 1) - 1 AS i FROM v4)),
 anchors AS (SELECT polygon_id, row_index, list(i) FILTER (WHERE {_has('ns', 'n')}) AS own, list(i) FILTER (WHERE {_has('ns', f"'{CONTEXT}'")}) AS ctx FROM sents GROUP BY polygon_id, row_index),
 far AS (SELECT s.*, list_min(list_transform(own, lambda a: abs(a - i))) AS pd, list_min(list_transform(ctx, lambda a: abs(a - i))) AS cd FROM sents s JOIN anchors USING (polygon_id, row_index) WHERE own IS NOT NULL AND ctx IS NOT NULL),
-hits AS (SELECT polygon_id, row_index, i, sentence, pd, cd, term, category FROM far JOIN vocab ON {_has('ns', 'vocab.n')} WHERE pd <= 2),
+hits AS MATERIALIZED (SELECT polygon_id, row_index, i, sentence, pd, cd, term, category, instr(' ' || ns || ' ', ' ' || vocab.n || ' ') AS off FROM far JOIN vocab ON {_has('ns', 'vocab.n')} WHERE pd <= 2),
 v9 AS (SELECT polygon_id, row_index, i, any_value(sentence) AS sentence, any_value(least(pd, cd)) AS distance FROM hits GROUP BY polygon_id, row_index, i)
 {last}
 """
@@ -305,12 +307,15 @@ cut AS MATERIALIZED (SELECT row_index, string_split(regexp_replace(text, '([.!?]
 parts AS MATERIALIZED (SELECT row_index, i, part, len(list_filter(string_split({_n('part')}, ' '), lambda x: x <> '')) AS words FROM (SELECT row_index, unnest(parts) AS part, generate_subscripts(parts, 1) AS i FROM cut) WHERE regexp_matches(part, '\\S')),
 bounds AS MATERIALIZED (SELECT *, coalesce(sum(words) OVER (PARTITION BY row_index ORDER BY i ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING), 0) AS before, row_number() OVER (PARTITION BY row_index ORDER BY i) AS si,
   {_STRIP.format('part')} AS sentence, {_STRIP.format("coalesce(lag(part) OVER o, '') || part || coalesce(lead(part) OVER o, '')")} AS context FROM parts WINDOW o AS (PARTITION BY row_index ORDER BY i)),
-ment AS MATERIALIZED (SELECT c.source_key, f.row_index, f.pos, c.polygon_id, c.alias AS matched_alias, f.n, si, sentence, context FROM found f JOIN bounds b ON b.row_index = f.row_index AND f.pos - 1 >= before AND f.pos - 1 < before + words JOIN cand c ON c.n = f.n)
+places AS MATERIALIZED (SELECT row_index, row_number() OVER (PARTITION BY row_index ORDER BY i) AS pos, off AS s, off + length(part) AS e FROM (
+  SELECT row_index, i, part, coalesce(sum(length(part) + 1) OVER (PARTITION BY row_index ORDER BY i ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING), 0) AS off
+  FROM (SELECT row_index, unnest(string_split(m, ' ')) AS part, generate_subscripts(string_split(m, ' '), 1) AS i FROM (SELECT row_index, regexp_replace(text, '[^\\p{{L}}\\p{{N}}]', ' ', 'g') AS m FROM shard))) WHERE part <> ''),
+ment AS MATERIALIZED (SELECT c.source_key, f.row_index, f.pos, CAST(a.s AS INTEGER) AS start, CAST(z.e AS INTEGER) AS end_, c.polygon_id, c.alias AS matched_alias, f.n, si, sentence, context FROM found f JOIN bounds b ON b.row_index = f.row_index AND f.pos - 1 >= before AND f.pos - 1 < before + words JOIN cand c ON c.n = f.n JOIN places a ON a.row_index = f.row_index AND a.pos = f.pos JOIN places z ON z.row_index = f.row_index AND z.pos = f.pos + len(string_split(f.n, ' ')) - 1)
 """
     return f"WITH {_BASE}, {cand} {last}"
 
 
-_V2 = "SELECT m.source_key, m.row_index, m.polygon_id, matched_alias, sentence, sha256(context) AS context_sha256, CASE decision WHEN 'generic' THEN 'generic_name' ELSE 'distinctive_name' END AS name_match_class, polygon_count, document_frequency FROM ment m JOIN inv ON inv.n = m.n WHERE decision <> 'discard'"
+_V2 = "SELECT m.source_key, m.row_index, start, end_ AS \"end\", m.polygon_id, matched_alias, sentence, sha256(context) AS context_sha256, CASE decision WHEN 'generic' THEN 'generic_name' ELSE 'distinctive_name' END AS name_match_class, polygon_count, document_frequency FROM ment m JOIN inv ON inv.n = m.n WHERE decision <> 'discard'"
 _V3 = f"""
 , v2 AS MATERIALIZED (SELECT m.*, decision, {_n('sentence')} AS ns, {_n('context')} AS nc, nu, CASE source_key WHEN 'alpha' THEN '{COUNTRIES['alpha']}' ELSE '{COUNTRIES['beta']}' END AS country FROM ment m JOIN inv ON inv.n = m.n JOIN shard s ON s.row_index = m.row_index WHERE decision <> 'discard'),
 signs AS (SELECT *, decision = 'distinctive' AS s1, {_has('nu', 'n')} AS s2, {_has('ns', 'country')} AS s3, NOT {_has('ns', 'country')} AND {_has('nc', 'country')} AS s4,
@@ -322,9 +327,35 @@ tiered AS (SELECT *, CASE WHEN evidence_score >= 4 THEN 'high_confidence' WHEN e
 """
 
 
+#: The catalog as it is to be, row by row.
+_CATALOG = """
+('retrieval', 'frozen', 'v1', 'All named areas, name and context in any field', NULL, 'train', 'data/retrieval/v1/alpha.jsonl'),
+('retrieval', 'frozen', 'v2', 'Meaningful areas in a boundary, name in the URL or both in the text', NULL, 'train', 'data/retrieval/v2/alpha.jsonl'),
+('retrieval', 'frozen', 'v3', 'All meaningful areas, name in URL and text', NULL, 'train', 'data/retrieval/v3/alpha.jsonl'),
+('retrieval', 'frozen', 'v4', 'All meaningful areas, name and context in the text', NULL, 'train', 'data/retrieval/v4/alpha.jsonl'),
+('retrieval', 'frozen', 'v5', 'Specific names, country in the text', NULL, 'alpha', 'data/retrieval/v5/alpha.jsonl'),
+('retrieval', 'frozen', 'v5', 'Specific names, country in the text', NULL, 'beta', 'data/retrieval/v5/beta.jsonl'),
+('retrieval', 'frozen', 'v6', 'Specific names, country nearby in the text', 'v5', 'alpha', 'data/retrieval/v6/alpha.jsonl'),
+('retrieval', 'frozen', 'v6', 'Specific names, country nearby in the text', 'v5', 'beta', 'data/retrieval/v6/beta.jsonl'),
+('retrieval', 'frozen', 'v7', 'Sentence lists added', 'v6', 'alpha', 'data/retrieval/v7/alpha.jsonl'),
+('retrieval', 'frozen', 'v7', 'Sentence lists added', 'v6', 'beta', 'data/retrieval/v7/beta.jsonl'),
+('retrieval', 'frozen', 'v8', 'Documents with a topic term', 'v7', 'alpha', 'data/retrieval/v8/alpha.jsonl'),
+('retrieval', 'frozen', 'v8', 'Documents with a topic term', 'v7', 'beta', 'data/retrieval/v8/beta.jsonl'),
+('retrieval', 'frozen', 'v9', 'Topic sentences near the area''s name', 'v8', 'alpha', 'data/retrieval/v9/alpha.jsonl'),
+('retrieval', 'frozen', 'v9', 'Topic sentences near the area''s name', 'v8', 'beta', 'data/retrieval/v9/beta.jsonl'),
+('retrieval', 'frozen', 'v10', 'Topic sentences that a classifier affirms', 'v9', 'alpha', 'data/retrieval/v10/alpha.jsonl'),
+('retrieval', 'frozen', 'v10', 'Topic sentences that a classifier affirms', 'v9', 'beta', 'data/retrieval/v10/beta.jsonl'),
+('lexical', 'active', 'v1', 'Every mention of every name', NULL, 'alpha', 'data/lexical/v1/alpha.parquet'),
+('lexical', 'active', 'v1', 'Every mention of every name', NULL, 'beta', 'data/lexical/v1/beta.parquet'),
+('lexical', 'active', 'v2', 'Names classed by reuse and frequency', NULL, 'alpha', 'data/lexical/v2/alpha.parquet'),
+('lexical', 'active', 'v2', 'Names classed by reuse and frequency', NULL, 'beta', 'data/lexical/v2/beta.parquet'),
+('lexical', 'active', 'v3', 'Mentions scored by evidence', 'v2', 'alpha', 'data/lexical/v3/alpha.parquet'),
+('lexical', 'active', 'v3', 'Mentions scored by evidence', 'v2', 'beta', 'data/lexical/v3/beta.parquet')
+"""
+
+
 def oracle_sql() -> dict[str, str]:
     inventory = "SELECT n AS normalized_name, polygon_count, document_frequency, CAST(letter_count AS BIGINT) AS letter_count, country_name, reason, decision, candidates FROM inv"
-    files = ", ".join("(" + ", ".join("NULL" if v is None else f"'{v}'" for v in (r.line, versions.LINES[r.line], r.version, r.title.replace("'", "''"), r.source_version, split, file)) + ")" for r in versions.releases() for split, file in r.data_files())
     found = {
         "doc_frequency": f"WITH {_BASE}, {_FREQUENCY} SELECT n AS normalized_name, df AS document_frequency FROM freq",
         "normalize_text": f"SELECT doc_id, {_n('text')} AS normal FROM documents",
@@ -334,18 +365,18 @@ def oracle_sql() -> dict[str, str]:
         "specific_names": f"WITH {_BASE}, {_FREQUENCY}, {_SPECIFIC} SELECT polygon_id, n AS normalized_name FROM specific",
         "topic_documents": f"{_TOPICS} SELECT DISTINCT doc_id FROM grams",
         "topic_categories": f"{_TOPICS} SELECT category, count(DISTINCT doc_id) AS documents FROM grams JOIN vocab USING (n) GROUP BY category",
-        "topic_proximity": _near_sql("SELECT polygon_id, row_index, count(*) AS topic_sentence_count, (SELECT string_agg(DISTINCT term, '|' ORDER BY term) FROM hits h WHERE h.polygon_id = v9.polygon_id AND h.row_index = v9.row_index) AS topic_terms, CAST(sum(distance) AS BIGINT) AS distance FROM v9 GROUP BY polygon_id, row_index"),
+        "topic_proximity": _near_sql("SELECT polygon_id, row_index, count(*) AS topic_sentence_count, (SELECT string_agg(term, '|' ORDER BY fi, fp, term) FROM (SELECT term, min(i) AS fi, arg_min(off, i) AS fp FROM hits h WHERE h.polygon_id = v9.polygon_id AND h.row_index = v9.row_index GROUP BY term)) AS topic_terms, CAST(sum(distance) AS BIGINT) AS distance FROM v9 GROUP BY polygon_id, row_index"),
         "classified_topics": _near_sql("SELECT polygon_id, row_index, count(DISTINCT i) AS topic_sentence_count, string_agg(DISTINCT category, '|' ORDER BY category) AS topic_categories FROM hits WHERE length(sentence) % 2 = 0 GROUP BY polygon_id, row_index"),
         "label_summary": _near_sql("SELECT count(DISTINCT (polygon_id, row_index)) AS rows_processed, count(DISTINCT (polygon_id, row_index)) FILTER (WHERE length(sentence) % 2 = 0) AS rows_kept, count(*) FILTER (WHERE length(sentence) % 2 = 0) AS yes_sentences, count(*) FILTER (WHERE length(sentence) % 2 = 1) AS no_sentences FROM v9"),
         "name_inventory": _lexical_sql("v2", inventory),
-        "lexical_v1": _lexical_sql("v1", "SELECT source_key, row_index, polygon_id, matched_alias, sentence, sha256(context) AS context_sha256 FROM ment"),
+        "lexical_v1": _lexical_sql("v1", "SELECT source_key, row_index, start, end_ AS \"end\", polygon_id, matched_alias, sentence, sha256(context) AS context_sha256 FROM ment"),
         "lexical_v2": _lexical_sql("v2", _V2),
-        "lexical_v3": _lexical_sql("v3", _V3 + "SELECT source_key, row_index, polygon_id, matched_alias, sentence, sha256(context) AS context_sha256, CASE decision WHEN 'generic' THEN 'generic_name' ELSE 'distinctive_name' END AS name_match_class, decision_tier, evidence_score, evidence_reasons FROM tiered"),
+        "lexical_v3": _lexical_sql("v3", _V3 + "SELECT source_key, row_index, start, end_ AS \"end\", polygon_id, matched_alias, sentence, sha256(context) AS context_sha256, CASE decision WHEN 'generic' THEN 'generic_name' ELSE 'distinctive_name' END AS name_match_class, decision_tier, evidence_score, evidence_reasons FROM tiered"),
         "lexical_summary": _lexical_sql("v3", _V3 + "SELECT a.source_key, a.polygons_read, c.names_indexed, coalesce(mentions, 0) AS mentions, coalesce(polygons_matched, 0) AS polygons_matched, coalesce(high_confidence, 0) AS high_confidence, coalesce(possible, 0) AS possible, coalesce(rejected, 0) AS rejected FROM (SELECT source_key, count(*) AS polygons_read FROM areas GROUP BY source_key) a JOIN (SELECT source_key, count(DISTINCT n) AS names_indexed FROM cand GROUP BY source_key) c ON c.source_key = a.source_key LEFT JOIN (SELECT source_key, count(*) AS mentions, count(DISTINCT polygon_id) AS polygons_matched, count(*) FILTER (WHERE decision_tier = 'high_confidence') AS high_confidence, count(*) FILTER (WHERE decision_tier = 'possible') AS possible, count(*) FILTER (WHERE decision_tier = 'rejected') AS rejected FROM tiered GROUP BY source_key) t ON t.source_key = a.source_key"),
-        "lexical_comparison": _lexical_sql("v2", f", v2 AS ({_V2}) SELECT count(*) AS rows_v2, count(*) AS rows_v3, CAST(0 AS BIGINT) AS only_v2, CAST(0 AS BIGINT) AS only_v3, true AS equal FROM v2"),
+        "lexical_comparison": _lexical_sql("v3", f"{_V3}, a AS ({_V2}), old AS (SELECT source_key, a.polygon_id, matched_alias, s.url, sentence FROM a JOIN shard s ON s.row_index = a.row_index), new AS (SELECT source_key, t.polygon_id, matched_alias, s.url, sentence FROM tiered t JOIN shard s ON s.row_index = t.row_index), only_old AS (SELECT * FROM old EXCEPT ALL SELECT * FROM new), only_new AS (SELECT * FROM new EXCEPT ALL SELECT * FROM old) SELECT (SELECT count(*) FROM old) AS rows_v2, (SELECT count(*) FROM new) AS rows_v3, (SELECT count(*) FROM only_old) AS only_v2, (SELECT count(*) FROM only_new) AS only_v3, (SELECT count(*) FROM only_old) + (SELECT count(*) FROM only_new) = 0 AS equal"),
         "top_names": _lexical_sql("v2", "SELECT matched_alias, count(*) AS mentions FROM ment m JOIN inv ON inv.n = m.n WHERE decision <> 'discard' GROUP BY matched_alias ORDER BY mentions DESC, min((row_index, pos)), matched_alias LIMIT 10"),
-        "points_in_polygon": "SELECT c_custkey, (x < 4 AND y < 4 AND NOT (x >= 1 AND x < 2 AND y >= 1 AND y < 2)) AS inside FROM (SELECT c_custkey, c_custkey % 11 / 2.0 AS x, c_custkey % 13 / 3.0 AS y FROM customer)",
-        "centroids": "SELECT round((16 * 2.0 - 1.5) / 15, 9) AS lon, round((16 * 2.0 - 1.5) / 15, 9) AS lat",
-        "catalog_files": f"SELECT * FROM (VALUES {files}) t(line, status, version, title, source_version, split, file)",
+        "points_in_polygon": "SELECT c_custkey, (x > 0 AND y > 0 AND x < 1 AND y < 1 AND NOT (n % 2 = 0 AND x > 0.25 AND x < 0.5 AND y > 0.25 AND y < 0.5)) AS inside FROM (SELECT c_custkey, c_custkey % 11 / 10.0 - 0.13 AS x, c_custkey % 13 / 12.0 - 0.11 AS y, c_custkey % 200 AS n FROM customer) JOIN pages ON page_id = n",
+        "centroids": f"WITH {_BASE} SELECT polygon_id, round(x + c, 6) AS lon, round(y + c, 6) AS lat, round(x + p, 6) AS point_lon, round(y + p, 6) AS point_lat FROM (SELECT polygon_id, CASE WHEN polygon_id = 'place/alpha' THEN 0.0 ELSE i % 37 END AS x, CASE WHEN polygon_id = 'place/alpha' THEN 0.0 ELSE i % 41 END AS y, CASE WHEN polygon_id = 'place/alpha' THEN 10.0 WHEN i % 2 = 0 THEN (0.5 - 0.375 * 0.0625) / 0.9375 ELSE 0.5 END AS c, CASE WHEN polygon_id = 'place/alpha' THEN 8.0 WHEN i % 2 = 0 THEN 0.375 ELSE 0.4 END AS p FROM areas)",
+        "catalog_files": f"SELECT * FROM (VALUES {_CATALOG}) t(line, status, version, title, source_version, split, file)",
     }
     return found | {f"match_{v}": _match_sql(v) for v in versions.RETRIEVAL}

@@ -48,17 +48,25 @@ def is_closed(refs: Column) -> Column:
     return (F.size(refs) >= 4) & (refs[0] == F.element_at(refs, -1))
 
 
+def nodes(spark: SparkSession, path: str) -> DataFrame:
+    """ref, point (lon, lat)."""
+    return _read(spark, path, "node", _NODE).select(F.col("_id").alias("ref"), F.struct(F.col("_lon").alias("lon"), F.col("_lat").alias("lat")).alias("point"))
+
+
 def named_areas(spark: SparkSession, path: str) -> DataFrame:
+    return named_areas_of(ways(spark, path), relations(spark, path))
+
+
+def named_areas_of(every_way: DataFrame, every_relation: DataFrame) -> DataFrame:
     """polygon_id and name of closed ways and area relations, without geometry; the name is null where there is none."""
-    closed = ways(spark, path).where(is_closed(F.col("refs"))).select(F.concat(F.lit("way/"), "id").alias("polygon_id"), F.col("tags")["name"].alias("name"))
-    typed = relations(spark, path).where(F.col("tags")["type"].isin(*AREA_TYPES)).select(F.concat(F.lit("relation/"), "id").alias("polygon_id"), F.col("tags")["name"].alias("name"))
+    closed = every_way.where(is_closed(F.col("refs"))).select(F.concat(F.lit("way/"), "id").alias("polygon_id"), F.col("tags")["name"].alias("name"))
+    typed = every_relation.where(F.col("tags")["type"].isin(*AREA_TYPES)).select(F.concat(F.lit("relation/"), "id").alias("polygon_id"), F.col("tags")["name"].alias("name"))
     return closed.unionByName(typed)
 
 
-def _lines(spark: SparkSession, path: str, found: DataFrame) -> DataFrame:
+def _lines(every_node: DataFrame, found: DataFrame) -> DataFrame:
     """id, points of ways; null where a node is missing."""
-    nodes = _read(spark, path, "node", _NODE).select(F.col("_id").alias("ref"), F.struct(F.col("_lon").alias("lon"), F.col("_lat").alias("lat")).alias("point"))
-    each = found.select("id", F.posexplode("refs").alias("at", "ref")).join(nodes, "ref", "left")
+    each = found.select("id", F.posexplode("refs").alias("at", "ref")).join(every_node, "ref", "left")
     points = F.transform(F.array_sort(F.collect_list(F.struct("at", "point"))), lambda x: x["point"])
     rows = each.groupBy("id").agg(points.alias("points"), F.count(F.when(F.col("point").isNull(), 1)).alias("missing"))
     return rows.select("id", F.when(F.col("missing") == 0, F.col("points")).alias("points"))
@@ -111,12 +119,15 @@ def _assembled(outer: Column, inner: Column) -> Column:
 
 
 def areas(spark: SparkSession, path: str, source_key: str) -> DataFrame:
+    return areas_of(nodes(spark, path), ways(spark, path), relations(spark, path), source_key)
+
+
+def areas_of(every_node: DataFrame, every_way: DataFrame, every_relation: DataFrame, source_key: str) -> DataFrame:
     """polygon_id, source_key, name, aliases, tags, geometry, centroid of every area, named or not. Geometry is null where it is invalid."""
-    every = ways(spark, path)
-    closed = every.where(is_closed(F.col("refs")))
-    lines = _lines(spark, path, every)
+    closed = every_way.where(is_closed(F.col("refs")))
+    lines = _lines(every_node, every_way)
     simple = closed.join(lines, "id", "left").select(F.concat(F.lit("way/"), "id").alias("polygon_id"), "tags", F.when(F.col("points").isNotNull(), F.array(F.array("points"))).cast(GEOMETRY).alias("geometry"))
-    typed = relations(spark, path).where(F.col("tags")["type"].isin(*AREA_TYPES))
+    typed = every_relation.where(F.col("tags")["type"].isin(*AREA_TYPES))
     members = typed.select("id", F.explode("members").alias("m")).where("m.type = 'way'").select("id", F.col("m.ref").alias("way"), F.when(F.col("m.role") == "inner", "inner").otherwise("outer").alias("role"))
     met = members.join(lines.withColumnRenamed("id", "way"), "way", "left")
     part = lambda role: F.collect_list(F.when(F.col("role") == role, F.col("points"))).alias(role)

@@ -13,8 +13,12 @@ from geoweave.operators.topics import Vocabulary
 REQUIRED = ("text", "url")
 
 
+def missing_columns(frame: DataFrame, columns: Sequence[str]) -> list[str]:
+    return sorted(set(columns) - set(frame.columns))
+
+
 def require_columns(frame: DataFrame, columns: Sequence[str]) -> None:
-    missing = sorted(set(columns) - set(frame.columns))
+    missing = missing_columns(frame, columns)
     if missing:
         raise ValueError(f"missing columns: {', '.join(missing)}")
 
@@ -25,12 +29,12 @@ def spread(rows: DataFrame) -> DataFrame:
     return rows.repartition(cores) if rows.rdd.getNumPartitions() < cores else rows
 
 
-def read_documents(spark: SparkSession, path: str) -> DataFrame:
-    """shard (the file), row_index in it, document_id, text, url of Parquet shards; only these columns are read. The column id is optional."""
+def read_documents(spark: SparkSession, path: str, *, text_col: str = "text", url_col: str = "url", id_col: str = "id") -> DataFrame:
+    """shard (the file), row_index in it, document_id, text, url of Parquet shards; only these columns are read. The column of ids is optional."""
     rows = spark.read.parquet(path)
-    require_columns(rows, REQUIRED)
-    document_id = F.col("id").cast("string") if "id" in rows.columns else F.lit(None).cast("string")
-    return rows.select(F.col("_metadata.file_name").alias("shard"), F.col("_metadata.row_index").alias("row_index"), document_id.alias("document_id"), F.coalesce("text", F.lit("")).alias("text"), F.coalesce("url", F.lit("")).alias("url"))
+    require_columns(rows, (text_col, url_col))
+    document_id = F.col(id_col).cast("string") if id_col in rows.columns else F.lit(None).cast("string")
+    return rows.select(F.col("_metadata.file_name").alias("shard"), F.col("_metadata.row_index").alias("row_index"), document_id.alias("document_id"), F.coalesce(text_col, F.lit("")).alias("text"), F.coalesce(url_col, F.lit("")).alias("url"))
 
 
 def row_ranges(spark: SparkSession, path: str, rows_per_chunk: int) -> DataFrame:
@@ -39,28 +43,42 @@ def row_ranges(spark: SparkSession, path: str, rows_per_chunk: int) -> DataFrame
     return rows.groupBy("file", F.floor(F.col("i") / rows_per_chunk).alias("chunk")).agg(F.min("i").alias("first_row"), F.count("*").alias("rows"))
 
 
-def read_json_rows(spark: SparkSession, path: str, schema: str | None = None) -> DataFrame:
-    """Rows of JSON; a line that is blank or no object is an error."""
-    lines = spark.read.option("wholetext", "false").text(path)
+def parsed_rows(lines: DataFrame, schema: str) -> DataFrame:
+    """lines: column value. Rows of JSON; a line that is blank or no object is an error."""
+    return _checked(lines).select(F.from_json("value", schema, {"mode": "FAILFAST"}).alias("r")).select("r.*")
+
+
+def _checked(lines: DataFrame) -> DataFrame:
     bad = ~F.coalesce(F.trim("value").startswith("{"), F.lit(False))
-    checked = lines.select(F.when(bad, F.raise_error(F.lit("a line is no JSON object"))).otherwise(F.col("value")).alias("value"))
-    reader = spark.read.option("mode", "FAILFAST")
-    if schema is None:
-        return reader.json(path)
-    return checked.select(F.from_json("value", schema, {"mode": "FAILFAST"}).alias("r")).select("r.*")
+    return lines.select(F.when(bad, F.raise_error(F.lit("a line is no JSON object"))).otherwise(F.col("value")).alias("value"))
+
+
+def read_json_rows(spark: SparkSession, path: str, schema: str | None = None) -> DataFrame:
+    """Rows of JSON files, see parsed_rows. Without a schema the lines are checked in a pass of their own, and it is inferred."""
+    lines = spark.read.text(path)
+    if schema is not None:
+        return parsed_rows(lines, schema)
+    _checked(lines).write.format("noop").mode("overwrite").save()
+    return spark.read.option("mode", "FAILFAST").json(path)
+
+
+def json_lines(frame: DataFrame) -> DataFrame:
+    """value: one object a row, keys in alphabetical order, nulls kept."""
+    return frame.select(F.to_json(F.struct(*sorted(frame.columns)), {"ignoreNullFields": "false"}).alias("value"))
 
 
 def write_json_rows(frame: DataFrame, path: str) -> None:
-    """One object a line, keys in alphabetical order, nulls kept."""
-    line = F.to_json(F.struct(*sorted(frame.columns)), {"ignoreNullFields": "false"})
-    frame.select(line.alias("value")).write.mode("overwrite").text(path)
+    json_lines(frame).write.mode("overwrite").text(path)
 
 
 def write_by_source(frame: DataFrame, path: str, sources: Sequence[str]) -> None:
-    """One Parquet folder a source, also for sources without rows. A folder appears only once it is complete."""
-    for source in sources:
-        rows = frame.where(F.col("source_key") == source).drop("source_key")
-        rows.write.mode("overwrite").option("compression", "zstd").parquet(f"{path}/{source}")
+    """One Parquet folder a source (`source_key=...`), written in one job; readers get an empty frame for sources without rows."""
+    known = frame.where(F.col("source_key").isin(*sources))
+    known.write.mode("overwrite").option("compression", "zstd").partitionBy("source_key").parquet(path)
+
+
+def read_source(spark: SparkSession, path: str, source: str) -> DataFrame:
+    return spark.read.parquet(path).where(F.col("source_key") == source).drop("source_key")
 
 
 def read_vocabulary(spark: SparkSession, path: str) -> Vocabulary:

@@ -59,6 +59,9 @@ def test_json_rows(spark, tmp_path):
     (tmp_path / "bad.jsonl").write_text('{"b":1}\n\n')
     with pytest.raises(Exception, match="JSON object"):
         tables.read_json_rows(spark, str(tmp_path / "bad.jsonl"), "b int").collect()
+    with pytest.raises(Exception, match="JSON object"):
+        tables.read_json_rows(spark, str(tmp_path / "bad.jsonl")).collect()
+    assert tables.read_json_rows(spark, path).first() == (None, 1, "é")
 
 
 def test_vocabulary_file_and_sources(spark, tmp_path):
@@ -70,7 +73,7 @@ def test_vocabulary_file_and_sources(spark, tmp_path):
     with pytest.raises(ValueError):
         tables.read_vocabulary(spark, str(tmp_path / "w.json"))
     tables.write_by_source(spark.createDataFrame([("a", 1)], "source_key string, x int"), str(tmp_path / "out"), ["a", "b"])
-    assert spark.read.parquet(str(tmp_path / "out" / "b")).count() == 0 and spark.read.parquet(str(tmp_path / "out" / "a")).count() == 1
+    assert tables.read_source(spark, str(tmp_path / "out"), "b").count() == 0 and tables.read_source(spark, str(tmp_path / "out"), "a").collect() == [(1,)]
 
 
 def test_manifest(spark, tmp_path):
