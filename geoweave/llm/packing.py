@@ -47,9 +47,13 @@ DEPTH = 3
 END_ID = 0
 #: Words that the cache of a worker holds at most; it starts anew when full.
 CACHE_WORDS = 300_000
+#: Longer words are not kept in it.
+CACHE_CHARS = 64
 ITERATIONS = 400
 #: Cut pieces that are broadcast at most (about 100 bytes each); more are joined by a shuffle.
 MAX_BROADCAST_PIECES = 50_000
+#: Offsets (one a task and length) that are broadcast at most; more meet the pieces in a sort by task and length.
+MAX_BROADCAST_OFFSETS = 1_000_000
 
 _PLAIN = re.compile("[^\t\n\r -~À-ÖØ-öø-ÿ]")
 _SPLIT = re.compile(r"'(?:[sdmt]|ll|ve|re)| ?[^\W\d_]+| ?\d+| ?(?:[^\s\w]|_)+|\s+(?!\S)|\s+")
@@ -84,10 +88,15 @@ class Tokenizer:
         except KeyError:
             if len(cache) > CACHE_WORDS:
                 cache.clear()
+            out = []
             for w in words:
-                if w not in cache:
-                    cache[w] = np.array(self.piece(w.encode()), "<u4").tobytes()
-            return b"".join([cache[w] for w in words])
+                ids = cache.get(w)
+                if ids is None:
+                    ids = np.array(self.piece(w.encode()), "<u4").tobytes()
+                    if len(w) <= CACHE_CHARS:
+                        cache[w] = ids
+                out.append(ids)
+            return b"".join(out)
 
 
 def _byte_characters() -> dict[str, int]:
@@ -170,6 +179,8 @@ class Plan:
     left_start: np.ndarray
     line_tokens: int
     line_sequence: int
+    #: rows of length n: bounds[n] up to bounds[n + 1]
+    bounds: np.ndarray
 
 
 def make_plan(histogram: np.ndarray, window: int = WINDOW, depth: int = DEPTH) -> Plan:
@@ -201,7 +212,7 @@ def make_plan(histogram: np.ndarray, window: int = WINDOW, depth: int = DEPTH) -
     tokens = left * np.arange(window + 1)
     starts = np.zeros(window + 1, np.int64)
     starts[::-1][1:] = np.cumsum(tokens[::-1])[:-1]  # falling length
-    return Plan(window, table[:, 0], table[:, 1], table[:, 2], table[:, 3], table[:, 4], used, left, starts, int(tokens.sum()), sequence)
+    return Plan(window, table[:, 0], table[:, 1], table[:, 2], table[:, 3], table[:, 4], used, left, starts, int(tokens.sum()), sequence, np.searchsorted(table[:, 0], np.arange(window + 2)))
 
 
 def place(plan: Plan, length: int, rank: int) -> list[tuple[int, int, int]]:
@@ -209,7 +220,8 @@ def place(plan: Plan, length: int, rank: int) -> list[tuple[int, int, int]]:
     if length == plan.window:
         return [(rank, 0, length)]
     if rank < plan.used[length]:
-        i = np.searchsorted(plan.length, length, "left") + np.searchsorted(plan.first[plan.length == length], rank, "right") - 1
+        low, high = plan.bounds[length], plan.bounds[length + 1]
+        i = low + np.searchsorted(plan.first[low:high], rank, "right") - 1
         k = rank - int(plan.first[i])
         m = int(plan.per_sequence[i])
         return [(int(plan.sequence[i]) + k // m, int(plan.offset[i]) + k % m * length, length)]
@@ -289,7 +301,10 @@ def place_pieces(pieces: DataFrame, window: int = WINDOW, depth: int = DEPTH) ->
     plan = spark.sparkContext.broadcast(made)
     before = F.coalesce(F.sum("n").over(W.partitionBy("length").orderBy("task").rowsBetween(W.unboundedPreceding, -1)), F.lit(0))
     offsets = counts.select("task", "length", before.alias("before"))
+    offsets = F.broadcast(offsets) if counts.count() <= MAX_BROADCAST_OFFSETS else offsets.hint("merge")
     light = pieces.drop("ids").join(offsets, ["task", "length"])
+    # Pieces with a slot in the plan stay whole; only the others are laid on the greedy line, where they may be cut.
+    planned = (F.col("rank") + F.col("before") < F.element_at(F.lit(made.used.tolist()), F.col("length").cast("int") + 1)) | (F.col("length") == window)
     kind = dict(pieces.dtypes)["doc_id"]
     columns = ["task", "row", "doc_id", "start", "length", "doc_tokens", "crc"]
 
@@ -309,10 +324,10 @@ def place_pieces(pieces: DataFrame, window: int = WINDOW, depth: int = DEPTH) ->
             out = b.select(columns).take(pa.array(index, pa.int64()))
             yield pa.RecordBatch.from_arrays([*out.columns, *(pa.array(took[:, i].copy()) for i in range(3)), pa.array(first, pa.int64())], names=[*columns, "sequence_id", "offset", "part", "skip"])
 
-    placed = light.mapInArrow(run, f"task long, row long, doc_id {kind}, start long, length long, doc_tokens long, crc long, sequence_id long, offset long, part long, skip long")
+    schema = f"task long, row long, doc_id {kind}, start long, length long, doc_tokens long, crc long, sequence_id long, offset long, part long, skip long"
     result = ["doc_id", (F.col("start") + F.col("skip")).alias("start"), F.col("part").alias("length"), "ids_crc32", "doc_tokens", "sequence_id", "offset", "task", "row"]
-    whole = placed.where("part = length").withColumn("ids_crc32", F.col("crc")).select(*result)
-    cut = placed.where("part < length")
+    whole = light.where(planned).mapInArrow(run, schema).withColumn("ids_crc32", F.col("crc")).select(*result)
+    cut = light.where(~planned).mapInArrow(run, schema)
     # The plan knows how many pieces it cuts at most; few enough go to the tables of ids, not these to them.
     cut = (F.broadcast(cut) if int(made.left.sum()) <= MAX_BROADCAST_PIECES else cut).join(pieces.select("task", "row", "ids"), ["task", "row"])
     cut = cut.withColumn("ids_crc32", F.crc32(F.expr("substring(ids, cast(4 * skip + 1 as int), cast(4 * part as int))"))).select(*result)
