@@ -2,16 +2,18 @@
 
 Messages form trees: each names its parent, a message without one (or whose parent is not in the
 table) is a root. Paths from root to leaf are enumerated by iterative self-joins with doubling
-hops: after k rounds every leaf knows the messages up to 2^k - 1 above it, so that a thread of
-a thousand messages takes ten rounds. Branches are ranked by the mean score of their messages
-(ties: the smaller leaf), and each chosen path is formatted as one conversation.
+hops: after k rounds every message knows the sum of the scores of the 2^k messages from it upwards,
+and which one stands above these, so that a thread of a thousand messages takes ten rounds. Branches
+are ranked by the mean score of their messages (ties: the smaller leaf). Only the chosen leaves are
+then expanded, by the hops of the same rounds, and each path is formatted as one conversation.
 
 Template: `<turn ROLE>`, a line end, the text, a line end, `</turn>`, a line end. Inside roles
 and texts a backslash, `<` and `>` are written as `\\\\`, `\\l` and `\\g`, so that nothing in them can
 look like the template, and reading back is exact. The loss mask covers the assistant's texts.
 
-Every round is a table in the shared folder. Only ids take part in the rounds; texts are joined
-to the chosen paths. The messages of one path meet in one task, as they become one value.
+Every round is a table in the shared folder. Only ids and scores take part in the rounds; texts are
+joined to the chosen paths, and dealt by path. The messages of one path meet in one task, as they
+become one value: a path is bounded by what one value can hold (2 GB), a tree is not.
 
 Defined results: a null text or role is empty, a null score is 0, a null tree id is a tree of its
 own. Of messages of a tree with the same id the first by parent, role and text stays. Parents
@@ -25,7 +27,7 @@ import re
 from collections.abc import Iterator
 
 import pyarrow as pa
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 
@@ -77,34 +79,56 @@ def messages_of_turns(conversations: DataFrame, *, id_col: str = "conv_id", turn
     return rows.select("tree", "node", F.when(F.col("node") > 1, F.col("node") - 1).alias("parent"), "role", "text", F.lit(0.0).alias("score"))
 
 
-def paths(messages: DataFrame) -> DataFrame:
-    """messages: key, node, parent. Every message of every path: key, leaf, node, distance to the leaf."""
-    nodes = messages.select("key", "node")
-    up = saved(messages.select("key", "node", F.col("parent").alias("up")).join(nodes.withColumnRenamed("node", "up"), ["key", "up"]).select("key", "node", "up"), "replies")
-    leaves = nodes.join(up.select("key", F.col("up").alias("node")).distinct(), ["key", "node"], "left_anti")
-    members = leaves.select("key", F.col("node").alias("leaf"), "node", F.lit(0).cast("long").alias("distance"))
-    hop, most = 1, messages.count()
-    while not up.isEmpty():
-        if hop > most:
+def chosen_paths(structure: DataFrame, branches: int = 1) -> DataFrame:
+    """structure: key, node, parent, score, each node once. Every message of the best paths: key, leaf, rank, node, distance to the leaf."""
+    known = structure.select("key", F.col("node").alias("up")).withColumn("there", F.lit(True))
+    state = structure.select("key", "node", F.col("parent").alias("up"), F.col("score").alias("total"), F.lit(1).cast("long").alias("n")).join(known, ["key", "up"], "left")
+    state = saved(state.select("key", "node", F.when(F.col("there"), F.col("up")).alias("up"), "total", "n"), "scores")
+    leaves = state.select("key", "node").join(state.where("up IS NOT NULL").select("key", F.col("up").alias("node")).distinct(), ["key", "node"], "left_anti")
+    hops, most = [], structure.count()
+    while not (open_ := state.where("up IS NOT NULL")).isEmpty():
+        if 1 << len(hops) > most:
             raise ValueError("the parents of some messages form a cycle")
-        above = members.join(up, ["key", "node"]).select("key", "leaf", F.col("up").alias("node"), (F.col("distance") + hop).alias("distance"))
+        hops.append(open_.select("key", "node", "up"))
+        above = state.select("key", F.col("node").alias("up"), F.col("up").alias("next"), F.col("total").alias("more"), F.col("n").alias("m"))
+        state = state.join(above, ["key", "up"], "left").select("key", "node", F.col("next").alias("up"), (F.col("total") + F.coalesce("more", F.lit(0.0))).alias("total"), (F.col("n") + F.coalesce("m", F.lit(0))).alias("n"))
+        state = saved(state, "scores")
+    rank = F.row_number().over(W.partitionBy("key").orderBy(F.desc(F.col("total") / F.col("n")), "node"))
+    ranked = state.join(leaves, ["key", "node"]).withColumn("rank", rank).where(F.col("rank") <= branches)
+    members = saved(ranked.select("key", F.col("node").alias("leaf"), "rank", "node", F.lit(0).cast("long").alias("distance")), "paths")
+    for k, hop in enumerate(hops):
+        above = members.join(hop, ["key", "node"]).select("key", "leaf", "rank", F.col("up").alias("node"), (F.col("distance") + (1 << k)).alias("distance"))
         members = saved(members.union(above), "paths")
-        up = saved(up.join(up.select("key", F.col("node").alias("up"), F.col("up").alias("next")), ["key", "up"]).select("key", "node", F.col("next").alias("up")), "replies")
-        hop *= 2
     return members
 
 
+def _key(tree: str) -> Column:
+    return F.coalesce(F.concat(F.lit("t"), F.col(tree).cast("string")), F.lit("")).alias("key")
+
+
 def format_trees(messages: DataFrame, branches: int = 1) -> DataFrame:
     """messages: tree, node, parent, role, text, score. Per chosen path: tree, leaf, rank, conversation, loss_spans."""
-    kind = dict(messages.dtypes)["tree"]
-    key = F.coalesce(F.concat(F.lit("t"), F.col("tree").cast("string")), F.lit("")).alias("key")
-    one = F.row_number().over(W.partitionBy("key", "node").orderBy(F.col("parent").asc_nulls_first(), "role", "text"))
-    rows = messages.select(key, "tree", "node", "parent", F.coalesce("role", F.lit("")).alias("role"), F.coalesce("text", F.lit("")).alias("text"), F.coalesce("score", F.lit(0.0)).alias("score"))
-    rows = saved(rows.withColumn("one", one).where("one = 1").drop("one"), "messages")
-    every = paths(rows)
-    ranked = every.join(rows.select("key", "node", "score"), ["key", "node"]).groupBy("key", "leaf").agg(F.avg("score").alias("score"))
-    chosen = ranked.withColumn("rank", F.row_number().over(W.partitionBy("key").orderBy(F.desc("score"), "leaf"))).where(F.col("rank") <= branches).drop("score")
-    told = every.join(chosen, ["key", "leaf"]).join(rows.select("key", "tree", "node", "role", "text"), ["key", "node"])
+    rows = messages.select(_key("tree"), "tree", "node", "parent", F.coalesce("role", F.lit("")).alias("role"), F.coalesce("text", F.lit("")).alias("text"), F.coalesce("score", F.lit(0.0)).alias("score"))
+    if not rows.groupBy("key", "node").count().where("count > 1").isEmpty():
+        one = F.row_number().over(W.partitionBy("key", "node").orderBy(F.col("parent").asc_nulls_first(), "role", "text"))
+        rows = saved(rows.withColumn("one", one).where("one = 1").drop("one"), "messages")
+    return _formatted_paths(saved(rows.select("key", "node", "parent", "score"), "structure"), rows.select("key", "tree", "node", "role", "text"), branches)
+
+
+def format_turns(conversations: DataFrame, *, id_col: str = "conv_id", turn_col: str = "turn", role_col: str = "role", text_col: str = "text") -> DataFrame:
+    """Like format_trees(messages_of_turns(...)). Where each turn of a conversation is there once, the turns are numbered without their texts."""
+    light = saved(conversations.select(_key(id_col), F.col(turn_col).cast("long").alias("node")), "turns")
+    if not light.groupBy("key", "node").count().where("count > 1 OR node IS NULL").isEmpty():
+        return format_trees(messages_of_turns(conversations, id_col=id_col, turn_col=turn_col, role_col=role_col, text_col=text_col))
+    structure = saved(light.withColumn("parent", F.lag("node").over(W.partitionBy("key").orderBy("node"))).withColumn("score", F.lit(0.0)), "structure")
+    texts = conversations.select(_key(id_col), F.col(id_col).alias("tree"), F.col(turn_col).cast("long").alias("node"), F.coalesce(F.col(role_col).cast("string"), F.lit("")).alias("role"), F.coalesce(F.col(text_col).cast("string"), F.lit("")).alias("text"))
+    return _formatted_paths(structure, texts, 1)
+
+
+def _formatted_paths(structure: DataFrame, texts: DataFrame, branches: int) -> DataFrame:
+    kind = dict(texts.dtypes)["tree"]
+    # The members are a table whose size Spark knows: it is broadcast if small, and texts are dealt once, by path.
+    told = texts.join(chosen_paths(structure, branches), ["key", "node"])
     turns = told.groupBy("key", "leaf", "rank").agg(F.first("tree").alias("tree"), F.sort_array(F.collect_list(F.struct((-F.col("distance")).alias("at"), "role", "text"))).alias("turns"))
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:

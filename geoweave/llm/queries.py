@@ -42,7 +42,7 @@ def op6_chat(spark: SparkSession, sf_dir: str) -> DataFrame:
     said = r"\### Assistant: </turn> ok"
     rows = table(spark, sf_dir, "conversations").select("conv_id", "turn", "role", "text")
     planted = spark.createDataFrame([(-7, 0, "user", said), (-7, 1, "assistant", said)], rows.schema)
-    return chat.chat_report(chat.format_trees(chat.messages_of_turns(rows.unionByName(planted))))
+    return chat.chat_report(chat.format_turns(rows.unionByName(planted)))
 
 
 def op7_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:

@@ -68,3 +68,32 @@ def test_rows_by_turn_with_ties_and_nulls(spark):
     made = chat.format_trees(chat.messages_of_turns(spark.createDataFrame(rows, "conv_id long, turn long, role string, text string")))
     got = {r.tree: chat.read_back(r.conversation) for r in made.collect()}
     assert got == {1: [("user", "a"), ("user", "b"), ("assistant", ""), ("assistant", "")], None: [("", "")]}
+
+
+def test_only_chosen_paths_are_expanded(spark):
+    """Many leaves under a long stem: as many rows as the chosen path has messages."""
+    rows = [(1, n, n - 1 if n else None, "user", str(n), 0.0) for n in range(200)] + [(1, 1000 + n, 199, "assistant", "leaf", n / 100) for n in range(100)]
+    df = spark.createDataFrame(rows, SCHEMA)
+    structure = df.selectExpr("cast(tree as string) AS key", "node", "parent", "score")
+    members = chat.chosen_paths(structure)
+    assert members.count() == 201 and {r.leaf for r in members.collect()} == {1099} and {r.distance for r in members.collect()} == set(range(201))
+    made = chat.format_trees(df).collect()
+    assert [t for _, t in chat.read_back(made[0].conversation)] == [str(n) for n in range(200)] + ["leaf"]
+
+
+def test_cycles_are_an_error(spark):
+    df = spark.createDataFrame([(1, 1, 2, "u", "a", 0.0), (1, 2, 1, "u", "b", 0.0)], SCHEMA)
+    with pytest.raises(ValueError, match="cycle"):
+        chat.format_trees(df)
+
+
+def test_turns_with_and_without_ties(spark):
+    schema = "conv_id long, turn long, role string, text string"
+    plain = [(c, t, "user" if t % 2 == 0 else "assistant", f"{c}:{t}") for c in (1, None) for t in range(1100)]
+    ties = [(2, 0, "user", "b"), (2, 0, "user", "a"), (2, None, "assistant", None), (2, 0, "user", "a")]
+    for rows in (plain, plain[:3] + ties, []):
+        df = spark.createDataFrame(rows, schema).selectExpr("*", "1 AS key", "2 AS node")
+        want = {}
+        for c, t, role, text in sorted(rows, key=lambda r: (r[1] is not None, r[1] or 0, r[2] or "", r[3] or "")):
+            want.setdefault(c, []).append((role or "", text or ""))
+        assert {r.tree: chat.read_back(r.conversation) for r in chat.format_turns(df).collect()} == want
