@@ -44,19 +44,24 @@ def main(argv: list[str] | None = None, spark=None) -> int:
     from pyspark.sql import SparkSession
 
     from geoweave.plans.manifest import produce
-    from geoweave.plans.runs import find_candidates, retrieve
+    from geoweave.plans.runs import find_candidates, name_frequencies, retrieve
     from geoweave.sources.tables import fingerprint, read_documents
 
     try:
         spark = spark or SparkSession.builder.getOrCreate()
-        settings = {k: v for k, v in vars(args).items() if k != "output"} | {"documents_sha256": fingerprint(spark, args.documents)}
+        inputs = {"documents_sha256": fingerprint(spark, args.documents), "areas_sha256": fingerprint(spark, args.areas)}
+        settings = {k: v for k, v in vars(args).items() if k != "output"} | inputs
         documents, areas = read_documents(spark, args.documents), _areas(spark, args.areas)
+        frequencies = None
+        if args.version in (("v5", "v6") if args.command == "scan" else ("v2", "v3")):
+            # Made once for the same inputs, and read again by later runs.
+            frequencies = produce(spark, f"{args.output}/frequencies", inputs, lambda: name_frequencies(documents, areas))[0]
         if args.command == "scan":
             retrieval_version(args.version)
-            build = lambda: retrieve(documents, areas, args.version, country=args.country, ratio=args.ratio)
+            build = lambda: retrieve(documents, areas, args.version, country=args.country, ratio=args.ratio, frequencies=frequencies)
         else:
             countries = dict(x.split("=", 1) for x in args.countries.split(","))
-            build = lambda: find_candidates(documents, areas, args.version, countries=countries, ratio=args.ratio)
+            build = lambda: find_candidates(documents, areas, args.version, countries=countries, ratio=args.ratio, frequencies=frequencies)
         rows, reused = produce(spark, args.output, settings, build)
         print(json.dumps({"command": args.command, "output": args.output, "reused": reused, "rows": rows.count(), "version": args.version}, sort_keys=True))
     except (OSError, ValueError) as e:

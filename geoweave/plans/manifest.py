@@ -1,14 +1,16 @@
 """Manifests: what a result was made from, so that it is reused only for the same inputs and settings.
 
-A manifest is a one-row JSON table beside the result, written after it; a result without one is
-incomplete and is made again.
+A result stands in a folder named by the hash of its settings; the manifest beside it, a one-row JSON
+table that is written last, names the folder. A run that ends early leaves the manifest as it
+was, with the folder that it names untouched.
 """
 
 from __future__ import annotations
 
 import hashlib
 import json
-from collections.abc import Callable
+from collections.abc import Callable, Mapping
+from functools import reduce
 
 from pyspark.errors import AnalysisException
 from pyspark.sql import DataFrame, SparkSession
@@ -45,10 +47,32 @@ def produce(spark: SparkSession, path: str, settings: dict, build: Callable[[],
     known = read_manifest(spark, path)
     wanted = payload_hash(settings)
     if known is not None and known.get("settings_hash") == wanted:
-        return spark.read.parquet(f"{path}/data"), True
+        return spark.read.parquet(f"{path}/{known['folder']}"), True
     if known is not None and conflict == "raise":
         raise ValueError(f"{path} was made with other inputs or settings")
-    build().write.mode("overwrite").partitionBy(*partition_by).parquet(f"{path}/data")
-    made = spark.read.parquet(f"{path}/data")
-    write_manifest(spark, path, {"settings": settings, "settings_hash": wanted, "rows": made.count()})
+    folder = f"data-{wanted[:16]}"
+    build().write.mode("overwrite").partitionBy(*partition_by).parquet(f"{path}/{folder}")
+    made = spark.read.parquet(f"{path}/{folder}")
+    write_manifest(spark, path, {"settings": settings, "settings_hash": wanted, "folder": folder, "rows": made.count()})
     return made, False
+
+
+def produce_parts(spark: SparkSession, path: str, settings: dict, parts: Mapping[str, Callable[[], DataFrame]], *, conflict: str = "raise", log: Callable[[dict], None] | None = None) -> DataFrame:
+    """A result made part by part: parts that are complete for the same settings are not made again.
+
+    log: called with an event for each part that begins, ends, is skipped or fails; a failure is raised again.
+    """
+    tell = log or (lambda event: None)
+    made = []
+    for name, build in parts.items():
+        tell({"event": "begin", "part": name})
+        try:
+            rows, reused = produce(spark, f"{path}/part={name}", settings | {"part": name}, build, conflict=conflict)
+        except BaseException as e:
+            tell({"event": "failed", "part": name, "error": str(e)})
+            raise
+        tell({"event": "skipped" if reused else "complete", "part": name})
+        made.append(rows)
+    if not made:
+        raise ValueError("no parts")
+    return reduce(DataFrame.unionByName, made)

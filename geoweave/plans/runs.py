@@ -13,8 +13,8 @@ from geoweave.operators.topics import Vocabulary, near_topics, with_topic
 from geoweave.plans.versions import RetrievalVersion, retrieval_version
 
 
-def run_profiles(areas: DataFrame, documents: DataFrame, version: RetrievalVersion, *, country: str, ratio: float = specificity.FREQUENCY_RATIO) -> DataFrame:
-    """The profiles that a version searches."""
+def run_profiles(areas: DataFrame, documents: DataFrame, version: RetrievalVersion, *, country: str, ratio: float = specificity.FREQUENCY_RATIO, frequencies: DataFrame | None = None) -> DataFrame:
+    """The profiles that a version searches. frequencies: of an earlier pass over the same documents and areas."""
     if version.areas == "named":
         return gazetteer.profiles(areas)
     if version.areas == "in_boundary":
@@ -25,18 +25,25 @@ def run_profiles(areas: DataFrame, documents: DataFrame, version: RetrievalVersi
         return gazetteer.one_per_name(found)
     occurrences = gazetteer.name_occurrences(found)  # before names are merged
     once = gazetteer.one_per_name(found)
-    frequencies = specificity.document_frequency(documents, once)
+    if frequencies is None:
+        frequencies = specificity.document_frequency(documents, once)
     cutoff = specificity.retrieval_cutoff(documents.count(), ratio)
     return specificity.specific_profiles(once, occurrences, frequencies, country=country, cutoff=cutoff)
 
 
-def retrieve(documents: DataFrame, areas: DataFrame, version: str, *, country: str, ratio: float = specificity.FREQUENCY_RATIO) -> DataFrame:
+def retrieve(documents: DataFrame, areas: DataFrame, version: str, *, country: str, ratio: float = specificity.FREQUENCY_RATIO, frequencies: DataFrame | None = None) -> DataFrame:
     """Evidence of a version: documents x areas, kept once an area and document where the version says so."""
     plan = retrieval_version(version)
-    found = retrieval.evidence(documents, run_profiles(areas, documents, plan, country=country, ratio=ratio), rule=plan.rule, context=country, max_gap=plan.max_gap or 0)
+    found = retrieval.evidence(documents, run_profiles(areas, documents, plan, country=country, ratio=ratio, frequencies=frequencies), rule=plan.rule, context=country, max_gap=plan.max_gap or 0)
     return retrieval.deduplicated(found, documents) if plan.deduplicated else found
 
 
+def name_frequencies(documents: DataFrame, areas: DataFrame) -> DataFrame:
+    """Document frequencies of all names and aliases of the areas: the pass that versions 5, 6 and the lexical ones share."""
+    names = gazetteer.meaningful_profiles(areas).select("normalized_name").union(gazetteer.candidate_names(areas).select("normalized_name"))
+    return specificity.document_frequency(documents, names.distinct())
+
+
 def refine(found: DataFrame, vocabulary: Vocabulary, *, segmenter: Segmenter | None = None, classifier: Classifier | None = None, window: int = 2, strict: bool = True) -> dict[str, DataFrame]:
     """The steps after v6: v7 sentences, v8 topic documents, v9 topic sentences near the name, v10 (with a classifier) affirmed ones."""
     out = {"v7": segmented(found.drop("normalized_name"), segmenter)}
@@ -47,13 +54,13 @@ def refine(found: DataFrame, vocabulary: Vocabulary, *, segmenter: Segmenter | N
     return out
 
 
-def find_candidates(documents: DataFrame, areas: DataFrame, version: str, *, countries: Mapping[str, str], ratio: float = specificity.FREQUENCY_RATIO) -> DataFrame:
-    """Lexical candidates of a version. Versions 2 and 3 read the documents twice: for the frequencies, then for the mentions."""
+def find_candidates(documents: DataFrame, areas: DataFrame, version: str, *, countries: Mapping[str, str], ratio: float = specificity.FREQUENCY_RATIO, frequencies: DataFrame | None = None) -> DataFrame:
+    """Lexical candidates of a version. Versions 2 and 3 read the documents twice: for the frequencies (unless these are given), then for the mentions."""
     if version == "v1":
         return lexical.mentions(documents, areas)
     if version not in ("v2", "v3"):
         raise ValueError("lexical version must be v1, v2 or v3")
-    inventory = specificity.name_inventory(areas, documents, dict(countries), total=documents.count(), ratio=ratio)
+    inventory = specificity.name_inventory(areas, documents, dict(countries), total=documents.count(), ratio=ratio, frequencies=frequencies)
     if version == "v2":
         return lexical.classed_mentions(documents, areas, inventory)
     return lexical.scored_mentions(documents, areas, inventory, dict(countries))

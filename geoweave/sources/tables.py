@@ -89,8 +89,16 @@ def read_vocabulary(spark: SparkSession, path: str) -> Vocabulary:
         raise ValueError(f"the vocabulary is no JSON: {path}") from e
 
 
+#: Larger files are told apart by name, size and time of change, as a file's content is one value when it is read.
+MAX_HASHED_BYTES = 1 << 30
+
+
 def fingerprint(spark: SparkSession, path: str) -> str:
-    """SHA-256 over the names, sizes and contents' hashes of the files of a path; read on the executors."""
-    files = spark.read.format("binaryFile").load(path).select(F.element_at(F.split("path", "/"), -1).alias("name"), "length", F.sha2("content", 256).alias("hash"))
-    row = files.agg(F.sha2(F.array_join(F.sort_array(F.collect_list(F.concat_ws(":", "name", "length", "hash"))), "\n"), 256).alias("f")).first()
+    """SHA-256 over the names and contents of the files of a path (of large ones the sizes and times of change); read on the executors."""
+    files = spark.read.format("binaryFile").option("recursiveFileLookup", "true").load(path)
+    name = F.element_at(F.split("path", "/"), -1)
+    small = files.where(F.col("length") <= MAX_HASHED_BYTES).select(F.concat_ws(":", name, "length", F.sha2("content", 256)).alias("f"))
+    large = files.where(F.col("length") > MAX_HASHED_BYTES).select(F.concat_ws(":", name, "length", F.col("modificationTime").cast("long").cast("string")).alias("f"))
+    # One short line a file; a sum of hashes would do for more files than a task can sort.
+    row = small.union(large).agg(F.sha2(F.array_join(F.sort_array(F.collect_list("f")), "\n"), 256).alias("f")).first()
     return row.f

@@ -9,22 +9,32 @@ from __future__ import annotations
 
 from collections.abc import Callable
 
+from pyspark.errors import AnalysisException
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from geoweave.plans.manifest import payload_hash
 
 DOCUMENTS = "row_index long, document_id string, text string, url string"
+SHARD = "shard"
 
 
 def scan_new_files(spark: SparkSession, source: str, target: str, settings: dict, find: Callable[[DataFrame], DataFrame], *, files_per_batch: int = 1000) -> DataFrame:
-    """Process what has come since the last call; the evidence so far. source: Parquet files of DOCUMENTS."""
+    """Process what has come since the last call; the evidence so far, empty before the first. source: Parquet files of DOCUMENTS.
+
+    find gets the documents with the file they came in as `shard`. Rules with a cutoff of frequencies
+    need profiles that were chosen before, as a batch knows nothing of the others.
+    """
     folder = f"{target}/{payload_hash(settings)[:16]}"
 
     def write(batch: DataFrame, number: int) -> None:
         find(batch).write.mode("overwrite").parquet(f"{folder}/data/batch={number}")
 
-    stream = spark.readStream.schema(DOCUMENTS).option("maxFilesPerTrigger", files_per_batch).parquet(source)
+    files = spark.readStream.schema(DOCUMENTS).option("maxFilesPerTrigger", files_per_batch).parquet(source)
+    stream = files.select(F.col("_metadata.file_name").alias(SHARD), "*")
     query = stream.writeStream.foreachBatch(write).option("checkpointLocation", f"{folder}/checkpoint").trigger(availableNow=True).start()
     query.awaitTermination()
-    return spark.read.option("basePath", f"{folder}/data").parquet(f"{folder}/data")
+    try:
+        return spark.read.option("basePath", f"{folder}/data").parquet(f"{folder}/data")
+    except AnalysisException:  # no file has come yet
+        return find(spark.createDataFrame([], f"{SHARD} string, {DOCUMENTS}")).withColumn("batch", F.lit(None).cast("int"))

@@ -91,11 +91,34 @@ def test_manifest(spark, tmp_path):
     assert manifest.produce(spark, path, {"a": 2}, build, conflict="rebuild")[1] is False and len(calls) == 2
 
 
+def test_parts_resume_and_a_failed_rebuild_leaves_the_old_result(spark, tmp_path):
+    path, made, events = str(tmp_path / "p"), [], []
+
+    def part(n, fail=False):
+        def build():
+            if fail:
+                raise OSError("lost")
+            made.append(n)
+            return spark.range(n)
+
+        return build
+
+    with pytest.raises(OSError):
+        manifest.produce_parts(spark, path, {"a": 1}, {"x": part(1), "y": part(2, True)}, log=events.append)
+    assert manifest.produce_parts(spark, path, {"a": 1}, {"x": part(1), "y": part(2)}, log=events.append).count() == 3 and made == [1, 2]
+    assert [e["event"] for e in events] == ["begin", "complete", "begin", "failed", "begin", "skipped", "begin", "complete"]
+    with pytest.raises(OSError):
+        manifest.produce(spark, f"{path}/part=x", {"a": 2}, part(1, True), conflict="rebuild")
+    assert manifest.produce(spark, f"{path}/part=x", {"a": 1, "part": "x"}, part(9))[1] is True
+
+
 def test_stream_takes_each_file_once(spark, tmp_path):
     source, target = str(tmp_path / "in"), str(tmp_path / "out")
     p = profiles(spark, "Quillbury")
     find = lambda batch: retrieval.evidence(batch, p, rule="text", context="Norland").drop("normalized_name")
     whole = docs(spark, ("Quillbury by Norland", ""), ("no", ""))
+    spark.createDataFrame([], "row_index long, document_id string, text string, url string").write.parquet(source)
+    assert scan_new_files(spark, source, target + "0", {"rule": "text"}, find).count() == 0
     for n in (1, 2, 2):
         if n != 2 or spark.read.parquet(source).count() < 4:
             whole.write.mode("append").parquet(source)
