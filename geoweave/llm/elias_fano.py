@@ -10,16 +10,42 @@ _CHUNK = 1 << 15
 
 
 class EliasFano:
-    """A monotone sequence of unsigned numbers: packed low bits, and high bits in unary. Files are mapped, not read."""
+    """A monotone sequence of unsigned numbers: packed low bits, and high bits in unary. Both stay in mapped files.
+
+    In memory is only a directory: how many ones stand before each 64 bits of the unary part.
+    """
 
     def __init__(self, path: str):
         n, low, buckets = (int(x) for x in np.fromfile(f"{path}.head", np.uint64))
         self.n, self.low, self.buckets = n, low, buckets
         self.lows = np.memmap(f"{path}.low", np.uint8, "r")
-        ones = np.flatnonzero(np.unpackbits(np.memmap(f"{path}.high", np.uint8, "r"), count=n + buckets)) - np.arange(n)
-        # select: first element of each bucket of equal high bits
-        self.first = np.searchsorted(ones, np.arange(buckets + 1)).astype(np.int64)
-        self.highs = ones
+        self.unary = np.memmap(f"{path}.high", np.uint8, "r").reshape(-1, 8)
+        self.ones = np.zeros(len(self.unary) + 1, np.uint32)
+        for at in range(0, len(self.unary), _CHUNK):
+            part = np.bitwise_count(self.unary[at : at + _CHUNK]).sum(axis=1, dtype=np.uint32)
+            self.ones[at + 1 : at + 1 + len(part)] = self.ones[at] + np.cumsum(part, dtype=np.uint32)
+
+    def _select(self, rank: np.ndarray, one: bool) -> np.ndarray:
+        """Where in the unary part the one (or zero) with this number is, counted from 0."""
+        before = self.ones if one else self._zeros()
+        out = np.empty(len(rank), np.int64)
+        for at in range(0, len(rank), _CHUNK):
+            r = rank[at : at + _CHUNK].astype(np.int64)
+            block = np.searchsorted(before, r, "right") - 1
+            bits = np.unpackbits(self.unary[block], axis=1)
+            seen = np.cumsum(bits if one else 1 - bits, axis=1, dtype=np.uint8)
+            out[at : at + _CHUNK] = block * 64 + (seen == (r - before[block] + 1)[:, None]).argmax(axis=1)
+        return out
+
+    def _zeros(self) -> np.ndarray:
+        return np.arange(len(self.ones), dtype=np.int64) * 64 - self.ones
+
+    def first(self, bucket: np.ndarray) -> np.ndarray:
+        """The number of the first element whose high bits are at least the bucket."""
+        out = np.zeros(len(bucket), np.int64)
+        later = bucket > 0
+        out[later] = self._select(bucket[later] - 1, False) - (bucket[later] - 1)
+        return out
 
     @staticmethod
     def write(path: str, values: np.ndarray) -> None:
@@ -33,7 +59,7 @@ class EliasFano:
                 bits = np.unpackbits(values[at : at + _CHUNK].astype(">u8").view(np.uint8).reshape(-1, 8), axis=1)[:, 64 - low :]
                 f.write(np.packbits(bits.ravel()).tobytes())
             f.write(bytes(16))
-        unary = np.zeros(n + buckets, np.uint8)
+        unary = np.zeros(-(-(n + buckets) // 64) * 64, np.uint8)
         unary[(values >> np.uint64(low)).astype(np.int64) + np.arange(n)] = 1
         np.packbits(unary).tofile(f"{path}.high")
 
@@ -45,15 +71,16 @@ class EliasFano:
         return words << (bit & 7).astype(np.uint64) >> np.uint64(64 - self.low)
 
     def __getitem__(self, i: np.ndarray) -> np.ndarray:
-        return self.highs[i].astype(np.uint64) << np.uint64(self.low) | self.low_bits(i)
+        i = np.asarray(i, np.int64)
+        return (self._select(i, True) - i).astype(np.uint64) << np.uint64(self.low) | self.low_bits(i)
 
     def successor(self, x: np.ndarray) -> np.ndarray:
         """Index of the first element that is at least x (n if none): select the bucket, then halve within it."""
         x = x.astype(np.uint64)
         high = np.minimum(x >> np.uint64(self.low), np.uint64(self.buckets)).astype(np.int64)
         inside = high < self.buckets
-        lo = self.first[high]
-        hi = np.where(inside, self.first[np.minimum(high + 1, self.buckets)], lo)
+        lo = self.first(high)
+        hi = np.where(inside, self.first(np.minimum(high + 1, self.buckets)), lo)
         wanted = x & np.uint64((1 << self.low) - 1)
         while (open_ := np.flatnonzero(lo < hi)).size:
             mid = lo[open_] + hi[open_] >> 1
