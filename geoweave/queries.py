@@ -310,7 +310,10 @@ bounds AS MATERIALIZED (SELECT *, coalesce(sum(words) OVER (PARTITION BY row_ind
 places AS MATERIALIZED (SELECT row_index, row_number() OVER (PARTITION BY row_index ORDER BY i) AS pos, off AS s, off + length(part) AS e FROM (
   SELECT row_index, i, part, coalesce(sum(length(part) + 1) OVER (PARTITION BY row_index ORDER BY i ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING), 0) AS off
   FROM (SELECT row_index, unnest(string_split(m, ' ')) AS part, generate_subscripts(string_split(m, ' '), 1) AS i FROM (SELECT row_index, regexp_replace(text, '[^\\p{{L}}\\p{{N}}]', ' ', 'g') AS m FROM shard))) WHERE part <> ''),
-ment AS MATERIALIZED (SELECT c.source_key, f.row_index, f.pos, CAST(a.s AS INTEGER) AS start, CAST(z.e AS INTEGER) AS end_, c.polygon_id, c.alias AS matched_alias, f.n, si, sentence, context FROM found f JOIN bounds b ON b.row_index = f.row_index AND f.pos - 1 >= before AND f.pos - 1 < before + words JOIN cand c ON c.n = f.n JOIN places a ON a.row_index = f.row_index AND a.pos = f.pos JOIN places z ON z.row_index = f.row_index AND z.pos = f.pos + len(string_split(f.n, ' ')) - 1)
+begun AS MATERIALIZED (SELECT f.row_index, f.pos, f.n, a.s, f.pos + len(string_split(f.n, ' ')) - 1 AS last FROM found f JOIN places a ON a.row_index = f.row_index AND a.pos = f.pos),
+placed AS MATERIALIZED (SELECT b.row_index, b.pos, b.n, b.s, z.e FROM begun b JOIN places z ON z.row_index = b.row_index AND z.pos = b.last),
+spots AS MATERIALIZED (SELECT f.row_index, f.pos, f.n, f.s, f.e, si, sentence, context FROM placed f JOIN bounds b ON b.row_index = f.row_index AND f.pos - 1 >= before AND f.pos - 1 < before + words),
+ment AS MATERIALIZED (SELECT c.source_key, f.row_index, f.pos, CAST(f.s AS INTEGER) AS start, CAST(f.e AS INTEGER) AS end_, c.polygon_id, c.alias AS matched_alias, f.n, si, sentence, context FROM spots f JOIN cand c ON c.n = f.n)
 """
     return f"WITH {_BASE}, {cand} {last}"
 
