@@ -6,7 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from geoweave.llm import chat, decontamination, lm_scoring, packing, quality, secrets, simhash, toxicity, urlfilter, warc
+from geoweave.llm import chat, decontamination, lm_scoring, packing, quality, secrets, sentence_pieces, simhash, toxicity, urlfilter, warc
 from geoweave.llm.common import table
 
 
@@ -17,6 +17,12 @@ def tokenizer_path() -> str:
     return public_tokenizers.path("byte_bpe_50k.json")
 
 
+def piece_model_path() -> str:
+    import public_tokenizers
+
+    return public_tokenizers.path("piece_bpe_32k.model")
+
+
 def op1_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
     return packing.pack(table(spark, sf_dir, "documents"), tokenizer_path()).drop("task", "row")
 
@@ -62,6 +68,11 @@ def op10_simhash(spark: SparkSession, sf_dir: str) -> DataFrame:
     return simhash.near_duplicate_report(simhash.near_duplicates(table(spark, sf_dir, "documents")))
 
 
+def op13_sentence_pieces(spark: SparkSession, sf_dir: str) -> DataFrame:
+    path = piece_model_path()
+    return sentence_pieces.piece_report(sentence_pieces.encode(table(spark, sf_dir, "documents"), path), path)
+
+
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
     return {
         "op1_packing": op1_packing,
@@ -74,6 +85,7 @@ def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
         "op8_urlfilter": op8_urlfilter,
         "op9_warc": op9_warc,
         "op10_simhash": op10_simhash,
+        "op13_sentence_pieces": op13_sentence_pieces,
     }
 
 
