@@ -6,7 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from geoweave.llm import chat, decontamination, lm_scoring, packing, quality, secrets, sentence_pieces, simhash, toxicity, urlfilter, vector_codes, warc
+from geoweave.llm import chat, decontamination, lm_scoring, packing, quality, secrets, sentence_pieces, simhash, source_divergence, toxicity, urlfilter, vector_codes, warc
 from geoweave.llm.common import table
 
 
@@ -72,6 +72,10 @@ def op11_vector_codes(spark: SparkSession, sf_dir: str) -> DataFrame:
     return vector_codes.code_report(vector_codes.compress(table(spark, sf_dir, "embeddings")))
 
 
+def op12_source_divergence(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return source_divergence.audit(table(spark, sf_dir, "documents"))
+
+
 def op13_sentence_pieces(spark: SparkSession, sf_dir: str) -> DataFrame:
     path = piece_model_path()
     return sentence_pieces.piece_report(sentence_pieces.encode(table(spark, sf_dir, "documents"), path), path)
@@ -90,6 +94,7 @@ def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
         "op9_warc": op9_warc,
         "op10_simhash": op10_simhash,
         "op11_vector_codes": op11_vector_codes,
+        "op12_source_divergence": op12_source_divergence,
         "op13_sentence_pieces": op13_sentence_pieces,
     }
 
@@ -101,4 +106,5 @@ def oracle_sql() -> dict[str, str]:
         "op8_urlfilter": urlfilter.REPORT_SQL,
         "op9_warc": warc.REPORT_SQL,
         "op11_vector_codes": vector_codes.REPORT_SQL,
+        "op12_source_divergence": source_divergence.REPORT_SQL,
     }
