@@ -27,8 +27,9 @@ from __future__ import annotations
 
 import heapq
 import re
+from collections import Counter
 from collections.abc import Iterator
-from itertools import accumulate, groupby
+from itertools import groupby
 
 import numpy as np
 import pandas as pd
@@ -45,7 +46,7 @@ _BAD = "�".encode()
 BPE = 2
 NORMAL, UNKNOWN, CONTROL, USER, UNUSED, BYTE = 1, 2, 3, 4, 5, 6
 #: Words that the cache of a worker holds at most; it starts anew when full.
-CACHE_WORDS = 200_000
+CACHE_WORDS = 300_000
 #: Longer words are not kept in it.
 CACHE_CHARS = 48
 #: Rows of a batch that Python turns into results at a time.
@@ -148,7 +149,9 @@ class Model:
         self.shown = [b"" if k == CONTROL else self.byte_of.get(i) or p.replace(SPACE, " ").encode() for i, (p, k) in enumerate(zip(self.pieces, self.kinds, strict=True))]
         self.shown[self.unknown] = self.unknown_text.encode()
         self.silent = frozenset(i for i, own in enumerate(self.shown) if not own)
-        self.cache: dict[str, tuple[list[int], list[int]]] = {}
+        self.plain = self.user is None and UNUSED not in self.kinds
+        self.cache: dict[str, bytes] = {}
+        self._prepare_core()
 
     def _control(self, trainer: dict, number: int, default: int) -> list[int]:
         found = signed(trainer.get(number, default))
@@ -230,6 +233,28 @@ class Model:
 
     def merged(self, word: str) -> list[str]:
         """The strings that are left when no pair can be merged."""
+        return self._merged_short(word) if self.plain and len(word) <= CACHE_CHARS else self._merged(word)
+
+    def _merged_short(self, word: str) -> list[str]:
+        """By looking all pairs through for each merge, which is quickest for a few characters."""
+        parts, rank, none = list(word), self.order.get, float("inf")
+        ranks = [rank(a + b, none) for a, b in zip(parts, parts[1:], strict=False)]
+        while ranks:
+            least = min(ranks)
+            if least == none:
+                break
+            i = ranks.index(least)
+            both = parts[i] + parts[i + 1]
+            parts[i : i + 2] = (both,)
+            del ranks[i]
+            if i:
+                ranks[i - 1] = rank(parts[i - 1] + both, none)
+            if i < len(ranks):
+                ranks[i] = rank(both + parts[i + 1], none)
+        return parts
+
+    def _merged(self, word: str) -> list[str]:
+        """By a queue of pairs."""
         marked = self._symbols(word)
         parts: list[str | None] = [s for s, _ in marked]
         fixed = [f for _, f in marked]
@@ -263,52 +288,89 @@ class Model:
             found = [q for p in found for q in halves.get(p, (p,))]
         return found
 
-    def _word(self, word: str) -> tuple[list[int], list[int]]:
-        """Ids, and the normalised bytes of each; of a character by its bytes, the last has them all."""
-        ids, sizes = [], []
-        for piece in self.merged(word):
-            found = self.others.get(piece, self.ids.get(piece, self.unknown))
-            own = piece.encode()
+    def _prepare_core(self) -> None:
+        """A merger of pieces of single bytes, for words that have a byte for each character (U+0000 to U+00FF, the visible space as a space).
+
+        It takes the pair of the lowest rank first, as merging here does where no two scores are equal; words with
+        pieces that share their score are left out.
+        """
+        self.core = None
+        if not self.plain:
+            return
+        import tiktoken
+
+        merged = {p: score for p, score in self.order.items() if len(p) > 1}
+        times = Counter(merged.values())
+        tied = [re.escape(p) for p, score in merged.items() if times[score] > 1]
+        self.tied = re.compile("|".join([" ", *tied]))
+
+        ranks: dict[bytes, int] = {}
+        self.packed: list[bytes] = []
+        narrow = {p: p.replace(SPACE, " ") for p in sorted(self.order, key=self.order.__getitem__) if " " not in p}
+        singles = {c: SPACE if c == " " else c for c in map(chr, range(256))}
+        for piece, shown in [*narrow.items(), *((own, c) for c, own in singles.items() if own not in self.order)]:
+            try:
+                ranks[shown.encode("latin-1")] = len(ranks)
+            except UnicodeEncodeError:
+                continue
+            self.packed.append(self._numbers([piece]))
+        self.core = tiktoken.Encoding("pieces", pat_str=r"(?s).+", mergeable_ranks=ranks, special_tokens={})._core_bpe.encode_single_piece
+
+    def _word(self, word: str) -> bytes:
+        """Ids, and the normalised bytes of each, in turn, as 32-bit numbers; of a character by its bytes, the last has them all."""
+        if self.core is not None and not self.tied.search(word):
+            try:
+                found = self.core(word.replace(SPACE, " ").encode("latin-1"))
+            except UnicodeEncodeError:
+                found = []
+            # The merger returns what is a piece without merging, which may not lead there.
+            if len(found) > 1:
+                packed = self.packed
+                return b"".join([packed[r] for r in found])
+        return self._numbers(self.merged(word))
+
+    def _numbers(self, pieces: list[str]) -> bytes:
+        out: list[int] = []
+        for piece in pieces:
+            found = self.others.get(piece) or self.ids.get(piece, self.unknown)
+            size = len(piece) if piece.isascii() else len(piece.encode())
             if found == self.unknown and self.byte_fallback:
-                ids += [self.bytes[c] for c in own]
-                sizes += [0] * (len(own) - 1) + [len(own)]
-            elif found == self.unknown and ids and ids[-1] == found:
-                sizes[-1] += len(own)
+                for c in piece.encode():
+                    out += (self.bytes[c], 0)
+                out[-1] = size
             else:
-                ids.append(found)
-                sizes.append(len(own))
-        return ids, sizes
+                out += (found, size)
+        return np.array(out, "<u4").tobytes()
+
+    def _cached(self, word: str) -> bytes:
+        found = self._word(word)
+        if len(word) <= CACHE_CHARS:
+            self.cache[word] = found
+        return found
 
-    def encode(self, text: bytes | None, mark: bool = True) -> tuple[list[int], np.ndarray, np.ndarray]:
+    def encode(self, text: bytes | None, mark: bool = True) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
         """Ids, and the first and the end byte of each in the original. mark: with the begin and end ids."""
         normal, places = self.normalize(text or b"")
-        ids, sizes = [], []
         if self.words is None:
-            ids, sizes = self._word(normal)
+            found = self._word(normal)
         else:
             if len(self.cache) > CACHE_WORDS:
                 self.cache.clear()
-            cache = self.cache
-            for word in self.words.findall(normal):
-                found = cache.get(word)
-                if found is None:
-                    found = self._word(word)
-                    if len(word) <= CACHE_CHARS:
-                        cache[word] = found
-                # An unknown piece takes in one that follows it, also over a place where words part.
-                if ids and found[0][0] == self.unknown == ids[-1] and not self.byte_fallback:
-                    sizes[-1] += found[1][0]
-                    ids += found[0][1:]
-                    sizes += found[1][1:]
-                else:
-                    ids += found[0]
-                    sizes += found[1]
-        ends = np.fromiter(accumulate(sizes), np.int64, len(sizes))
-        starts, ends = places[ends - np.array(sizes, np.int64)], places[ends]
+            known, new = self.cache.get, self._cached
+            found = b"".join([known(w) or new(w) for w in self.words.findall(normal)])
+        ids, sizes = np.frombuffer(found, "<u4").astype(np.int64).reshape(-1, 2).T
+        after = np.cumsum(sizes)
+        starts, ends = places[after - sizes], places[after]
+        if not self.byte_fallback:
+            # Unknown pieces that follow each other are one.
+            goes = np.r_[False, (ids[1:] == self.unknown) & (ids[:-1] == self.unknown)][: len(ids)]
+            last = np.r_[~goes[1:], True][: len(ids)]
+            ids, starts, ends = ids[~goes], starts[~goes], ends[last]
         if mark:
             n = len(text or b"")
-            ids = [*self.begin, *ids, *self.end]
-            starts, ends = (np.r_[[0] * len(self.begin), x, [n] * len(self.end)].astype(np.int64) for x in (starts, ends))
+            front, back = len(self.begin), len(self.end)
+            ids = np.concatenate([np.array(self.begin, np.int64), ids, np.array(self.end, np.int64)])
+            starts, ends = (np.concatenate([np.zeros(front, np.int64), x, np.full(back, n)]) for x in (starts, ends))
         return ids, starts, ends
 
     # ------------------------------------------------------------ decoding
@@ -384,7 +446,7 @@ def encode(documents: DataFrame, model_path: str, *, id_col: str = "doc_id", tex
                 for x in part.column("text"):
                     text = x.as_py() or b""
                     ids, starts, ends = model.encode(text, mark)
-                    rows.append((len(text), np.array(ids, "<u4").tobytes(), starts.astype("<i8").tobytes(), ends.astype("<i8").tobytes()))
+                    rows.append((len(text), ids.astype("<u4").tobytes(), starts.astype("<i8").tobytes(), ends.astype("<i8").tobytes()))
                 n_bytes, *packed = zip(*rows, strict=True)
                 yield pa.RecordBatch.from_arrays([part.column("id"), pa.array(n_bytes, pa.int64()), *(pa.array(p, pa.binary()) for p in packed)], names=names)
 

@@ -39,11 +39,32 @@ def spans_of(library, text):
 
 def test_ids_spans_and_decoding_equal_the_library(library, model):
     for text in ODD + random_texts(1500):
-        ids, starts, ends = model.encode(text.encode())
+        ids, starts, ends = (x.tolist() for x in model.encode(text.encode()))
         want = library.encode(text, add_bos=True, add_eos=True)
         assert ids == want, text
         assert model.decode(ids) == library.decode(want), text
-        assert list(zip(ids[1:-1], starts[1:-1].tolist(), ends[1:-1].tolist())) == spans_of(library, text), text
+        assert list(zip(ids[1:-1], starts[1:-1], ends[1:-1])) == spans_of(library, text), text
+
+
+def test_both_ways_of_merging_are_equal(model):
+    for text in random_texts(500, seed=8):
+        for word in model.words.findall(model.normalize(text.encode())[0]):
+            assert model._merged(word) == model._merged_short(word), word
+            assert model._word(word) == model._numbers(model._merged(word)), word
+
+
+def test_every_piece_of_the_model_equals_the_library(library, model):
+    """Also those that merging does not lead to."""
+    texts = [p.replace(sp.SPACE, " ") for p in model.pieces]
+    for text, want in zip(texts, library.encode(texts)):
+        assert model.encode(text.encode(), mark=False)[0].tolist() == want, text
+
+
+def test_unknown_pieces_without_bytes_are_joined(library):
+    made = sp.Model(sp.read_model(MODEL))
+    made.byte_fallback = False
+    ids, starts, ends = made.encode("a \U00013000\U00013000 \U00013001b".encode(), mark=False)
+    assert [(made.pieces[i], a, b) for i, a, b in zip(ids, starts, ends)] == [("▁a", 0, 1), ("▁", 1, 2), ("<unk>", 2, 10), ("▁", 10, 11), ("<unk>", 11, 15), ("b", 15, 16)]
 
 
 def test_decoding_of_any_ids_equals_the_library(library, model):
@@ -76,7 +97,7 @@ def test_longest_prefixes_of_a_compiled_map_equal_the_library(model, rule, prefi
 
 def test_bytes_that_are_no_text_count_as_replacements(model):
     ids, starts, ends = model.encode(b"a\xff\xc3b")
-    assert model.decode(ids) == "a��b"
+    assert model.decode(ids.tolist()) == "a��b"
     assert ends[-2] == 4 and starts[1] == 0
 
 
