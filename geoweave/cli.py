@@ -15,7 +15,7 @@ def _parser() -> argparse.ArgumentParser:
     for name in ("scan", "candidates"):
         c = commands.add_parser(name)
         c.add_argument("--documents", required=True)
-        c.add_argument("--areas", required=True, help="Parquet table of areas, or an .osm file")
+        c.add_argument("--areas", required=True, help="Parquet table of areas, an .osm or .osm.pbf file, or several such files as source=path,source=path")
         c.add_argument("--output", required=True)
         c.add_argument("--version", required=True)
         c.add_argument("--ratio", type=float, default=0.001)
@@ -25,12 +25,22 @@ def _parser() -> argparse.ArgumentParser:
     return parser
 
 
-def _areas(spark, path: str):
-    if path.endswith(".osm"):
-        from geoweave.sources.osm import areas
+def _area_paths(given: str) -> dict[str, str]:
+    """Source key -> path; a single path is named by its file."""
+    if "=" in given:
+        return dict(x.split("=", 1) for x in given.split(","))
+    return {given.rstrip("/").rsplit("/", 1)[-1].removesuffix(".pbf").removesuffix(".osm"): given}
 
-        return areas(spark, path, path.rsplit("/", 1)[-1].removesuffix(".osm"))
-    return spark.read.parquet(path)
+
+def _areas(spark, given: str):
+    paths = _area_paths(given)
+    if all(p.endswith((".osm", ".osm.pbf")) for p in paths.values()):
+        from geoweave.sources.osm import areas_of_sources
+
+        return areas_of_sources(spark, paths)
+    if len(paths) > 1:
+        raise ValueError("several sources must be .osm or .osm.pbf files")
+    return spark.read.parquet(given)
 
 
 def main(argv: list[str] | None = None, spark=None) -> int:
@@ -49,7 +59,7 @@ def main(argv: list[str] | None = None, spark=None) -> int:
 
     try:
         spark = spark or SparkSession.builder.getOrCreate()
-        inputs = {"documents_sha256": fingerprint(spark, args.documents), "areas_sha256": fingerprint(spark, args.areas)}
+        inputs = {"documents_sha256": fingerprint(spark, args.documents), "areas_sha256": {k: fingerprint(spark, p) for k, p in _area_paths(args.areas).items()}}
         settings = {k: v for k, v in vars(args).items() if k != "output"} | inputs
         documents, areas = read_documents(spark, args.documents), _areas(spark, args.areas)
         frequencies = None

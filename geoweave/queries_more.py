@@ -32,7 +32,8 @@ from geoweave.queries import (
     areas,
     shard,
 )
-from geoweave.sources import osm, tables
+from geoweave.session import scratch_path
+from geoweave.sources import osm, pbf, tables
 
 CHUNK = 100
 
@@ -91,12 +92,39 @@ def osm_names(spark: SparkSession, d: str) -> DataFrame:
     return osm.named_areas_of(ways, relations).where("polygon_id NOT LIKE 'way/1000%'").select("polygon_id", "name", F.row_number().over(W.orderBy("polygon_id")).cast("long").alias("place"))
 
 
-def osm_areas(spark: SparkSession, d: str) -> DataFrame:
-    found = osm.areas_of(*_elements(spark, d), "m").where("polygon_id NOT LIKE 'm/way/1000%'")
+def _shown_areas(found: DataFrame) -> DataFrame:
+    found = found.where("polygon_id NOT LIKE 'm/way/1000%'")
     point = geometry.representative_point(F.col("geometry"))
     return found.select("polygon_id", "name", F.array_join("aliases", "|").alias("aliases"), gazetteer.tags_json(F.col("tags")).alias("tags"), gazetteer.centroid_json(F.when(F.col("centroid").isNotNull(), F.struct(*(F.round(F.col("centroid")[a], 6).alias(a) for a in ("lon", "lat"))))).alias("centroid"), F.round(point["lon"], 6).alias("point_lon"), F.col("geometry").isNotNull().alias("valid"))
 
 
+def osm_areas(spark: SparkSession, d: str) -> DataFrame:
+    return _shown_areas(osm.areas_of(*_elements(spark, d), "m"))
+
+
+def _binary(spark: SparkSession, d: str) -> str:
+    """The elements in the binary format."""
+    path = scratch_path(spark, "customers.osm.pbf")
+    pbf.write(*_elements(spark, d), path)
+    return path
+
+
+def pbf_names(spark: SparkSession, d: str) -> DataFrame:
+    """Version 1's areas of a binary file."""
+    return osm.named_areas(spark, _binary(spark, d)).where("polygon_id NOT LIKE 'way/1000%'")
+
+
+def pbf_areas(spark: SparkSession, d: str) -> DataFrame:
+    """The lexical line's areas of a binary file."""
+    return _shown_areas(osm.areas_of_sources(spark, {"m": _binary(spark, d)}))
+
+
+def pbf_profiles(spark: SparkSession, d: str) -> DataFrame:
+    """The names of versions 3 to 6 of a binary file, before and after they are merged."""
+    found = gazetteer.meaningful_profiles(osm.areas(spark, _binary(spark, d), "m").where("geometry IS NOT NULL"))
+    return gazetteer.one_per_name(found).join(gazetteer.name_occurrences(found), "normalized_name").select("polygon_id", "normalized_name", "occurrences")
+
+
 def osm_counts(spark: SparkSession, d: str) -> DataFrame:
     return osm.area_counts(osm.areas_of(*_elements(spark, d), "m"))
 
@@ -203,7 +231,7 @@ def excerpts(spark: SparkSession, d: str) -> DataFrame:
 
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
     every = (
-        document_rows, row_chunks, absent_columns, json_rows, json_lines, osm_names, osm_areas, osm_counts, areas_in_boundary, evidence_order, mention_order, top_samples,
+        document_rows, row_chunks, absent_columns, json_rows, json_lines, osm_names, osm_areas, osm_counts, pbf_names, pbf_areas, pbf_profiles, areas_in_boundary, evidence_order, mention_order, top_samples,
         overall_summary, result_counts, decision_counts, run_counters, topic_order, category_sentences, topic_columns, resumed_labels, segments, lossless, label_answers, prompts, excerpts,
     )
     return {q.__name__: q for q in every}
@@ -219,6 +247,9 @@ _AT = lambda dx: f"'{{\"lat\":' || {_NUMBER(f'round(CAST(y + {dx} AS DOUBLE), 6)
 def oracle_sql() -> dict[str, str]:
     tags = "'{' || coalesce(list_aggregate(list_filter(['\"name\":\"' || n || '\"', CASE WHEN k % 6 = 0 THEN '\"name:en\":\"Way ' || k || '\"' END, CASE WHEN k % 3 = 0 THEN '\"name:fr\":\"Rue ' || k || '\"' END], lambda t: t IS NOT NULL), 'string_agg', ','), '') || '}'"
     v4 = _match_sql("v4").replace("SELECT polygon_id, name AS polygon_name", "SELECT n, polygon_id, name AS polygon_name")
+    osm_areas_sql = f"""WITH {_CUSTOMERS} SELECT 'm/way/' || k AS polygon_id, coalesce(n, '') AS name, array_to_string(list_distinct_in_order, '|') AS aliases, {tags} AS tags, CASE WHEN k % 11 = 0 THEN '' ELSE {_AT('0.5')} END AS centroid, CASE WHEN k % 11 > 0 THEN round(x + 0.4, 6) END AS point_lon, k % 11 > 0 AS valid
+FROM (SELECT *, {_NAME} AS n, list_filter([CASE WHEN k % 6 = 0 THEN 'Way ' || k END, CASE WHEN k % 3 = 0 THEN 'Rue ' || k END], lambda t: t IS NOT NULL) AS list_distinct_in_order FROM c) WHERE k % 5 <> 0
+UNION ALL SELECT 'm/relation/' || k, 'Area ' || k, '', '{{"name":"Area ' || k || '","type":"' || {_KIND} || '"}}', CASE WHEN k % 11 = 0 OR k % 5 = 0 THEN '' ELSE {_AT('(0.5 - 0.375 * 0.0625) / 0.9375')} END, CASE WHEN k % 11 > 0 AND k % 5 > 0 THEN round(x + 0.375, 6) END, k % 11 > 0 AND k % 5 > 0 FROM c WHERE k % 3 = 0 AND {_KIND} <> 'route'"""
     return {
         "document_rows": "SELECT 'pages.parquet' AS shard, page_id AS row_index, CAST(page_id AS VARCHAR) AS document_id, CAST(length(coalesce(html, '')) AS BIGINT) AS n_chars, coalesce(url, '') AS url FROM pages",
         "row_chunks": f"SELECT page_id // {CHUNK} AS chunk, min(page_id) AS first_row, count(*) AS rows FROM pages GROUP BY 1",
@@ -226,9 +257,10 @@ def oracle_sql() -> dict[str, str]:
         "json_rows": "SELECT doc_id, text, nullif(lang, 'en') AS lang, n_chars FROM documents",
         "json_lines": "SELECT '{\"doc_id\":' || doc_id || ',\"lang\":' || coalesce('\"' || nullif(lang, 'en') || '\"', 'null') || ',\"source\":' || coalesce('\"' || source || '\"', 'null') || '}' AS line FROM documents",
         "osm_names": f"WITH {_CUSTOMERS} SELECT *, row_number() OVER (ORDER BY polygon_id) AS place FROM (SELECT 'way/' || k AS polygon_id, {_NAME} AS name FROM c WHERE k % 5 <> 0 UNION ALL SELECT 'relation/' || k, 'Area ' || k FROM c WHERE k % 3 = 0 AND {_KIND} <> 'route')",
-        "osm_areas": f"""WITH {_CUSTOMERS} SELECT 'm/way/' || k AS polygon_id, coalesce(n, '') AS name, array_to_string(list_distinct_in_order, '|') AS aliases, {tags} AS tags, CASE WHEN k % 11 = 0 THEN '' ELSE {_AT('0.5')} END AS centroid, CASE WHEN k % 11 > 0 THEN round(x + 0.4, 6) END AS point_lon, k % 11 > 0 AS valid
-FROM (SELECT *, {_NAME} AS n, list_filter([CASE WHEN k % 6 = 0 THEN 'Way ' || k END, CASE WHEN k % 3 = 0 THEN 'Rue ' || k END], lambda t: t IS NOT NULL) AS list_distinct_in_order FROM c) WHERE k % 5 <> 0
-UNION ALL SELECT 'm/relation/' || k, 'Area ' || k, '', '{{"name":"Area ' || k || '","type":"' || {_KIND} || '"}}', CASE WHEN k % 11 = 0 OR k % 5 = 0 THEN '' ELSE {_AT('(0.5 - 0.375 * 0.0625) / 0.9375')} END, CASE WHEN k % 11 > 0 AND k % 5 > 0 THEN round(x + 0.375, 6) END, k % 11 > 0 AND k % 5 > 0 FROM c WHERE k % 3 = 0 AND {_KIND} <> 'route'""",
+        "osm_areas": osm_areas_sql,
+        "pbf_areas": osm_areas_sql,
+        "pbf_names": f"WITH {_CUSTOMERS} SELECT 'way/' || k AS polygon_id, {_NAME} AS name FROM c WHERE k % 5 <> 0 UNION ALL SELECT 'relation/' || k, 'Area ' || k FROM c WHERE k % 3 = 0 AND {_KIND} <> 'route'",
+        "pbf_profiles": f"WITH {_CUSTOMERS} SELECT 'm/way/' || k AS polygon_id, 'way ' || k AS normalized_name, 1 AS occurrences FROM c WHERE k % 5 <> 0 AND k % 11 <> 0 AND k % 4 > 0 UNION ALL SELECT 'm/relation/' || k, 'area ' || k, 1 FROM c WHERE k % 3 = 0 AND k % 5 <> 0 AND k % 11 <> 0 AND {_KIND} <> 'route'",
         "osm_counts": f"WITH {_CUSTOMERS}, a AS (SELECT {_NAME} AS name, k % 11 > 0 AS valid FROM c WHERE k % 5 <> 0 UNION ALL SELECT NULL, true FROM c UNION ALL SELECT 'Area ' || k, k % 11 > 0 AND k % 5 > 0 FROM c WHERE k % 3 = 0 AND {_KIND} <> 'route') SELECT count(name) AS named, count(*) - count(name) AS unnamed, count(name) FILTER (WHERE NOT valid) AS invalid FROM a",
         "areas_in_boundary": _match_sql("v2").split(" SELECT polygon_id")[0].split(", in_text AS")[0].split("\nin_text AS")[0].rstrip().rstrip(",") + " SELECT polygon_id, name FROM areas WHERE coalesce(name, '') <> '' AND (polygon_id = 'place/alpha' OR (i % 37 < 20 AND i % 41 < 20))",
         "evidence_order": f"SELECT row_index, n AS normalized_name, polygon_id, row_number() OVER (ORDER BY row_index, n, polygon_id) AS place FROM ({v4})",

@@ -5,6 +5,7 @@ from __future__ import annotations
 import os
 import shutil
 import tempfile
+import uuid
 from pathlib import Path
 
 from pyspark.sql import SparkSession
@@ -22,3 +23,19 @@ def ship_package(spark: SparkSession) -> None:
     archive = shutil.make_archive(f"{tempfile.mkdtemp(prefix='geoweave-')}/geoweave", "zip", ROOT, "geoweave")
     spark.sparkContext.addPyFile(archive)
     _shipped.add(application)
+
+
+def shared_dir(spark: SparkSession) -> str:
+    """The folder that all executors share: spark.checkpoint.dir. Where it is unset a local session (tests) gets a temporary one."""
+    found = spark.conf.get("spark.checkpoint.dir", None)
+    if not found:
+        if not spark.sparkContext.master.startswith("local"):
+            raise ValueError("set spark.checkpoint.dir to a folder that all executors share")
+        found = f"file://{tempfile.mkdtemp(prefix='geoweave-')}"
+        spark.conf.set("spark.checkpoint.dir", found)
+    return found.rstrip("/")
+
+
+def scratch_path(spark: SparkSession, label: str) -> str:
+    """A new path in the shared folder."""
+    return f"{shared_dir(spark)}/geoweave/{uuid.uuid4().hex}-{label}"

@@ -1,24 +1,31 @@
-"""Areas of OpenStreetMap XML: closed ways and multipolygon relations, with tags and geometry.
+"""Areas of OpenStreetMap files: closed ways and multipolygon relations, with tags and geometry.
 
-The XML source reads nodes, ways and relations as tables; node positions reach the ways, and ways
-the relations, by joins. What one area needs meets in one row; rings are put together there.
+XML (.osm) and the binary format (.osm.pbf, see `pbf`) are read as the same three tables of nodes, ways and relations; node
+positions reach the ways, and ways the relations, by joins. What one area needs meets in one row; rings are put together,
+tested and nested there (`functions.rings`).
 """
 
 from __future__ import annotations
 
-import pandas as pd
+import sys
+from collections.abc import Mapping
+from functools import reduce
+
+import pyarrow as pa
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from geoweave.functions.geometry import GEOMETRY, centroid
+from geoweave.functions.rings import area_of
 from geoweave.operators.gazetteer import aliases_of
+from geoweave.sources import pbf
 
 _TAGS = "tag array<struct<_k:string,_v:string>>"
 _NODE = "_id long, _lat double, _lon double"
 _WAY = f"_id long, nd array<struct<_ref:long>>, {_TAGS}"
 _RELATION = f"_id long, member array<struct<_type:string,_ref:long,_role:string>>, {_TAGS}"
+_GEOMETRY = pa.list_(pa.list_(pa.list_(pa.struct([("lon", pa.float64()), ("lat", pa.float64())]))))
 AREA_TYPES = ("boundary", "multipolygon")
-_POINTS = "array<struct<lon:double,lat:double>>"
 
 
 def _read(spark: SparkSession, path: str, tag: str, schema: str) -> DataFrame:
@@ -53,8 +60,14 @@ def nodes(spark: SparkSession, path: str) -> DataFrame:
     return _read(spark, path, "node", _NODE).select(F.col("_id").alias("ref"), F.struct(F.col("_lon").alias("lon"), F.col("_lat").alias("lat")).alias("point"))
 
 
+def elements(spark: SparkSession, path: str) -> tuple[DataFrame, DataFrame, DataFrame]:
+    """Nodes, ways and relations of a file, or of the files of a folder; paths that end in .pbf are binary."""
+    source = pbf if path.rstrip("/").endswith(".pbf") else sys.modules[__name__]
+    return source.nodes(spark, path), source.ways(spark, path), source.relations(spark, path)
+
+
 def named_areas(spark: SparkSession, path: str) -> DataFrame:
-    return named_areas_of(ways(spark, path), relations(spark, path))
+    return named_areas_of(*elements(spark, path)[1:])
 
 
 def named_areas_of(every_way: DataFrame, every_relation: DataFrame) -> DataFrame:
@@ -72,69 +85,43 @@ def _lines(every_node: DataFrame, found: DataFrame) -> DataFrame:
     return rows.select("id", F.when(F.col("missing") == 0, F.col("points")).alias("points"))
 
 
-def _joined_rings(lines: list[list[tuple[float, float]]]) -> list[list[tuple[float, float]]] | None:
-    """Lines end to end as closed rings; None if any line is left open."""
-    rings, left = [], [list(x) for x in lines if len(x) > 1]
-    while left:
-        ring = left.pop()
-        while ring[0] != ring[-1]:
-            for i, line in enumerate(left):
-                if line[0] == ring[-1] or line[-1] == ring[-1]:
-                    ring += (line if line[0] == ring[-1] else line[::-1])[1:]
-                    del left[i]
-                    break
-            else:
-                return None
-        if len(ring) < 4:
-            return None
-        rings.append(ring)
-    return rings
-
-
-def _within(point: tuple[float, float], ring: list[tuple[float, float]]) -> bool:
-    x, y = point
-    return sum((a[1] > y) != (b[1] > y) and x < (b[0] - a[0]) * (y - a[1]) / (b[1] - a[1]) + a[0] for a, b in zip(ring, ring[1:])) % 2 == 1
-
-
-def _assembled(outer: Column, inner: Column) -> Column:
-    """Rings of outer and inner lines; holes go to the outer ring that holds their first point. Null if the rings are not closed."""
-
-    @F.pandas_udf(GEOMETRY)
-    def assemble(outers: pd.Series, inners: pd.Series) -> pd.Series:
-        out = []
-        for sides in zip(outers, inners, strict=True):
-            shells, holes = (_joined_rings([[(p["lon"], p["lat"]) for p in line] for line in lines]) for lines in sides)
-            if not shells or holes is None:
-                out.append(None)
-                continue
-            polygons = [[r] for r in shells]
-            for hole in holes:
-                home = next((p for p in polygons if _within(hole[0], p[0])), None)
-                if home is not None:
-                    home.append(hole)
-            out.append([[[{"lon": x, "lat": y} for x, y in ring] for ring in p] for p in polygons])
-        return pd.Series(out, dtype=object)
-
-    return assemble(outer, inner)
+def _assembled(lines: Column) -> Column:
+    """A multipolygon of the lines of each area, whatever their roles; null where it is not valid."""
+
+    def one(found: list | None) -> list | None:
+        area = None if found is None else area_of([[(p["lon"], p["lat"]) for p in line] for line in found])
+        return None if area is None else [[[{"lon": x, "lat": y} for x, y in ring] for ring in polygon] for polygon in area]
+
+    @F.arrow_udf(GEOMETRY)
+    def assemble(areas: pa.Array) -> pa.Array:
+        return pa.array([one(found.as_py()) for found in areas], _GEOMETRY)
+
+    return assemble(lines)
 
 
 def areas(spark: SparkSession, path: str, source_key: str) -> DataFrame:
-    return areas_of(nodes(spark, path), ways(spark, path), relations(spark, path), source_key)
+    return areas_of(*elements(spark, path), source_key)
+
+
+def areas_of_sources(spark: SparkSession, paths: Mapping[str, str]) -> DataFrame:
+    """The areas of several files, told apart by their source keys."""
+    if not paths:
+        raise ValueError("no sources")
+    return reduce(DataFrame.unionByName, (areas(spark, path, key) for key, path in paths.items()))
 
 
 def areas_of(every_node: DataFrame, every_way: DataFrame, every_relation: DataFrame, source_key: str) -> DataFrame:
     """polygon_id, source_key, name, aliases, tags, geometry, centroid of every area, named or not. Geometry is null where it is invalid."""
     closed = every_way.where(is_closed(F.col("refs")))
     lines = _lines(every_node, every_way)
-    simple = closed.join(lines, "id", "left").select(F.concat(F.lit("way/"), "id").alias("polygon_id"), "tags", F.when(F.col("points").isNotNull(), F.array(F.array("points"))).cast(GEOMETRY).alias("geometry"))
+    simple = closed.join(lines, "id", "left").select(F.concat(F.lit("way/"), "id").alias("polygon_id"), "tags", F.when(F.col("points").isNotNull(), F.array("points")).alias("lines"))
     typed = every_relation.where(F.col("tags")["type"].isin(*AREA_TYPES))
-    members = typed.select("id", F.explode("members").alias("m")).where("m.type = 'way'").select("id", F.col("m.ref").alias("way"), F.when(F.col("m.role") == "inner", "inner").otherwise("outer").alias("role"))
+    members = typed.select("id", F.explode("members").alias("m")).where("m.type = 'way'").select("id", F.col("m.ref").alias("way")).distinct()
     met = members.join(lines.withColumnRenamed("id", "way"), "way", "left")
-    part = lambda role: F.collect_list(F.when(F.col("role") == role, F.col("points"))).alias(role)
-    sides = met.groupBy("id").agg(part("outer"), part("inner"), F.count(F.when(F.col("points").isNull(), 1)).alias("missing"))
-    built = sides.select("id", F.when(F.col("missing") == 0, _assembled(F.col("outer").cast(f"array<{_POINTS}>"), F.col("inner").cast(f"array<{_POINTS}>"))).alias("geometry"))
-    compound = typed.join(built, "id", "left").select(F.concat(F.lit("relation/"), "id").alias("polygon_id"), "tags", "geometry")
-    rows = simple.unionByName(compound)
+    sides = met.groupBy("id").agg(F.collect_list("points").alias("lines"), F.count(F.when(F.col("points").isNull(), 1)).alias("missing"))
+    built = sides.select("id", F.when(F.col("missing") == 0, F.col("lines")).alias("lines"))
+    compound = typed.join(built, "id", "left").select(F.concat(F.lit("relation/"), "id").alias("polygon_id"), "tags", "lines")
+    rows = simple.unionByName(compound).withColumn("geometry", _assembled(F.col("lines")))
     name = F.coalesce(F.col("tags")["name"], F.lit(""))
     # Areas of several sources are told apart by the source in their id.
     return rows.select(F.concat(F.lit(f"{source_key}/"), "polygon_id").alias("polygon_id"), F.lit(source_key).alias("source_key"), name.alias("name"), aliases_of(F.col("tags")).alias("aliases"), "tags", "geometry", F.when(F.col("geometry").isNotNull(), centroid(F.col("geometry"))).alias("centroid"))
