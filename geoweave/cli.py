@@ -19,6 +19,8 @@ def _parser() -> argparse.ArgumentParser:
         c.add_argument("--output", required=True)
         c.add_argument("--version", required=True)
         c.add_argument("--ratio", type=float, default=0.001)
+        c.add_argument("--chunk-rows", type=int, help="work in chunks of so many rows, and take up what an earlier run has completed")
+        c.add_argument("--wave", type=int, help="chunks of one job; as many as cores if not given")
     commands.choices["scan"].add_argument("--country", required=True)
     commands.choices["candidates"].add_argument("--countries", required=True, help="source=Country,source=Country")
     commands.add_parser("catalog")
@@ -54,13 +56,13 @@ def main(argv: list[str] | None = None, spark=None) -> int:
     from pyspark.sql import SparkSession
 
     from geoweave.plans.manifest import produce
-    from geoweave.plans.runs import find_candidates, name_frequencies, retrieve
+    from geoweave.plans.runs import candidates_in_chunks, find_candidates, name_frequencies, retrieve, retrieve_in_chunks
     from geoweave.sources.tables import fingerprint, read_documents
 
     try:
         spark = spark or SparkSession.builder.getOrCreate()
         inputs = {"documents_sha256": fingerprint(spark, args.documents), "areas_sha256": {k: fingerprint(spark, p) for k, p in _area_paths(args.areas).items()}}
-        settings = {k: v for k, v in vars(args).items() if k != "output"} | inputs
+        settings = {k: v for k, v in vars(args).items() if k not in ("output", "wave")} | inputs
         documents, areas = read_documents(spark, args.documents), _areas(spark, args.areas)
         frequencies = None
         if args.version in (("v5", "v6") if args.command == "scan" else ("v2", "v3")):
@@ -68,12 +70,19 @@ def main(argv: list[str] | None = None, spark=None) -> int:
             frequencies = produce(spark, f"{args.output}/frequencies", inputs, lambda: name_frequencies(documents, areas))[0]
         if args.command == "scan":
             retrieval_version(args.version)
-            build = lambda: retrieve(documents, areas, args.version, country=args.country, ratio=args.ratio, frequencies=frequencies)
+            options = {"country": args.country, "ratio": args.ratio, "frequencies": frequencies}
+            whole, in_chunks = retrieve, retrieve_in_chunks
         else:
-            countries = dict(x.split("=", 1) for x in args.countries.split(","))
-            build = lambda: find_candidates(documents, areas, args.version, countries=countries, ratio=args.ratio, frequencies=frequencies)
-        rows, reused = produce(spark, args.output, settings, build)
-        print(json.dumps({"command": args.command, "output": args.output, "reused": reused, "rows": rows.count(), "version": args.version}, sort_keys=True))
+            options = {"countries": dict(x.split("=", 1) for x in args.countries.split(",")), "ratio": args.ratio, "frequencies": frequencies}
+            whole, in_chunks = find_candidates, candidates_in_chunks
+        if args.chunk_rows is not None:
+            done = in_chunks(documents, areas, args.version, f"{args.output}/chunks", inputs, rows_per_chunk=args.chunk_rows, chunks_per_wave=args.wave, **options)
+            rows, reused = produce(spark, args.output, settings, lambda: done.found)
+            counted = done.counters() | {"seconds": round(done.seconds, 3)}
+        else:
+            rows, reused = produce(spark, args.output, settings, lambda: whole(documents, areas, args.version, **options))
+            counted = {}
+        print(json.dumps({"command": args.command, "output": args.output, "reused": reused, "rows": rows.count(), "version": args.version} | counted, sort_keys=True))
     except (OSError, ValueError) as e:
         print(f"error: {e}", file=sys.stderr)
         return 2

@@ -2,14 +2,17 @@
 
 from __future__ import annotations
 
-from collections.abc import Mapping
+from collections.abc import Callable, Mapping
+from dataclasses import replace
 
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, Observation
 from pyspark.sql import functions as F
 
 from geoweave.operators import gazetteer, lexical, retrieval, specificity
 from geoweave.operators.classify import Classifier, Segmenter, keep_yes, labelled, segmented
 from geoweave.operators.topics import Vocabulary, near_topics, with_topic
+from geoweave.plans.chunks import ChunkRun, run_chunks
+from geoweave.plans.manifest import produce
 from geoweave.plans.versions import RetrievalVersion, retrieval_version
 
 
@@ -38,6 +41,33 @@ def retrieve(documents: DataFrame, areas: DataFrame, version: str, *, country: s
     return retrieval.deduplicated(found, documents) if plan.deduplicated else found
 
 
+def retrieve_in_chunks(documents: DataFrame, areas: DataFrame, version: str, path: str, settings: dict, *, country: str, rows_per_chunk: int, chunks_per_wave: int | None = None, ratio: float = specificity.FREQUENCY_RATIO, frequencies: DataFrame | None = None, tell: Callable[[dict], None] | None = None) -> ChunkRun:
+    """`retrieve`, chunk by chunk: a run that ends early is taken up where it stopped. documents: with `shard` and `row_index`.
+
+    Profiles are chosen once, over all documents; rows are deduplicated over all chunks at the end. settings: what the inputs and
+    options are; a result of other ones is an error.
+    """
+    plan = retrieval_version(version)
+    spark, settings = documents.sparkSession, settings | {"version": version, "country": country, "ratio": ratio}
+    profiles, _ = produce(spark, f"{path}/profiles", settings, lambda: run_profiles(areas, documents, plan, country=country, ratio=ratio, frequencies=frequencies))
+    find = lambda rows: retrieval.evidence(rows, profiles, rule=plan.rule, context=country, max_gap=plan.max_gap or 0)
+    done = run_chunks(documents, path, settings, find, rows_per_chunk=rows_per_chunk, chunks_per_wave=chunks_per_wave, tell=tell)
+    return replace(done, found=retrieval.deduplicated(done.found, documents)) if plan.deduplicated else done
+
+
+def candidates_in_chunks(documents: DataFrame, areas: DataFrame, version: str, path: str, settings: dict, *, countries: Mapping[str, str], rows_per_chunk: int, chunks_per_wave: int | None = None, ratio: float = specificity.FREQUENCY_RATIO, frequencies: DataFrame | None = None, tell: Callable[[dict], None] | None = None) -> ChunkRun:
+    """`find_candidates`, chunk by chunk, see `retrieve_in_chunks`. The inventory of names is made once, over all documents."""
+    spark, settings = documents.sparkSession, settings | {"version": version, "countries": dict(countries), "ratio": ratio}
+    if version == "v1":
+        find = lambda rows: lexical.mentions(rows, areas)
+    elif version in ("v2", "v3"):
+        inventory, _ = produce(spark, f"{path}/inventory", settings, lambda: specificity.name_inventory(areas, documents, dict(countries), total=documents.count(), ratio=ratio, frequencies=frequencies))
+        find = lambda rows: lexical.classed_mentions(rows, areas, inventory) if version == "v2" else lexical.scored_mentions(rows, areas, inventory, dict(countries))
+    else:
+        raise ValueError("lexical version must be v1, v2 or v3")
+    return run_chunks(documents, path, settings, find, rows_per_chunk=rows_per_chunk, chunks_per_wave=chunks_per_wave, tell=tell)
+
+
 def name_frequencies(documents: DataFrame, areas: DataFrame) -> DataFrame:
     """Document frequencies of all names and aliases of the areas: the pass that versions 5, 6 and the lexical ones share."""
     names = gazetteer.meaningful_profiles(areas).select("normalized_name").union(gazetteer.candidate_names(areas).select("normalized_name"))
@@ -93,8 +123,13 @@ def result_counts(found: DataFrame, keys: tuple[str, ...] = ("source_key", "poly
     return once.groupBy("source_key").agg(F.sum("n").alias("rows"), F.sum(F.col("n") - 1).alias("duplicate_rows"), F.countDistinct("polygon_id").alias("polygons"), F.sum("distinctive_name").alias("distinctive_name"), F.sum("generic_name").alias("generic_name"))
 
 
-def run_counters(documents: DataFrame, found: DataFrame) -> DataFrame:
-    """One row: documents scanned, rows found, documents with a row."""
-    scanned = documents.agg(F.count("*").alias("rows_scanned")).withColumn("_k", F.lit(1))
-    written = found.agg(F.count("*").alias("matches_written"), F.countDistinct(F.struct(*gazetteer.document_key(found))).alias("documents_matched")).withColumn("_k", F.lit(1))
-    return scanned.join(written, "_k").drop("_k")
+def run_counters(documents: DataFrame, find: Callable[[DataFrame], DataFrame]) -> DataFrame:
+    """One row: documents scanned, rows found, documents with a row. Documents are counted while they are searched."""
+    scan = Observation()
+    found = find(documents.observe(scan, F.count(F.lit(1)).alias("rows")))
+    told = found.agg(F.count("*").alias("matches"), F.countDistinct(F.struct(*gazetteer.document_key(found))).alias("documents")).first()
+    try:
+        scanned = scan.get["rows"]
+    except Exception:  # a plan that is known to be empty reads nothing
+        scanned = documents.count()
+    return documents.sparkSession.createDataFrame([(scanned, told.matches, told.documents)], "rows_scanned long, matches_written long, documents_matched long")

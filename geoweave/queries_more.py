@@ -36,6 +36,7 @@ from geoweave.session import scratch_path
 from geoweave.sources import osm, pbf, tables
 
 CHUNK = 100
+WAVE = 4
 
 
 def _pages(spark: SparkSession, d: str) -> DataFrame:
@@ -173,8 +174,27 @@ def decision_counts(spark: SparkSession, d: str) -> DataFrame:
 
 
 def run_counters(spark: SparkSession, d: str) -> DataFrame:
-    docs = shard(spark, d)
-    return runs.run_counters(docs, runs.retrieve(docs, areas(spark, d), "v4", country=CONTEXT))
+    return runs.run_counters(shard(spark, d), lambda docs: runs.retrieve(docs, areas(spark, d), "v4", country=CONTEXT))
+
+
+def chunked_match(spark: SparkSession, d: str) -> DataFrame:
+    """Version 4 in chunks: a run that stops within its second wave, and another one that takes it up."""
+    docs, named, path = shard(spark, d).withColumn("shard", F.lit("documents")), areas(spark, d), scratch_path(spark, "chunks")
+    waves = []
+
+    def stop(event: dict) -> None:
+        if event["event"] == "running":
+            waves.append(event["chunk"])
+            if len(waves) > WAVE:
+                raise InterruptedError
+
+    run = lambda tell=None: runs.retrieve_in_chunks(docs, named, "v4", path, {}, country=CONTEXT, rows_per_chunk=CHUNK, chunks_per_wave=WAVE, tell=tell)
+    try:
+        run(stop)
+    except InterruptedError:
+        pass
+    found = run().found
+    return found.select("polygon_id", "polygon_name", "row_index", "document_id", F.array_join("matched_fields", "|").alias("matched_fields"), F.array_join("context_fields", "|").alias("context_fields"), "context_phrase", "text_excerpt", "url_excerpt")
 
 
 # ---------------------------------------------------------------- topics and plug-ins
@@ -232,7 +252,7 @@ def excerpts(spark: SparkSession, d: str) -> DataFrame:
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
     every = (
         document_rows, row_chunks, absent_columns, json_rows, json_lines, osm_names, osm_areas, osm_counts, pbf_names, pbf_areas, pbf_profiles, areas_in_boundary, evidence_order, mention_order, top_samples,
-        overall_summary, result_counts, decision_counts, run_counters, topic_order, category_sentences, topic_columns, resumed_labels, segments, lossless, label_answers, prompts, excerpts,
+        overall_summary, result_counts, decision_counts, run_counters, chunked_match, topic_order, category_sentences, topic_columns, resumed_labels, segments, lossless, label_answers, prompts, excerpts,
     )
     return {q.__name__: q for q in every}
 
@@ -270,6 +290,7 @@ UNION ALL SELECT 'm/relation/' || k, 'Area ' || k, '', '{{"name":"Area ' || k ||
         "result_counts": _lexical_sql("v3", _V3 + ", told AS (SELECT t.source_key, t.polygon_id, matched_alias, s.url, sentence, decision FROM tiered t JOIN shard s ON s.row_index = t.row_index) SELECT source_key, count(*) AS rows, count(*) - count(DISTINCT (polygon_id, matched_alias, url, sentence)) AS duplicate_rows, count(DISTINCT polygon_id) AS polygons, count(*) FILTER (WHERE decision <> 'generic') AS distinctive_name, count(*) FILTER (WHERE decision = 'generic') AS generic_name FROM told GROUP BY source_key"),
         "decision_counts": _lexical_sql("v2", "SELECT decision, reason, count(*) AS names FROM inv GROUP BY decision, reason"),
         "run_counters": f"SELECT (SELECT count(*) FROM documents) AS rows_scanned, count(*) AS matches_written, count(DISTINCT row_index) AS documents_matched FROM ({v4})",
+        "chunked_match": _match_sql("v4"),
         "topic_order": f"{_TOPICS} SELECT doc_id, string_agg(term, '|' ORDER BY first, term) AS terms FROM (SELECT doc_id, term, min(pos) AS first FROM grams JOIN vocab USING (n) GROUP BY doc_id, term) GROUP BY doc_id",
         "category_sentences": _near_sql("SELECT category, count(DISTINCT (polygon_id, row_index, i)) AS sentences FROM hits GROUP BY category"),
         "topic_columns": "SELECT name FROM (VALUES ('polygon_id'), ('polygon_name'), ('row_index'), ('document_id'), ('url'), ('text'), ('text_excerpt'), ('url_excerpt'), ('sentences'), ('sentences_with_topic_term'), ('relevant_sentence_metadata'), ('topic_sentence_count'), ('topic_terms'), ('topic_categories')) v(name)",
