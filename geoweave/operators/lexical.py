@@ -9,7 +9,8 @@ from pyspark.sql import functions as F
 
 from geoweave.functions.text import exact_text, has_marker, normalized
 from geoweave.operators.gazetteer import candidate_names, centroid_json, document_key, tags_json
-from geoweave.operators.matching import sentence_mentions
+from geoweave.operators.matching import is_few, joined_by_name, sentence_mentions
+from geoweave.session import saved
 
 BASE = ["polygon_id", "polygon_name", "matched_alias", "area_tags", "centroid", "url", "sentence", "context"]
 #: Points of each sign of evidence, in the order of the reasons.
@@ -32,10 +33,17 @@ def _found(documents: DataFrame, candidates: DataFrame, *, gate: bool = False, c
     return rows.select(*key, *keep, F.col("m.names").alias("normalized_name"), F.col("m.starts").alias("start"), F.col("m.ends").alias("end"), "sentence_index", "sentence", "context", "inside", "around", "near", "reach")
 
 
+def _named(found: DataFrame, table: DataFrame) -> DataFrame:
+    """Mentions with what the table says of their names: a broadcast where it is small enough, else a join in which frequent names are salted."""
+    if is_few(table, "normalized_name"):
+        return found.join(F.broadcast(table), "normalized_name")
+    return joined_by_name(saved(found, "mentions"), saved(table, "named-areas"), "normalized_name", [*document_key(found), "start"])
+
+
 def mentions(documents: DataFrame, areas: DataFrame) -> DataFrame:
     """Version 1: all names, also countries and single letters."""
     candidates = candidate_names(areas)
-    rows = _found(documents, candidates, gate=True).join(candidates, "normalized_name").join(_areas(areas), ["polygon_id", "source_key"])
+    rows = _named(_found(documents, candidates, gate=True), candidates.join(_areas(areas), ["polygon_id", "source_key"]))
     return rows.withColumnRenamed("alias", "matched_alias").select("source_key", *document_key(rows), "start", "end", *BASE)
 
 
@@ -46,7 +54,7 @@ def _classed(documents: DataFrame, areas: DataFrame, inventory: DataFrame, count
     own = names.groupBy("polygon_id").agg(F.collect_set("normalized_name").alias("own_names"))
     named = names.join(own, "polygon_id").join(_areas(areas), ["polygon_id", "source_key"])
     kind = F.when(F.col("decision") == "generic", "generic_name").otherwise("distinctive_name").alias("name_match_class")
-    return _found(documents, names, countries=countries).join(named.withColumn("name_match_class", kind), "normalized_name")
+    return _named(_found(documents, names, countries=countries), named.withColumn("name_match_class", kind))
 
 
 def classed_mentions(documents: DataFrame, areas: DataFrame, inventory: DataFrame) -> DataFrame:

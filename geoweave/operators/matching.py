@@ -3,10 +3,11 @@
 A normalised name occurs in a normalised text where its words are consecutive words of the text.
 Names are searched in one of two ways, with equal results:
 
-- up to MAX_NAMES names are broadcast as a table by first word, and texts look their words up in a
-  narrow pass;
-- more names meet the texts in an equi-join of word n-grams (`ngram_mentions`); what each text has
-  comes back to it as an array, from which the same passes go on.
+- few names (MAX_NAMES, MAX_NAME_BYTES; counted before any is fetched) are broadcast as a table by first word, and texts look
+  their words up in a narrow pass;
+- more names become a Bloom filter of bounded size (`operators.name_filter`), with which the same narrow pass finds
+  candidates; what the filter lets through wrongly goes in an equi-join with the names. Only candidates are shuffled, never
+  texts, and frequent names are salted.
 
 `name_spans` works on normalised texts, `names_in` on any. `sentence_mentions` finds names in the
 original text, with offsets in it, by sentence.
@@ -22,12 +23,17 @@ import pandas as pd
 import pyarrow as pa
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
-from pyspark.sql.types import StringType
 
-from geoweave.functions.text import PlacedWords, exact_text, normalized, sentence_bounds
+from geoweave.functions.text import PlacedWords, exact_text, sentence_bounds
+from geoweave.operators.name_filter import NameFilter, name_filter
+from geoweave.session import saved
 
-#: About 200 bytes each in a broadcast and in each Python worker.
-MAX_NAMES = 1_000_000
+#: Names that are broadcast at most: with their areas about 900 bytes each in every Python worker (measured), 90 MB in all.
+MAX_NAMES = 100_000
+#: Bytes of these names at most.
+MAX_NAME_BYTES = 32 << 20
+#: Rows of one name that one task takes in a join; names with more are salted.
+HOT_ROWS = 1_000_000
 #: Sentences that a task holds before it gives them on, but for those of one text.
 ROWS_OUT = 4096
 
@@ -44,18 +50,20 @@ def name_index(names: Iterable[str]) -> Index:
     return dict(out)
 
 
-def occurrences(words: Sequence[str], index: Index) -> list[tuple[int, int, str]]:
-    """(first word, number of words, name) of all names, from left to right."""
+def occurrences(words: Sequence[str], index: Index | NameFilter) -> list[tuple[int, int, str]]:
+    """(first word, number of words, name) of all names, from left to right. Of a filter: of all candidates."""
+    if isinstance(index, NameFilter):
+        return index.occurrences(words)
     begins = [i for i, word in enumerate(words) if word in index]
     return [(i, len(own), name) for i in begins for own, name in index[words[i]] if len(own) == 1 or words[i : i + len(own)] == own]
 
 
-def names_of(text: str | None, index: Index) -> list[str]:
+def names_of(text: str | None, index: Index | NameFilter) -> list[str]:
     """The different names in a normalised text, in the order of their first occurrence."""
     return list(dict.fromkeys(name for _, _, name in occurrences(text.split(" "), index))) if text else []
 
 
-def spans_of(text: str, index: Index) -> list[tuple[int, int, str]]:
+def spans_of(text: str, index: Index | NameFilter) -> list[tuple[int, int, str]]:
     """(start, end, name) of all names in a normalised text, in its characters."""
     words, out, word, at = text.split(" "), [], 0, 0
     for i, _, name in occurrences(words, index):
@@ -65,10 +73,31 @@ def spans_of(text: str, index: Index) -> list[tuple[int, int, str]]:
     return out
 
 
+def is_few(names: DataFrame, column: str = "name") -> bool:
+    """Whether the names, one a row, are few enough to be broadcast."""
+    size = names.agg(F.count("*").alias("n"), F.sum(F.octet_length(column)).alias("bytes")).first()
+    return size.n <= MAX_NAMES and (size.bytes or 0) <= MAX_NAME_BYTES
+
+
 def broadcast_names(names: DataFrame, column: str = "name") -> list[str] | None:
     """Different names, or None if they are too many for a broadcast."""
-    found = names.select(F.col(column).alias("name")).where("name <> ''").distinct().limit(MAX_NAMES + 1).collect()
-    return [r.name for r in found] if len(found) <= MAX_NAMES else None
+    found = names.select(F.col(column).alias("name")).where("name <> ''").distinct()
+    return [r.name for r in found.collect()] if is_few(found) else None
+
+
+def joined_by_name(rows: DataFrame, table: DataFrame, name: str | Sequence[str], spread_by: Sequence[str]) -> DataFrame:
+    """rows: a saved table. An inner join by name in which no task takes more than about HOT_ROWS rows of one name.
+
+    name: the column, or columns, of both. spread_by: columns of `rows` that tell the rows of a name apart.
+    """
+    on = [name] if isinstance(name, str) else list(name)
+    parts = F.ceil(F.col("n") / HOT_ROWS).cast("int").alias("_parts")
+    # At most one for each HOT_ROWS rows.
+    hot = F.broadcast(saved(rows.groupBy(*on).agg(F.count("*").alias("n")).where(F.col("n") > HOT_ROWS).select(*on, parts), "hot"))
+    n = F.coalesce("_parts", F.lit(1))
+    salted = rows.join(hot, on, "left").withColumn("_salt", F.pmod(F.hash(*spread_by), n)).drop("_parts")
+    copies = table.join(hot, on, "left").withColumn("_salt", F.explode(F.sequence(F.lit(0), n - 1))).drop("_parts")
+    return salted.join(copies, [*on, "_salt"]).drop("_salt")
 
 
 def name_spans(spark: SparkSession, names: Iterable[str]) -> Callable[[Column], Column]:
@@ -93,24 +122,34 @@ def names_in(spark: SparkSession, names: Iterable[str]) -> Callable[[Column], Co
     return found
 
 
-def _word_runs(words: Column, k: int) -> Column:
-    return F.transform(F.sequence(F.lit(1), F.size(words) - k + 1), lambda i: F.array_join(F.slice(words, i, F.lit(k)), " "))
-
+def candidate_mentions(texts: DataFrame, names: DataFrame, *, key: Sequence[str], text_col: str, column: str = "name", once: bool = False, normal: bool = True) -> DataFrame:
+    """key, name, position (in words) in a saved table: what may be a name, and all that is. once: the first of each name in a text. normal: the texts are normalised."""
+    shared = name_filter(names, column)
 
-def ngram_mentions(texts: DataFrame, names: DataFrame, *, key: str | Sequence[str], text_col: str, sizes: Iterable[int] | None = None, column: str = "name") -> DataFrame:
-    """key, name, position (in words): word n-grams joined with the names, of any number. sizes: of the names in words, read from them if not given."""
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for b in batches:
+            index, found = [], []
+            for i, x in enumerate(b.column("_text")):
+                text = x.as_py() if normal else exact_text(x.as_py())
+                own = occurrences(text.split(" "), shared.value) if text else []
+                if once:
+                    own = list({o[2]: o for o in reversed(own)}.values())
+                index += [i] * len(own)
+                found += own
+            kept = b.select(list(key)).take(pa.array(index, pa.int64()))
+            yield pa.RecordBatch.from_arrays([*kept.columns, pa.array([o[2] for o in found], pa.string()), pa.array([o[0] for o in found], pa.int32())], names=[*key, "name", "position"])
+
+    rows = texts.select(*key, F.col(text_col).alias("_text"))
+    kinds = dict(rows.dtypes)
+    return saved(rows.mapInArrow(run, ", ".join([*(f"`{c}` {kinds[c]}" for c in key), "name string, position int"])), "candidates")
+
+
+def ngram_mentions(texts: DataFrame, names: DataFrame, *, key: str | Sequence[str], text_col: str, column: str = "name", once: bool = False, normal: bool = True) -> DataFrame:
+    """key, name, position (in words) of names of any number."""
     keys = [key] if isinstance(key, str) else list(key)
-    wanted = names.select(F.col(column).alias("name")).where("name <> ''").distinct()
-    if sizes is None:
-        sizes = [r.k for r in wanted.select(F.size(F.split("name", " ")).alias("k")).distinct().collect()]  # a few numbers
-    words, grams = F.split(text_col, " "), None
-    for k in sorted(set(sizes)):
-        rows = texts if k == 1 else texts.where(F.size(words) >= k)
-        part = rows.select(*keys, F.posexplode(words if k == 1 else _word_runs(words, k)).alias("position", "name"))
-        grams = part if grams is None else grams.unionByName(part)
-    if grams is None:
-        grams = texts.select(*keys, F.lit(0).alias("position"), F.lit("").alias("name"))
-    return grams.join(wanted, "name").select(*keys, "name", "position")
+    wanted = saved(names.select(F.col(column).alias("name")).where("name <> ''").distinct(), "names")
+    found = candidate_mentions(texts, wanted, key=keys, text_col=text_col, once=once, normal=normal)
+    return joined_by_name(found, wanted, "name", [*keys, "position"]).select(*keys, "name", "position")
 
 
 def name_pairs(documents: DataFrame, names: DataFrame, *, key: Sequence[str], column: str, text_col: str = "text") -> DataFrame:
@@ -118,19 +157,7 @@ def name_pairs(documents: DataFrame, names: DataFrame, *, key: Sequence[str], co
     few = broadcast_names(names, column)
     if few is not None:
         return documents.select(*key, F.explode(names_in(documents.sparkSession, few)(F.col(text_col))).alias("name"))
-    texts = documents.select(*key, normalized(F.col(text_col)).alias("normal"))
-    return ngram_mentions(texts, names, key=key, text_col="normal", column=column).select(*key, "name").distinct()
-
-
-def with_joined_names(texts: DataFrame, names: DataFrame, *, key: Sequence[str], text_cols: dict[str, str], column: str) -> DataFrame:
-    """Adds, for each new column -> normalised text column, the different names in it as an array<string>. For names of any number."""
-    out = texts
-    for new, c in text_cols.items():
-        found = ngram_mentions(texts, names, key=key, text_col=c, column=column)
-        first = found.groupBy(*key, "name").agg(F.min("position").alias("at"))
-        listed = first.groupBy(*key).agg(F.transform(F.array_sort(F.collect_list(F.struct("at", "name"))), lambda x: x["name"]).alias(new))
-        out = out.join(listed, list(key), "left").withColumn(new, F.coalesce(new, F.array().cast("array<string>")))
-    return out
+    return ngram_mentions(documents, names, key=key, text_col=text_col, column=column, once=True, normal=False).select(*key, "name")
 
 
 # ---------------------------------------------------------------- in original texts
@@ -152,7 +179,7 @@ def _united(reach: Reach, names: Iterable[str]) -> list[dict[str, str]]:
     return [{"source_key": s, "low": a, "high": b} for s, (a, b) in found.items()]
 
 
-def mentions_by_sentence(text: str, index: Index, reach: Reach | None = None, markers: Sequence[str] = ()) -> list[tuple]:
+def mentions_by_sentence(text: str, index: Index | NameFilter, reach: Reach | None = None, markers: Sequence[str] = ()) -> list[tuple]:
     """Rows of _MENTIONS, one for each sentence with a mention.
 
     inside, around: the markers in the sentence, and in it with one neighbour on each side.
@@ -186,57 +213,45 @@ def _areas_reached(candidates: DataFrame) -> DataFrame:
     return each.groupBy("normalized_name").agg(F.collect_list(F.struct("source_key", "low", "high")).alias("reach"))
 
 
-@F.pandas_udf(StringType())
-def _folded_one_by_one(texts: pd.Series) -> pd.Series:
-    return texts.map(lambda t: " ".join(PlacedWords(t).words))
-
-
 def sentence_mentions(documents: DataFrame, candidates: DataFrame, *, key: Sequence[str], keep: Sequence[str] = (), markers: Sequence[str] = (), gate: bool = False) -> DataFrame:
     """documents: key, keep and text. candidates: normalized_name, polygon_id, source_key.
 
-    One row for each sentence with a mention: key, keep and the columns of _MENTIONS. Narrow, unless the names are too many to broadcast.
+    One row for each sentence with a mention: key, keep and the columns of _MENTIONS. Narrow; with names beyond a broadcast, sentences
+    with candidates are written, and their names checked by joins.
     gate: only texts whose plain normalisation holds a name at all.
     """
     docs = documents.select(*key, *keep, "text")
     table = _areas_reached(candidates.where("normalized_name <> ''"))
-    rows = table.limit(MAX_NAMES + 1).collect()
-    few = len(rows) <= MAX_NAMES
-    own: list[str] = []
-    shared = None
+    few = is_few(table, "normalized_name")
     if few:
-        reach = {r.normalized_name: [tuple(x) for x in r.reach] for r in rows}
+        reach = {r.normalized_name: [tuple(x) for x in r.reach] for r in table.collect()}
         shared = docs.sparkSession.sparkContext.broadcast((name_index(reach), reach))
     else:
-        if gate:
-            texts = docs.select(*key, normalized(F.col("text")).alias("normal"))
-            docs = docs.join(ngram_mentions(texts, table, key=key, text_col="normal", column="normalized_name").select(*key).distinct(), list(key), "left_semi")
-        folded = docs.select(*key, _folded_one_by_one("text").alias("folded"))
-        pairs = ngram_mentions(folded, table, key=key, text_col="folded", column="normalized_name").select(*key, F.col("name").alias("normalized_name")).distinct()
-        listed = pairs.join(table, "normalized_name").groupBy(*key).agg(F.collect_list(F.struct("normalized_name", "reach")).alias("_names"))
-        docs, own = docs.join(listed, list(key)), ["_names"]
+        table = saved(table, "areas-reached")
+        reached = name_filter(table, "normalized_name")
     stays = [*key, *keep]
+    # What names the plain normalisation holds is known for certain only after the join with the names.
+    more = [] if few or not gate else [("plain", "array<string>")]
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        names, reach = shared.value if few else (reached.value, None)
+
         def rows_of(b: pa.RecordBatch, index: list[int], found: list[tuple]) -> pa.RecordBatch:
-            columns = list(zip(*found, strict=True)) or [()] * len(_MENTIONS)
+            kinds = [*_ARROW, *(pa.list_(pa.string()) for _ in more)]
+            columns = list(zip(*found, strict=True)) or [()] * len(kinds)
             kept = b.select(stays).take(pa.array(index, pa.int64()))
-            return pa.RecordBatch.from_arrays([*kept.columns, *(pa.array(c, t) for c, t in zip(columns, _ARROW, strict=True))], names=[*stays, *(n for n, _ in _MENTIONS)])
+            return pa.RecordBatch.from_arrays([*kept.columns, *(pa.array(c, t) for c, t in zip(columns, kinds, strict=True))], names=[*stays, *(n for n, _ in [*_MENTIONS, *more])])
 
         for b in batches:
             index, found = [], []
-            listed = b.column("_names") if own else None
             for i, text in enumerate(b.column("text")):
-                if listed is not None:
-                    reach = {x["normalized_name"]: [(y["source_key"], y["low"], y["high"]) for y in x["reach"]] for x in listed[i].as_py()}
-                    names = name_index(reach)
-                else:
-                    names, reach = shared.value
                 value = text.as_py()
-                if gate and few and not occurrences(exact_text(value).split(" "), names):
+                plain = names_of(exact_text(value), names) if gate else []
+                if gate and not plain:
                     continue
                 each = mentions_by_sentence(value, names, reach, markers)
                 index += [i] * len(each)
-                found += each
+                found += [(*row, plain) for row in each] if more else each
                 if len(found) >= ROWS_OUT:
                     yield rows_of(b, index, found)
                     index, found = [], []
@@ -244,4 +259,23 @@ def sentence_mentions(documents: DataFrame, candidates: DataFrame, *, key: Seque
                 yield rows_of(b, index, found)
 
     kinds = dict(docs.dtypes)
-    return docs.mapInArrow(run, ", ".join(f"`{n}` {t}" for n, t in [*((c, kinds[c]) for c in stays), *_MENTIONS]))
+    rows = docs.mapInArrow(run, ", ".join(f"`{n}` {t}" for n, t in [*((c, kinds[c]) for c in stays), *_MENTIONS, *more]))
+    return rows if few else _known_only(saved(rows, "sentences"), table, key).select(*stays, *(n for n, _ in _MENTIONS))
+
+
+def _known_only(rows: DataFrame, table: DataFrame, key: Sequence[str]) -> DataFrame:
+    """Rows of candidates, cut down to the names that there are, with what these reach. Names meet the table once a text."""
+    seen = F.array_union("near", "plain") if "plain" in rows.columns else F.col("near")
+    pairs = saved(rows.select(*key, F.explode(seen).alias("normalized_name")).distinct(), "names-of-texts")
+    met = joined_by_name(pairs, table, "normalized_name", key)
+    known = met.groupBy(*key).agg(F.map_from_entries(F.collect_list(F.struct("normalized_name", "reach"))).alias("_known"))
+    is_known = lambda n: F.map_contains_key("_known", n)
+    rows = rows.join(known, list(key))
+    if "plain" in rows.columns:
+        rows = rows.where(F.exists("plain", is_known))
+    rows = rows.withColumns({"near": F.filter("near", is_known), "_told": F.filter(F.arrays_zip("names", "starts", "ends"), lambda m: is_known(m["names"]))}).where(F.size("_told") > 0)
+    every = F.flatten(F.transform("near", lambda n: F.col("_known")[n]))
+    of = lambda source, end, best: best(F.transform(F.filter("_every", lambda r: r["source_key"] == source), lambda r: r[end])).alias(end)
+    sources = F.array_distinct(F.transform("_every", lambda r: r["source_key"]))
+    rows = rows.withColumn("_every", every).withColumn("reach", F.transform(sources, lambda s: F.struct(s.alias("source_key"), of(s, "low", F.array_min), of(s, "high", F.array_max))))
+    return rows.withColumns({"names": F.col("_told.names"), "starts": F.col("_told.starts"), "ends": F.col("_told.ends")})

@@ -12,10 +12,10 @@ context (a country or city name) occur:
 | text | name and context in the text |
 | nearby | like text, with at most `max_gap` normalised characters between the closest spans |
 
-Narrow up to the join with the profiles, which Spark broadcasts while they are small: a text goes
-to Python once, and only documents with a name come back. Where a rule needs the context in the
-text, that test comes first and names are searched only then. Names beyond the broadcast's bound
-come to their texts by a join of word n-grams.
+Narrow where the profiles are few enough to broadcast: a text goes to Python once, and only documents with a name
+come back. Where a rule needs the context in the text, that test comes first and names are searched only then. With more
+profiles, candidates are found in the same pass with a filter of names and meet the profiles
+without their texts, which the accepted rows get back by their key.
 """
 
 from __future__ import annotations
@@ -26,13 +26,16 @@ from collections.abc import Callable, Iterator, Sequence
 
 import pandas as pd
 import pyarrow as pa
+from pyspark import Broadcast
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from geoweave.functions.spans import nearest
-from geoweave.functions.text import SENTENCE_BREAK, exact_text, excerpt, has_marker, normalized
+from geoweave.functions.text import SENTENCE_BREAK, exact_text, excerpt
 from geoweave.operators.gazetteer import document_identity, document_key, first_of
-from geoweave.operators.matching import broadcast_names, name_index, names_of, spans_of, with_joined_names
+from geoweave.operators.matching import is_few, joined_by_name, name_index, names_of, spans_of
+from geoweave.operators.name_filter import name_filter
+from geoweave.session import saved
 
 #: The rules, and where they need the context whatever the name: in the text, in either field, or not at all.
 GATES = {"any_field": "either", "url_or_context": "none", "url_and_text": "text", "text": "text", "nearby": "text"}
@@ -78,9 +81,8 @@ def nearest_context(text: str, names: Sequence[str], marker: str, max_gap: int)
     return out
 
 
-def _searched(docs: DataFrame, names: Sequence[str], marker: str, gate: str) -> DataFrame:
-    """Adds context_in_text, context_in_url, text_names and url_names; only documents that pass the gate and have a name."""
-    shared = docs.sparkSession.sparkContext.broadcast(name_index(names))
+def _searched(docs: DataFrame, shared: Broadcast, marker: str, gate: str) -> DataFrame:
+    """Adds context_in_text, context_in_url, text_names and url_names; only documents that pass the gate and have a name. shared: an index of names, or a filter."""
     kinds = [("context_in_text", "boolean", pa.bool_()), ("context_in_url", "boolean", pa.bool_()), *((c, "array<string>", pa.list_(pa.string())) for c in ("text_names", "url_names"))]
     columns = docs.columns
 
@@ -113,15 +115,14 @@ def evidence(documents: DataFrame, profiles: DataFrame, *, rule: str, context: s
     key = document_key(documents)
     docs = documents.select(*key, F.col("document_id").cast("string").alias("document_id"), F.coalesce("text", F.lit("")).alias("text"), F.coalesce("url", F.lit("")).alias("url"))
     named = profiles.where("normalized_name <> ''").select("polygon_id", "name", "normalized_name")
-    few = broadcast_names(named, "normalized_name")
-    gate = GATES[rule]
-    if few is not None:
-        docs = _searched(docs, few, marker, gate)
+    # More profiles than names can be: names of versions 1 and 2 are not merged.
+    few = is_few(named, "normalized_name")
+    if few:
+        shared = docs.sparkSession.sparkContext.broadcast(name_index(r.normalized_name for r in named.select("normalized_name").distinct().collect()))
     else:
-        docs = docs.withColumns({"normal_text": normalized(F.col("text"), mode=mode), "normal_url": normalized(F.col("url"), decode_url=True)})
-        docs = docs.withColumns({"context_in_text": has_marker(F.col("normal_text"), F.lit(marker)), "context_in_url": has_marker(F.col("normal_url"), F.lit(marker))})
-        docs = docs.where({"text": "context_in_text", "either": "context_in_text OR context_in_url", "none": "true"}[gate])
-        docs = with_joined_names(docs, named, key=key, text_cols={"text_names": "normal_text", "url_names": "normal_url"}, column="normalized_name")
+        named = saved(named, "profiles")
+        shared = name_filter(named.select("normalized_name").distinct(), "normalized_name")
+    docs = _searched(docs, shared, marker, GATES[rule])
     accepted = {
         "any_field": F.array_union("text_names", "url_names"),
         "url_or_context": F.array_union("url_names", F.when(F.col("context_in_text"), F.col("text_names")).otherwise(F.array().cast("array<string>"))),
@@ -146,7 +147,13 @@ def evidence(documents: DataFrame, profiles: DataFrame, *, rule: str, context: s
     in_text = F.array_contains("text_names", F.col("normalized_name"))
     in_url = F.array_contains("url_names", F.col("normalized_name"))
     rows = rows.withColumns({"matched_fields": _fields(in_text, in_url), "context_fields": _fields(F.col("context_in_text"), F.col("context_in_url")), "context_phrase": phrase})
-    return rows.join(named, "normalized_name").select(*common, *shown, "normalized_name")
+    if few:
+        return rows.join(F.broadcast(named), "normalized_name").select(*common, *shown, "normalized_name")
+    lean = [*key, "document_id", "url", "matched_fields", "context_fields", "context_phrase", "normalized_name"]
+    told = saved(rows.select(*lean, *shown), "accepted")
+    met = joined_by_name(told, named, "normalized_name", key)
+    texts = documents.select(*key, F.coalesce("text", F.lit("")).alias("text"))
+    return met.join(texts, key).select(*common, *told.columns[len(lean) :], "normalized_name")
 
 
 def deduplicated(found: DataFrame, documents: DataFrame | None = None) -> DataFrame:

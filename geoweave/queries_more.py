@@ -14,7 +14,7 @@ from pyspark.sql import functions as F
 
 from geoweave.functions import geometry
 from geoweave.functions.text import excerpt, shortened
-from geoweave.operators import classify, gazetteer, lexical, retrieval, specificity, topics
+from geoweave.operators import classify, gazetteer, lexical, matching, retrieval, spatial, specificity, topics
 from geoweave.plans import runs
 from geoweave.queries import (
     _RS,
@@ -32,11 +32,14 @@ from geoweave.queries import (
     areas,
     shard,
 )
+from geoweave.queries import oracle_sql as engine_sql
+from geoweave.queries import queries as engine_queries
 from geoweave.session import scratch_path
 from geoweave.sources import osm, pbf, tables
 
 CHUNK = 100
 WAVE = 4
+FEW_NAMES = 10
 
 
 def _pages(spark: SparkSession, d: str) -> DataFrame:
@@ -134,6 +137,13 @@ def areas_in_boundary(spark: SparkSession, d: str) -> DataFrame:
     return gazetteer.within_boundary(areas(spark, d), CONTEXT).select("polygon_id", "name")
 
 
+def points_in_areas(spark: SparkSession, d: str) -> DataFrame:
+    """All customers as points, and all areas that hold them."""
+    k = F.col("c_custkey")
+    people = _table(spark, d, "customer").select("c_custkey", (k % 37 + k % 11 / 10.0 - 0.13).alias("lon"), (k % 41 + k % 13 / 12.0 - 0.11).alias("lat"))
+    return spatial.points_in_areas(people, areas(spark, d), key=["c_custkey"]).select("c_custkey", "polygon_id")
+
+
 # ---------------------------------------------------------------- orders and summaries
 
 
@@ -197,6 +207,27 @@ def chunked_match(spark: SparkSession, d: str) -> DataFrame:
     return found.select("polygon_id", "polygon_name", "row_index", "document_id", F.array_join("matched_fields", "|").alias("matched_fields"), F.array_join("context_fields", "|").alias("context_fields"), "context_phrase", "text_excerpt", "url_excerpt")
 
 
+# ---------------------------------------------------------------- more names than a broadcast holds
+
+
+def _many(query: Callable[[SparkSession, str], DataFrame]) -> Callable[[SparkSession, str], DataFrame]:
+    """A query as it runs where names are too many to be broadcast."""
+
+    def run(spark: SparkSession, d: str) -> DataFrame:
+        most = matching.MAX_NAMES
+        matching.MAX_NAMES = FEW_NAMES
+        try:
+            return query(spark, d)
+        finally:
+            matching.MAX_NAMES = most
+
+    return run
+
+
+#: Queries that search names, and so are also run with a filter of names.
+SEARCHES = ("doc_frequency", "match_v1", "match_v2", "match_v3", "match_v4", "match_v5", "match_v6", "lexical_v1", "lexical_v2", "lexical_v3")
+
+
 # ---------------------------------------------------------------- topics and plug-ins
 
 
@@ -251,10 +282,11 @@ def excerpts(spark: SparkSession, d: str) -> DataFrame:
 
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
     every = (
-        document_rows, row_chunks, absent_columns, json_rows, json_lines, osm_names, osm_areas, osm_counts, pbf_names, pbf_areas, pbf_profiles, areas_in_boundary, evidence_order, mention_order, top_samples,
+        document_rows, row_chunks, absent_columns, json_rows, json_lines, osm_names, osm_areas, osm_counts, pbf_names, pbf_areas, pbf_profiles, areas_in_boundary, points_in_areas, evidence_order, mention_order, top_samples,
         overall_summary, result_counts, decision_counts, run_counters, chunked_match, topic_order, category_sentences, topic_columns, resumed_labels, segments, lossless, label_answers, prompts, excerpts,
     )
-    return {q.__name__: q for q in every}
+    few = engine_queries()
+    return {q.__name__: q for q in every} | {f"{name}_many": _many(few[name]) for name in SEARCHES}
 
 
 _CUSTOMERS = "c AS (SELECT c_custkey AS k, c_custkey % 37 * 3.0 AS x, c_custkey % 41 * 3.0 AS y FROM customer)"
@@ -267,10 +299,11 @@ _AT = lambda dx: f"'{{\"lat\":' || {_NUMBER(f'round(CAST(y + {dx} AS DOUBLE), 6)
 def oracle_sql() -> dict[str, str]:
     tags = "'{' || coalesce(list_aggregate(list_filter(['\"name\":\"' || n || '\"', CASE WHEN k % 6 = 0 THEN '\"name:en\":\"Way ' || k || '\"' END, CASE WHEN k % 3 = 0 THEN '\"name:fr\":\"Rue ' || k || '\"' END], lambda t: t IS NOT NULL), 'string_agg', ','), '') || '}'"
     v4 = _match_sql("v4").replace("SELECT polygon_id, name AS polygon_name", "SELECT n, polygon_id, name AS polygon_name")
+    few = engine_sql()
     osm_areas_sql = f"""WITH {_CUSTOMERS} SELECT 'm/way/' || k AS polygon_id, coalesce(n, '') AS name, array_to_string(list_distinct_in_order, '|') AS aliases, {tags} AS tags, CASE WHEN k % 11 = 0 THEN '' ELSE {_AT('0.5')} END AS centroid, CASE WHEN k % 11 > 0 THEN round(x + 0.4, 6) END AS point_lon, k % 11 > 0 AS valid
 FROM (SELECT *, {_NAME} AS n, list_filter([CASE WHEN k % 6 = 0 THEN 'Way ' || k END, CASE WHEN k % 3 = 0 THEN 'Rue ' || k END], lambda t: t IS NOT NULL) AS list_distinct_in_order FROM c) WHERE k % 5 <> 0
 UNION ALL SELECT 'm/relation/' || k, 'Area ' || k, '', '{{"name":"Area ' || k || '","type":"' || {_KIND} || '"}}', CASE WHEN k % 11 = 0 OR k % 5 = 0 THEN '' ELSE {_AT('(0.5 - 0.375 * 0.0625) / 0.9375')} END, CASE WHEN k % 11 > 0 AND k % 5 > 0 THEN round(x + 0.375, 6) END, k % 11 > 0 AND k % 5 > 0 FROM c WHERE k % 3 = 0 AND {_KIND} <> 'route'"""
-    return {
+    return {f"{name}_many": few[name] for name in SEARCHES} | {
         "document_rows": "SELECT 'pages.parquet' AS shard, page_id AS row_index, CAST(page_id AS VARCHAR) AS document_id, CAST(length(coalesce(html, '')) AS BIGINT) AS n_chars, coalesce(url, '') AS url FROM pages",
         "row_chunks": f"SELECT page_id // {CHUNK} AS chunk, min(page_id) AS first_row, count(*) AS rows FROM pages GROUP BY 1",
         "absent_columns": "SELECT name FROM (VALUES ('text'), ('url'), ('doc_id'), ('html')) w(name) WHERE name NOT IN (SELECT column_name FROM (DESCRIBE documents))",
@@ -283,6 +316,11 @@ UNION ALL SELECT 'm/relation/' || k, 'Area ' || k, '', '{{"name":"Area ' || k ||
         "pbf_profiles": f"WITH {_CUSTOMERS} SELECT 'm/way/' || k AS polygon_id, 'way ' || k AS normalized_name, 1 AS occurrences FROM c WHERE k % 5 <> 0 AND k % 11 <> 0 AND k % 4 > 0 UNION ALL SELECT 'm/relation/' || k, 'area ' || k, 1 FROM c WHERE k % 3 = 0 AND k % 5 <> 0 AND k % 11 <> 0 AND {_KIND} <> 'route'",
         "osm_counts": f"WITH {_CUSTOMERS}, a AS (SELECT {_NAME} AS name, k % 11 > 0 AS valid FROM c WHERE k % 5 <> 0 UNION ALL SELECT NULL, true FROM c UNION ALL SELECT 'Area ' || k, k % 11 > 0 AND k % 5 > 0 FROM c WHERE k % 3 = 0 AND {_KIND} <> 'route') SELECT count(name) AS named, count(*) - count(name) AS unnamed, count(name) FILTER (WHERE NOT valid) AS invalid FROM a",
         "areas_in_boundary": _match_sql("v2").split(" SELECT polygon_id")[0].split(", in_text AS")[0].split("\nin_text AS")[0].rstrip().rstrip(",") + " SELECT polygon_id, name FROM areas WHERE coalesce(name, '') <> '' AND (polygon_id = 'place/alpha' OR (i % 37 < 20 AND i % 41 < 20))",
+        "points_in_areas": """WITH a AS (
+  SELECT 'bench/' || item_id AS polygon_id, item_id % 37 AS x, item_id % 41 AS y, 1 AS n, item_id % 2 = 0 AS hole FROM benchmark WHERE len(string_split(trim(regexp_replace(lower(nfc_normalize(text)), '[\\W_]+', ' ', 'g')), ' ')) >= 5
+  UNION ALL SELECT 'host/' || page_id, page_id % 37, page_id % 41, 1, page_id % 2 = 0 FROM pages UNION ALL SELECT 'place/alpha', 0, 0, 20, false
+), p AS (SELECT c_custkey, c_custkey % 37 + c_custkey % 11 / 10.0 - 0.13 AS lon, c_custkey % 41 + c_custkey % 13 / 12.0 - 0.11 AS lat FROM customer)
+SELECT c_custkey, polygon_id FROM p JOIN a ON lon > x AND lon < x + n AND lat > y AND lat < y + n AND NOT (hole AND lon > x + 0.25 AND lon < x + 0.5 AND lat > y + 0.25 AND lat < y + 0.5)""",
         "evidence_order": f"SELECT row_index, n AS normalized_name, polygon_id, row_number() OVER (ORDER BY row_index, n, polygon_id) AS place FROM ({v4})",
         "mention_order": _lexical_sql("v1", 'SELECT row_index, start, end_ AS "end", polygon_id, matched_alias, row_number() OVER (PARTITION BY row_index ORDER BY start, end_, polygon_id, matched_alias) AS place FROM ment'),
         "top_samples": _lexical_sql("v3", _V3 + "SELECT evidence_score, matched_alias, s.url, sentence FROM tiered t JOIN shard s ON s.row_index = t.row_index ORDER BY evidence_score DESC, matched_alias, s.url, sentence LIMIT 5"),

@@ -8,7 +8,7 @@ import tempfile
 import uuid
 from pathlib import Path
 
-from pyspark.sql import SparkSession
+from pyspark.sql import DataFrame, SparkSession
 
 ROOT = Path(__file__).resolve().parent.parent
 _shipped: set[str] = set()
@@ -39,3 +39,10 @@ def shared_dir(spark: SparkSession) -> str:
 def scratch_path(spark: SparkSession, label: str) -> str:
     """A new path in the shared folder."""
     return f"{shared_dir(spark)}/geoweave/{uuid.uuid4().hex}-{label}"
+
+
+def saved(df: DataFrame, label: str) -> DataFrame:
+    """Write a table in the shared folder and read it again: it is worked out once, its size is known, and it outlives lost executors."""
+    path = scratch_path(df.sparkSession, label)
+    df.write.option("compression", "zstd").parquet(path)
+    return df.sparkSession.read.schema(df.schema).parquet(path)
