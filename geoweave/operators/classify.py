@@ -5,6 +5,7 @@ Models are callables; they run in Arrow batches on the executors. No model comes
 
 from __future__ import annotations
 
+import hashlib
 from collections.abc import Callable, Iterator, Sequence
 
 import pandas as pd
@@ -60,6 +61,11 @@ def prompted(sentence: Column, template: str) -> Column:
     return F.concat(F.lit(head), sentence, F.lit(tail))
 
 
+def prompt_hash(template: str) -> str:
+    """What a checkpoint of answers knows a prompt by."""
+    return hashlib.sha256(template.encode()).hexdigest()
+
+
 def labelled(frame: DataFrame, classifier: Classifier, *, batch: int = 8, known: DataFrame | None = None, key: Sequence[str] | None = None) -> DataFrame:
     """Adds `labels`, one for each of sentences_with_topic_term. Rows whose key is in `known` (key, labels) take theirs from there."""
     if batch <= 0:

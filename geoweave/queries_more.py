@@ -36,6 +36,7 @@ from geoweave.queries import oracle_sql as engine_sql
 from geoweave.queries import queries as engine_queries
 from geoweave.session import scratch_path
 from geoweave.sources import osm, pbf, tables
+from geoweave.streaming.scan import keep_first_of_new_files
 
 CHUNK = 100
 WAVE = 4
@@ -152,6 +153,16 @@ def evidence_order(spark: SparkSession, d: str) -> DataFrame:
     return found.select("row_index", "normalized_name", "polygon_id", F.row_number().over(W.orderBy(*retrieval.ORDER)).cast("long").alias("place"))
 
 
+def streamed_match(spark: SparkSession, d: str) -> DataFrame:
+    """Version 4 over a stream of files in which two documents share an id: the first evidence of each area and document."""
+    path = scratch_path(spark, "stream")
+    docs = shard(spark, d).withColumn("document_id", F.expr("CAST(row_index DIV 2 AS STRING)"))
+    docs.repartitionByRange(6, "row_index").select("row_index", "document_id", "text", "url").write.parquet(f"{path}/in")
+    profiles = gazetteer.one_per_name(gazetteer.meaningful_profiles(areas(spark, d)))
+    found = keep_first_of_new_files(spark, f"{path}/in", f"{path}/out", {}, lambda rows: retrieval.evidence(rows, profiles, rule="text", context=CONTEXT), files_per_batch=2)
+    return found.select("polygon_id", "row_index", "document_id")
+
+
 def mention_order(spark: SparkSession, d: str) -> DataFrame:
     found = runs.find_candidates(shard(spark, d), areas(spark, d), "v1", countries=COUNTRIES)
     place = F.row_number().over(W.partitionBy("row_index").orderBy("start", "end", "polygon_id", "matched_alias"))
@@ -282,7 +293,7 @@ def excerpts(spark: SparkSession, d: str) -> DataFrame:
 
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
     every = (
-        document_rows, row_chunks, absent_columns, json_rows, json_lines, osm_names, osm_areas, osm_counts, pbf_names, pbf_areas, pbf_profiles, areas_in_boundary, points_in_areas, evidence_order, mention_order, top_samples,
+        document_rows, row_chunks, absent_columns, json_rows, json_lines, osm_names, osm_areas, osm_counts, pbf_names, pbf_areas, pbf_profiles, areas_in_boundary, points_in_areas, evidence_order, streamed_match, mention_order, top_samples,
         overall_summary, result_counts, decision_counts, run_counters, chunked_match, topic_order, category_sentences, topic_columns, resumed_labels, segments, lossless, label_answers, prompts, excerpts,
     )
     few = engine_queries()
@@ -322,6 +333,7 @@ UNION ALL SELECT 'm/relation/' || k, 'Area ' || k, '', '{{"name":"Area ' || k ||
 ), p AS (SELECT c_custkey, c_custkey % 37 + c_custkey % 11 / 10.0 - 0.13 AS lon, c_custkey % 41 + c_custkey % 13 / 12.0 - 0.11 AS lat FROM customer)
 SELECT c_custkey, polygon_id FROM p JOIN a ON lon > x AND lon < x + n AND lat > y AND lat < y + n AND NOT (hole AND lon > x + 0.25 AND lon < x + 0.5 AND lat > y + 0.25 AND lat < y + 0.5)""",
         "evidence_order": f"SELECT row_index, n AS normalized_name, polygon_id, row_number() OVER (ORDER BY row_index, n, polygon_id) AS place FROM ({v4})",
+        "streamed_match": f"SELECT polygon_id, row_index, CAST(row_index // 2 AS VARCHAR) AS document_id FROM ({v4}) QUALIFY row_number() OVER (PARTITION BY polygon_id, row_index // 2 ORDER BY row_index, n) = 1",
         "mention_order": _lexical_sql("v1", 'SELECT row_index, start, end_ AS "end", polygon_id, matched_alias, row_number() OVER (PARTITION BY row_index ORDER BY start, end_, polygon_id, matched_alias) AS place FROM ment'),
         "top_samples": _lexical_sql("v3", _V3 + "SELECT evidence_score, matched_alias, s.url, sentence FROM tiered t JOIN shard s ON s.row_index = t.row_index ORDER BY evidence_score DESC, matched_alias, s.url, sentence LIMIT 5"),
         "overall_summary": _lexical_sql("v3", _V3 + "SELECT (SELECT count(*) FROM areas) AS polygons_read, (SELECT count(*) FROM inv) AS names_considered, (SELECT count(*) FROM inv WHERE decision <> 'discard') AS names_indexed, (SELECT count(*) FROM inv WHERE decision = 'discard') AS names_discarded, (SELECT count(*) FROM inv WHERE decision = 'generic') AS generic_names, count(*) AS mentions, count(*) FILTER (WHERE decision_tier = 'high_confidence') AS high_confidence, count(*) FILTER (WHERE decision_tier = 'possible') AS possible, count(*) FILTER (WHERE decision_tier = 'rejected') AS rejected, count(DISTINCT polygon_id) AS polygons_matched FROM tiered"),
