@@ -4,7 +4,9 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame
 
+from geoweave.operators import gazetteer
 from geoweave.plans.runs import comparison, top_names
+from geoweave.session import saved
 
 
 def _table(frame: DataFrame) -> list[str]:
@@ -20,6 +22,10 @@ def run_card(title: str, settings: dict, summary: DataFrame) -> str:
 
 
 def comparison_report(v2: DataFrame, v3: DataFrame, k: int = 10) -> str:
+    """Both are worked out once, and kept without the columns that the report does not show."""
+    keys = ["source_key", "polygon_id", "matched_alias", "url", "sentence"]
+    v2 = saved(v2.select(*keys), "compared-v2")
+    v3 = saved(v3.select(*keys, "decision_tier", *gazetteer.document_key(v3), "start"), "compared-v3")
     row = comparison(v2, v3).first()
     tiers = v3.groupBy("source_key", "decision_tier").count().orderBy("source_key", "decision_tier")
     share = f"{100 * v3.where('decision_tier = \"high_confidence\"').count() / row.rows_v3:.2f} %" if row.rows_v3 else "no rows"

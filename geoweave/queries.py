@@ -281,11 +281,11 @@ _DOCS = f"docs AS MATERIALIZED (SELECT doc_id, {_n('text')} AS nt FROM documents
 _TOPICS = f"WITH {_VOCAB}, {_DOCS}, {_grams('vocab', 'docs', 'nt', 'doc_id')}"
 
 
-def _near_sql(last: str) -> str:
-    v4 = _match_sql("v4").replace("SELECT polygon_id, name AS polygon_name", "SELECT n, text, polygon_id, name AS polygon_name")
+def _near_sql(last: str, version: str = "v4", where: str = "true") -> str:
+    v4 = _match_sql(version).replace("SELECT polygon_id, name AS polygon_name", "SELECT kept.n, text, polygon_id, name AS polygon_name")
     cut = f"list_filter(string_split(regexp_replace(text, '([.!?]+\\s+|\\n+)', '\\1' || {_RS}, 'g'), {_RS}), lambda s: s <> '')"
     return f"""
-WITH v4 AS MATERIALIZED ({v4}), {_VOCAB},
+WITH v4 AS MATERIALIZED (SELECT * FROM ({v4}) WHERE {where}), {_VOCAB},
 sents AS MATERIALIZED (SELECT polygon_id, row_index, n, i, sentence, {_n('sentence')} AS ns FROM (SELECT polygon_id, row_index, n, unnest({cut}) AS sentence, generate_subscripts({cut}, 1) - 1 AS i FROM v4)),
 anchors AS (SELECT polygon_id, row_index, list(i) FILTER (WHERE {_has('ns', 'n')}) AS own, list(i) FILTER (WHERE {_has('ns', f"'{CONTEXT}'")}) AS ctx FROM sents GROUP BY polygon_id, row_index),
 far AS (SELECT s.*, list_min(list_transform(own, lambda a: abs(a - i))) AS pd, list_min(list_transform(ctx, lambda a: abs(a - i))) AS cd FROM sents s JOIN anchors USING (polygon_id, row_index) WHERE own IS NOT NULL AND ctx IS NOT NULL),

@@ -12,19 +12,23 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 
-from geoweave.functions import geometry
-from geoweave.functions.text import excerpt, shortened
+from geoweave.functions import geometry, sql
+from geoweave.functions.text import excerpt, has_marker, normalized, shortened
 from geoweave.operators import classify, gazetteer, lexical, matching, retrieval, spatial, specificity, topics
-from geoweave.plans import runs
+from geoweave.operators.ordering import numbered
+from geoweave.plans import answers, runs
 from geoweave.queries import (
     _RS,
     _TOPICS,
     _V3,
     CONTEXT,
     COUNTRIES,
+    RATIO,
     VOCABULARY,
+    _has,
     _lexical_sql,
     _match_sql,
+    _n,
     _near_sql,
     _refined,
     _stub,
@@ -34,7 +38,7 @@ from geoweave.queries import (
 )
 from geoweave.queries import oracle_sql as engine_sql
 from geoweave.queries import queries as engine_queries
-from geoweave.session import scratch_path
+from geoweave.session import saved, scratch_path
 from geoweave.sources import osm, pbf, tables
 from geoweave.streaming.scan import keep_first_of_new_files
 
@@ -56,8 +60,10 @@ def row_chunks(spark: SparkSession, d: str) -> DataFrame:
 
 
 def absent_columns(spark: SparkSession, d: str) -> DataFrame:
-    names = tables.missing_columns(_table(spark, d, "documents"), ("text", "url", "doc_id", "html"))
-    return spark.createDataFrame([(n,) for n in names], "name string")
+    """Required columns that a table lacks, and how many rows lack them."""
+    rows = _table(spark, d, "documents")
+    names = tables.missing_columns(rows, ("text", "url", "doc_id", "html"))
+    return rows.agg(F.count("*").alias("rows")).select(F.explode(F.array(*map(F.lit, names))).alias("name"), "rows")
 
 
 def json_rows(spark: SparkSession, d: str) -> DataFrame:
@@ -72,6 +78,11 @@ def json_lines(spark: SparkSession, d: str) -> DataFrame:
     return tables.json_lines(rows).select(F.col("value").alias("line"))
 
 
+def json_texts(spark: SparkSession, d: str) -> DataFrame:
+    """Texts as JSON writes them."""
+    return tables.json_lines(_table(spark, d, "documents").select("text", "doc_id")).select(F.col("value").alias("line"))
+
+
 # ---------------------------------------------------------------- map elements
 
 
@@ -94,7 +105,8 @@ def _elements(spark: SparkSession, d: str) -> tuple[DataFrame, DataFrame, DataFr
 def osm_names(spark: SparkSession, d: str) -> DataFrame:
     """Closed ways and area relations in the order of their ids as text."""
     _, ways, relations = _elements(spark, d)
-    return osm.named_areas_of(ways, relations).where("polygon_id NOT LIKE 'way/1000%'").select("polygon_id", "name", F.row_number().over(W.orderBy("polygon_id")).cast("long").alias("place"))
+    found = osm.named_areas_of(ways, relations).where("polygon_id NOT LIKE 'way/1000%'")
+    return numbered(found, ["polygon_id"]).select("polygon_id", "name", "place")
 
 
 def _shown_areas(found: DataFrame) -> DataFrame:
@@ -150,7 +162,7 @@ def points_in_areas(spark: SparkSession, d: str) -> DataFrame:
 
 def evidence_order(spark: SparkSession, d: str) -> DataFrame:
     found = runs.retrieve(shard(spark, d), areas(spark, d), "v4", country=CONTEXT)
-    return found.select("row_index", "normalized_name", "polygon_id", F.row_number().over(W.orderBy(*retrieval.ORDER)).cast("long").alias("place"))
+    return numbered(found.select(*retrieval.ORDER), retrieval.ORDER)
 
 
 def streamed_match(spark: SparkSession, d: str) -> DataFrame:
@@ -252,8 +264,10 @@ def category_sentences(spark: SparkSession, d: str) -> DataFrame:
 
 
 def topic_columns(spark: SparkSession, d: str) -> DataFrame:
-    """The columns of version 9's rows."""
-    return spark.createDataFrame([(c,) for c in _refined(spark, d)["v9"].columns], "name string")
+    """The columns of version 9's rows, and in how many rows each is filled."""
+    rows = _refined(spark, d)["v9"]
+    filled = rows.agg(*(F.count(c).alias(c) for c in rows.columns))
+    return filled.select(F.explode(F.map_from_arrays(F.array(*map(F.lit, rows.columns)), F.array(*rows.columns))).alias("name", "filled"))
 
 
 def resumed_labels(spark: SparkSession, d: str) -> DataFrame:
@@ -263,6 +277,41 @@ def resumed_labels(spark: SparkSession, d: str) -> DataFrame:
     return classify.labelled(rows, _stub, known=known).select("polygon_id", "row_index", F.array_join("labels", "|").alias("labels"))
 
 
+def checkpointed_labels(spark: SparkSession, d: str) -> DataFrame:
+    """Labels of a run over some documents and of a later one over all, which asks for what is left."""
+    rows, path = saved(_refined(spark, d)["v9"], "v9"), scratch_path(spark, "answers")
+    header = {"source": "documents", "prompt_sha256": classify.prompt_hash("Does this tell of land? {}\nAnswer:")}
+    answers.answered(rows.where("row_index % 3 = 0"), _stub, path, header, wave_rows=100)
+    return answers.answered(rows, _stub, path, header).select("polygon_id", "row_index", F.array_join("labels", "|").alias("labels"))
+
+
+def strict_proximity(spark: SparkSession, d: str) -> DataFrame:
+    """Version 9 of version 6, where each row must have its anchors: of the rows whose name and context end in the sentences that they begin in."""
+    found = runs.retrieve(shard(spark, d), areas(spark, d), "v6", country=CONTEXT, ratio=RATIO)
+    found = found.where(has_marker(normalized(F.col("polygon_name_sentence")), F.col("normalized_name")) & has_marker(normalized(F.col("country_name_sentence")), F.lit(CONTEXT)))
+    rows = runs.refine(found, VOCABULARY, strict=True)["v9"]
+    return rows.select("polygon_id", "row_index", F.col("topic_sentence_count").cast("long").alias("topic_sentence_count"), F.aggregate("relevant_sentence_metadata", F.lit(0), lambda a, m: a + m["place_sentence_distance"]).cast("long").alias("distance"))
+
+
+def sql_normalize(spark: SparkSession, d: str) -> DataFrame:
+    """Normalised texts from SQL text."""
+    sql.register(spark)
+    _table(spark, d, "documents").createOrReplaceTempView("geoweave_documents")
+    return spark.sql("SELECT doc_id, geoweave_normalize(text) AS normal FROM geoweave_documents")
+
+
+def sql_frequency(spark: SparkSession, d: str) -> DataFrame:
+    """Document frequencies from SQL text, by the table function of mentions."""
+    names = gazetteer.one_per_name(gazetteer.meaningful_profiles(areas(spark, d))).select("normalized_name")
+    sql.register_names(spark, names, prefix="geoweave")
+    names.createOrReplaceTempView("geoweave_names")
+    _table(spark, d, "documents").select("doc_id", "text").createOrReplaceTempView("geoweave_documents")
+    return spark.sql("""
+        SELECT n.normalized_name, count(DISTINCT m.doc_id) AS document_frequency
+        FROM geoweave_names n LEFT JOIN (SELECT doc_id, name FROM geoweave_mentions(TABLE(SELECT doc_id, text FROM geoweave_documents), 'text')) m ON m.name = n.normalized_name
+        GROUP BY n.normalized_name""")
+
+
 def segments(spark: SparkSession, d: str) -> DataFrame:
     """A plugged-in segmenter that cuts after line ends."""
     rows = classify.segmented(_table(spark, d, "documents"), lambda texts: [[t for t in x.splitlines(keepends=True)] if "\r" not in x else [x] for x in texts])
@@ -293,8 +342,8 @@ def excerpts(spark: SparkSession, d: str) -> DataFrame:
 
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
     every = (
-        document_rows, row_chunks, absent_columns, json_rows, json_lines, osm_names, osm_areas, osm_counts, pbf_names, pbf_areas, pbf_profiles, areas_in_boundary, points_in_areas, evidence_order, streamed_match, mention_order, top_samples,
-        overall_summary, result_counts, decision_counts, run_counters, chunked_match, topic_order, category_sentences, topic_columns, resumed_labels, segments, lossless, label_answers, prompts, excerpts,
+        document_rows, row_chunks, absent_columns, json_rows, json_lines, json_texts, osm_names, osm_areas, osm_counts, pbf_names, pbf_areas, pbf_profiles, areas_in_boundary, points_in_areas, evidence_order, streamed_match, mention_order, top_samples,
+        overall_summary, result_counts, decision_counts, run_counters, chunked_match, topic_order, category_sentences, topic_columns, resumed_labels, checkpointed_labels, strict_proximity, sql_normalize, sql_frequency, segments, lossless, label_answers, prompts, excerpts,
     )
     few = engine_queries()
     return {q.__name__: q for q in every} | {f"{name}_many": _many(few[name]) for name in SEARCHES}
@@ -317,9 +366,10 @@ UNION ALL SELECT 'm/relation/' || k, 'Area ' || k, '', '{{"name":"Area ' || k ||
     return {f"{name}_many": few[name] for name in SEARCHES} | {
         "document_rows": "SELECT 'pages.parquet' AS shard, page_id AS row_index, CAST(page_id AS VARCHAR) AS document_id, CAST(length(coalesce(html, '')) AS BIGINT) AS n_chars, coalesce(url, '') AS url FROM pages",
         "row_chunks": f"SELECT page_id // {CHUNK} AS chunk, min(page_id) AS first_row, count(*) AS rows FROM pages GROUP BY 1",
-        "absent_columns": "SELECT name FROM (VALUES ('text'), ('url'), ('doc_id'), ('html')) w(name) WHERE name NOT IN (SELECT column_name FROM (DESCRIBE documents))",
+        "absent_columns": "SELECT name, (SELECT count(*) FROM documents) AS rows FROM (VALUES ('text'), ('url'), ('doc_id'), ('html')) w(name) WHERE name NOT IN (SELECT column_name FROM (DESCRIBE documents))",
         "json_rows": "SELECT doc_id, text, nullif(lang, 'en') AS lang, n_chars FROM documents",
         "json_lines": "SELECT '{\"doc_id\":' || doc_id || ',\"lang\":' || coalesce('\"' || nullif(lang, 'en') || '\"', 'null') || ',\"source\":' || coalesce('\"' || source || '\"', 'null') || '}' AS line FROM documents",
+        "json_texts": "SELECT '{\"doc_id\":' || doc_id || ',\"text\":' || coalesce(CAST(to_json(text) AS VARCHAR), 'null') || '}' AS line FROM documents",
         "osm_names": f"WITH {_CUSTOMERS} SELECT *, row_number() OVER (ORDER BY polygon_id) AS place FROM (SELECT 'way/' || k AS polygon_id, {_NAME} AS name FROM c WHERE k % 5 <> 0 UNION ALL SELECT 'relation/' || k, 'Area ' || k FROM c WHERE k % 3 = 0 AND {_KIND} <> 'route')",
         "osm_areas": osm_areas_sql,
         "pbf_areas": osm_areas_sql,
@@ -343,8 +393,12 @@ SELECT c_custkey, polygon_id FROM p JOIN a ON lon > x AND lon < x + n AND lat >
         "chunked_match": _match_sql("v4"),
         "topic_order": f"{_TOPICS} SELECT doc_id, string_agg(term, '|' ORDER BY first, term) AS terms FROM (SELECT doc_id, term, min(pos) AS first FROM grams JOIN vocab USING (n) GROUP BY doc_id, term) GROUP BY doc_id",
         "category_sentences": _near_sql("SELECT category, count(DISTINCT (polygon_id, row_index, i)) AS sentences FROM hits GROUP BY category"),
-        "topic_columns": "SELECT name FROM (VALUES ('polygon_id'), ('polygon_name'), ('row_index'), ('document_id'), ('url'), ('text'), ('text_excerpt'), ('url_excerpt'), ('sentences'), ('sentences_with_topic_term'), ('relevant_sentence_metadata'), ('topic_sentence_count'), ('topic_terms'), ('topic_categories')) v(name)",
+        "topic_columns": _near_sql("SELECT name, (SELECT count(DISTINCT (polygon_id, row_index)) FROM v9) AS filled FROM (VALUES ('polygon_id'), ('polygon_name'), ('row_index'), ('document_id'), ('url'), ('text'), ('text_excerpt'), ('url_excerpt'), ('sentences'), ('sentences_with_topic_term'), ('relevant_sentence_metadata'), ('topic_sentence_count'), ('topic_terms'), ('topic_categories')) v(name)"),
         "resumed_labels": _near_sql("SELECT polygon_id, row_index, string_agg(CASE WHEN length(sentence) % 2 = 0 THEN 'yes' ELSE 'no' END, '|' ORDER BY i) AS labels FROM v9 GROUP BY polygon_id, row_index"),
+        "checkpointed_labels": _near_sql("SELECT polygon_id, row_index, string_agg(CASE WHEN length(sentence) % 2 = 0 THEN 'yes' ELSE 'no' END, '|' ORDER BY i) AS labels FROM v9 GROUP BY polygon_id, row_index"),
+        "strict_proximity": _near_sql("SELECT polygon_id, row_index, count(*) AS topic_sentence_count, CAST(sum(distance) AS BIGINT) AS distance FROM v9 GROUP BY polygon_id, row_index", "v6", f"{_has(_n('polygon_name_sentence'), 'n')} AND {_has(_n('country_name_sentence'), repr(CONTEXT))}"),
+        "sql_normalize": few["normalize_text"],
+        "sql_frequency": few["doc_frequency"],
         "segments": "SELECT doc_id, CAST(len(parts) AS BIGINT) AS n_segments, CAST(length(coalesce(parts[1], '')) AS BIGINT) AS first_chars FROM (SELECT doc_id, list_filter(string_split(replace(coalesce(text, ''), chr(10), chr(10) || chr(30)), chr(30)), lambda s: s <> '') AS parts FROM documents)",
         "lossless": f"SELECT doc_id, CAST(len(list_filter(string_split(regexp_replace(coalesce(text, ''), '([.!?]+\\s+|\\n+)', '\\1' || {_RS}, 'g'), {_RS}), lambda s: s <> '')) AS BIGINT) AS n_segments, true AS same FROM documents",
         "label_answers": "SELECT doc_id, CASE WHEN doc_id % 3 = 0 THEN 'yes' ELSE 'no' END AS label FROM documents",
