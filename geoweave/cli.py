@@ -7,7 +7,7 @@ import importlib
 import json
 import sys
 
-from geoweave.plans.versions import catalog_page, retrieval_version
+from geoweave.plans.versions import catalog_page, catalog_record, retrieval_version
 
 
 def _parser() -> argparse.ArgumentParser:
@@ -36,7 +36,9 @@ def _parser() -> argparse.ArgumentParser:
     c = commands.add_parser("compare", help="a report of lexical candidates of versions 2 and 3")
     for side in ("v2", "v3"):
         c.add_argument(f"--{side}", required=True, help="what candidates has written")
-    commands.add_parser("catalog")
+    c = commands.add_parser("catalog")
+    c.add_argument("--json", action="store_true", help="as one object")
+    c.add_argument("--check", metavar="FILE", help="whether the file holds the catalog as it is now")
     return parser
 
 
@@ -109,8 +111,19 @@ def main(argv: list[str] | None = None, spark=None) -> int:
         print("geoweave: choose a command")
         return 0
     if args.command == "catalog":
-        print(catalog_page(), end="")
-        return 0
+        told = json.dumps(catalog_record(), indent=2, sort_keys=True) + "\n" if args.json else catalog_page()
+        if args.check is None:
+            print(told, end="")
+            return 0
+        try:
+            with open(args.check, encoding="utf-8") as f:
+                same = f.read() == told
+        except OSError as e:
+            print(f"error: {e}", file=sys.stderr)
+            return 2
+        if not same:
+            print(f"error: {args.check} is not the catalog as it is now", file=sys.stderr)
+        return 0 if same else 2
     from pyspark.sql import SparkSession
 
     from geoweave.plans.manifest import produce

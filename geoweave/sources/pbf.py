@@ -25,7 +25,8 @@ from pyspark.sql import functions as F
 
 from geoweave.sources.wire import fields, signed, unpacked, varint, zigzag
 
-_MARK = "\n\x07OSMData"
+#: What each blob of elements begins with.
+MARK = "\n\x07OSMData"
 _FIRST = b"\n\x09OSMHeader"
 #: What a header may ask of a reader.
 FEATURES = ("OsmSchema-V0.6", "DenseNodes")
@@ -160,7 +161,7 @@ def _read(spark: SparkSession, path: str, decode: Callable[[_Block], Iterator[pa
     limit = "spark.sql.execution.arrow.maxBytesPerBatch"
     if int(spark.conf.get(limit, "2147483647").rstrip("b") or 0) > BATCH_BYTES:
         spark.conf.set(limit, str(BATCH_BYTES))
-    blobs = spark.read.text(path, lineSep=_MARK).select(F.col("value").cast("binary").alias("blob"))
+    blobs = spark.read.text(path, lineSep=MARK).select(F.col("value").cast("binary").alias("blob"))
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for b in batches:

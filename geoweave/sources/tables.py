@@ -4,11 +4,13 @@ from __future__ import annotations
 
 import json
 from collections.abc import Sequence
+from functools import reduce
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from geoweave.operators.topics import Vocabulary
+from geoweave.sources.pbf import MARK
 
 REQUIRED = ("text", "url")
 
@@ -89,16 +91,49 @@ def read_vocabulary(spark: SparkSession, path: str) -> Vocabulary:
         raise ValueError(f"the vocabulary is no JSON: {path}") from e
 
 
-#: Larger files are told apart by name, size and time of change, as a file's content is one value when it is read.
+#: Larger files are hashed row by row or blob by blob, as a file's content is one value when it is read whole.
 MAX_HASHED_BYTES = 1 << 30
 
 
-def fingerprint(spark: SparkSession, path: str) -> str:
-    """SHA-256 over the names and contents of the files of a path (of large ones the sizes and times of change); read on the executors."""
+def _summed(digest: Column) -> list[Column]:
+    """SHA-256 digests (hexadecimal) added up as four numbers of 64 bits: the same however rows are dealt to tasks."""
+    part = lambda i: F.conv(F.substring(digest, 16 * i + 1, 16), 16, 10).cast("decimal(20,0)")
+    return [F.sum(part(i)).cast("string").alias(f"s{i}") for i in range(4)]
+
+
+def _in_parts(spark: SparkSession, files: list[str], name: Column) -> DataFrame:
+    """f: a line for each of some large files, of its parts' hashes; parts are read in the tasks that Spark deals them to."""
+    lines = []
+    parquet = [f for f in files if f.endswith(".parquet")]
+    if parquet:
+        rows = spark.read.option("mergeSchema", "true").parquet(*parquet)
+        told = F.struct(F.col("_metadata.row_index").alias("_at"), *(F.col(f"`{c}`") for c in rows.columns))
+        each = rows.select(F.col("_metadata.file_path").alias("path"), F.sha2(F.to_json(told, {"ignoreNullFields": "false"}), 256).alias("h"))
+        lines.append(each.withColumn("kind", F.lit(rows.schema.simpleString())))
+    binary = [f for f in files if f.endswith(".pbf")]
+    if binary:
+        # Blobs of elements, which come in no order.
+        blobs = spark.read.text(binary, lineSep=MARK).select(F.col("_metadata.file_path").alias("path"), F.sha2(F.col("value").cast("binary"), 256).alias("h"))
+        lines.append(blobs.withColumn("kind", F.lit("blobs")))
+    summed = [x.groupBy("path", "kind").agg(F.count("*").alias("n"), *_summed(F.col("h"))).select(F.concat_ws(":", name, "kind", "n", "s0", "s1", "s2", "s3").alias("f")) for x in lines]
+    return reduce(DataFrame.union, summed)
+
+
+def fingerprint(spark: SparkSession, path: str, max_hashed_bytes: int = MAX_HASHED_BYTES) -> str:
+    """SHA-256 over the names and contents of the files of a path; read on the executors.
+
+    Small files are hashed whole. Of larger ones, Parquet files are hashed by row and index, and map files in the binary
+    format by blob, so that no task reads a file. Of other large files (XML) name, size and time of change stand for the content.
+    """
     files = spark.read.format("binaryFile").option("recursiveFileLookup", "true").load(path)
     name = F.element_at(F.split("path", "/"), -1)
-    small = files.where(F.col("length") <= MAX_HASHED_BYTES).select(F.concat_ws(":", name, "length", F.sha2("content", 256)).alias("f"))
-    large = files.where(F.col("length") > MAX_HASHED_BYTES).select(F.concat_ws(":", name, "length", F.col("modificationTime").cast("long").cast("string")).alias("f"))
+    is_large = F.col("length") > max_hashed_bytes
+    in_parts = is_large & (F.col("path").endswith(".parquet") | F.col("path").endswith(".pbf"))
+    lines = files.where(~is_large).select(F.concat_ws(":", name, "length", F.sha2("content", 256)).alias("f"))
+    lines = lines.union(files.where(is_large & ~in_parts).select(F.concat_ws(":", name, "length", F.col("modificationTime").cast("long").cast("string")).alias("f")))
+    large = [r.path for r in files.where(in_parts).select("path").collect()]  # names of files
+    if large:
+        lines = lines.union(_in_parts(spark, large, name))
     # One short line a file; a sum of hashes would do for more files than a task can sort.
-    row = small.union(large).agg(F.sha2(F.array_join(F.sort_array(F.collect_list("f")), "\n"), 256).alias("f")).first()
+    row = lines.agg(F.sha2(F.array_join(F.sort_array(F.collect_list("f")), "\n"), 256).alias("f")).first()
     return row.f

@@ -125,6 +125,57 @@ def test_stream_takes_each_file_once(spark, tmp_path):
         assert scan_new_files(spark, source, target, {"rule": "text"}, find).count() == n
 
 
+def test_fingerprints_of_large_files_follow_their_content(spark, tmp_path):
+    import shutil
+
+    def written(rows, name, parts=1):
+        path = tmp_path / name
+        spark.createDataFrame(rows, "a long, b string, c map<string,binary>").coalesce(1).write.parquet(str(path / "w"))
+        part = next(p for p in (path / "w").iterdir() if p.name.startswith("part-"))
+        shutil.copy(part, path / "one.parquet")
+        shutil.rmtree(path / "w")
+        return str(path)
+
+    rows = [(n, None if n % 5 == 0 else f"t{n}", {"k": bytes([n])}) for n in range(50)]
+    of = lambda path: tables.fingerprint(spark, path, max_hashed_bytes=10)
+    first = of(written(rows, "x"))
+    assert of(written(rows, "y")) == first != tables.fingerprint(spark, str(tmp_path / "x"))
+    changed = [*rows[:7], (7, "t8", {"k": b"7"}), *rows[8:]]
+    swapped = [rows[1], rows[0], *rows[2:]]
+    assert len({first, of(written(changed, "c")), of(written(swapped, "s")), of(written(rows[:-1], "l")), of(written([*rows, rows[-1]], "d"))}) == 5
+    before = spark.conf.get("spark.sql.files.maxPartitionBytes")
+    spark.conf.set("spark.sql.files.maxPartitionBytes", "500")
+    assert of(str(tmp_path / "x")) == first
+    spark.conf.set("spark.sql.files.maxPartitionBytes", before)
+
+
+def test_fingerprints_of_large_map_files(spark, tmp_path):
+    from geoweave.sources import pbf
+
+    found = []
+    for n in (1, 2, 1):
+        nodes = spark.createDataFrame([(i, {"lon": float(i), "lat": float(i * n)}) for i in range(40)], pbf.NODE)
+        path = tmp_path / f"{len(found)}"
+        pbf.write(nodes.coalesce(1), spark.createDataFrame([], pbf.WAY), spark.createDataFrame([], pbf.RELATION), str(path / "w"))
+        part = max((p for p in (path / "w").iterdir() if p.name.startswith("part-")), key=lambda p: p.stat().st_size)
+        part.rename(path / "m.osm.pbf")
+        import shutil
+
+        shutil.rmtree(path / "w")
+        found.append(tables.fingerprint(spark, str(path), max_hashed_bytes=10))
+    assert found[0] == found[2] != found[1]
+
+
+def test_catalog_drift(tmp_path, capsys):
+    for options, name in ((["--json"], "c.json"), ([], "c.md")):
+        assert cli.main(["catalog", *options]) == 0
+        (tmp_path / name).write_text(capsys.readouterr().out)
+        assert cli.main(["catalog", *options, "--check", str(tmp_path / name)]) == 0
+        (tmp_path / name).write_text("old")
+        assert cli.main(["catalog", *options, "--check", str(tmp_path / name)]) == 2
+    assert cli.main(["catalog", "--check", str(tmp_path / "none")]) == 2 and "error:" in capsys.readouterr().err
+
+
 def test_catalog_and_command_line(spark, tmp_path, capsys):
     assert versions.catalog(spark).count() == 22 and versions.catalog_record()["lines"][1]["latest"] == "v3" and "| v10 |" in versions.catalog_page()
     assert cli.main([]) == 0 and cli.main(["catalog"]) == 0
