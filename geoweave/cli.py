@@ -143,6 +143,9 @@ def main(argv: list[str] | None = None, spark=None) -> int:
         inputs = {"documents_sha256": fingerprint(spark, args.documents), "areas_sha256": {k: fingerprint(spark, p) for k, p in _area_paths(args.areas).items()}}
         settings = {k: v for k, v in vars(args).items() if k not in ("output", "wave")} | inputs
         documents, areas = read_documents(spark, args.documents), _areas(spark, args.areas)
+        if not args.areas.rstrip("/").endswith(".parquet"):
+            # Map files are put together once, not for each step that reads the areas.
+            areas = produce(spark, f"{args.output}/areas", inputs["areas_sha256"], lambda: _areas(spark, args.areas), conflict="rebuild")[0]
         frequencies = None
         if args.version in (("v5", "v6") if args.command == "scan" else ("v2", "v3")):
             # Made once for the same inputs, and read again by later runs.

@@ -52,7 +52,8 @@ def parsed_rows(lines: DataFrame, schema: str) -> DataFrame:
 
 def _checked(lines: DataFrame) -> DataFrame:
     bad = ~F.coalesce(F.trim("value").startswith("{"), F.lit(False))
-    return lines.select(F.when(bad, F.raise_error(F.lit("a line is no JSON object"))).otherwise(F.col("value")).alias("value"))
+    shown = F.concat(F.lit("a line is no JSON object: "), F.coalesce(F.substring("value", 1, 80), F.lit("null")))
+    return lines.select(F.when(bad, F.raise_error(shown)).otherwise(F.col("value")).alias("value"))
 
 
 def read_json_rows(spark: SparkSession, path: str, schema: str | None = None) -> DataFrame:
