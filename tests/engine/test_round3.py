@@ -26,3 +26,25 @@ def test_ways_with_numbers_like_those_of_inner_rings(spark, run, tmp_path, name)
     spark.createDataFrame([(k,) for k in (7, 1001, 10003, 100004)], "c_custkey long").write.parquet(str(tmp_path / "customer.parquet"))
     ways = sorted(r[0].removeprefix("m/") for r in run(name, tmp_path) if "way/" in r[0])
     assert ways == ["way/100004", "way/10003", "way/1001", "way/7"]
+
+
+def test_waves_of_a_long_run_are_few():
+    from geoweave.plans.chunks import Chunk, waves_of
+
+    left = [Chunk("a", n, n, 1) for n in range(5000)]
+    waves = waves_of(left, 4)
+    assert [c for w in waves for c in w] == left and len(waves) < 50 and [len(w) for w in waves[:3]] == [4, 8, 16]
+    assert [len(w) for w in waves_of(left[:10], 3)] == [3, 3, 3, 1]
+
+
+def test_many_waves_of_answers_are_few_jobs(spark, tmp_path):
+    from geoweave.operators import classify
+    from geoweave.plans import answers
+
+    rows = spark.range(400).selectExpr("concat('w/', id % 3) AS polygon_id", "id AS row_index", "array(repeat('x', CAST(id AS INT))) AS sentences_with_topic_term")
+    told = lambda texts: ["yes" if len(t) % 2 else "no" for t in texts]
+    got = answers.answered(rows, told, str(tmp_path / "c"), {}, wave_rows=2)
+    assert sorted(map(str, got.collect())) == sorted(map(str, classify.labelled(rows, told).collect()))
+    waves = [p for p in (tmp_path / "c" / "answers").iterdir() if p.name.startswith("wave=")]
+    assert len(waves) > 100 and sum(len([f for f in w.iterdir() if f.name.startswith("part-")]) for w in waves) == len(waves)
+    assert len([p for p in (tmp_path / "c" / "events").iterdir() if p.name.startswith("part-")]) <= answers.MAX_JOBS
