@@ -48,3 +48,28 @@ def test_many_waves_of_answers_are_few_jobs(spark, tmp_path):
     waves = [p for p in (tmp_path / "c" / "answers").iterdir() if p.name.startswith("wave=")]
     assert len(waves) > 100 and sum(len([f for f in w.iterdir() if f.name.startswith("part-")]) for w in waves) == len(waves)
     assert len([p for p in (tmp_path / "c" / "events").iterdir() if p.name.startswith("part-")]) <= answers.MAX_JOBS
+
+
+def test_areas_of_one_name_do_not_multiply_mentions(spark):
+    from geoweave.operators import lexical
+    from geoweave.plans import runs
+
+    from .test_retrieval import areas, docs
+
+    a = areas(spark, *[("n", "Green", [])] * 30, ("n", "Quillbury", ["Old Mill"]))
+    d = docs(spark, ("Green and Green. Old Mill, Quillbury.", "http://x/green"), ("Green", ""))
+    countries = {"n": "Norland"}
+    grouped, members = runs.find_grouped(d, a, "v3", countries=countries)
+    every = runs.find_candidates(d, a, "v3", countries=countries)
+    assert grouped.count() == 5 and every.count() == 3 * 30 + 2
+    plain = lambda rows: sorted(map(str, rows.collect()))
+    assert plain(runs.result_counts(grouped, members=members)) == plain(runs.result_counts(every))
+    assert plain(lexical.source_summary(grouped, a, members)) == plain(lexical.source_summary(every, a))
+
+
+def test_batches_to_python_are_bounded(spark):
+    from geoweave import queries
+
+    spark.conf.set("spark.sql.execution.arrow.maxRecordsPerBatch", "10000")
+    queries.shard(spark, "/root/testdata/sf0.001")
+    assert int(spark.conf.get("spark.sql.execution.arrow.maxRecordsPerBatch")) <= 1000
