@@ -72,3 +72,37 @@ def test_writers_look_at_their_pages_often(spark):
 
     queries.shard(spark, "/root/testdata/sf0.001")
     assert int(spark.conf.get("parquet.page.size.row.check.max")) <= 1000
+
+
+def test_places_of_mentions_without_a_sort_of_their_rows(spark, monkeypatch):
+    from pyspark.sql import Window as W
+    from pyspark.sql import functions as F
+
+    from geoweave.operators import lexical
+
+    from .test_retrieval import areas, docs
+
+    monkeypatch.setattr(lexical, "BLOCK_AREAS", 3)
+    # The half folds to a one and a two, which are two names (and a third one) at the same place.
+    a = areas(spark, *[("n", "Green", ["GREEN", "Mill"])] * 7, *[("s", "2", []), ("s", "1", []), ("n", "2", ["1 2"]), ("s", "Mill", [])] * 2)
+    d = docs(spark, ("Mill, Green mill. Rain! \u00bd Green.", ""), ("none", ""), ("Green \u00bd\u00bd, 2", "x"))
+    rows = lexical.mentions(d, a)
+    place = F.row_number().over(W.partitionBy("row_index").orderBy("start", "end", "polygon_id", "matched_alias"))
+    want = rows.select("row_index", "start", "end", "polygon_id", "matched_alias", place.cast("long").alias("place"))
+    got = lexical.mention_places(d, a)
+    assert got.dtypes == want.dtypes and sorted(got.collect()) == sorted(want.collect())
+    ties = rows.groupBy("row_index", "start", "end").agg(F.countDistinct(F.lower("matched_alias")).alias("n")).where("n > 1").count()
+    plan = got._jdf.queryExecution().optimizedPlan().toString()
+    assert ties and plan.count("Window") == 1 and "Union" in plan
+
+
+def test_texts_do_not_go_along_with_every_area(spark, world):
+    """Version 1 has a row for each document and area of a name: excerpts are cut before, and rows go on one at a time."""
+    import re
+
+    from geoweave.plans import runs
+
+    found = runs.retrieve(*world, "v1", country="Norland")
+    lines = [x for x in generators(found.select("polygon_id", "row_index", "text_excerpt")) if "_profiles" in x]
+    assert lines and found.count() == 32
+    assert not [x for x in lines if "*(" in x or re.search(r"[\[ ]text#", x)]
